@@ -1,0 +1 @@
+"""Scans: message topic, raw CSV tree, processed Parquet tree."""
