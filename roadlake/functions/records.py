@@ -10,9 +10,9 @@ from roadlake.schema import EVENT_COLS, EVENT_SCHEMA
 _CORRUPT = "_corrupt_record"
 
 
-def encode_events(df: DataFrame, columns: list[str] = EVENT_COLS) -> DataFrame:
-    """One ``value`` column holding each row as a JSON object; nulls are written out."""
-    return df.select(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("value"))
+def encode_events(df: DataFrame, columns: list[str] = EVENT_COLS, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``value`` holding ``columns`` of each row as a JSON object, nulls written out."""
+    return df.select(*keep, F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("value"))
 
 
 def decode_events(
