@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from roadlake.session import scratch_path
@@ -18,7 +20,7 @@ WINDOW_ROWS = 1_000_000
 def assign_batches(
     df: DataFrame,
     time_col: str,
-    tie_breakers: list[str],
+    tie_breakers: Sequence[str] = (),
     max_rows: int = MAX_ROWS,
     max_seconds: int = MAX_SECONDS,
     window_rows: int = WINDOW_ROWS,
@@ -26,8 +28,8 @@ def assign_batches(
     """Add ``bucket_start`` and ``batch_no`` (from 0 within the bucket).
 
     A batch spans at most ``max_seconds`` and holds at most ``max_rows`` rows, in order of
-    ``time_col`` then ``tie_breakers``, which together should be unique. Buckets lie on fixed
-    multiples of ``max_seconds``, so they can be numbered independently.
+    ``time_col`` then ``tie_breakers``; rows equal in both come in any order. Buckets lie on
+    fixed multiples of ``max_seconds``, so they can be numbered independently.
     """
     second = F.unix_seconds(F.col(time_col).cast("timestamp"))
     bucketed = df.withColumn("bucket_start", F.timestamp_seconds(second - F.pmod(second, F.lit(max_seconds))))
@@ -46,15 +48,18 @@ def _number_across_tasks(bucketed: DataFrame, order: list[str]) -> DataFrame:
     """``_position`` within the bucket when a bucket is too large for one task.
 
     Rows are range-partitioned and sorted by bucket and order, so a bucket is a run of rows over
-    neighbouring partitions. The generated id holds the partition in its upper bits and the row
-    in its lower 33; a position is the row's distance from the bucket's first row in its
-    partition plus what earlier partitions hold of the bucket. The sorted rows are written
-    once, because range bounds are sampled anew for every plan that contains them.
+    neighbouring partitions. A generated id per input row comes last in the order: it lets a
+    range end inside any number of otherwise equal rows. The id generated after the sort holds
+    the partition in its upper bits and the row in its lower 33; a position is the row's distance
+    from the bucket's first row in its partition plus what earlier partitions hold of the
+    bucket. The sorted rows are written once, because range bounds are sampled anew for every
+    plan that contains them.
     """
     spark = bucketed.sparkSession
     path = scratch_path(spark, "batches")
-    columns = ["bucket_start", *order]
-    ordered = bucketed.repartitionByRange(*columns).sortWithinPartitions(*columns)
+    columns = ["bucket_start", *order, "_input_id"]
+    with_id = bucketed.withColumn("_input_id", F.monotonically_increasing_id())
+    ordered = with_id.repartitionByRange(*columns).sortWithinPartitions(*columns).drop("_input_id")
     ordered.withColumn("_id", F.monotonically_increasing_id()).write.parquet(path)
 
     rows = spark.read.parquet(path).withColumn("_part", F.shiftright("_id", 33))

@@ -7,7 +7,8 @@ touches and leaves every other file alone.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -23,10 +24,11 @@ LISTED_PARTITIONS = 1000
 # Up to this many touched partitions, tasks write straight from the join.
 DIRECT_PARTITIONS = 4
 
+_FRESH = "_fresh"
 
-@dataclass(frozen=True)
-class UpsertResult:
-    """Rows taken from the source (after dedupe) and target rows carried over unchanged."""
+
+class Upserted(NamedTuple):
+    """Rows taken from the source (after dedupe), and target rows carried over unchanged."""
 
     from_source: int
     carried_over: int
@@ -54,46 +56,107 @@ def stage(source: DataFrame, path: str, schema: StructType = TARGET_SCHEMA) -> D
 def upsert(
     source: DataFrame,
     path: str,
-    keys: list[str] = KEY_COLS,
-    latest_by: tuple[str, ...] = ("timestamp",),
+    keys: Sequence[str] = KEY_COLS,
+    latest_by: Sequence[str] = ("timestamp",),
     schema: StructType = TARGET_SCHEMA,
-) -> UpsertResult:
+    journal: str | None = None,
+) -> Upserted:
     """Merge ``source`` into the table at ``path``: replace rows with an equal key, add the rest.
 
     A replaced row takes every non-key column from the source, nulls included. Of several source
     rows with one key the latest wins. A null in a key equals nothing, so such rows are added
     each time; set them aside with ``split_keyed`` first. Running the same upsert twice is the
-    same as running it once. One writer per table: plain Parquet has no transactions.
+    same as running it once.
+
+    One writer per table: plain Parquet has no transactions. Losing executors is harmless, but a
+    driver lost while it swaps partition folders could leave one without its old rows. With a
+    ``journal`` folder the merged partitions are kept there until the swap is over, and the
+    next upsert finishes an interrupted one first; pass the same folder every time.
     """
     spark = source.sparkSession
-    incoming = add_date_parts(conform(source, schema, required=keys)).select(*schema.names)
+    if journal is not None:
+        finish_interrupted(spark, journal, schema)
     create_target(spark, path, schema)
+    incoming = add_date_parts(conform(source, schema, required=keys)).select(*schema.names)
 
-    days = incoming.select(*PARTITION_COLS).distinct()
-    listed = days.limit(LISTED_PARTITIONS + 1).collect()
+    # The listing is bounded, whatever the source touches.
+    listed = _days(incoming).limit(LISTED_PARTITIONS + 1).collect()
     if not listed:
-        return UpsertResult(0, 0)
-    target = read_target(spark, path, schema)
-    if len(listed) <= LISTED_PARTITIONS:
-        touched = target.where(_folder(target).isin(["/".join(map(str, row)) for row in listed]))
+        return Upserted(0, 0)
+    touched = ["/".join(map(str, row)) for row in listed] if len(listed) <= LISTED_PARTITIONS else None
+    counts = Observation()
+    merged = merge(incoming, read_target(spark, path, schema), keys, latest_by, touched).observe(
+        counts, F.count_if(_FRESH).alias("from_source"), F.count_if(~F.col(_FRESH)).alias("carried_over")
+    ).drop(_FRESH)
+
+    if journal is None:
+        _swap_partitions(merged, path)
+    else:
+        merged.write.mode("overwrite").partitionBy(*PARTITION_COLS).parquet(_pending(journal))
+        _note(spark, journal, [path])
+        finish_interrupted(spark, journal, schema)
+    return Upserted(**counts.get)
+
+
+def merge(
+    incoming: DataFrame,
+    target: DataFrame,
+    keys: Sequence[str],
+    latest_by: Sequence[str],
+    touched: list[str] | None,
+) -> DataFrame:
+    """New contents of the partitions that ``incoming`` touches, with a flag ``_fresh``.
+
+    ``touched`` lists them as ``year/month/day``; None means too many to list.
+    """
+    if touched is not None:
+        current = target.where(_folder(target).isin(touched))
     else:
-        touched = target.join(days.select(_folder(days).alias("_day")), _folder(target) == F.col("_day"), "left_semi")
+        days = _days(incoming)
+        current = target.join(days.select(_folder(days).alias("_day")), _folder(target) == F.col("_day"), "left_semi")
 
     # Distinct keys are combined before the shuffle, so a key repeated in the source costs one
     # row per map task. AQE broadcasts them when their measured size allows.
-    kept = touched.join(incoming.select(*keys).distinct(), keys, "left_anti").select(*schema.names)
-    fresh = dedupe_latest(incoming, keys, list(latest_by))
-    merged = fresh.withColumn("_fresh", F.lit(True)).unionByName(kept.withColumn("_fresh", F.lit(False)))
-    if len(listed) > DIRECT_PARTITIONS:
-        merged = merged.hint("rebalance", *PARTITION_COLS)
-
-    counts = Observation()
-    merged = merged.observe(
-        counts, F.count_if("_fresh").alias("from_source"), F.count_if(~F.col("_fresh")).alias("carried_over")
-    )
-    writer = merged.drop("_fresh").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    matched = incoming.select(*keys).distinct()
+    kept = current.join(matched, list(keys), "left_anti").select(*target.columns)
+    fresh = dedupe_latest(incoming, list(keys), list(latest_by))
+    merged = fresh.withColumn(_FRESH, F.lit(True)).unionByName(kept.withColumn(_FRESH, F.lit(False)))
+    # Tasks of the join hold rows of every day. With few days, writing from there makes a file
+    # per task and day of a good size; with many, rows are first brought together by day.
+    if touched is not None and len(touched) <= DIRECT_PARTITIONS:
+        return merged
+    return merged.hint("rebalance", *PARTITION_COLS)
+
+
+def finish_interrupted(spark: SparkSession, journal: str, schema: StructType = TARGET_SCHEMA) -> None:
+    """Bring partitions noted in the journal into their table; repeating it changes nothing."""
+    noted = read_parquet_or_empty(spark, f"{journal}/log", _LOG_SCHEMA).first()
+    if noted is not None:
+        _swap_partitions(read_target(spark, _pending(journal), schema), noted.target)
+        _note(spark, journal, [])
+
+
+def _swap_partitions(rows: DataFrame, path: str) -> None:
+    """Replace the partitions that occur in ``rows``."""
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*PARTITION_COLS).parquet(path)
-    return UpsertResult(**counts.get)
+
+
+_LOG_SCHEMA = StructType().add("target", "string")
+
+
+def _pending(journal: str) -> str:
+    return f"{journal}/pending"
+
+
+def _note(spark: SparkSession, journal: str, targets: list[str]) -> None:
+    """Record for which table (if any) complete partitions are pending."""
+    log = spark.createDataFrame([(t,) for t in targets], _LOG_SCHEMA)
+    log.coalesce(1).write.mode("overwrite").parquet(f"{journal}/log")
+
+
+def _days(df: DataFrame) -> DataFrame:
+    return df.select(*PARTITION_COLS).distinct()
 
 
 def _folder(df: DataFrame) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
@@ -10,10 +11,18 @@ from roadlake.functions.event_time import add_date_parts
 from roadlake.schema import EVENT_COLS, PARTITION_COLS, PROCESSED_SCHEMA
 
 BATCH_COL = "batch"
+LEFT_OUT = "left_out"
 # Fixed value: rows per raw file.
 ROWS_PER_RAW_FILE = 100
 
 
+class Written(NamedTuple):
+    """Rows written, and rows left out because they were flagged."""
+
+    rows: int
+    left_out: int
+
+
 def batch_tag(df: DataFrame, batch_id: int) -> str:
     """Name of a micro-batch, the same when it is replayed and never shared by two queries.
 
@@ -30,48 +39,66 @@ def write_files(
     file_format: str,
     partition_cols: list[str],
     tag: str | None = None,
+    gather_by: list[str] | None = None,
     options: Mapping[str, str] | None = None,
-) -> int:
-    """Add the rows to a partitioned tree and return how many there were.
+) -> Written:
+    """Add the rows to a partitioned tree, but for those whose ``left_out`` column is true.
 
-    Rows are gathered by partition first, so a folder gets few files; the rebalance hint lets
-    AQE cut a folder that holds much of the data into several tasks. Without a ``tag`` rows are
-    appended. With one they go to ``.../batch=<tag>`` folders, and writing the same tag again
-    replaces exactly those.
+    Rows are gathered by ``gather_by`` (the partition columns unless given) so that a folder gets
+    few files; the rebalance hint lets AQE cut a folder that holds much of the data into several
+    tasks. Without a ``tag`` rows are appended. With one they go to ``.../batch=<tag>`` folders,
+    and writing the same tag again replaces exactly those.
+
+    Counts come from the write itself. Rows to leave out are few and cross the exchange with
+    the others, so that one pass counts both kinds.
     """
-    written = Observation()
-    rows = df.hint("rebalance", *partition_cols).observe(written, F.count(F.lit(1)).alias("rows"))
+    if LEFT_OUT not in df.columns:
+        df = df.withColumn(LEFT_OUT, F.lit(False))
+    counts = Observation()
+    rows = (
+        df.hint("rebalance", *(partition_cols if gather_by is None else gather_by))
+        .observe(counts, F.count_if(~F.col(LEFT_OUT)).alias("rows"), F.count_if(LEFT_OUT).alias("left_out"))
+        .where(~F.col(LEFT_OUT))
+        .drop(LEFT_OUT)
+    )
     if tag is None:
         writer = rows.write.mode("append").partitionBy(*partition_cols)
     else:
-        rows = rows.withColumn(BATCH_COL, F.lit(tag))
-        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer = writer.partitionBy(*partition_cols, BATCH_COL)
+        writer = rows.withColumn(BATCH_COL, F.lit(tag)).write.mode("overwrite")
+        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols, BATCH_COL)
     writer.options(**(options or {})).format(file_format).save(path)
-    return written.get["rows"]
+    return Written(**counts.get)
 
 
 def write_raw(
-    df: DataFrame, root: str, arrived: str = "arrived", rows_per_file: int = ROWS_PER_RAW_FILE, tag: str | None = None
-) -> int:
+    df: DataFrame,
+    root: str,
+    arrived: str = "arrived",
+    rows_per_file: int = ROWS_PER_RAW_FILE,
+    tag: str | None = None,
+    gather_by: list[str] | None = None,
+) -> Written:
     """Event columns as headered CSV under the (zero-padded) date of the ``arrived`` timestamp."""
-    at = F.col(arrived)
-    dated = df.select(
-        *EVENT_COLS,
-        F.date_format(at, "yyyy").alias("year"),
-        F.date_format(at, "MM").alias("month"),
-        F.date_format(at, "dd").alias("day"),
-    )
+    dated = df.withColumns({
+        "year": F.date_format(arrived, "yyyy"),
+        "month": F.date_format(arrived, "MM"),
+        "day": F.date_format(arrived, "dd"),
+    })
     options = {"header": "true", "maxRecordsPerFile": str(rows_per_file)}
-    return write_files(dated, root, "csv", PARTITION_COLS, tag, options)
+    return write_files(_only(dated, EVENT_COLS + PARTITION_COLS), root, "csv", PARTITION_COLS, tag, gather_by, options)
 
 
-def write_processed(df: DataFrame, root: str, tag: str | None = None) -> int:
+def write_processed(df: DataFrame, root: str, tag: str | None = None) -> Written:
     """Enriched events as Parquet under the (unpadded) date of their ``event_time``."""
-    return write_files(add_date_parts(df).select(*PROCESSED_SCHEMA.names), root, "parquet", PARTITION_COLS, tag)
+    return write_files(_only(add_date_parts(df), PROCESSED_SCHEMA.names), root, "parquet", PARTITION_COLS, tag)
+
+
+def write_quarantine(df: DataFrame, root: str, stage: str, tag: str | None = None) -> Written:
+    """Rows set aside by a stage, as JSON text so that unlike rows can share a tree."""
+    text = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+    aside = df.select(text.alias("row"), F.lit(stage).alias("stage"))
+    return write_files(aside, root, "parquet", ["stage"], tag, gather_by=[])
 
 
-def write_quarantine(df: DataFrame, root: str, stage: str, tag: str | None = None) -> int:
-    """Rows set aside by a stage, as JSON lines so that unlike shapes can share a tree."""
-    line = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
-    return write_files(df.select(line.alias("row"), F.lit(stage).alias("stage")), root, "parquet", ["stage"], tag)
+def _only(df: DataFrame, columns: list[str]) -> DataFrame:
+    return df.select(*columns, *[c for c in df.columns if c == LEFT_OUT])

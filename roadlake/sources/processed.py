@@ -9,18 +9,23 @@ from pyspark.sql.types import StructType
 from roadlake.schema import PARTITION_COLS, PROCESSED_SCHEMA
 
 
-def read_parquet_or_empty(spark: SparkSession, root: str, schema: StructType, **options: str) -> DataFrame:
-    """Parquet files under ``root`` with a fixed schema; no folder means no rows.
-
-    Columns a file lacks come back null, so one scan unites files of unlike layouts by name.
-    """
+def _parquet(spark: SparkSession, root: str, schema: StructType, **options: str) -> DataFrame | None:
+    """Scan with a fixed schema, or None where there is no such folder."""
     try:
-        files = spark.read.schema(schema).options(pathGlobFilter="*.parquet", **options).parquet(root)
+        return spark.read.schema(schema).options(pathGlobFilter="*.parquet", **options).parquet(root)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
-    return files.select(*schema.names)
+        return None
+
+
+def read_parquet_or_empty(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
+    """Parquet files under ``root`` with a fixed schema; no folder means no rows.
+
+    Columns a file lacks come back null, so one scan unites files of unlike layouts by name.
+    """
+    files = _parquet(spark, root, schema)
+    return spark.createDataFrame([], schema) if files is None else files.select(*schema.names)
 
 
 def read_processed(spark: SparkSession, root: str, schema: StructType = PROCESSED_SCHEMA) -> DataFrame:
@@ -35,10 +40,9 @@ def read_processed_any_layout(spark: SparkSession, root: str, schema: StructType
     are null where the path has none. Partition discovery cannot express that, so this form
     does not prune folders; prefer ``read_processed`` for regular trees.
     """
-    files = read_parquet_or_empty(
-        spark, root, StructType([f for f in schema.fields if f.name not in PARTITION_COLS]), recursiveFileLookup="true"
-    )
-    if not files.inputFiles():
+    in_file = StructType([f for f in schema.fields if f.name not in PARTITION_COLS])
+    files = _parquet(spark, root, in_file, recursiveFileLookup="true")
+    if files is None:
         return spark.createDataFrame([], schema)
     path = F.col("_metadata.file_path")
     parts = {p: F.regexp_extract(path, f"/{p}=([0-9]+)/", 1).try_cast("int") for p in PARTITION_COLS}

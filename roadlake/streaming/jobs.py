@@ -15,7 +15,6 @@ import logging
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
@@ -23,11 +22,18 @@ from roadlake.functions.event_time import add_event_time, coerce_times, stamp
 from roadlake.functions.measures import nan_to_null
 from roadlake.functions.records import decode_events
 from roadlake.operators.alerts import preview
-from roadlake.operators.quality import split_decoded, split_keyed, split_quality
-from roadlake.operators.upsert import UpsertResult, create_target, stage, upsert
-from roadlake.schema import EVENT_COLS, EVENT_SCHEMA, PROCESSED_SCHEMA
-from roadlake.session import scratch_path, utc
-from roadlake.sinks.files import ROWS_PER_RAW_FILE, batch_tag, write_processed, write_quarantine, write_raw
+from roadlake.operators.quality import split_decoded, split_keyed, with_violations
+from roadlake.operators.upsert import Upserted, create_target, stage, upsert
+from roadlake.schema import PARTITION_COLS, PROCESSED_SCHEMA
+from roadlake.session import utc
+from roadlake.sinks.files import (
+    LEFT_OUT,
+    ROWS_PER_RAW_FILE,
+    batch_tag,
+    write_processed,
+    write_quarantine,
+    write_raw,
+)
 from roadlake.sources.processed import processed_stream, read_processed
 from roadlake.sources.raw import CORRUPT, FILES_PER_TRIGGER, raw_stream
 
@@ -62,14 +68,19 @@ class Layout:
     def checkpoint(self, job: str) -> str:
         return f"{self.root}/checkpoints/{job}"
 
-    def staging(self, query_id: str) -> str:
-        return f"{self.root}/staging/{query_id}"
+    @property
+    def staging(self) -> str:
+        return f"{self.root}/staging"
+
+    @property
+    def journal(self) -> str:
+        return f"{self.root}/journal"
 
     def create(self, spark: SparkSession) -> None:
         """Make the folders that streams watch; a stream cannot start on a missing one."""
-        no_events = spark.createDataFrame([], EVENT_SCHEMA)
-        no_events.limit(0).write.mode("ignore").partitionBy("vehicle_id").csv(self.raw)
-        spark.createDataFrame([], PROCESSED_SCHEMA).write.mode("ignore").partitionBy("year").parquet(self.processed)
+        nothing = spark.createDataFrame([], PROCESSED_SCHEMA).write.mode("ignore").partitionBy(*PARTITION_COLS)
+        nothing.csv(self.raw)
+        nothing.parquet(self.processed)
         create_target(spark, self.target)
 
 
@@ -91,10 +102,12 @@ def start_ingest(
     )
 
     def write(batch: DataFrame, tag: str) -> None:
-        good, bad = split_decoded(batch, value)
-        rows = write_raw(good, layout.raw, rows_per_file=rows_per_file, tag=tag)
-        refused = write_quarantine(bad, layout.quarantine, "decode", tag)
-        log.info("ingest %s: %s rows written, %s set aside", tag, rows, refused)
+        flagged = batch.withColumn(LEFT_OUT, F.col("decode_error").isNotNull())
+        # A micro-batch arrives on one day, so gathering by day would put it into one task.
+        done = write_raw(flagged, layout.raw, rows_per_file=rows_per_file, tag=tag, gather_by=[])
+        if done.left_out:
+            write_quarantine(split_decoded(batch, value)[1], layout.quarantine, "decode", tag)
+        log.info("ingest %s: %s", tag, done)
 
     return _start(decoded, write, layout.checkpoint("ingest"), trigger)
 
@@ -115,16 +128,16 @@ def start_enrich(
     enriched = add_event_time(raw_stream(spark, layout.raw, max_files), precision)
 
     def write(batch: DataFrame, tag: str) -> None:
-        bad = batch.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
-        good = batch.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
-        if enforce_contract:
-            good, rejected = split_quality(good)
-            write_quarantine(rejected, layout.quarantine, "contract", tag)
         if log.isEnabledFor(logging.DEBUG):
-            log.debug("enrich %s: sample %s", tag, preview(good).collect())
-        rows = write_processed(good, layout.processed, tag)
-        refused = write_quarantine(bad, layout.quarantine, "csv", tag)
-        log.info("enrich %s: %s rows written, %s lines set aside", tag, rows, refused)
+            log.debug("enrich %s: sample %s", tag, preview(batch).collect())
+        broken = F.col(CORRUPT).isNotNull()
+        if enforce_contract:
+            batch = with_violations(batch)
+            broken = broken | (F.size("reasons") > 0)
+        done = write_processed(batch.withColumn(LEFT_OUT, broken), layout.processed, tag)
+        if done.left_out:
+            write_quarantine(batch.where(broken), layout.quarantine, "enrich", tag)
+        log.info("enrich %s: %s", tag, done)
 
     return _start(enriched, write, layout.checkpoint("enrich"), trigger)
 
@@ -138,22 +151,24 @@ def start_load(
     loadable = load_frame(processed_stream(spark, layout.processed, max_files), F.current_timestamp())
 
     def write(batch: DataFrame, tag: str) -> None:
-        keyed, unkeyed = split_keyed(batch)
-        refused = write_quarantine(unkeyed, layout.quarantine, "key", tag)
-        query_id = tag.rsplit("-", 1)[0]
-        merged = upsert(stage(keyed, layout.staging(query_id)), layout.target)
-        log.info("load %s: %s, %s rows set aside", tag, merged, refused)
+        log.info("load %s: %s", tag, _merge_keyed(stage(batch, layout.staging), layout, tag))
 
     return _start(loadable, write, layout.checkpoint("load"), trigger)
 
 
-def load_full(spark: SparkSession, layout: Layout, run_time: Column | None = None) -> UpsertResult:
+def load_full(spark: SparkSession, layout: Layout, run_time: Column | None = None) -> Upserted:
     """Merge every processed row again, whatever earlier runs have loaded."""
     utc(spark)
     run_time = F.current_timestamp() if run_time is None else run_time
-    keyed, unkeyed = split_keyed(load_frame(read_processed(spark, layout.processed), run_time))
-    write_quarantine(unkeyed, layout.quarantine, "key", "full-refresh")
-    return upsert(stage(keyed, scratch_path(spark, "staging")), layout.target)
+    return _merge_keyed(load_frame(read_processed(spark, layout.processed), run_time), layout, "full-load")
+
+
+def _merge_keyed(rows: DataFrame, layout: Layout, tag: str) -> Upserted:
+    """Merge the rows that have a key; the others would be added anew by every run."""
+    keyed, unkeyed = split_keyed(rows)
+    if not unkeyed.isEmpty():
+        write_quarantine(unkeyed, layout.quarantine, "load", tag)
+    return upsert(keyed, layout.target, journal=layout.journal)
 
 
 def load_frame(processed: DataFrame, run_time: Column) -> DataFrame:
@@ -182,15 +197,10 @@ def _start(
     """Append-mode query; ``trigger`` is the pause between batches, None drains and stops."""
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        # Several sinks read the batch; keep it so that its files are parsed once.
-        batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            if batch.isEmpty():
-                log.info("batch %s has no rows", batch_id)
-            else:
-                write(batch, batch_tag(batch, batch_id))
-        finally:
-            batch.unpersist()
+        if batch.isEmpty():
+            log.info("batch %s has no rows", batch_id)
+        else:
+            write(batch, batch_tag(batch, batch_id))
 
     pace = {"availableNow": True} if trigger is None else {"processingTime": trigger}
     writer = rows.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)

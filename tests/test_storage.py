@@ -1,0 +1,196 @@
+"""CSV and Parquet trees, column operators, date ranges."""
+
+import datetime as dt
+import glob
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import at, event
+from roadlake.functions.event_time import add_event_time
+from roadlake.operators.columns import conform, rename, require_columns, union_by_name
+from roadlake.operators.time_range import time_range
+from roadlake.plans.telemetry import telemetry
+from roadlake.schema import EVENT_COLS, EVENT_SCHEMA, PROCESSED_SCHEMA, TARGET_SCHEMA
+from roadlake.session import scratch_path, shared_dir
+from roadlake.sinks.files import LEFT_OUT, write_files, write_processed, write_raw
+from roadlake.sources.processed import read_processed, read_processed_any_layout
+from roadlake.sources.raw import CORRUPT, raw_stream, read_raw
+
+DAY = 86_400
+START = 1704067200.0
+
+
+def events(spark, n, **changes):
+    return spark.createDataFrame([event(f"V{1000 + i}", START + i, **changes) for i in range(n)], EVENT_SCHEMA)
+
+
+def csv_file(folder, text):
+    import os
+
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/part.csv", "w") as f:
+        f.write(text)
+
+
+def test_shared_folder_comes_from_the_session(spark):
+    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert scratch_path(spark, "a") != scratch_path(spark, "a")
+
+
+def test_raw_files_are_small_headered_and_zero_padded(spark, folder):
+    df = events(spark, 250).coalesce(1).withColumn("arrived", F.lit(at("2024-03-05T10:00:00")))
+    assert write_raw(df, folder) == (250, 0)
+    files = glob.glob(f"{folder}/year=2024/month=03/day=05/*.csv")
+    sizes = sorted(sum(1 for _ in open(f)) - 1 for f in files)
+    assert sizes == [50, 100, 100]
+    assert open(files[0]).readline().strip() == ",".join(EVENT_COLS)
+    assert {r[CORRUPT] for r in read_raw(spark, folder).collect()} == {None}
+
+
+def test_raw_day_range_prunes_folders(spark, folder):
+    df = events(spark, 5).withColumn("arrived", F.timestamp_seconds(F.col("timestamp") + (F.col("timestamp") - START) * DAY))
+    write_raw(df, folder)
+    some = read_raw(spark, folder, dt.date(2024, 1, 2), dt.date(2024, 1, 3))
+    assert some.count() == 2
+    assert "make_date" in plan_line(some, "PartitionFilters")
+
+
+def plan_line(df, key):
+    plan = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    return " ".join(line for line in plan.splitlines() if key in line)
+
+
+def test_bad_csv_lines_keep_their_text(spark, folder):
+    header = ",".join(EVENT_COLS)
+    fit = "V1,P,car,N,1.0,2.0,3.0,4,9,5,6.0,0,7.0"
+    short, long = "V2,P", fit + ",extra"
+    drifted = "V3,P,car,N,1.0,2.0,3.0,5.0,9,5,6.0,0,7.0"
+    csv_file(f"{folder}/year=2024/month=01/day=01", "\n".join([header, fit, short, long, drifted]) + "\n")
+    rows = {r.vehicle_id: r for r in read_raw(spark, folder).collect()}
+    bad = {r[CORRUPT] for r in read_raw(spark, folder).collect()} - {None}
+    assert bad == {short, long, drifted}
+    assert rows["V3"].user_id is None and rows["V3"].speed == 1.0
+
+
+def test_reordered_header_is_refused(spark, folder):
+    names = [EVENT_COLS[1], EVENT_COLS[0], *EVENT_COLS[2:]]
+    csv_file(f"{folder}/year=2024/month=01/day=01", ",".join(names) + "\nP,V1,car,N,1.0,2.0,3.0,4,9,5,6.0,0,7.0\n")
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        read_raw(spark, folder).collect()
+
+
+def test_raw_stream_has_event_columns_only(spark, folder):
+    write_raw(events(spark, 3).withColumn("arrived", F.lit(at("2024-03-05"))), folder)
+    stream = raw_stream(spark, folder)
+    assert stream.isStreaming and stream.columns == [*EVENT_COLS, CORRUPT]
+
+
+def test_processed_round_trip(spark, folder):
+    df = add_event_time(events(spark, 40))
+    assert write_processed(df, folder) == (40, 0)
+    assert glob.glob(f"{folder}/year=2024/month=1/day=1/*.parquet")
+    back = read_processed(spark, folder)
+    assert back.columns == PROCESSED_SCHEMA.names
+    assert back.schema == PROCESSED_SCHEMA
+    assert back.exceptAll(df.select(*PROCESSED_SCHEMA.names)).count() == 0 and back.count() == 40
+
+
+def test_same_tag_replaces_and_other_tags_add(spark, folder):
+    df = add_event_time(events(spark, 10))
+    for tag in ("q-1", "q-1", "q-2"):
+        write_processed(df, folder, tag)
+    assert read_processed(spark, folder).count() == 20
+
+
+def test_left_out_rows_are_counted_not_written(spark, folder):
+    df = add_event_time(events(spark, 10)).withColumn(LEFT_OUT, F.col("vehicle_id") >= "V1007")
+    assert write_processed(df, folder) == (7, 3)
+    assert read_processed(spark, folder).count() == 7
+
+
+def test_all_rows_left_out_and_no_rows_at_all(spark, folder):
+    df = add_event_time(events(spark, 10))
+    assert write_processed(df.withColumn(LEFT_OUT, F.lit(True)), folder, "t") == (0, 10)
+    assert write_processed(df.where("speed < 0"), folder, "u") == (0, 0)
+    assert not glob.glob(f"{folder}/**/*.parquet", recursive=True)
+    assert read_processed(spark, folder).count() == 0
+
+
+def test_missing_folder_reads_as_no_rows(spark, folder):
+    for read in (read_processed, read_processed_any_layout):
+        assert read(spark, folder).schema == PROCESSED_SCHEMA
+        assert read(spark, folder).isEmpty()
+
+
+def test_other_suffixes_are_ignored(spark, folder):
+    write_processed(add_event_time(events(spark, 3)), folder)
+    open(f"{folder}/year=2024/month=1/day=1/notes.txt", "w").write("x")
+    assert read_processed(spark, folder).count() == 3
+
+
+def test_partition_values_come_from_the_path(spark, folder):
+    df = add_event_time(events(spark, 4)).drop("month", "day").withColumn("year", F.lit(1900))
+    df.write.parquet(f"{folder}/year=2024/month=2")
+    df.write.parquet(f"{folder}/year=2025/month=3/day=4")
+    parts = read_processed_any_layout(spark, folder).select("year", "month", "day").distinct().collect()
+    assert {tuple(p) for p in parts} == {(2024, 2, None), (2025, 3, 4)}
+
+
+def test_null_event_time_reads_back_as_null(spark, folder):
+    write_processed(add_event_time(events(spark, 2, ).withColumn("timestamp", F.lit(None).cast("double"))), folder)
+    assert [tuple(r) for r in read_processed(spark, folder).select("event_time", "day").collect()] == [(None, None)] * 2
+
+
+def test_files_of_unlike_columns_unite_by_name(spark, folder):
+    df = add_event_time(events(spark, 2))
+    write_files(df.drop("speed"), folder, "parquet", ["year", "month", "day"])
+    write_files(df.select(*reversed(df.columns)), folder, "parquet", ["year", "month", "day"])
+    speeds = sorted(str(r.speed) for r in read_processed(spark, folder).collect())
+    assert speeds == ["80.0", "80.0", "None", "None"]
+
+
+def test_union_by_name(spark):
+    a, b = spark.createDataFrame([(1,)], "a int"), spark.createDataFrame([("x",)], "b string")
+    assert [tuple(r) for r in union_by_name([a, b]).collect()] == [(1, None), (None, "x")]
+
+
+def test_time_range_prunes_and_is_half_open(spark, folder):
+    stamps = [START, START + DAY, START + 2 * DAY, START + 40 * DAY]
+    df = spark.createDataFrame([event(timestamp=t) for t in stamps], EVENT_SCHEMA)
+    write_processed(add_event_time(df), folder)
+    found = time_range(read_processed(spark, folder), at("2024-01-02"), at("2024-01-03"))
+    assert [str(r.event_time) for r in found.collect()] == ["2024-01-02 00:00:00"]
+    assert "make_date" in plan_line(found, "PartitionFilters")
+    assert "GreaterThanOrEqual(event_time" in plan_line(found, "PushedFilters")
+
+
+def test_scan_reads_only_what_the_query_uses(spark):
+    df = telemetry(spark, "/root/testdata/sf0.001").where("speed > 150").select("vehicle_id", "speed")
+    assert "GreaterThan(value,150.0)" in plan_line(df, "PushedFilters")
+    schema = plan_line(df, "ReadSchema")
+    assert re.search(r"struct<user_id:bigint,value:double>", schema)
+
+
+def test_require_columns(spark):
+    df = spark.createDataFrame([(1, 2)], "a int, b int")
+    assert require_columns(df, ["a"]) is df
+    with pytest.raises(ValueError, match="c, d"):
+        require_columns(df, ["a", "c", "d"])
+
+
+def test_rename_skips_absent_columns(spark):
+    assert rename(spark.createDataFrame([(1, 2)], "a int, b int"), {"a": "x", "z": "y"}).columns == ["x", "b"]
+
+
+def test_conform(spark):
+    df = spark.createDataFrame([("7", 1.9, "V1")], "user_id string, speed float, vehicle_id string")
+    row = conform(df, TARGET_SCHEMA, required=["vehicle_id"]).first()
+    assert row.user_id == 7 and round(row.speed, 5) == 1.9 and row.last_updated is None
+    assert conform(df, TARGET_SCHEMA).schema.names == TARGET_SCHEMA.names
+    assert conform(spark.createDataFrame([("n/a",)], "user_id string"), TARGET_SCHEMA).first().user_id is None
+    with pytest.raises(ValueError, match="event_time"):
+        conform(df, TARGET_SCHEMA, required=["event_time"])
+    with pytest.raises(ValueError, match="odd"):
+        conform(df.withColumn("odd", F.lit(1)), TARGET_SCHEMA)
