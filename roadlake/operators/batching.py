@@ -15,6 +15,8 @@ MAX_SECONDS = 60
 # A time bucket up to this size is numbered by one window task; larger ones are numbered
 # across tasks.
 WINDOW_ROWS = 1_000_000
+# Runs (see ``_number_across_tasks``) are broadcast up to this count, at some 40 bytes each.
+BROADCAST_RUNS = 500_000
 
 
 def assign_batches(
@@ -67,6 +69,8 @@ def _number_across_tasks(bucketed: DataFrame, order: list[str]) -> DataFrame:
     earlier = Window.partitionBy("bucket_start").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     runs = runs.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0))).drop("_rows")
     runs = runs.withColumnsRenamed({"bucket_start": "_bucket", "_part": "_run_part"})
+    if runs.count() <= BROADCAST_RUNS:
+        runs = F.broadcast(runs)
     same_run = F.col("bucket_start").eqNullSafe(F.col("_bucket")) & (F.col("_part") == F.col("_run_part"))
     position = F.col("_before") + F.col("_id") - F.col("_first")
     return rows.join(runs, same_run).withColumn("_position", position).select(*bucketed.columns, "_position")

@@ -2,27 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
+from pyspark.sql import Column, DataFrame, functions as F
 
-def dedupe_latest(df: DataFrame, keys: list[str], latest_by: list[str]) -> DataFrame:
-    """Keep the row with the greatest ``latest_by`` per key.
 
-    Ties go to the greatest remaining columns, so the outcome does not depend on row order.
-    Rows with a null in the key equal no other row and are all kept. Spark turns
-    ``row_number = 1`` into a group limit that runs before the shuffle, so a key holding a large
-    share of the rows leaves each map task as one row.
+def dedupe_latest(df: DataFrame, keys: Sequence[str], latest_by: Sequence[str]) -> DataFrame:
+    """Keep the row with the greatest ``latest_by`` per key; a null counts as least.
+
+    Ties go to the greatest remaining columns, in column order, so the outcome does not depend
+    on row order. Rows with a null in the key equal no other row and are all kept.
+
+    The greatest row is an aggregate, so each map task sends one row per key whatever share of
+    the data a key holds, and only the key is sorted.
     """
     rest = [c for c in df.columns if c not in keys and c not in latest_by]
-    order = [F.desc(c) for c in [*latest_by, *rest]]
-    keyed, unkeyed = split_on_null(df, keys)
-    ranked = keyed.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    return ranked.where("_rank = 1").drop("_rank").unionByName(unkeyed)
+    order = [c for c in latest_by if c not in keys] + rest
+    # A row without a complete key gets a number of its own, so it stays alone in its group.
+    numbered = df.withColumn("_alone", F.when(~_complete(keys), F.monotonically_increasing_id()))
+    latest = numbered.groupBy(*keys, "_alone").agg(F.max(F.struct(*order)).alias("_row"))
+    return latest.select(*keys, "_row.*").select(*df.columns)
 
 
-def split_on_null(df: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]:
+def split_on_null(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """(rows with every column set, rows with at least one null)."""
-    complete = F.lit(True)
-    for c in columns:
-        complete = complete & F.col(c).isNotNull()
-    return df.where(complete), df.where(~complete)
+    return df.where(_complete(columns)), df.where(~_complete(columns))
+
+
+def _complete(columns: Sequence[str]) -> Column:
+    return reduce(and_, [F.col(c).isNotNull() for c in columns])

@@ -23,6 +23,8 @@ from roadlake.sources.processed import read_parquet_or_empty
 LISTED_PARTITIONS = 1000
 # Up to this many touched partitions, tasks write straight from the join.
 DIRECT_PARTITIONS = 4
+# Source keys are broadcast up to this measured size.
+BROADCAST_BYTES = 32 * 1024 * 1024
 
 _FRESH = "_fresh"
 
@@ -79,13 +81,11 @@ def upsert(
     create_target(spark, path, schema)
     incoming = add_date_parts(conform(source, schema, required=keys)).select(*schema.names)
 
-    # The listing is bounded, whatever the source touches.
-    listed = _days(incoming).limit(LISTED_PARTITIONS + 1).collect()
-    if not listed:
+    touch = _touch(incoming, keys)
+    if touch.empty:
         return Upserted(0, 0)
-    touched = ["/".join(map(str, row)) for row in listed] if len(listed) <= LISTED_PARTITIONS else None
     counts = Observation()
-    merged = merge(incoming, read_target(spark, path, schema), keys, latest_by, touched).observe(
+    merged = merge(incoming, read_target(spark, path, schema), keys, latest_by, touch).observe(
         counts, F.count_if(_FRESH).alias("from_source"), F.count_if(~F.col(_FRESH)).alias("carried_over")
     ).drop(_FRESH)
 
@@ -98,36 +98,63 @@ def upsert(
     return Upserted(**counts.get)
 
 
+class Touch(NamedTuple):
+    """What a source touches: partitions as ``year/month/day`` (None: too many to list), key bytes."""
+
+    days: list[str] | None
+    key_bytes: int | None
+
+    @property
+    def empty(self) -> bool:
+        return self.days == []
+
+
+def _touch(incoming: DataFrame, keys: Sequence[str]) -> Touch:
+    """Measure the source in one pass over its keys; what reaches the driver is bounded."""
+    key_bytes = F.lit(32)
+    for k in keys:
+        key_bytes = key_bytes + F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0))
+    per_day = incoming.groupBy(*PARTITION_COLS).agg(F.sum(key_bytes).alias("key_bytes"))
+    listed = per_day.limit(LISTED_PARTITIONS + 1).collect()
+    if len(listed) > LISTED_PARTITIONS:
+        return Touch(None, None)
+    days = ["/".join(str(row[p]) for p in PARTITION_COLS) for row in listed]
+    return Touch(days, sum(row.key_bytes for row in listed))
+
+
 def merge(
-    incoming: DataFrame,
-    target: DataFrame,
-    keys: Sequence[str],
-    latest_by: Sequence[str],
-    touched: list[str] | None,
+    incoming: DataFrame, target: DataFrame, keys: Sequence[str], latest_by: Sequence[str], touch: Touch
 ) -> DataFrame:
-    """New contents of the partitions that ``incoming`` touches, with a flag ``_fresh``.
-
-    ``touched`` lists them as ``year/month/day``; None means too many to list.
-    """
-    if touched is not None:
-        current = target.where(_folder(target).isin(touched))
+    """New contents of the partitions that ``incoming`` touches, with a flag ``_fresh``."""
+    fresh = dedupe_latest(incoming, keys, latest_by).withColumn(_FRESH, F.lit(True))
+    if touch.days is not None:
+        current = target.where(_folder(target).isin(touch.days))
+        # New days need no join; one look at their (absent) files tells.
+        merged = fresh if current.isEmpty() else fresh.unionByName(_unmatched(current, incoming, keys, touch))
     else:
-        days = _days(incoming)
-        current = target.join(days.select(_folder(days).alias("_day")), _folder(target) == F.col("_day"), "left_semi")
-
-    # Distinct keys are combined before the shuffle, so a key repeated in the source costs one
-    # row per map task. AQE broadcasts them when their measured size allows.
-    matched = incoming.select(*keys).distinct()
-    kept = current.join(matched, list(keys), "left_anti").select(*target.columns)
-    fresh = dedupe_latest(incoming, list(keys), list(latest_by))
-    merged = fresh.withColumn(_FRESH, F.lit(True)).unionByName(kept.withColumn(_FRESH, F.lit(False)))
+        days = incoming.select(_folder(incoming).alias("_day")).distinct()
+        current = target.join(days, _folder(target) == F.col("_day"), "left_semi")
+        merged = fresh.unionByName(_unmatched(current, incoming, keys, touch))
     # Tasks of the join hold rows of every day. With few days, writing from there makes a file
     # per task and day of a good size; with many, rows are first brought together by day.
-    if touched is not None and len(touched) <= DIRECT_PARTITIONS:
+    if touch.days is not None and len(touch.days) <= DIRECT_PARTITIONS:
         return merged
     return merged.hint("rebalance", *PARTITION_COLS)
 
 
+def _unmatched(current: DataFrame, incoming: DataFrame, keys: Sequence[str], touch: Touch) -> DataFrame:
+    """Target rows whose key the source does not have.
+
+    Distinct keys are combined before the shuffle, so a key repeated in the source costs one row
+    per map task. When they are measured to be small, the target is not shuffled at all.
+    """
+    matched = incoming.select(*keys).distinct()
+    if touch.key_bytes is not None and touch.key_bytes <= BROADCAST_BYTES:
+        matched = F.broadcast(matched)
+    kept = current.join(matched, list(keys), "left_anti").select(*current.columns)
+    return kept.withColumn(_FRESH, F.lit(False))
+
+
 def finish_interrupted(spark: SparkSession, journal: str, schema: StructType = TARGET_SCHEMA) -> None:
     """Bring partitions noted in the journal into their table; repeating it changes nothing."""
     noted = read_parquet_or_empty(spark, f"{journal}/log", _LOG_SCHEMA).first()
@@ -155,10 +182,6 @@ def _note(spark: SparkSession, journal: str, targets: list[str]) -> None:
     log.coalesce(1).write.mode("overwrite").parquet(f"{journal}/log")
 
 
-def _days(df: DataFrame) -> DataFrame:
-    return df.select(*PARTITION_COLS).distinct()
-
-
 def _folder(df: DataFrame) -> Column:
     """A partition as text, with nulls spelled out; prunes folders when compared to literals."""
     return F.concat_ws("/", *[F.coalesce(df[c].cast("string"), F.lit("None")) for c in PARTITION_COLS])

@@ -56,9 +56,7 @@ def _query(fn: Query) -> Query:
 
 
 def _layout(spark: SparkSession, label: str) -> Layout:
-    layout = Layout(scratch_path(spark, label))
-    layout.create(spark)
-    return layout
+    return Layout(scratch_path(spark, label))
 
 
 def _fill_raw(spark: SparkSession, sf_dir: str, root: str) -> None:

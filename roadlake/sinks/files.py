@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from typing import NamedTuple
 
@@ -38,16 +39,15 @@ def write_files(
     path: str,
     file_format: str,
     partition_cols: list[str],
-    tag: str | None = None,
     gather_by: list[str] | None = None,
     options: Mapping[str, str] | None = None,
+    mode: str = "append",
 ) -> Written:
-    """Add the rows to a partitioned tree, but for those whose ``left_out`` column is true.
+    """Write the rows, but for those whose ``left_out`` column is true, to a partitioned tree.
 
     Rows are gathered by ``gather_by`` (the partition columns unless given) so that a folder gets
     few files; the rebalance hint lets AQE cut a folder that holds much of the data into several
-    tasks. Without a ``tag`` rows are appended. With one they go to ``.../batch=<tag>`` folders,
-    and writing the same tag again replaces exactly those.
+    tasks. ``append`` adds files; ``overwrite`` replaces the partitions that occur in the rows.
 
     Counts come from the write itself. Rows to leave out are few and cross the exchange with
     the others, so that one pass counts both kinds.
@@ -61,15 +61,33 @@ def write_files(
         .where(~F.col(LEFT_OUT))
         .drop(LEFT_OUT)
     )
-    if tag is None:
-        writer = rows.write.mode("append").partitionBy(*partition_cols)
-    else:
-        writer = rows.withColumn(BATCH_COL, F.lit(tag)).write.mode("overwrite")
-        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols, BATCH_COL)
+    writer = rows.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols)
     writer.options(**(options or {})).format(file_format).save(path)
     return Written(**counts.get)
 
 
+def write_batch(
+    df: DataFrame,
+    path: str,
+    file_format: str,
+    tag: str | None,
+    columns: list[str],
+    partition_cols: list[str] = PARTITION_COLS,
+    gather_by: list[str] | None = None,
+    options: Mapping[str, str] | None = None,
+) -> Written:
+    """Write ``columns`` into ``batch=<tag>`` folders below the partition folders.
+
+    Writing the same tag again replaces exactly those folders. Without a tag the rows get one of
+    their own, so that every tree has the same depth however it was filled.
+    """
+    chosen = df.select(*columns, *[c for c in df.columns if c == LEFT_OUT])
+    tagged = chosen.withColumn(BATCH_COL, F.lit(uuid.uuid4().hex if tag is None else tag))
+    gather_by = partition_cols if gather_by is None else gather_by
+    mode = "append" if tag is None else "overwrite"
+    return write_files(tagged, path, file_format, [*partition_cols, BATCH_COL], gather_by, options, mode)
+
+
 def write_raw(
     df: DataFrame,
     root: str,
@@ -85,20 +103,18 @@ def write_raw(
         "day": F.date_format(arrived, "dd"),
     })
     options = {"header": "true", "maxRecordsPerFile": str(rows_per_file)}
-    return write_files(_only(dated, EVENT_COLS + PARTITION_COLS), root, "csv", PARTITION_COLS, tag, gather_by, options)
+    return write_batch(
+        dated, root, "csv", tag, EVENT_COLS + PARTITION_COLS, gather_by=gather_by, options=options
+    )
 
 
 def write_processed(df: DataFrame, root: str, tag: str | None = None) -> Written:
     """Enriched events as Parquet under the (unpadded) date of their ``event_time``."""
-    return write_files(_only(add_date_parts(df), PROCESSED_SCHEMA.names), root, "parquet", PARTITION_COLS, tag)
+    return write_batch(add_date_parts(df), root, "parquet", tag, PROCESSED_SCHEMA.names)
 
 
 def write_quarantine(df: DataFrame, root: str, stage: str, tag: str | None = None) -> Written:
     """Rows set aside by a stage, as JSON text so that unlike rows can share a tree."""
     text = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
     aside = df.select(text.alias("row"), F.lit(stage).alias("stage"))
-    return write_files(aside, root, "parquet", ["stage"], tag, gather_by=[])
-
-
-def _only(df: DataFrame, columns: list[str]) -> DataFrame:
-    return df.select(*columns, *[c for c in df.columns if c == LEFT_OUT])
+    return write_batch(aside, root, "parquet", tag, ["row", "stage"], ["stage"], gather_by=[])

@@ -5,6 +5,7 @@ from collections import Counter
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 
+from roadlake.operators import batching
 from roadlake.operators.batching import assign_batches, batch_counts
 
 BASE = 1704067200
@@ -48,6 +49,13 @@ def test_bounds_hold_when_one_bucket_has_most_rows(spark):
         assert actual(batched) == expected(seconds, 100, 60)
 
 
+def test_many_runs_are_joined_without_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(batching, "BROADCAST_RUNS", 0)
+    seconds = [float(s % 240) for s in range(500)]
+    batched = assign_batches(frame(spark, seconds), "t", ["id"], 7, 60, window_rows=0)
+    assert actual(batched) == expected(seconds, 7, 60)
+
+
 def test_equal_rows_spread_over_tasks(spark):
     same = spark.range(0, 20_000, 1, 8).selectExpr("timestamp_seconds(1704067200) as t")
     batched = assign_batches(same, "t", window_rows=0)

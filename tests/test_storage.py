@@ -2,6 +2,7 @@
 
 import datetime as dt
 import glob
+import os
 import re
 
 import pytest
@@ -27,8 +28,6 @@ def events(spark, n, **changes):
 
 
 def csv_file(folder, text):
-    import os
-
     os.makedirs(folder, exist_ok=True)
     with open(f"{folder}/part.csv", "w") as f:
         f.write(text)
@@ -42,7 +41,7 @@ def test_shared_folder_comes_from_the_session(spark):
 def test_raw_files_are_small_headered_and_zero_padded(spark, folder):
     df = events(spark, 250).coalesce(1).withColumn("arrived", F.lit(at("2024-03-05T10:00:00")))
     assert write_raw(df, folder) == (250, 0)
-    files = glob.glob(f"{folder}/year=2024/month=03/day=05/*.csv")
+    files = glob.glob(f"{folder}/year=2024/month=03/day=05/batch=*/*.csv")
     sizes = sorted(sum(1 for _ in open(f)) - 1 for f in files)
     assert sizes == [50, 100, 100]
     assert open(files[0]).readline().strip() == ",".join(EVENT_COLS)
@@ -90,13 +89,29 @@ def test_raw_stream_has_event_columns_only(spark, folder):
 def test_processed_round_trip(spark, folder):
     df = add_event_time(events(spark, 40))
     assert write_processed(df, folder) == (40, 0)
-    assert glob.glob(f"{folder}/year=2024/month=1/day=1/*.parquet")
+    assert glob.glob(f"{folder}/year=2024/month=1/day=1/batch=*/*.parquet")
     back = read_processed(spark, folder)
     assert back.columns == PROCESSED_SCHEMA.names
     assert back.schema == PROCESSED_SCHEMA
     assert back.exceptAll(df.select(*PROCESSED_SCHEMA.names)).count() == 0 and back.count() == 40
 
 
+def test_plain_append_has_no_batch_folder(spark, folder):
+    df = add_event_time(events(spark, 4)).select(*PROCESSED_SCHEMA.names)
+    write_files(df, folder, "parquet", ["year", "month", "day"])
+    write_files(df, folder, "parquet", ["year", "month", "day"])
+    assert glob.glob(f"{folder}/year=2024/month=1/day=1/*.parquet")
+    assert read_processed(spark, folder).count() == 8
+
+
+def test_tagged_and_untagged_writes_share_a_tree(spark, folder):
+    df = add_event_time(events(spark, 4))
+    write_processed(df, folder)
+    write_processed(df, folder, "t")
+    write_processed(df, folder)
+    assert read_processed(spark, folder).count() == 12
+
+
 def test_same_tag_replaces_and_other_tags_add(spark, folder):
     df = add_event_time(events(spark, 10))
     for tag in ("q-1", "q-1", "q-2"):
@@ -126,7 +141,9 @@ def test_missing_folder_reads_as_no_rows(spark, folder):
 
 def test_other_suffixes_are_ignored(spark, folder):
     write_processed(add_event_time(events(spark, 3)), folder)
-    open(f"{folder}/year=2024/month=1/day=1/notes.txt", "w").write("x")
+    leaf = glob.glob(f"{folder}/year=2024/month=1/day=1/batch=*")[0]
+    with open(f"{leaf}/notes.txt", "w") as notes:
+        notes.write("x")
     assert read_processed(spark, folder).count() == 3
 
 

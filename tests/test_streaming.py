@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from conftest import at, event
 from roadlake.functions.event_time import add_event_time
 from roadlake.functions.records import encode_events
+from roadlake.operators.alerts import overspeed_alerts
 from roadlake.operators.upsert import read_target
 from roadlake.schema import EVENT_COLS, EVENT_SCHEMA, KEY_COLS, PROCESSED_SCHEMA
 from roadlake.sinks.files import batch_tag, write_processed, write_raw
 from roadlake.sources.processed import read_processed
-from roadlake.sources.raw import read_raw
+from roadlake.sources.raw import raw_stream, read_raw
 from roadlake.streaming import jobs
 from roadlake.streaming.jobs import Layout, load_full, run_available, start_enrich, start_ingest, start_load
 from test_storage import DAY, START
@@ -213,5 +214,13 @@ def test_full_run_twice(spark, layout, folder):
     assert target.where("speed = 99").count() == 30
 
 
+def test_alerts_on_a_stream(spark, layout):
+    put_raw(rows(spark, 3).union(rows(spark, 2, 3, speed=160.0, fine=1000)), layout)
+    alerts = overspeed_alerts(raw_stream(spark, layout.raw))
+    query = alerts.writeStream.format("memory").queryName("alerts").trigger(availableNow=True).start()
+    drain(query)
+    assert {r.vehicle_id for r in spark.table("alerts").collect()} == {"V1003", "V1004"}
+
+
 def test_tag_outside_a_stream(spark):
     assert batch_tag(spark.range(1), 7) == "batch-0000000007"

@@ -12,7 +12,7 @@ from conftest import at, event
 from roadlake.functions.event_time import add_event_time, stamp
 from roadlake.operators import upsert as module
 from roadlake.operators.dedupe import dedupe_latest
-from roadlake.operators.upsert import create_target, finish_interrupted, merge, read_target, stage, upsert
+from roadlake.operators.upsert import Touch, create_target, finish_interrupted, merge, read_target, stage, upsert
 from roadlake.schema import EVENT_SCHEMA, KEY_COLS, TARGET_SCHEMA
 from roadlake.session import scratch_path
 from test_storage import DAY, START, plan_line
@@ -102,13 +102,35 @@ def test_untouched_days_keep_their_files(spark, folder):
 
 def test_only_touched_days_are_read(spark, folder):
     upsert(load(spark, [event("V1", START + d * DAY) for d in range(10)]), folder)
-    source = load(spark, [event("V1", START + 3 * DAY)])
-    merged = merge(source, read_target(spark, folder), KEY_COLS, ["timestamp"], ["2024/1/4"])
-    filters = plan_line(merged, "PartitionFilters")
+    source, target = load(spark, [event("V1", START + 3 * DAY)]), read_target(spark, folder)
+    one_day = merge(source, target, KEY_COLS, ["timestamp"], Touch(["2024/1/4"], 100))
+    filters = plan_line(one_day, "PartitionFilters")
     assert "year" in filters and "day" in filters and "2024/1/4" in filters
-    assert "REBALANCE" not in explain(merged)
-    many = merge(source, read_target(spark, folder), KEY_COLS, ["timestamp"], [f"2024/1/{d}" for d in range(1, 10)])
-    assert "REBALANCE_PARTITIONS_BY_COL" in explain(many)
+    plan = explain(one_day)
+    assert "REBALANCE" not in plan and "BroadcastHashJoin" in plan
+    days = [f"2024/1/{d}" for d in range(1, 10)]
+    many = explain(merge(source, target, KEY_COLS, ["timestamp"], Touch(days, 100)))
+    assert "REBALANCE_PARTITIONS_BY_COL" in many
+
+
+def test_keys_are_broadcast_only_when_measured_small(spark, folder, monkeypatch):
+    upsert(load(spark, [event("V1", START), event("V2", START)]), folder)
+    monkeypatch.setattr(module, "BROADCAST_BYTES", 10)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        source, target = load(spark, [event("V1", START)]), read_target(spark, folder)
+        plan = explain(merge(source, target, KEY_COLS, ["timestamp"], module._touch(source, KEY_COLS)))
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+        assert upsert(source, folder) == (1, 1)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_new_days_need_no_join(spark, folder):
+    upsert(load(spark, [event("V1", START)]), folder)
+    source = load(spark, [event("V1", START + DAY)])
+    merged = merge(source, read_target(spark, folder), KEY_COLS, ["timestamp"], module._touch(source, KEY_COLS))
+    assert "Join" not in explain(merged)
 
 
 def test_more_days_than_can_be_listed(spark, folder, monkeypatch):
@@ -181,11 +203,17 @@ def test_journal_ignores_a_merge_that_was_not_completed(spark, folder, monkeypat
     assert table(spark, folder)[0][("V1", "2024-01-01 00:00:00")].speed == 80.0
 
 
-def test_dedupe_limits_each_key_before_the_shuffle(spark):
+def test_dedupe_combines_each_key_before_the_shuffle(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     plan = explain(dedupe_latest(df, ["user_id"], ["ts"]))
-    partial = plan.index("row_number(), 1, Partial")
-    assert plan.index("Exchange hashpartitioning(user_id") < partial
+    assert 0 < plan.index("Exchange hashpartitioning(user_id") < plan.index("partial_max")
+
+
+def test_dedupe_ties_and_nulls(spark):
+    df = spark.createDataFrame(
+        [("a", None, 9), ("a", 1.0, None), ("a", 1.0, 3), ("b", None, 1), ("b", None, 2)], "k string, t double, x int"
+    )
+    assert sorted(map(tuple, dedupe_latest(df, ["k"], ["t"]).collect())) == [("a", 1.0, 3), ("b", None, 2)]
 
 
 def test_dedupe_keeps_every_row_without_a_key(spark):
