@@ -23,7 +23,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--once", action="store_true", help="work off what is there, then stop")
     parser.add_argument("--every", default=TRIGGER, help="pause between micro-batches")
     parser.add_argument("--rows-per-file", type=int, default=ROWS_PER_RAW_FILE)
-    parser.add_argument("--max-files", type=int, default=FILES_PER_TRIGGER)
+    parser.add_argument("--max-files", type=int, default=FILES_PER_TRIGGER, help="raw files per micro-batch")
+    parser.add_argument("--max-bytes", help="input size per micro-batch, e.g. 100g; replaces --max-files")
     parser.add_argument("--precision", choices=["second", "micro"], default="second")
     parser.add_argument("--enforce-contract", action="store_true")
     args = parser.parse_args(argv)
@@ -42,17 +43,17 @@ def main(argv: list[str] | None = None) -> None:
     messages = kafka_stream(spark, args.servers, args.topic) if args.servers else None
 
     if args.job == "run":
-        run_available(spark, layout, messages, args.rows_per_file, args.max_files)
+        run_available(spark, layout, messages, args.rows_per_file, args.max_files, args.max_bytes)
     elif args.job == "full-load":
         logging.info("%s", load_full(spark, layout))
     elif args.job == "ingest":
         start_ingest(messages, layout, trigger, args.rows_per_file).awaitTermination()
     elif args.job == "enrich":
         start_enrich(
-            spark, layout, trigger, args.max_files, args.precision, args.enforce_contract
+            spark, layout, trigger, args.max_files, args.max_bytes, args.precision, args.enforce_contract
         ).awaitTermination()
     else:
-        start_load(spark, layout, trigger).awaitTermination()
+        start_load(spark, layout, trigger, max_bytes=args.max_bytes).awaitTermination()
 
 
 if __name__ == "__main__":

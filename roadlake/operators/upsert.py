@@ -157,7 +157,8 @@ def _unmatched(current: DataFrame, incoming: DataFrame, keys: Sequence[str], tou
 
 def finish_interrupted(spark: SparkSession, journal: str, schema: StructType = TARGET_SCHEMA) -> None:
     """Bring partitions noted in the journal into their table; repeating it changes nothing."""
-    noted = read_parquet_or_empty(spark, f"{journal}/log", _LOG_SCHEMA).first()
+    spark.createDataFrame([], _LOG_SCHEMA).write.mode("ignore").parquet(_log(journal))
+    noted = spark.read.schema(_LOG_SCHEMA).parquet(_log(journal)).first()
     if noted is not None:
         _swap_partitions(read_target(spark, _pending(journal), schema), noted.target)
         _note(spark, journal, [])
@@ -176,10 +177,14 @@ def _pending(journal: str) -> str:
     return f"{journal}/pending"
 
 
+def _log(journal: str) -> str:
+    return f"{journal}/log"
+
+
 def _note(spark: SparkSession, journal: str, targets: list[str]) -> None:
     """Record for which table (if any) complete partitions are pending."""
     log = spark.createDataFrame([(t,) for t in targets], _LOG_SCHEMA)
-    log.coalesce(1).write.mode("overwrite").parquet(f"{journal}/log")
+    log.coalesce(1).write.mode("overwrite").parquet(_log(journal))
 
 
 def _folder(df: DataFrame) -> Column:

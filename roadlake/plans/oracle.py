@@ -43,6 +43,14 @@ def _enriched(name: str, source: str) -> str:
 
 _ENRICHED = _TELEMETRY + "," + _enriched("enriched", "telemetry")
 
+_ALERTS = """
+alerts AS (
+  SELECT event_id, vehicle_id, speed, fine, phone_number,
+    'WARNING: Vehicle ' || vehicle_id || ' overspeeding at ' || CAST(speed AS VARCHAR) || ' km/h — Fine ₹'
+    || CAST(fine AS VARCHAR) || ' sent to phone ' || phone_number AS message
+  FROM telemetry WHERE fine > 0
+)"""
+
 _BATCHES = _ENRICHED + """,
 numbered AS (
   SELECT event_id, event_time, date_trunc('day', event_time)::TIMESTAMP AS bucket_start,
@@ -108,11 +116,7 @@ SELECT event_id, round(speed, 2) AS speed, round(location_lat, 6) AS location_la
   round(location_lon, 6) AS location_lon, round(price_of_vechical, 2) AS price_of_vechical,
   CASE WHEN speed > 150 THEN 1000 ELSE 0 END AS fine
 FROM telemetry""",
-    "q04_overspeed_alerts": f"""WITH {_TELEMETRY}
-SELECT event_id, vehicle_id, speed, fine, phone_number,
-  'WARNING: Vehicle ' || vehicle_id || ' overspeeding at ' || CAST(speed AS VARCHAR) || ' km/h — Fine ₹'
-  || CAST(fine AS VARCHAR) || ' sent to phone ' || phone_number AS message
-FROM telemetry WHERE fine > 0""",
+    "q04_overspeed_alerts": f"WITH {_TELEMETRY}, {_ALERTS} SELECT * FROM alerts",
     "q05_assign_batches": f"WITH {_BATCHES} SELECT * FROM batched",
     "q06_batch_row_counts": f"""WITH {_BATCHES}
 SELECT bucket_start, batch_no, count(*) AS n_rows FROM batched GROUP BY bucket_start, batch_no""",
@@ -123,10 +127,10 @@ SELECT bucket_start, batch_no, count(*) AS n_rows FROM batched GROUP BY bucket_s
 WHERE event_time >= TIMESTAMP '2024-01-08 06:00:00' AND event_time < TIMESTAMP '2024-01-15 18:30:00'""",
     "q11_preview": f"""WITH {_ENRICHED}
 SELECT vehicle_id, number_plate, speed, event_time FROM enriched ORDER BY event_id LIMIT 5""",
-    "q12_union_by_name": f"""WITH {_TELEMETRY}
+    "q12_union_by_name": f"""WITH {_TELEMETRY}, {_ALERTS}
 SELECT event_id, vehicle_id, location_lat, location_lon FROM telemetry
 UNION ALL BY NAME SELECT phone_number, vehicle_id, event_id FROM telemetry
-UNION ALL BY NAME SELECT event_id, vehicle_id, speed, fine, phone_number FROM telemetry WHERE fine > 0""",
+UNION ALL BY NAME SELECT event_id, vehicle_id, speed, phone_number, message FROM alerts""",
     "q13_coerce_event_time": """SELECT event_id, ts AS event_time,
   CASE WHEN event_type = 'error' THEN NULL ELSE ts END AS processing_time
 FROM events""",
@@ -150,7 +154,7 @@ SELECT event_id, CASE
 FROM telemetry""",
     "q22_conform_to_target": f"""WITH {_ENRICHED},
 loose AS (
-  SELECT * REPLACE (CASE WHEN fine > 0 THEN NULL ELSE speed END AS speed, CAST(NULL AS INT) AS car_life_years),
+  SELECT * REPLACE (CASE WHEN fine > 0 THEN NULL ELSE speed END AS speed, CAST(NULL AS DOUBLE) AS price_of_vechical),
     TIMESTAMP '2024-02-01 00:00:00' AS last_updated
   FROM enriched
 )
@@ -161,7 +165,7 @@ SELECT vehicle_id, "timestamp", TIMESTAMP '2024-02-01 00:00:00' AS last_updated
     "q25_raw_days": f"""WITH {_ENRICHED} SELECT {_EVENT_LIST} FROM enriched
 WHERE CAST(event_time AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-20'""",
     "q26_partition_recovery": f"""WITH {_ENRICHED} SELECT {_EVENT_LIST}, event_time, "year", "month",
-  CASE WHEN vehicle_type = 'car' THEN "day" END AS "day"
+  CASE WHEN vehicle_type = 'car' THEN CAST("day" AS VARCHAR) END AS "day"
 FROM enriched""",
     "q27_assign_batches_across_tasks": f"WITH {_BATCHES} SELECT * FROM batched",
     "q28_stream_ingest": "SELECT count(*) AS n_rows, least(count(*), 100) AS fullest_file FROM events",

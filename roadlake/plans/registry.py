@@ -36,8 +36,9 @@ QUERIES: dict[str, Query] = {}
 
 DAY_SECONDS = 86_400
 RESEND_AFTER_DAYS = 30
-FIRST_LOAD = dt.datetime(2024, 2, 1)
-SECOND_LOAD = dt.datetime(2024, 3, 2)
+# Text, so that the session's zone is applied and not that of the Python process.
+FIRST_LOAD = "2024-02-01 00:00:00"
+SECOND_LOAD = "2024-03-02 00:00:00"
 # Rows per raw file in queries whose subject is not the file size.
 LARGE_FILE = 1_000_000
 
@@ -155,7 +156,7 @@ def q12_union_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = telemetry(spark, sf_dir)
     positions = events.select("event_id", "vehicle_id", "location_lat", "location_lon")
     owners = events.select("phone_number", "vehicle_id", "event_id")
-    return union_by_name([positions, owners, overspeed_alerts(events, keep=("event_id",)).drop("message")])
+    return union_by_name([positions, owners, overspeed_alerts(events, keep=("event_id",)).drop("fine")])
 
 
 @_query
@@ -245,7 +246,7 @@ def q21_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def q22_conform_to_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Frames of other types, another column order and a missing column, made to fit the target."""
-    enriched = add_event_time(telemetry(spark, sf_dir)).drop("event_id", "car_life_years")
+    enriched = add_event_time(telemetry(spark, sf_dir)).drop("event_id", "price_of_vechical")
     loose = enriched.select(
         "event_time",
         F.when(F.col("fine") > 0, "n/a").otherwise(F.col("speed").cast("string")).alias("speed"),
@@ -282,7 +283,7 @@ def q26_partition_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     is_car = F.col("vehicle_type") == "car"
     write_files(enriched.where(is_car), root, "parquet", ["year", "month", "day"])
     write_files(enriched.where(~is_car), root, "parquet", ["year", "month"])
-    return read_processed_any_layout(spark, root)
+    return read_processed_any_layout(spark, root).withColumn("day", F.col("day").cast("string"))
 
 
 @_query

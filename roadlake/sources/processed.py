@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from roadlake.schema import PARTITION_COLS, PROCESSED_SCHEMA
+from roadlake.sources.raw import per_trigger
 
 
 def _parquet(spark: SparkSession, root: str, schema: StructType, **options: str) -> DataFrame | None:
@@ -50,14 +51,14 @@ def read_processed_any_layout(spark: SparkSession, root: str, schema: StructType
 
 
 def processed_stream(
-    spark: SparkSession, root: str, max_files: int | None = None, schema: StructType = PROCESSED_SCHEMA
+    spark: SparkSession, root: str, max_files: int | None = None, max_bytes: str | None = None
 ) -> DataFrame:
     """New processed files only.
 
     A replayed upstream batch swaps its files for new ones; the old names may already be
     scheduled here, so missing files are passed over and their replacements read instead.
     """
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").option("ignoreMissingFiles", "true")
-    if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(root).select(*schema.names)
+    reader = spark.readStream.schema(PROCESSED_SCHEMA).options(
+        pathGlobFilter="*.parquet", ignoreMissingFiles="true", **per_trigger(max_files, max_bytes)
+    )
+    return reader.parquet(root).select(*PROCESSED_SCHEMA.names)

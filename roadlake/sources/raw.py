@@ -25,16 +25,27 @@ _OPTIONS = {
 _SCHEMA = StructType([*EVENT_SCHEMA.fields]).add(CORRUPT, "string")
 
 
-def raw_stream(spark: SparkSession, root: str, max_files: int = FILES_PER_TRIGGER, **options: str) -> DataFrame:
+def raw_stream(
+    spark: SparkSession, root: str, max_files: int = FILES_PER_TRIGGER, max_bytes: str | None = None, **options: str
+) -> DataFrame:
     """Event columns and the corrupt line, from every file that appears under ``root``.
 
-    The root is watched, not one day's folder, so a new day needs no restart. Pass
-    ``cleanSource`` and ``sourceArchiveDir`` to keep the listing short on long runs.
+    A micro-batch takes ``max_files`` files, or files of ``max_bytes`` in all where that is given
+    (the better bound when files differ in size). The root is watched, not one day's folder, so a
+    new day needs no restart. Pass ``cleanSource`` and ``sourceArchiveDir`` to keep the listing
+    short on long runs.
     """
-    reader = spark.readStream.schema(_SCHEMA).options(**_OPTIONS).option("maxFilesPerTrigger", max_files)
+    reader = spark.readStream.schema(_SCHEMA).options(**_OPTIONS, **per_trigger(max_files, max_bytes))
     return reader.options(**options).csv(root).select(*EVENT_COLS, CORRUPT)
 
 
+def per_trigger(max_files: int | None, max_bytes: str | None) -> dict[str, str]:
+    """File-source option that bounds a micro-batch; the two exclude each other."""
+    if max_bytes is not None:
+        return {"maxBytesPerTrigger": max_bytes}
+    return {} if max_files is None else {"maxFilesPerTrigger": str(max_files)}
+
+
 def read_raw(
     spark: SparkSession, root: str, first_day: dt.date | None = None, last_day: dt.date | None = None
 ) -> DataFrame:

@@ -117,6 +117,7 @@ def start_enrich(
     layout: Layout,
     trigger: str | None = TRIGGER,
     max_files: int = FILES_PER_TRIGGER,
+    max_bytes: str | None = None,
     precision: str = "second",
     enforce_contract: bool = False,
 ) -> StreamingQuery:
@@ -125,7 +126,7 @@ def start_enrich(
     With ``enforce_contract`` events that break the domain contract are set aside as well.
     """
     layout.create(utc(spark))
-    enriched = add_event_time(raw_stream(spark, layout.raw, max_files), precision)
+    enriched = add_event_time(raw_stream(spark, layout.raw, max_files, max_bytes), precision)
 
     def write(batch: DataFrame, tag: str) -> None:
         if log.isEnabledFor(logging.DEBUG):
@@ -143,11 +144,15 @@ def start_enrich(
 
 
 def start_load(
-    spark: SparkSession, layout: Layout, trigger: str | None = TRIGGER, max_files: int | None = None
+    spark: SparkSession,
+    layout: Layout,
+    trigger: str | None = TRIGGER,
+    max_files: int | None = None,
+    max_bytes: str | None = None,
 ) -> StreamingQuery:
     """Merge processed files into the target as they appear."""
     layout.create(utc(spark))
-    loadable = load_frame(processed_stream(spark, layout.processed, max_files), F.current_timestamp())
+    loadable = load_frame(processed_stream(spark, layout.processed, max_files, max_bytes), F.current_timestamp())
 
     def write(batch: DataFrame, tag: str) -> None:
         log.info("load %s: %s", tag, _merge_keyed(stage(batch, layout.staging), layout, tag))
@@ -181,12 +186,13 @@ def run_available(
     messages: DataFrame | None = None,
     rows_per_file: int = ROWS_PER_RAW_FILE,
     max_files: int = FILES_PER_TRIGGER,
+    max_bytes: str | None = None,
 ) -> None:
     """One bounded run of all stages over whatever is new, each picking up where it last ended."""
     if messages is not None:
         start_ingest(messages, layout, None, rows_per_file).awaitTermination()
-    start_enrich(spark, layout, None, max_files).awaitTermination()
-    start_load(spark, layout, None).awaitTermination()
+    start_enrich(spark, layout, None, max_files, max_bytes).awaitTermination()
+    start_load(spark, layout, None, max_bytes=max_bytes).awaitTermination()
 
 
 def _start(

@@ -70,6 +70,13 @@ def test_rate_limit_bounds_a_batch(spark, layout):
     assert len([p for p in query.recentProgress if p["numInputRows"]]) == 3
 
 
+def test_size_limit_bounds_a_batch(spark, layout):
+    put_raw(rows(spark, 95), layout)
+    query = drain(start_enrich(spark, layout, None, max_bytes="3k"))
+    assert read_processed(spark, layout.processed).count() == 95
+    assert len([p for p in query.recentProgress if p["numInputRows"]]) > 3
+
+
 def fail_after(monkeypatch, name, calls):
     """Let ``jobs.<name>`` do its work, then fail on the given call."""
     real, made = getattr(jobs, name), []
@@ -118,6 +125,18 @@ def test_replayed_load_batch_is_not_doubled(spark, layout, monkeypatch):
     assert read_target(spark, layout.target).count() == 50
 
 
+def test_load_passes_over_files_an_upstream_replay_has_replaced(spark, layout, monkeypatch):
+    df = add_event_time(rows(spark, 20))
+    write_processed(df, layout.processed, "q-0")
+    fail_after(monkeypatch, "stage", 1)
+    with pytest.raises(StreamingQueryException):
+        start_load(spark, layout, None).awaitTermination()
+    monkeypatch.undo()
+    write_processed(df, layout.processed, "q-0")
+    drain(start_load(spark, layout, None))
+    assert read_target(spark, layout.target).count() == 20
+
+
 def test_new_day_folder_is_seen_by_the_next_run(spark, layout):
     put_raw(rows(spark, 5), layout, "2024-01-01")
     drain(start_enrich(spark, layout, None))
