@@ -24,7 +24,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--every", default=TRIGGER, help="pause between micro-batches")
     parser.add_argument("--rows-per-file", type=int, default=ROWS_PER_RAW_FILE)
     parser.add_argument("--max-files", type=int, default=FILES_PER_TRIGGER, help="raw files per micro-batch")
-    parser.add_argument("--max-bytes", help="input size per micro-batch, e.g. 100g; replaces --max-files")
+    parser.add_argument("--max-bytes", type=int, help="input bytes per micro-batch; replaces --max-files")
     parser.add_argument("--precision", choices=["second", "micro"], default="second")
     parser.add_argument("--enforce-contract", action="store_true")
     args = parser.parse_args(argv)

@@ -51,7 +51,7 @@ def read_processed_any_layout(spark: SparkSession, root: str, schema: StructType
 
 
 def processed_stream(
-    spark: SparkSession, root: str, max_files: int | None = None, max_bytes: str | None = None
+    spark: SparkSession, root: str, max_files: int | None = None, max_bytes: int | None = None
 ) -> DataFrame:
     """New processed files only.
 

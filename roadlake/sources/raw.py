@@ -26,7 +26,7 @@ _SCHEMA = StructType([*EVENT_SCHEMA.fields]).add(CORRUPT, "string")
 
 
 def raw_stream(
-    spark: SparkSession, root: str, max_files: int = FILES_PER_TRIGGER, max_bytes: str | None = None, **options: str
+    spark: SparkSession, root: str, max_files: int = FILES_PER_TRIGGER, max_bytes: int | None = None, **options: str
 ) -> DataFrame:
     """Event columns and the corrupt line, from every file that appears under ``root``.
 
@@ -39,10 +39,10 @@ def raw_stream(
     return reader.options(**options).csv(root).select(*EVENT_COLS, CORRUPT)
 
 
-def per_trigger(max_files: int | None, max_bytes: str | None) -> dict[str, str]:
+def per_trigger(max_files: int | None, max_bytes: int | None) -> dict[str, str]:
     """File-source option that bounds a micro-batch; the two exclude each other."""
     if max_bytes is not None:
-        return {"maxBytesPerTrigger": max_bytes}
+        return {"maxBytesPerTrigger": str(max_bytes)}
     return {} if max_files is None else {"maxFilesPerTrigger": str(max_files)}
 
 

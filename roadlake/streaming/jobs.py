@@ -117,7 +117,7 @@ def start_enrich(
     layout: Layout,
     trigger: str | None = TRIGGER,
     max_files: int = FILES_PER_TRIGGER,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
     precision: str = "second",
     enforce_contract: bool = False,
 ) -> StreamingQuery:
@@ -148,7 +148,7 @@ def start_load(
     layout: Layout,
     trigger: str | None = TRIGGER,
     max_files: int | None = None,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
 ) -> StreamingQuery:
     """Merge processed files into the target as they appear."""
     layout.create(utc(spark))
@@ -186,7 +186,7 @@ def run_available(
     messages: DataFrame | None = None,
     rows_per_file: int = ROWS_PER_RAW_FILE,
     max_files: int = FILES_PER_TRIGGER,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
 ) -> None:
     """One bounded run of all stages over whatever is new, each picking up where it last ended."""
     if messages is not None:

@@ -72,7 +72,7 @@ def test_rate_limit_bounds_a_batch(spark, layout):
 
 def test_size_limit_bounds_a_batch(spark, layout):
     put_raw(rows(spark, 95), layout)
-    query = drain(start_enrich(spark, layout, None, max_bytes="3k"))
+    query = drain(start_enrich(spark, layout, None, max_bytes=3000))
     assert read_processed(spark, layout.processed).count() == 95
     assert len([p for p in query.recentProgress if p["numInputRows"]]) > 3
 
