@@ -21,15 +21,16 @@ def dedupe_latest(df: DataFrame, keys: Sequence[str], latest_by: Sequence[str])
     rest = [c for c in df.columns if c not in keys and c not in latest_by]
     order = [c for c in latest_by if c not in keys] + rest
     # A row without a complete key gets a number of its own, so it stays alone in its group.
-    numbered = df.withColumn("_alone", F.when(~_complete(keys), F.monotonically_increasing_id()))
+    numbered = df.withColumn("_alone", F.when(~complete(keys), F.monotonically_increasing_id()))
     latest = numbered.groupBy(*keys, "_alone").agg(F.max(F.struct(*order)).alias("_row"))
     return latest.select(*keys, "_row.*").select(*df.columns)
 
 
 def split_on_null(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """(rows with every column set, rows with at least one null)."""
-    return df.where(_complete(columns)), df.where(~_complete(columns))
+    return df.where(complete(columns)), df.where(~complete(columns))
 
 
-def _complete(columns: Sequence[str]) -> Column:
+def complete(columns: Sequence[str]) -> Column:
+    """Whether every one of the columns is set."""
     return reduce(and_, [F.col(c).isNotNull() for c in columns])

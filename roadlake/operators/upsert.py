@@ -7,7 +7,7 @@ touches and leaves every other file alone.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
@@ -15,7 +15,7 @@ from pyspark.sql.types import StructType
 
 from roadlake.functions.event_time import add_date_parts
 from roadlake.operators.columns import conform
-from roadlake.operators.dedupe import dedupe_latest
+from roadlake.operators.dedupe import complete, dedupe_latest, split_on_null
 from roadlake.schema import KEY_COLS, PARTITION_COLS, TARGET_SCHEMA
 from roadlake.sources.processed import read_parquet_or_empty
 
@@ -62,13 +62,14 @@ def upsert(
     latest_by: Sequence[str] = ("timestamp",),
     schema: StructType = TARGET_SCHEMA,
     journal: str | None = None,
+    on_unkeyed: Callable[[DataFrame], None] | None = None,
 ) -> Upserted:
     """Merge ``source`` into the table at ``path``: replace rows with an equal key, add the rest.
 
     A replaced row takes every non-key column from the source, nulls included. Of several source
-    rows with one key the latest wins. A null in a key equals nothing, so such rows are added
-    each time; set them aside with ``split_keyed`` first. Running the same upsert twice is the
-    same as running it once.
+    rows with one key the latest wins. Running the same upsert twice is the same as running it
+    once, but for rows with a null in the key: it equals nothing, so they are added each time.
+    With ``on_unkeyed`` such rows, if there are any, are handed to it and not merged.
 
     One writer per table: plain Parquet has no transactions. Losing executors is harmless, but a
     driver lost while it swaps partition folders could leave one without its old rows. With a
@@ -82,7 +83,11 @@ def upsert(
     incoming = add_date_parts(conform(source, schema, required=keys)).select(*schema.names)
 
     touch = _touch(incoming, keys)
-    if touch.empty:
+    if on_unkeyed is not None and touch.unkeyed != 0:
+        incoming, unkeyed = split_on_null(incoming, keys)
+        on_unkeyed(unkeyed)
+        touch = touch.keyed_only()
+    if touch.days == []:
         return Upserted(0, 0)
     counts = Observation()
     merged = merge(incoming, read_target(spark, path, schema), keys, latest_by, touch).observe(
@@ -99,14 +104,15 @@ def upsert(
 
 
 class Touch(NamedTuple):
-    """What a source touches: partitions as ``year/month/day`` (None: too many to list), key bytes."""
+    """What a source touches; all None when that is too many partitions to list."""
 
-    days: list[str] | None
+    days: list[str] | None  # as year/month/day
+    keyed_days: list[str] | None
     key_bytes: int | None
+    unkeyed: int | None
 
-    @property
-    def empty(self) -> bool:
-        return self.days == []
+    def keyed_only(self) -> Touch:
+        return self._replace(days=self.keyed_days)
 
 
 def _touch(incoming: DataFrame, keys: Sequence[str]) -> Touch:
@@ -114,12 +120,20 @@ def _touch(incoming: DataFrame, keys: Sequence[str]) -> Touch:
     key_bytes = F.lit(32)
     for k in keys:
         key_bytes = key_bytes + F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0))
-    per_day = incoming.groupBy(*PARTITION_COLS).agg(F.sum(key_bytes).alias("key_bytes"))
+    per_day = incoming.groupBy(_folder(incoming).alias("day")).agg(
+        F.sum(key_bytes).alias("key_bytes"),
+        F.count_if(complete(keys)).alias("keyed"),
+        F.count_if(~complete(keys)).alias("unkeyed"),
+    )
     listed = per_day.limit(LISTED_PARTITIONS + 1).collect()
     if len(listed) > LISTED_PARTITIONS:
-        return Touch(None, None)
-    days = ["/".join(str(row[p]) for p in PARTITION_COLS) for row in listed]
-    return Touch(days, sum(row.key_bytes for row in listed))
+        return Touch(None, None, None, None)
+    return Touch(
+        days=[r.day for r in listed],
+        keyed_days=[r.day for r in listed if r.keyed],
+        key_bytes=sum(r.key_bytes for r in listed),
+        unkeyed=sum(r.unkeyed for r in listed),
+    )
 
 
 def merge(

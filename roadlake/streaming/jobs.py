@@ -22,7 +22,7 @@ from roadlake.functions.event_time import add_event_time, coerce_times, stamp
 from roadlake.functions.measures import nan_to_null
 from roadlake.functions.records import decode_events
 from roadlake.operators.alerts import preview
-from roadlake.operators.quality import split_decoded, split_keyed, with_violations
+from roadlake.operators.quality import split_decoded, with_violations
 from roadlake.operators.upsert import Upserted, create_target, stage, upsert
 from roadlake.schema import PARTITION_COLS, PROCESSED_SCHEMA
 from roadlake.session import utc
@@ -169,10 +169,11 @@ def load_full(spark: SparkSession, layout: Layout, run_time: Column | None = Non
 
 def _merge_keyed(rows: DataFrame, layout: Layout, tag: str) -> Upserted:
     """Merge the rows that have a key; the others would be added anew by every run."""
-    keyed, unkeyed = split_keyed(rows)
-    if not unkeyed.isEmpty():
+
+    def set_aside(unkeyed: DataFrame) -> None:
         write_quarantine(unkeyed, layout.quarantine, "load", tag)
-    return upsert(keyed, layout.target, journal=layout.journal)
+
+    return upsert(rows, layout.target, journal=layout.journal, on_unkeyed=set_aside)
 
 
 def load_frame(processed: DataFrame, run_time: Column) -> DataFrame:

@@ -100,16 +100,34 @@ def test_untouched_days_keep_their_files(spark, folder):
     assert table(spark, folder)[1] == 51
 
 
+def touching(days):
+    return Touch(days=days, keyed_days=days, key_bytes=100, unkeyed=0)
+
+
+def test_unkeyed_rows_are_handed_over(spark, folder, monkeypatch):
+    handed = []
+    source = load(spark, [event(None, START), event("V1", None), event(None, START + DAY), event("V1", START)])
+    for limit in (1000, 0):
+        monkeypatch.setattr(module, "LISTED_PARTITIONS", limit)
+        upsert(source, folder, on_unkeyed=lambda df: handed.append(df.count()))
+    assert handed == [3, 3] and table(spark, folder)[1] == 1
+    upsert(load(spark, [event("V2", START)]), folder, on_unkeyed=lambda df: handed.append(df.count()))
+    assert sum(handed) == 6 and table(spark, folder)[1] == 2
+    only = load(spark, [event(None, START)])
+    monkeypatch.setattr(module, "LISTED_PARTITIONS", 1000)
+    assert upsert(only, folder, on_unkeyed=lambda df: handed.append(df.count())) == (0, 0)
+
+
 def test_only_touched_days_are_read(spark, folder):
     upsert(load(spark, [event("V1", START + d * DAY) for d in range(10)]), folder)
     source, target = load(spark, [event("V1", START + 3 * DAY)]), read_target(spark, folder)
-    one_day = merge(source, target, KEY_COLS, ["timestamp"], Touch(["2024/1/4"], 100))
+    one_day = merge(source, target, KEY_COLS, ["timestamp"], touching(["2024/1/4"]))
     filters = plan_line(one_day, "PartitionFilters")
     assert "year" in filters and "day" in filters and "2024/1/4" in filters
     plan = explain(one_day)
     assert "REBALANCE" not in plan and "BroadcastHashJoin" in plan
     days = [f"2024/1/{d}" for d in range(1, 10)]
-    many = explain(merge(source, target, KEY_COLS, ["timestamp"], Touch(days, 100)))
+    many = explain(merge(source, target, KEY_COLS, ["timestamp"], touching(days)))
     assert "REBALANCE_PARTITIONS_BY_COL" in many
 
 
