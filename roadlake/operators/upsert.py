@@ -17,6 +17,7 @@ from roadlake.functions.event_time import add_date_parts
 from roadlake.operators.columns import conform
 from roadlake.operators.dedupe import complete, dedupe_latest, split_on_null
 from roadlake.schema import KEY_COLS, PARTITION_COLS, TARGET_SCHEMA
+from roadlake.session import no_rows
 from roadlake.sources.processed import read_parquet_or_empty
 
 # Touched partitions listed on the driver at most; beyond it they are joined as a table.
@@ -38,7 +39,7 @@ class Upserted(NamedTuple):
 
 def create_target(spark: SparkSession, path: str, schema: StructType = TARGET_SCHEMA) -> None:
     """Create the empty table if nothing is there yet."""
-    spark.createDataFrame([], schema).write.mode("ignore").partitionBy(*PARTITION_COLS).parquet(path)
+    no_rows(spark, schema).write.mode("ignore").partitionBy(*PARTITION_COLS).parquet(path)
 
 
 def read_target(spark: SparkSession, path: str, schema: StructType = TARGET_SCHEMA) -> DataFrame:
@@ -98,7 +99,7 @@ def upsert(
         _swap_partitions(merged, path)
     else:
         merged.write.mode("overwrite").partitionBy(*PARTITION_COLS).parquet(_pending(journal))
-        _note(spark, journal, [path])
+        _note(spark, journal, path)
         finish_interrupted(spark, journal, schema)
     return Upserted(**counts.get)
 
@@ -171,11 +172,11 @@ def _unmatched(current: DataFrame, incoming: DataFrame, keys: Sequence[str], tou
 
 def finish_interrupted(spark: SparkSession, journal: str, schema: StructType = TARGET_SCHEMA) -> None:
     """Bring partitions noted in the journal into their table; repeating it changes nothing."""
-    spark.createDataFrame([], _LOG_SCHEMA).write.mode("ignore").parquet(_log(journal))
+    no_rows(spark, _LOG_SCHEMA).write.mode("ignore").parquet(_log(journal))
     noted = spark.read.schema(_LOG_SCHEMA).parquet(_log(journal)).first()
     if noted is not None:
         _swap_partitions(read_target(spark, _pending(journal), schema), noted.target)
-        _note(spark, journal, [])
+        _note(spark, journal, None)
 
 
 def _swap_partitions(rows: DataFrame, path: str) -> None:
@@ -195,9 +196,9 @@ def _log(journal: str) -> str:
     return f"{journal}/log"
 
 
-def _note(spark: SparkSession, journal: str, targets: list[str]) -> None:
+def _note(spark: SparkSession, journal: str, target: str | None) -> None:
     """Record for which table (if any) complete partitions are pending."""
-    log = spark.createDataFrame([(t,) for t in targets], _LOG_SCHEMA)
+    log = no_rows(spark, _LOG_SCHEMA) if target is None else spark.range(1).select(F.lit(target).alias("target"))
     log.coalesce(1).write.mode("overwrite").parquet(_log(journal))
 
 

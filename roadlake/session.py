@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -34,3 +35,8 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that nothing has used before."""
     return f"{shared_dir(spark)}/roadlake/{label}-{uuid.uuid4().hex}"
+
+
+def no_rows(spark: SparkSession, schema: StructType) -> DataFrame:
+    """Empty frame of a schema, made without a Python worker."""
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])

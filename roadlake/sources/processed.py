@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from roadlake.schema import PARTITION_COLS, PROCESSED_SCHEMA
+from roadlake.session import no_rows
 from roadlake.sources.raw import per_trigger
 
 
@@ -26,7 +27,7 @@ def read_parquet_or_empty(spark: SparkSession, root: str, schema: StructType) ->
     Columns a file lacks come back null, so one scan unites files of unlike layouts by name.
     """
     files = _parquet(spark, root, schema)
-    return spark.createDataFrame([], schema) if files is None else files.select(*schema.names)
+    return no_rows(spark, schema) if files is None else files.select(*schema.names)
 
 
 def read_processed(spark: SparkSession, root: str, schema: StructType = PROCESSED_SCHEMA) -> DataFrame:
@@ -44,7 +45,7 @@ def read_processed_any_layout(spark: SparkSession, root: str, schema: StructType
     in_file = StructType([f for f in schema.fields if f.name not in PARTITION_COLS])
     files = _parquet(spark, root, in_file, recursiveFileLookup="true")
     if files is None:
-        return spark.createDataFrame([], schema)
+        return no_rows(spark, schema)
     path = F.col("_metadata.file_path")
     parts = {p: F.regexp_extract(path, f"/{p}=([0-9]+)/", 1).try_cast("int") for p in PARTITION_COLS}
     return files.withColumns(parts).select(*schema.names)

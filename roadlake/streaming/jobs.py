@@ -25,7 +25,7 @@ from roadlake.operators.alerts import preview
 from roadlake.operators.quality import split_decoded, with_violations
 from roadlake.operators.upsert import Upserted, create_target, stage, upsert
 from roadlake.schema import PARTITION_COLS, PROCESSED_SCHEMA
-from roadlake.session import utc
+from roadlake.session import no_rows, utc
 from roadlake.sinks.files import (
     LEFT_OUT,
     ROWS_PER_RAW_FILE,
@@ -78,7 +78,7 @@ class Layout:
 
     def create(self, spark: SparkSession) -> None:
         """Make the folders that streams watch; a stream cannot start on a missing one."""
-        nothing = spark.createDataFrame([], PROCESSED_SCHEMA).write.mode("ignore").partitionBy(*PARTITION_COLS)
+        nothing = no_rows(spark, PROCESSED_SCHEMA).write.mode("ignore").partitionBy(*PARTITION_COLS)
         nothing.csv(self.raw)
         nothing.parquet(self.processed)
         create_target(spark, self.target)
