@@ -47,20 +47,20 @@ def write_files(
 
     Rows are gathered by ``gather_by`` (the partition columns unless given) so that a folder gets
     few files; the rebalance hint lets AQE cut a folder that holds much of the data into several
-    tasks. ``append`` adds files; ``overwrite`` replaces the partitions that occur in the rows.
+    tasks. With an empty list every task writes the rows it has. ``append`` adds files;
+    ``overwrite`` replaces the partitions that occur in the rows.
 
     Counts come from the write itself. Rows to leave out are few and cross the exchange with
     the others, so that one pass counts both kinds.
     """
     if LEFT_OUT not in df.columns:
         df = df.withColumn(LEFT_OUT, F.lit(False))
+    gather_by = partition_cols if gather_by is None else gather_by
+    if gather_by:
+        df = df.hint("rebalance", *gather_by)
     counts = Observation()
-    rows = (
-        df.hint("rebalance", *(partition_cols if gather_by is None else gather_by))
-        .observe(counts, F.count_if(~F.col(LEFT_OUT)).alias("rows"), F.count_if(LEFT_OUT).alias("left_out"))
-        .where(~F.col(LEFT_OUT))
-        .drop(LEFT_OUT)
-    )
+    counted = df.observe(counts, F.count_if(~F.col(LEFT_OUT)).alias("rows"), F.count_if(LEFT_OUT).alias("left_out"))
+    rows = counted.where(~F.col(LEFT_OUT)).drop(LEFT_OUT)
     writer = rows.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols)
     writer.options(**(options or {})).format(file_format).save(path)
     return Written(**counts.get)

@@ -103,7 +103,7 @@ def start_ingest(
 
     def write(batch: DataFrame, tag: str) -> None:
         flagged = batch.withColumn(LEFT_OUT, F.col("decode_error").isNotNull())
-        # A micro-batch arrives on one day, so gathering by day would put it into one task.
+        # A micro-batch arrives on one day and raw files are small: tasks write what they read.
         done = write_raw(flagged, layout.raw, rows_per_file=rows_per_file, tag=tag, gather_by=[])
         if done.left_out:
             write_quarantine(split_decoded(batch, value)[1], layout.quarantine, "decode", tag)
