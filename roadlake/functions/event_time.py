@@ -24,10 +24,17 @@ def event_time(epoch: Column | str, precision: str = "second") -> Column:
     raise ValueError(f"precision must be 'second' or 'micro', not {precision!r}")
 
 
+def utc_date(at: Column | str) -> Column:
+    """UTC date of a timestamp, whatever the session zone: equal keys must share a partition."""
+    value = F.col(at) if isinstance(at, str) else at
+    days = F.floor(F.unix_seconds(value.cast("timestamp")) / F.lit(86_400))
+    return F.date_from_unix_date(days.cast("int"))
+
+
 def add_date_parts(df: DataFrame, column: str = "event_time") -> DataFrame:
-    """Set integer ``year``, ``month`` and ``day`` from a timestamp, in the session zone."""
-    at = F.col(column)
-    return df.withColumns({"year": F.year(at), "month": F.month(at), "day": F.dayofmonth(at)})
+    """Set integer ``year``, ``month`` and ``day`` (UTC) from a timestamp."""
+    date = utc_date(column)
+    return df.withColumns({"year": F.year(date), "month": F.month(date), "day": F.dayofmonth(date)})
 
 
 def add_event_time(df: DataFrame, precision: str = "second") -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def on_days(df: DataFrame, first_day: dt.date | None = None, last_day: dt.date | None = None) -> DataFrame:
@@ -18,11 +18,20 @@ def on_days(df: DataFrame, first_day: dt.date | None = None, last_day: dt.date |
 
 
 def time_range(df: DataFrame, start: dt.datetime, end: dt.datetime, column: str = "event_time") -> DataFrame:
-    """Rows with ``start <= column < end``.
+    """Rows with ``start <= column < end``; times without a zone are UTC.
 
     A filter on the timestamp alone cannot skip folders, so the matching bounds on the
-    partition date are added. ``start`` and ``end`` are wall-clock times of the session zone.
+    partition date are added.
     """
+    start, end = _as_utc(start), _as_utc(end)
     at = F.col(column)
-    inside = df.where((at >= F.lit(start.isoformat()).cast("timestamp")) & (at < F.lit(end.isoformat()).cast("timestamp")))
+    inside = df.where((at >= _instant(start)) & (at < _instant(end)))
     return on_days(inside, start.date(), end.date())
+
+
+def _as_utc(time: dt.datetime) -> dt.datetime:
+    return time.replace(tzinfo=dt.timezone.utc) if time.tzinfo is None else time.astimezone(dt.timezone.utc)
+
+
+def _instant(time: dt.datetime) -> Column:
+    return F.lit(time.isoformat()).cast("timestamp")

@@ -8,7 +8,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
-from roadlake.functions.event_time import add_date_parts
+from roadlake.functions.event_time import add_date_parts, utc_date
 from roadlake.schema import EVENT_COLS, PARTITION_COLS, PROCESSED_SCHEMA
 
 BATCH_COL = "batch"
@@ -96,11 +96,12 @@ def write_raw(
     tag: str | None = None,
     gather_by: list[str] | None = None,
 ) -> Written:
-    """Event columns as headered CSV under the (zero-padded) date of the ``arrived`` timestamp."""
+    """Event columns as headered CSV under the (zero-padded) UTC date of the ``arrived`` timestamp."""
+    date = utc_date(arrived)
     dated = df.withColumns({
-        "year": F.date_format(arrived, "yyyy"),
-        "month": F.date_format(arrived, "MM"),
-        "day": F.date_format(arrived, "dd"),
+        "year": F.date_format(date, "yyyy"),
+        "month": F.date_format(date, "MM"),
+        "day": F.date_format(date, "dd"),
     })
     options = {"header": "true", "maxRecordsPerFile": str(rows_per_file)}
     return write_batch(

@@ -120,13 +120,15 @@ def start_enrich(
     max_bytes: int | None = None,
     precision: str = "second",
     enforce_contract: bool = False,
+    **options: str,
 ) -> StreamingQuery:
     """Add event time and date parts to raw events and write processed Parquet.
 
     With ``enforce_contract`` events that break the domain contract are set aside as well.
+    Further ``options`` go to the file source.
     """
     layout.create(utc(spark))
-    enriched = add_event_time(raw_stream(spark, layout.raw, max_files, max_bytes), precision)
+    enriched = add_event_time(raw_stream(spark, layout.raw, max_files, max_bytes, **options), precision)
 
     def write(batch: DataFrame, tag: str) -> None:
         if log.isEnabledFor(logging.DEBUG):

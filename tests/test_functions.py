@@ -62,6 +62,20 @@ def test_date_parts_replace_those_of_the_folder(spark):
     assert (row.year, row.month, row.day) == (2024, 5, 31)
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_date_parts_do_not_depend_on_the_session_zone(spark, zone):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        stamps = [1704067199.0, 1704067200.0, 1709164800.0, -1.0, -86400.0, -86401.0, None]
+        df = spark.createDataFrame([event(timestamp=t) for t in stamps], EVENT_SCHEMA)
+        parts = [tuple(r) for r in add_event_time(df).select("year", "month", "day").collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert parts == [
+        (2023, 12, 31), (2024, 1, 1), (2024, 2, 29), (1969, 12, 31), (1969, 12, 31), (1969, 12, 30), (None,) * 3,
+    ]
+
+
 @pytest.mark.parametrize("speed, fine", [(150.0, 0), (150.004, 0), (150.01, 1000), (20.0, 0), (None, 0), (NAN, 0)])
 def test_fine_is_strict_and_follows_rounding(spark, speed, fine):
     assert spark.createDataFrame([(speed,)], "speed double").select(speeding_fine("speed")).first()[0] == fine

@@ -183,6 +183,13 @@ def test_time_range_prunes_and_is_half_open(spark, folder):
     assert "GreaterThanOrEqual(event_time" in plan_line(found, "PushedFilters")
 
 
+def test_time_range_takes_zoned_times(spark, folder):
+    write_processed(add_event_time(events(spark, 3)), folder)
+    zone = dt.timezone(dt.timedelta(hours=-5))
+    start = dt.datetime(2023, 12, 31, 19, 0, 1, tzinfo=zone)
+    assert time_range(read_processed(spark, folder), start, start + dt.timedelta(seconds=1)).count() == 1
+
+
 def test_scan_reads_only_what_the_query_uses(spark):
     df = telemetry(spark, "/root/testdata/sf0.001").where("speed > 150").select("vehicle_id", "speed")
     assert "GreaterThan(value,150.0)" in plan_line(df, "PushedFilters")
