@@ -173,4 +173,18 @@ FROM enriched""",
     "q30_micro_precision": """SELECT event_id, ts AS event_time, CAST(year(ts) AS INT) AS "year",
   CAST(month(ts) AS INT) AS "month", CAST(day(ts) AS INT) AS "day"
 FROM events""",
+    # A full load stamps every row it merges, so all rows carry the time of the last run.
+    "q31_full_load": f"""WITH {_LOADS}
+SELECT {_PROCESSED_LIST}, TIMESTAMP '2024-03-02 00:00:00' AS last_updated FROM merged""",
+    "q32_upsert_null_keys": f"""WITH {_LOADS},
+keyed AS (
+  SELECT * FROM enriched WHERE speed >= 1
+  QUALIFY row_number() OVER (PARTITION BY vehicle_id, event_time ORDER BY "timestamp" DESC, event_id DESC) = 1
+),
+unkeyed AS (SELECT * REPLACE (CAST(NULL AS TIMESTAMP) AS event_time) FROM enriched WHERE speed < 1)
+SELECT vehicle_id, phone_number, speed, event_time FROM keyed
+UNION ALL SELECT vehicle_id, phone_number, speed, event_time FROM unkeyed
+UNION ALL SELECT vehicle_id, phone_number, speed, event_time FROM unkeyed""",
+    "q33_stream_contract": f"""WITH {_ENRICHED}
+SELECT {_PROCESSED_LIST} FROM enriched WHERE {_REASONS} = ''""",
 }

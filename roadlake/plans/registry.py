@@ -29,7 +29,15 @@ from roadlake.session import scratch_path, utc
 from roadlake.sinks.files import write_files, write_processed, write_raw
 from roadlake.sources.processed import read_processed, read_processed_any_layout
 from roadlake.sources.raw import read_raw
-from roadlake.streaming.jobs import Layout, load_frame, run_available, start_enrich, start_ingest, start_load
+from roadlake.streaming.jobs import (
+    Layout,
+    load_frame,
+    load_full,
+    run_available,
+    start_enrich,
+    start_ingest,
+    start_load,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -315,3 +323,33 @@ def q29_full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q30_micro_precision(spark: SparkSession, sf_dir: str) -> DataFrame:
     exact = add_event_time(telemetry(spark, sf_dir), precision="micro")
     return add_date_parts(exact).select("event_id", "event_time", "year", "month", "day")
+
+
+@_query
+def q31_full_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both loads in one processed tree, merged whole and then once more."""
+    layout = Layout(scratch_path(spark, "q31"))
+    for load, run_time in ((_first_load, FIRST_LOAD), (_second_load, SECOND_LOAD)):
+        write_processed(load(spark, sf_dir), layout.processed)
+        load_full(spark, layout, F.lit(run_time))
+    return read_target(spark, layout.target)
+
+
+@_query
+def q32_upsert_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same source twice, with rows whose key has a null: those match nothing."""
+    path = scratch_path(spark, "q32")
+    timed = F.when(F.col("speed") >= 1, F.col("timestamp"))
+    source = add_event_time(telemetry(spark, sf_dir).withColumn("timestamp", timed)).drop("event_id")
+    for _ in range(2):
+        upsert(stamp(source, F.lit(FIRST_LOAD)), path)
+    return read_target(spark, path).select("vehicle_id", "phone_number", "speed", "event_time")
+
+
+@_query
+def q33_stream_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Enrichment that keeps only events which meet the contract."""
+    layout = Layout(scratch_path(spark, "q33"))
+    _fill_raw(spark, sf_dir, layout.raw)
+    start_enrich(spark, layout, trigger=None, max_files=1000, enforce_contract=True).awaitTermination()
+    return read_processed(spark, layout.processed)

@@ -53,8 +53,8 @@ def write_files(
     Counts come from the write itself. Rows to leave out are few and cross the exchange with
     the others, so that one pass counts both kinds.
     """
-    if LEFT_OUT not in df.columns:
-        df = df.withColumn(LEFT_OUT, F.lit(False))
+    flag = F.coalesce(F.col(LEFT_OUT), F.lit(False)) if LEFT_OUT in df.columns else F.lit(False)
+    df = df.withColumn(LEFT_OUT, flag)
     gather_by = partition_cols if gather_by is None else gather_by
     if gather_by:
         df = df.hint("rebalance", *gather_by)

@@ -112,6 +112,19 @@ def test_tagged_and_untagged_writes_share_a_tree(spark, folder):
     assert read_processed(spark, folder).count() == 12
 
 
+def test_large_day_is_cut_into_several_files(spark, folder):
+    stamps = F.when(F.col("id") < 30_000, START).otherwise(START + F.col("id") % 20 * DAY)
+    df = spark.range(0, 60_000, 1, 8).crossJoin(F.broadcast(events(spark, 1).drop("timestamp")))
+    df = add_event_time(df.withColumn("timestamp", stamps.cast("double")).withColumn("phone_number", F.uuid()))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        write_processed(df, folder)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = {d: len(glob.glob(f"{folder}/year=2024/month=1/day={d}/*/*.parquet")) for d in (1, 2)}
+    assert files[1] >= 4 > files[2]
+
+
 def test_same_tag_replaces_and_other_tags_add(spark, folder):
     df = add_event_time(events(spark, 10))
     for tag in ("q-1", "q-1", "q-2"):
