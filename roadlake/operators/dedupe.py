@@ -7,6 +7,7 @@ from functools import reduce
 from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import BinaryType, StringType
 
 
 def dedupe_latest(df: DataFrame, keys: Sequence[str], latest_by: Sequence[str]) -> DataFrame:
@@ -18,6 +19,7 @@ def dedupe_latest(df: DataFrame, keys: Sequence[str], latest_by: Sequence[str])
     The greatest row is an aggregate, so each map task sends one row per key whatever share of
     the data a key holds, and only the key is sorted.
     """
+    keys = fixed_width_first(df, keys)
     rest = [c for c in df.columns if c not in keys and c not in latest_by]
     order = [c for c in latest_by if c not in keys] + rest
     # A row without a complete key gets a number of its own, so it stays alone in its group.
@@ -26,6 +28,15 @@ def dedupe_latest(df: DataFrame, keys: Sequence[str], latest_by: Sequence[str])
     return latest.select(*keys, "_row.*").select(*df.columns)
 
 
+def fixed_width_first(df: DataFrame, keys: Sequence[str]) -> list[str]:
+    """Keys in the order that sorts fastest.
+
+    A sort compares eight bytes of its first column before it looks at whole rows. Those tell
+    times and numbers apart, while ids in text tend to begin alike.
+    """
+    return sorted(keys, key=lambda k: isinstance(df.schema[k].dataType, (StringType, BinaryType)))
+
+
 def split_on_null(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """(rows with every column set, rows with at least one null)."""
     return df.where(complete(columns)), df.where(~complete(columns))

@@ -15,7 +15,7 @@ from pyspark.sql.types import StructType
 
 from roadlake.functions.event_time import add_date_parts
 from roadlake.operators.columns import conform
-from roadlake.operators.dedupe import complete, dedupe_latest, split_on_null
+from roadlake.operators.dedupe import complete, dedupe_latest, fixed_width_first, split_on_null
 from roadlake.schema import KEY_COLS, PARTITION_COLS, TARGET_SCHEMA
 from roadlake.session import no_rows
 from roadlake.sources.processed import read_parquet_or_empty
@@ -166,7 +166,7 @@ def _unmatched(current: DataFrame, incoming: DataFrame, keys: Sequence[str], tou
     matched = incoming.select(*keys).distinct()
     if touch.key_bytes is not None and touch.key_bytes <= BROADCAST_BYTES:
         matched = F.broadcast(matched)
-    kept = current.join(matched, list(keys), "left_anti").select(*current.columns)
+    kept = current.join(matched, fixed_width_first(current, keys), "left_anti").select(*current.columns)
     return kept.withColumn(_FRESH, F.lit(False))
 
 
