@@ -42,24 +42,32 @@ def read_processed_any_layout(spark: SparkSession, root: str, schema: StructType
     are null where the path has none. Partition discovery cannot express that, so this form
     does not prune folders; prefer ``read_processed`` for regular trees.
     """
-    in_file = StructType([f for f in schema.fields if f.name not in PARTITION_COLS])
-    files = _parquet(spark, root, in_file, recursiveFileLookup="true")
-    if files is None:
-        return no_rows(spark, schema)
-    path = F.col("_metadata.file_path")
-    parts = {p: F.regexp_extract(path, f"/{p}=([0-9]+)/", 1).try_cast("int") for p in PARTITION_COLS}
-    return files.withColumns(parts).select(*schema.names)
+    files = _parquet(spark, root, _in_file(schema), recursiveFileLookup="true")
+    return no_rows(spark, schema) if files is None else _with_path_parts(files, schema)
 
 
 def processed_stream(
     spark: SparkSession, root: str, max_files: int | None = None, max_bytes: int | None = None
 ) -> DataFrame:
-    """New processed files only.
+    """New processed files only, at any depth.
 
     A replayed upstream batch swaps its files for new ones; the old names may already be
     scheduled here, so missing files are passed over and their replacements read instead.
     """
-    reader = spark.readStream.schema(PROCESSED_SCHEMA).options(
-        pathGlobFilter="*.parquet", ignoreMissingFiles="true", **per_trigger(max_files, max_bytes)
+    reader = spark.readStream.schema(_in_file(PROCESSED_SCHEMA)).options(
+        pathGlobFilter="*.parquet",
+        recursiveFileLookup="true",
+        ignoreMissingFiles="true",
+        **per_trigger(max_files, max_bytes),
     )
-    return reader.parquet(root).select(*PROCESSED_SCHEMA.names)
+    return _with_path_parts(reader.parquet(root), PROCESSED_SCHEMA)
+
+
+def _in_file(schema: StructType) -> StructType:
+    return StructType([f for f in schema.fields if f.name not in PARTITION_COLS])
+
+
+def _with_path_parts(files: DataFrame, schema: StructType) -> DataFrame:
+    path = F.col("_metadata.file_path")
+    parts = {p: F.regexp_extract(path, f"/{p}=([0-9]+)/", 1).try_cast("int") for p in PARTITION_COLS}
+    return files.withColumns(parts).select(*schema.names)

@@ -32,10 +32,11 @@ def raw_stream(
 
     A micro-batch takes ``max_files`` files, or files of ``max_bytes`` in all where that is given
     (the better bound when files differ in size). The root is watched, not one day's folder, so a
-    new day needs no restart. Pass ``cleanSource`` and ``sourceArchiveDir`` to keep the listing
-    short on long runs.
+    new day needs no restart, and files may sit at any depth. Pass ``cleanSource`` and
+    ``sourceArchiveDir`` to keep the listing short on long runs.
     """
     reader = spark.readStream.schema(_SCHEMA).options(**_OPTIONS, **per_trigger(max_files, max_bytes))
+    reader = reader.option("recursiveFileLookup", "true")
     return reader.options(**options).csv(root).select(*EVENT_COLS, CORRUPT)
 
 

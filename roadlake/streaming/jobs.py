@@ -34,7 +34,7 @@ from roadlake.sinks.files import (
     write_quarantine,
     write_raw,
 )
-from roadlake.sources.processed import processed_stream, read_processed
+from roadlake.sources.processed import processed_stream, read_processed_any_layout
 from roadlake.sources.raw import CORRUPT, FILES_PER_TRIGGER, raw_stream
 
 log = logging.getLogger(__name__)
@@ -166,7 +166,7 @@ def load_full(spark: SparkSession, layout: Layout, run_time: Column | None = Non
     """Merge every processed row again, whatever earlier runs have loaded."""
     utc(spark)
     run_time = F.current_timestamp() if run_time is None else run_time
-    return _merge_keyed(load_frame(read_processed(spark, layout.processed), run_time), layout, "full-load")
+    return _merge_keyed(load_frame(read_processed_any_layout(spark, layout.processed), run_time), layout, "full-load")
 
 
 def _merge_keyed(rows: DataFrame, layout: Layout, tag: str) -> Upserted:
@@ -179,8 +179,11 @@ def _merge_keyed(rows: DataFrame, layout: Layout, tag: str) -> Upserted:
 
 
 def load_frame(processed: DataFrame, run_time: Column) -> DataFrame:
-    """Processed events as the target wants them: real timestamps, no NaN, an audit stamp."""
-    return stamp(nan_to_null(coerce_times(processed)), run_time)
+    """Processed events as the target wants them: real timestamps, no NaN, an audit stamp.
+
+    Date parts are left out: the upsert derives them from ``event_time``.
+    """
+    return stamp(nan_to_null(coerce_times(processed.drop(*PARTITION_COLS))), run_time)
 
 
 def run_available(

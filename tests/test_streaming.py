@@ -145,6 +145,18 @@ def test_new_day_folder_is_seen_by_the_next_run(spark, layout):
     assert read_processed(spark, layout.processed).count() == 10
 
 
+def test_trees_filled_by_another_tool_can_be_taken_over(spark, layout):
+    day = f"{layout.raw}/year=2024/month=01/day=01"
+    rows(spark, 4).coalesce(1).write.option("header", "true").csv(day)
+    put_raw(rows(spark, 4, 4), layout)
+    drain(start_enrich(spark, layout, None))
+    plain = add_event_time(rows(spark, 4, 8)).select(*PROCESSED_SCHEMA.names)
+    plain.write.mode("append").partitionBy("year", "month", "day").parquet(layout.processed)
+    drain(start_load(spark, layout, None))
+    assert read_target(spark, layout.target).count() == 12
+    assert load_full(spark, layout) == (12, 0)
+
+
 def test_late_events_go_to_their_own_day(spark, layout):
     put_raw(rows(spark, 1), layout, "2024-03-31")
     drain(start_enrich(spark, layout, None))
