@@ -86,7 +86,8 @@ def upsert(
     touch = _touch(incoming, keys)
     if on_unkeyed is not None and touch.unkeyed != 0:
         incoming, unkeyed = split_on_null(incoming, keys)
-        on_unkeyed(unkeyed)
+        if touch.unkeyed or not unkeyed.isEmpty():
+            on_unkeyed(unkeyed)
         touch = touch.keyed_only()
     if touch.days == []:
         return Upserted(0, 0)

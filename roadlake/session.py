@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -27,9 +28,12 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {_CHECKPOINT_DIR} to a folder all executors share")
-    created = tempfile.mkdtemp(prefix="roadlake-")
-    spark.conf.set(_CHECKPOINT_DIR, created)
-    return created
+    return _local_dir()
+
+
+@cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="roadlake-")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -4,6 +4,7 @@ import datetime as dt
 import glob
 import os
 import re
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -38,6 +39,19 @@ def test_shared_folder_comes_from_the_session(spark):
     assert scratch_path(spark, "a") != scratch_path(spark, "a")
 
 
+def session_like(master, configured=None):
+    conf = SimpleNamespace(get=lambda key, default: configured)
+    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+
+def test_only_a_local_session_may_lack_a_shared_folder():
+    assert shared_dir(session_like("yarn", "hdfs:///shared/")) == "hdfs:///shared"
+    local = shared_dir(session_like("local[4]"))
+    assert os.path.isdir(local) and shared_dir(session_like("local[4]")) == local
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(session_like("spark://host:7077"))
+
+
 def test_raw_files_are_small_headered_and_zero_padded(spark, folder):
     df = events(spark, 250).coalesce(1).withColumn("arrived", F.lit(at("2024-03-05T10:00:00")))
     assert write_raw(df, folder) == (250, 0)

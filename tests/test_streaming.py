@@ -12,13 +12,13 @@ from roadlake.functions.event_time import add_event_time
 from roadlake.functions.records import encode_events
 from roadlake.operators.alerts import overspeed_alerts
 from roadlake.operators.upsert import read_target
-from roadlake.schema import EVENT_COLS, EVENT_SCHEMA, KEY_COLS, PROCESSED_SCHEMA
+from roadlake.schema import EVENT_SCHEMA, KEY_COLS, PROCESSED_SCHEMA
 from roadlake.sinks.files import batch_tag, write_processed, write_raw
 from roadlake.sources.processed import read_processed
 from roadlake.sources.raw import raw_stream, read_raw
 from roadlake.streaming import jobs
 from roadlake.streaming.jobs import Layout, load_full, run_available, start_enrich, start_ingest, start_load
-from test_storage import DAY, START
+from test_storage import START
 
 
 @pytest.fixture
