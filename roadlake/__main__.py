@@ -7,7 +7,7 @@ import logging
 
 from pyspark.sql import SparkSession
 
-from roadlake.session import utc
+from roadlake.session import prepare
 from roadlake.sinks.files import ROWS_PER_RAW_FILE
 from roadlake.sources.kafka import TOPIC, kafka_stream
 from roadlake.sources.raw import FILES_PER_TRIGGER
@@ -37,7 +37,7 @@ def main(argv: list[str] | None = None) -> None:
     args = arguments(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
     logging.getLogger("py4j").setLevel(logging.WARNING)
-    spark = utc(SparkSession.builder.appName(f"roadlake-{args.job}").getOrCreate())
+    spark = prepare(SparkSession.builder.appName(f"roadlake-{args.job}").getOrCreate())
     layout = Layout(args.root.rstrip("/"))
     trigger = None if args.once else args.every
     messages = kafka_stream(spark, args.servers, args.topic) if args.servers else None

@@ -99,7 +99,9 @@ def upsert(
     if journal is None:
         _swap_partitions(merged, path)
     else:
-        merged.write.mode("overwrite").partitionBy(*PARTITION_COLS).parquet(_pending(journal))
+        # Static even where the cluster's default is not: nothing of an earlier run may stay.
+        pending = merged.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        pending.partitionBy(*PARTITION_COLS).parquet(_pending(journal))
         _note(spark, journal, path)
         finish_interrupted(spark, journal, schema)
     return Upserted(**counts.get)

@@ -25,7 +25,7 @@ from roadlake.operators.time_range import time_range
 from roadlake.operators.upsert import read_target, stage, upsert
 from roadlake.plans.telemetry import telemetry
 from roadlake.schema import EVENT_COLS, EVENT_SCHEMA, PROCESSED_SCHEMA, TARGET_SCHEMA
-from roadlake.session import scratch_path, utc
+from roadlake.session import prepare, scratch_path
 from roadlake.sinks.files import write_files, write_processed, write_raw
 from roadlake.sources.processed import read_processed, read_processed_any_layout
 from roadlake.sources.raw import read_raw
@@ -56,7 +56,7 @@ def _query(fn: Query) -> Query:
 
     @wraps(fn)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        df = fn(utc(spark), sf_dir)
+        df = fn(prepare(spark), sf_dir)
         zoned = [f.name for f in df.schema.fields if isinstance(f.dataType, TimestampType)]
         return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in zoned}) if zoned else df
 

@@ -25,7 +25,7 @@ from roadlake.operators.alerts import preview
 from roadlake.operators.quality import split_decoded, with_violations
 from roadlake.operators.upsert import Upserted, create_target, stage, upsert
 from roadlake.schema import PARTITION_COLS, PROCESSED_SCHEMA
-from roadlake.session import no_rows, utc
+from roadlake.session import no_rows, prepare
 from roadlake.sinks.files import (
     LEFT_OUT,
     ROWS_PER_RAW_FILE,
@@ -96,7 +96,7 @@ def start_ingest(
     The arrival time is the micro-batch's own timestamp, which the checkpoint records, so a batch
     repeated after midnight still goes to its first folder.
     """
-    utc(messages.sparkSession)
+    prepare(messages.sparkSession)
     decoded = decode_events(
         messages.withColumn("arrived", F.current_timestamp()), value=value, keep=("arrived",)
     )
@@ -127,7 +127,7 @@ def start_enrich(
     With ``enforce_contract`` events that break the domain contract are set aside as well.
     Further ``options`` go to the file source.
     """
-    layout.create(utc(spark))
+    layout.create(prepare(spark))
     enriched = add_event_time(raw_stream(spark, layout.raw, max_files, max_bytes, **options), precision)
 
     def write(batch: DataFrame, tag: str) -> None:
@@ -153,7 +153,7 @@ def start_load(
     max_bytes: int | None = None,
 ) -> StreamingQuery:
     """Merge processed files into the target as they appear."""
-    layout.create(utc(spark))
+    layout.create(prepare(spark))
     loadable = load_frame(processed_stream(spark, layout.processed, max_files, max_bytes), F.current_timestamp())
 
     def write(batch: DataFrame, tag: str) -> None:
@@ -164,7 +164,7 @@ def start_load(
 
 def load_full(spark: SparkSession, layout: Layout, run_time: Column | None = None) -> Upserted:
     """Merge every processed row again, whatever earlier runs have loaded."""
-    utc(spark)
+    prepare(spark)
     run_time = F.current_timestamp() if run_time is None else run_time
     return _merge_keyed(load_frame(read_processed_any_layout(spark, layout.processed), run_time), layout, "full-load")
 

@@ -221,6 +221,19 @@ def test_journal_ignores_a_merge_that_was_not_completed(spark, folder, monkeypat
     assert table(spark, folder)[0][("V1", "2024-01-01 00:00:00")].speed == 80.0
 
 
+def test_journal_keeps_nothing_of_an_earlier_run(spark, folder):
+    journal = scratch_path(spark, "journal")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        upsert(load(spark, [event("V1", START)]), folder, journal=journal)
+        upsert(load(spark, [event("V1", START, speed=30.0)]), folder)
+        upsert(load(spark, [event("V1", START + DAY)]), folder, journal=journal)
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    rows, n = table(spark, folder)
+    assert n == 2 and rows[("V1", "2024-01-01 00:00:00")].speed == 30.0
+
+
 def test_dedupe_combines_each_key_before_the_shuffle(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     plan = explain(dedupe_latest(df, ["user_id"], ["ts"]))
