@@ -6,7 +6,9 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from roadlake.plans.oracle import ORACLE
+from roadlake.plans.registry import QUERIES
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 
@@ -26,14 +28,14 @@ def comparable(columns, rows):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, duck, name):
-    df = queries()[name](spark, SF_DIR)
+    df = QUERIES[name](spark, SF_DIR)
     got = [tuple(row) for row in df.collect()]
-    cursor = duck.execute(oracle_sql()[name])
+    cursor = duck.execute(ORACLE[name])
     names = [d[0] for d in cursor.description]
     want = cursor.fetchall()
     assert sorted(df.columns) == sorted(names)

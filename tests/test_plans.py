@@ -4,16 +4,16 @@ import re
 
 import pytest
 
-from __spark_entry__ import queries
+from roadlake.plans.registry import QUERIES
 from test_upsert import explain
 
 SF_DIR = "/root/testdata/sf0.001"
 READ_BACK = re.compile(r"q(07|08|09|10|16|17|18|25|26|28|29|31|32|33)_")
 
 
-@pytest.mark.parametrize("name", sorted(n for n in queries() if not READ_BACK.match(n)))
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not READ_BACK.match(n)))
 def test_no_python_rows_and_no_pairing_of_everything(spark, name):
-    plan = explain(queries()[name](spark, SF_DIR))
+    plan = explain(QUERIES[name](spark, SF_DIR))
     assert not re.search("EvalPython|InPandas|InArrow|Cartesian|NestedLoop|SinglePartition", plan)
 
 
@@ -23,4 +23,4 @@ def test_no_python_rows_and_no_pairing_of_everything(spark, name):
     ("q19_quality_split", 0), ("q20_encode_decode", 0), ("q22_conform_to_target", 0),
 ])
 def test_shuffles(spark, name, exchanges):
-    assert explain(queries()[name](spark, SF_DIR)).count("Exchange") == exchanges
+    assert explain(QUERIES[name](spark, SF_DIR)).count("Exchange") == exchanges
