@@ -9,40 +9,35 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from roadlake.llm.common import free_name
+from roadlake.llm.common import cut, free_name
+
+
+#: Characters that do not tell two lines apart at their ends.
+BLANK = "".join(map(chr, range(0x21)))
 
 
 def split_lines(text: Column, separator: str) -> Column:
-    """Lines of a text, as they stand; a null text has none."""
+    """Lines of a text, as they stand; a null text has one empty line."""
     return F.split(F.coalesce(text, F.lit("")), separator, -1)
 
 
 def _key(line: Column) -> Column:
-    """What makes two lines the same: 128-bit hash of the line without outer spaces; null for blank lines."""
-    trimmed = F.regexp_replace(line, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+    """What makes two lines the same: 128-bit hash of the line without outer blanks; null for blank lines."""
+    trimmed = F.btrim(line, F.lit(BLANK))
     return F.when(trimmed != "", F.unhex(F.md5(trimmed)))
 
 
-def line_shares(docs: DataFrame, host: Column, text_col: str, separator: str) -> DataFrame:
-    """Per host and line key: ``pages`` that contain it and the host's ``total`` pages.
-
-    A page counts once however often it repeats a line. A null host is a host of its own.
-    """
-    pages = docs.select(
-        F.coalesce(host, F.lit("")).alias("host"),
-        F.array_distinct(F.transform(split_lines(F.col(text_col), separator), _key)).alias("keys"),
-    )
-    # One aggregate for both counts: the null key, that of no line, stands for the page itself.
-    keys = F.array_append(F.filter("keys", lambda k: k.isNotNull()), F.lit(None).cast("binary"))
-    counts = pages.select("host", F.explode(keys).alias("key")).groupBy("host", "key").agg(F.count(F.lit(1)).alias("pages"))
-    totals = counts.where("key is null").select("host", F.col("pages").alias("total"))
-    return counts.where("key is not null").join(totals, "host")
+def page_lines(docs: DataFrame, host: Column, id_col: str, text_col: str, separator: str) -> DataFrame:
+    """Columns ``id``, ``host`` and ``key``: each line of a page once. A null host is the empty host."""
+    keys = F.array_distinct(F.transform(split_lines(F.col(text_col), separator), _key))
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(host, F.lit("")).alias("host"), F.explode(keys).alias("key"))
+    return rows.where("key is not null")
 
 
-def boilerplate(docs: DataFrame, host: Column, text_col: str, separator: str, max_ratio: float, min_pages: int) -> DataFrame:
-    """Host and key of the lines that exceed the ratio."""
-    shares = line_shares(docs, host, text_col, separator)
-    return shares.where((F.col("pages") >= min_pages) & (F.col("pages") > F.lit(max_ratio) * F.col("total"))).select("host", "key")
+def boilerplate(lines: DataFrame, totals: DataFrame, max_ratio: float, min_pages: int) -> DataFrame:
+    """Host and key of the lines that at least ``min_pages`` pages and more than ``max_ratio`` of their host's contain."""
+    shares = lines.groupBy("host", "key").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= min_pages)
+    return shares.join(totals, "host").where(F.col("pages") > F.lit(max_ratio) * F.col("total")).select("host", "key")
 
 
 def drop_boilerplate(
@@ -62,24 +57,22 @@ def drop_boilerplate(
     keep their text untouched. A page that would lose more than ``max_loss`` of the characters
     of its lines is kept whole: such a page is a copy of others, not a page with boilerplate on it.
 
-    Null and empty texts have no line and stay. Ids must tell pages with different lines apart;
-    repeated rows each count as a page and stay repeated. Rows with a null id stay as they are.
+    A page counts once however often it repeats a line. Null and empty texts have no line and
+    stay, and count as pages of their host. Ids must tell pages with different lines apart; repeated rows each
+    count as a page and stay repeated. Rows with a null id count too, but stay as they are.
     """
-    drop = boilerplate(docs, host, text_col, separator, max_ratio, min_pages)
-    lines = docs.where(F.col(id_col).isNotNull()).select(
-        F.col(id_col).alias("id"),
-        F.coalesce(host, F.lit("")).alias("host"),
-        F.explode(F.array_distinct(F.transform(split_lines(F.col(text_col), separator), _key))).alias("key"),
-    )
-    hit = lines.where("key is not null").join(drop, ["host", "key"])
+    lines = cut(page_lines(docs, host, id_col, text_col, separator))
+    totals = docs.groupBy(F.coalesce(host, F.lit("")).alias("host")).agg(F.count(F.lit(1)).alias("total"))
+    hits = lines.join(boilerplate(lines, totals, max_ratio, min_pages), ["host", "key"])
     page, keys = free_name(docs, "hit_page"), free_name(docs, "hit_keys")
     # A page's distinct lines bound this set.
-    hit = hit.groupBy("id").agg(F.collect_set("key").alias(keys)).withColumnRenamed("id", page)
+    hits = hits.where("id is not null").groupBy(F.col("id").alias(page)).agg(F.collect_set("key").alias(keys))
     whole = split_lines(F.col(text_col), separator)
     kept = F.filter(whole, lambda line: ~F.coalesce(F.array_contains(F.col(keys), _key(line)), F.lit(False)))
-    size = lambda part: F.aggregate(part, F.lit(0), lambda n, line: n + F.length(line))
-    cleaned = F.when(
-        F.col(keys).isNotNull() & (size(kept) >= (1 - max_loss) * size(whole)), F.array_join(kept, joiner)
-    ).otherwise(F.col(text_col))
-    joined = docs.join(hit, F.col(id_col) == F.col(page), "left")
+    drops = F.col(keys).isNotNull()
+    if max_loss < 1:
+        size = lambda part: F.aggregate(part, F.lit(0), lambda n, line: n + F.length(line))
+        drops = drops & (size(kept) >= (1 - max_loss) * size(whole))
+    cleaned = F.when(drops, F.array_join(kept, joiner)).otherwise(F.col(text_col))
+    joined = docs.join(hits, F.col(id_col) == F.col(page), "left")
     return joined.select(*[cleaned.alias(c) if c == text_col else F.col(c) for c in docs.columns])

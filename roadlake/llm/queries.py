@@ -12,8 +12,8 @@ from roadlake.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-#: What separates the lines of a raw page: tags and line breaks.
-MARKUP = r"<[^<>]*>|\n"
+#: What stands between the lines of a raw page: tags and line breaks.
+MARKUP = r"(?:<[^<>]*>|\n)+"
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,7 +21,7 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = prepare(spark).read.parquet(f"{sf_dir}/pages.parquet").select(
         "page_id",
         host_of(F.col("url")).alias("host"),
-        F.array_join(F.filter(lines.split_lines(F.col("html"), MARKUP), lambda l: l.rlike(r"[^\x00-\x20]")), "\n").alias("text"),
+        F.regexp_replace(F.coalesce("html", F.lit("")), MARKUP, "\n").alias("text"),
     )
     return lines.drop_boilerplate(pages, F.col("host"), id_col="page_id")
 
