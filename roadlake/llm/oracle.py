@@ -5,16 +5,16 @@ from __future__ import annotations
 _OP1 = r"""
 WITH pages_ AS (
   SELECT page_id, lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]*)', 1)) AS host,
-         list_filter(regexp_split_to_array(coalesce(html, ''), '<[^<>]*>|\n'), lambda l: regexp_matches(l, '[^\x00-\x20]')) AS lines
+         regexp_replace(coalesce(html, ''), '(?:<[^<>]*>|\n)+', chr(10), 'g') AS text
   FROM pages),
 keyed AS (
-  SELECT page_id, host, lines,
+  SELECT page_id, host, text, string_split(text, chr(10)) AS lines,
          list_transform(lines, lambda l: regexp_replace(l, '^[\x00-\x20]+|[\x00-\x20]+$', '', 'g')) AS keys
   FROM pages_),
 totals AS (SELECT host, count(*) AS total FROM keyed GROUP BY host),
 shares AS (
   SELECT host, key, count(*) AS n
-  FROM (SELECT host, unnest(list_distinct(keys)) AS key FROM keyed) GROUP BY host, key),
+  FROM (SELECT host, unnest(list_distinct(keys)) AS key FROM keyed) WHERE key <> '' GROUP BY host, key),
 dropped AS (
   SELECT host, list(key) AS bad FROM shares JOIN totals USING (host)
   WHERE n >= 5 AND n > 0.1 * total GROUP BY host)
@@ -24,6 +24,38 @@ SELECT page_id, keyed.host AS host,
 FROM keyed LEFT JOIN dropped ON keyed.host = dropped.host
 """
 
+_OP2 = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS u, b.vec_id AS v FROM usable a JOIN usable b
+  ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.93),
+reached AS (
+  SELECT u AS node, v AS other FROM links
+  UNION SELECT node, links.v FROM reached JOIN links ON other = links.u),
+least AS (SELECT node, least(node, min(other)) AS component FROM reached GROUP BY node),
+counts AS (SELECT u AS node, count(*) AS n FROM links GROUP BY u)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(component, vec_id) AS component_id,
+       coalesce(component, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN least ON vec_id = least.node LEFT JOIN counts ON vec_id = counts.node
+"""
+
+_OP5 = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, x.vec_id AS vec_id, list_dot_product(q.v, x.v)::BIGINT AS score
+  FROM whole q JOIN whole x ON q.vec_id % 50 = 0 AND q.vec_id <> x.vec_id AND len(q.v) = len(x.v)),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
 
 def _found(kind: str, pattern: str, keep: str) -> str:
     """Spans of one kind: parts between matches and matches alternate, so lengths add up to offsets."""
@@ -57,4 +89,4 @@ SELECT doc_id,
 FROM docs LEFT JOIN ranked USING (doc_id) GROUP BY doc_id
 """
 
-ORACLE: dict[str, str] = {"op1_line_dedup": _OP1, "op10_secret_scan": _OP10}
+ORACLE: dict[str, str] = {"op1_line_dedup": _OP1, "op2_embedding_dedup": _OP2, "op5_top_k": _OP5, "op10_secret_scan": _OP10}

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
+import public_tokenizers
+import sentencepiece
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from roadlake.llm import lines, secrets
+from roadlake.llm import bpe, knn, lines, packing, secrets, token_counts, vectors
 from roadlake.llm.common import host_of
 from roadlake.session import prepare
 
@@ -16,6 +19,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 MARKUP = r"(?:<[^<>]*>|\n)+"
 
 
+def pieces(model: str) -> list[str]:
+    """Pieces of a sentencepiece vocabulary, in its order."""
+    read = sentencepiece.SentencePieceProcessor(model_file=model)
+    return [read.id_to_piece(i) for i in range(read.get_piece_size())]
+
+
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as lines of text, without the lines that over a tenth of a host's pages repeat."""
     pages = prepare(spark).read.parquet(f"{sf_dir}/pages.parquet").select(
@@ -26,10 +35,48 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.drop_boilerplate(pages, F.col("host"), id_col="page_id")
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, components and keepers of vectors with one label and cosine of 0.93 or more."""
+    return vectors.near_duplicate_vectors(prepare(spark).read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 4096 tokens."""
+    definition = Path(public_tokenizers.path("word_bpe_49k.json")).read_text()
+    return packing.pack(prepare(spark).read.parquet(f"{sf_dir}/documents.parquet"), definition)
+
+
+def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five best rows by whole-number inner product for every fiftieth vector."""
+    rows = prepare(spark).read.parquet(f"{sf_dir}/embeddings.parquet")
+    return knn.top_k(rows, F.col("vec_id") % 50 == 0)
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document under a unigram vocabulary of public pieces."""
+    docs = prepare(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    return token_counts.count_tokens(docs, token_counts.zipf_scores(pieces(public_tokenizers.path("piece_bpe_32k.model"))))
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE ids of every document, and what they decode to, as hashes."""
+    definition = Path(public_tokenizers.path("byte_bpe_50k.json")).read_text()
+    docs = prepare(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    return bpe.decode(bpe.encode(docs, definition), definition).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document, through a ledger that starts empty."""
     docs = prepare(spark).read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return secrets.digest(secrets.find_secrets(docs))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_line_dedup, op10_secret_scan)}
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (op1_line_dedup, op2_embedding_dedup, op4_packing, op5_top_k, op6_token_counts, op9_bpe, op10_secret_scan)
+}
