@@ -57,6 +57,28 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
 
+_OP7 = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM worded),
+shingle AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+common AS (
+  SELECT a.doc_id AS u, b.doc_id AS v, a.n AS n, b.n AS m, count(*) AS c
+  FROM shingle a JOIN shingle b ON a.x = b.x AND a.doc_id < b.doc_id
+    AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+  GROUP BY ALL),
+half AS (SELECT u, v FROM common WHERE 100 * c >= 85 * (n + m - c)),
+links AS (SELECT u, v FROM half UNION ALL SELECT v, u FROM half),
+reached AS (SELECT u AS node, v AS other FROM links UNION SELECT node, links.v FROM reached JOIN links ON other = links.u),
+ends AS (SELECT node, least(node, min(other)) AS component FROM reached GROUP BY node)
+SELECT doc_id, len(s) AS n_shingles, coalesce(component, doc_id) AS component_id, coalesce(component, doc_id) = doc_id AS kept
+FROM sets LEFT JOIN ends ON doc_id = node
+"""
+
+
 def _found(kind: str, pattern: str, keep: str) -> str:
     """Spans of one kind: parts between matches and matches alternate, so lengths add up to offsets."""
     pattern = pattern.replace("'", "''")
@@ -89,4 +111,4 @@ SELECT doc_id,
 FROM docs LEFT JOIN ranked USING (doc_id) GROUP BY doc_id
 """
 
-ORACLE: dict[str, str] = {"op1_line_dedup": _OP1, "op2_embedding_dedup": _OP2, "op5_top_k": _OP5, "op10_secret_scan": _OP10}
+ORACLE: dict[str, str] = {"op1_line_dedup": _OP1, "op2_embedding_dedup": _OP2, "op5_top_k": _OP5, "op7_minhash_dedup": _OP7, "op10_secret_scan": _OP10}

@@ -9,7 +9,7 @@ import public_tokenizers
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from roadlake.llm import bpe, knn, lines, packing, secrets, token_counts, vectors
+from roadlake.llm import bpe, knn, lines, minhash, packing, secrets, token_counts, vectors
 from roadlake.llm.common import host_of
 from roadlake.session import prepare
 
@@ -58,6 +58,11 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(docs, token_counts.zipf_scores(pieces(public_tokenizers.path("piece_bpe_32k.model"))))
 
 
+def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components and keepers of documents whose five-word shingles agree to 85 hundredths or more."""
+    return minhash.near_duplicates(prepare(spark).read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of every document, and what they decode to, as hashes."""
     definition = Path(public_tokenizers.path("byte_bpe_50k.json")).read_text()
@@ -78,5 +83,14 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_line_dedup, op2_embedding_dedup, op4_packing, op5_top_k, op6_token_counts, op9_bpe, op10_secret_scan)
+    for f in (
+        op1_line_dedup,
+        op2_embedding_dedup,
+        op4_packing,
+        op5_top_k,
+        op6_token_counts,
+        op7_minhash_dedup,
+        op9_bpe,
+        op10_secret_scan,
+    )
 }
