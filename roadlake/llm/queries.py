@@ -9,7 +9,7 @@ import public_tokenizers
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from roadlake.llm import bpe, knn, lines, minhash, packing, secrets, token_counts, vectors
+from roadlake.llm import bpe, knn, lines, minhash, packing, secrets, token_counts, toxicity, vectors
 from roadlake.llm.common import host_of
 from roadlake.session import prepare
 
@@ -40,6 +40,12 @@ def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicate_vectors(prepare(spark).read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned without the labels of each fifth id by checksum."""
+    tables = (prepare(spark).read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    return toxicity.toxicity(*tables)
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 4096 tokens."""
     definition = Path(public_tokenizers.path("word_bpe_49k.json")).read_text()
@@ -86,6 +92,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_line_dedup,
         op2_embedding_dedup,
+        op3_toxicity,
         op4_packing,
         op5_top_k,
         op6_token_counts,
