@@ -6,9 +6,10 @@ characters may stand for, and Viterbi decoding picks the likeliest reading under
 model of the whole corpus. (Where a character has one reading only, the lattice has one path, so
 other words are left as they are.) The restored text is then scored.
 
-Evidence of a word is the largest log odds among it and its letter groups, learned from labelled
-documents and shrunk where few support it. A document's few strongest words go into a logistic
-model, fitted to evidence from the other half of the training documents, so that chance finds do not count.
+Evidence of a word is the largest log odds among it and its stems, learned from labelled
+documents and shrunk where few support it; a stem is judged by the words that are not evidence
+themselves. A document's strongest words go into a logistic model, fitted to evidence
+from the other half of the training documents, so that chance finds do not count.
 """
 
 from __future__ import annotations
@@ -29,10 +30,12 @@ from roadlake.llm.common import held_out
 #: Labelled documents the classifier is fitted on, the first by a hash of their id. A bound on purpose: more
 #: hardly change the few weights, and it keeps the fit's cost fixed. All other statistics cover every document.
 LABELLED = 20_000
-#: Letter groups that the classifier keeps, and those that a decision needs at least to have seen toxic.
+#: Words and as many stems that the classifier keeps, and the toxic documents that must hold one.
 GROUPS, SEEN = 50_000, 3
-#: Evidence seen in this many documents is believed half.
-BELIEF = 10.0
+#: Evidence seen in this many documents is believed half; words of this evidence lend none to their stems.
+BELIEF, STRONG = 10.0, 1.5
+#: Letters in a stem.
+STEMS = (3, 4, 5, 6, 7)
 #: Words and stretches a worker remembers.
 REMEMBERED = 1_000_000
 
@@ -41,8 +44,9 @@ LOOKALIKES = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¥": "y",
 }
-#: Costs in nats of a look-alike, of one more of a repeated letter, and of a gap inside a word.
-REPLACED, REPEATED, APART = 1.5, 0.3, 0.2
+#: Costs in nats of a look-alike, of one more of a repeated letter, of a gap inside a word, and of
+#: a character without a blank around it, or a blank between single characters, that ends a word.
+REPLACED, REPEATED, APART, ENDED = 1.5, 0.3, 0.2, 1.5
 
 #: Symbols of the language model: the gap between words, a to z, any other letter.
 SYMBOLS = 28
@@ -109,7 +113,7 @@ def _readings(shown: str, joined: bool) -> list[list[tuple[str, float]]]:
         if c.isalpha():
             ways = [(c, 0.0)]
         else:
-            ways = [(" ", 0.0)] + [(x, REPLACED) for x in LOOKALIKES.get(c, "")]
+            ways = [(" ", ENDED if joined or c in LOOKALIKES else 0.0)] + [(x, REPLACED) for x in LOOKALIKES.get(c, "")]
         if c == before and (c.isalpha() or c in LOOKALIKES):
             ways.append(("", REPEATED))
         if joined and not c.isalnum() and c not in LOOKALIKES:
@@ -130,10 +134,10 @@ def decode(shown: str, model: np.ndarray, joined: bool = False) -> str:
                 if letter == "":
                     state, total, way = (a, b), cost + price, path
                 elif letter == " ":
-                    state, way = (b, _GAP), (path, " ")
-                    total = cost if b == _GAP else cost - model[a, b, _GAP]
                     if b == _GAP:
-                        state, way = (a, b), path
+                        state, total, way = (a, b), cost + price, path
+                    else:
+                        state, total, way = (b, _GAP), cost + price - model[a, b, _GAP], (path, " ")
                 else:
                     s = _symbol(letter)
                     state, total, way = (b, s), cost + price - model[a, b, s], (path, letter)
@@ -150,10 +154,9 @@ def decode(shown: str, model: np.ndarray, joined: bool = False) -> str:
 
 def suspicious(word: str) -> bool:
     """True for a lower-case word with a look-alike beside a letter, a long run, or mostly doubled letters."""
-    if word.isalpha():
-        pairs = _PAIR.findall(word)
-        return len(pairs) > 1 and (bool(_RUN.search(word)) or 3 * len(pairs) >= len(word))
-    return any(c in LOOKALIKES for c in word) and any(c.isalpha() for c in word) or bool(_RUN.search(word))
+    if _RUN.search(word) or 3 * len(_PAIR.findall(word)) >= max(6, len(word)):
+        return True
+    return not word.isalpha() and any(c in LOOKALIKES for c in word) and any(c.isalpha() for c in word)
 
 
 class Restorer:
@@ -191,14 +194,14 @@ class Restorer:
 _PARTS = re.compile(_LETTER + "+")
 
 
-def groups_of(word: str) -> Iterator[str]:
-    """A restored word and its letter groups, its ends marked."""
-    for part in _PARTS.findall(word):
-        marked = f"^{part}$"
-        yield marked
-        for n in (4, 5, 6):
-            for i in range(len(marked) - n + 1):
-                yield marked[i : i + n]
+def words_of(reading: str) -> list[str]:
+    """Words of a restored reading, their ends marked."""
+    return [f"^{part}$" for part in _PARTS.findall(reading)]
+
+
+def stems_of(word: str) -> list[str]:
+    """Beginnings of a marked word."""
+    return [word[: n + 1] for n in STEMS if n + 2 < len(word)]
 
 
 class Evidence(dict):
@@ -210,7 +213,7 @@ class Evidence(dict):
 
     def of_reading(self, reading: str) -> float:
         weight = self.weights.get
-        return max((weight(g, 0.0) for g in groups_of(reading)), default=0.0)
+        return max((weight(g, 0.0) for w in words_of(reading) for g in (w, *stems_of(w))), default=0.0)
 
     def __missing__(self, word: str) -> float:
         if len(self) >= REMEMBERED:
@@ -227,27 +230,48 @@ class Evidence(dict):
         return (found[0] if found else 0.0, found[1] if len(found) > 1 else 0.0, math.log1p(sum(found)))
 
 
-def _count_groups(batches: Iterable[pd.DataFrame], model: np.ndarray) -> Iterator[pd.DataFrame]:
-    """Documents of each half and label that hold a letter group."""
+def _count_groups(batches: Iterable[pa.RecordBatch], model: np.ndarray, strong: frozenset[str] | None) -> Iterator[pa.RecordBatch]:
+    """Documents of each half and label that hold a word, or given ``strong`` words, a stem of any other word.
+
+    The group "" counts the documents themselves.
+    """
     restorer, known = Restorer(model), {}
     counts: dict[tuple[int, int], Counter] = {(h, y): Counter() for h in (0, 1) for y in (0, 1)}
-    for pdf in batches:
-        for text, half, toxic in zip(pdf["text"], pdf["half"], pdf["toxic"]):
-            lower, own = (text or "").lower(), set()
+
+    def groups(reading: str) -> tuple[str, ...]:
+        words = words_of(reading)
+        return tuple(words if strong is None else {g for w in words if w not in strong for g in stems_of(w)})
+
+    for batch in batches:
+        for row in batch.to_pylist():
+            lower, own = (row["text"] or "").lower(), {""}
             for word in set(lower.split()):
                 if word not in known:
-                    known[word] = tuple(set(groups_of(restorer.word(word))))
+                    known[word] = groups(restorer.word(word))
                 own.update(known[word])
             for stretch in set(_SPACED.findall(lower)):
-                own.update(groups_of(restorer.stretch(stretch)))
-            counts[half, toxic].update(own)
-            counts[half, toxic][""] += 1  # the document itself
+                own.update(groups(restorer.stretch(stretch)))
+            counts[row["half"], row["toxic"]].update(own)
     for (half, toxic), own in counts.items():
-        yield pd.DataFrame({"grp": list(own), "half": half, "toxic": toxic, "n": list(own.values())})
+        names, n = list(own), list(own.values())
+        for at in range(0, len(names), 100_000):
+            some = pa.array(names[at : at + 100_000], pa.string())
+            same = [pa.array([x] * len(some), pa.int32()) for x in (half, toxic)]
+            yield pa.RecordBatch.from_arrays([some, *same, pa.array(n[at : at + 100_000], pa.int64())], ["grp", "half", "toxic", "n"])
+
+
+def _group_table(rows: DataFrame, model: np.ndarray, strong: frozenset[str] | None) -> pd.DataFrame:
+    """Counts of the groups that enough toxic documents hold; ``LABELLED`` documents bound them."""
+    counted = rows.mapInArrow(partial(_count_groups, model=model, strong=strong), "grp string, half int, toxic int, n long")
+    sums = counted.groupBy("grp").agg(*(
+        F.sum(F.when((F.col("toxic") == y) & (F.col("half") == h), F.col("n")).otherwise(0)).alias(f"{name}{h}")
+        for y, name in ((1, "toxic"), (0, "clean")) for h in (0, 1)
+    ))
+    return sums.where((F.col("toxic0") + F.col("toxic1") >= SEEN) | (F.col("grp") == "")).toPandas()
 
 
 def _weights(counts: pd.DataFrame) -> dict[str, float]:
-    """Shrunk log odds of letter groups from columns grp, clean and toxic; the group "" has the totals."""
+    """Shrunk log odds of words and stems from columns grp, clean and toxic; the group "" has the totals."""
     total = counts[counts["grp"] == ""]
     if total.empty or total["toxic"].iat[0] == 0:
         return {}
@@ -281,7 +305,7 @@ def _fold_features(batches: Iterable[pd.DataFrame], model: np.ndarray, weights:
 
 
 class Model:
-    """What scoring needs: the character model, the evidence of letter groups and the final weights."""
+    """What scoring needs: the character model, the evidence of words and stems and the final weights."""
 
     def __init__(self, characters: np.ndarray, groups: dict[str, float], final: np.ndarray):
         self.characters, self.groups, self.final = characters, groups, final
@@ -299,19 +323,16 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column, id_col: str = "doc_
     texts = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text"))
     half = F.pmod(F.xxhash64("key", F.lit(1)), F.lit(2)).cast("int").alias("half")
     rows = texts.join(F.broadcast(known), "key").select("text", "toxic", half)  # at most ``limit`` ids
-    counted = rows.mapInPandas(partial(_count_groups, model=characters), "grp string, half int, toxic int, n long")
-    is_toxic, first = F.col("toxic") == 1, F.col("half") == 0
-    sums = counted.groupBy("grp").agg(
-        *(F.sum(F.when(who & (first if h == 0 else ~first), F.col("n")).otherwise(0)).alias(f"{name}{h}")
-          for name, who in (("toxic", is_toxic), ("clean", ~is_toxic)) for h in (0, 1))
-    )
-    # Groups that few toxic documents hold carry no weight; those of one in ``limit`` documents are bounded by these.
-    table = sums.where((F.col("toxic0") + F.col("toxic1") >= SEEN) | (F.col("grp") == "")).toPandas()
-    fold = lambda h: _weights(table.assign(toxic=table[f"toxic{h}"], clean=table[f"clean{h}"]))
-    groups = _weights(table.assign(toxic=table["toxic0"] + table["toxic1"], clean=table["clean0"] + table["clean1"]))
+    words = _group_table(rows, characters, None)
+    both = lambda t: t.assign(toxic=t["toxic0"] + t["toxic1"], clean=t["clean0"] + t["clean1"])
+    of_half = lambda t, h: t.assign(toxic=t[f"toxic{h}"], clean=t[f"clean{h}"])
+    strong = frozenset(w for w, worth in _weights(both(words)).items() if worth >= STRONG)
+    stems = _group_table(rows, characters, strong)
+    weigh = lambda part: _weights(part(words)) | _weights(part(stems))
+    groups = weigh(both)
     if not groups:
         return Model(characters, {}, np.array([0.0, 0.0, 0.0, -10.0]))
-    send = docs.sparkSession.sparkContext.broadcast((characters, [fold(0), fold(1)]))
+    send = docs.sparkSession.sparkContext.broadcast((characters, [weigh(lambda t: of_half(t, 0)), weigh(lambda t: of_half(t, 1))]))
     schema = "a double, b double, c double, toxic int"
     seen = rows.mapInPandas(lambda x: _fold_features(x, *send.value), schema).toPandas()  # at most ``limit`` rows
     return Model(characters, groups, _logistic(seen[["a", "b", "c"]].to_numpy(), seen["toxic"].to_numpy(float)))
