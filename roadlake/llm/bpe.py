@@ -13,6 +13,7 @@ joined per document.
 
 from __future__ import annotations
 
+import json
 import re
 from array import array
 from collections.abc import Iterable, Iterator
@@ -31,7 +32,7 @@ DEALT, DEALT_LEAF = 262_144, 65_536
 #: Tokens on each side of a join in its first window.
 WINDOW = 8
 #: Characters of the texts encoded together.
-AT_ONCE = 4_000_000
+AT_ONCE = 1_000_000
 
 
 class Tree:
@@ -87,7 +88,6 @@ class _Worker:
         self.library, self.encoder.library = self.encoder.library, self._library
         self.stretch = re.compile(r"\S{%d}|\s{%d}" % (LONG, LONG))
         self.special = re.compile("(" + "|".join(map(re.escape, self.encoder.special)) + ")")
-        self.table = byte_table(self.encoder.tokenizer.get_vocab())
 
     def pre_tokens(self, text: str) -> Iterator[str]:
         """A text cut by the library's own pre-tokenizer, special tokens apart."""
@@ -113,9 +113,10 @@ class _Worker:
         known = iter(self.library([t for t, is_long in zip(texts, long) if not is_long]))
         return [as_bytes(self.of_tokens(self.pre_tokens(t))) if is_long else next(known) for t, is_long in zip(texts, long)]
 
-    def decode(self, ids: bytes) -> str:
-        at = self.table.__getitem__
-        return b"".join(map(at, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
+
+def decoded(ids: bytes, table: list[bytes]) -> str:
+    """Text of little-endian unsigned 32-bit ids, given the bytes of each."""
+    return b"".join(map(table.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
 
 
 #: By definition: one per worker process, so that its tasks share what is remembered.
@@ -210,11 +211,12 @@ def encode(docs: DataFrame, definition: str, id_col: str = "doc_id", text_col: s
 
 def decode(encoded: DataFrame, definition: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
     """``encoded`` with the text of its ids; bytes that are no UTF-8 become replacement characters. Null ids give null."""
-    send = encoded.sparkSession.sparkContext.broadcast(definition)
+    parsed = json.loads(definition)
+    vocabulary = parsed["model"]["vocab"] | {t["content"]: t["id"] for t in parsed["added_tokens"]}
+    send = encoded.sparkSession.sparkContext.broadcast(byte_table(vocabulary))
 
     @F.pandas_udf("string")
     def text(ids: pd.Series) -> pd.Series:
-        own = worker(send.value)
-        return pd.Series([None if x is None else own.decode(x) for x in ids], dtype=object)
+        return pd.Series([None if x is None else decoded(x, send.value) for x in ids], dtype=object)
 
     return encoded.withColumn(text_col, text(ids_col))

@@ -17,7 +17,7 @@ import numpy as np
 from tokenizers import Tokenizer, pre_tokenizers
 
 #: Pieces a worker remembers.
-REMEMBERED = 1_000_000
+REMEMBERED = 500_000
 
 #: Characters beyond these, for which the cuts below are not written out, go the library's way.
 _PLAIN = re.compile("[^\t-\r -~\xa0-įı-ſ]")

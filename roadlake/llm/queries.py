@@ -9,7 +9,7 @@ import public_tokenizers
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from roadlake.llm import bpe, knn, lines, minhash, packing, secrets, token_counts, toxicity, vectors
+from roadlake.llm import bpe, knn, language_id, lines, minhash, packing, secrets, token_counts, toxicity, vectors
 from roadlake.llm.common import host_of
 from roadlake.session import prepare
 
@@ -69,6 +69,11 @@ def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(prepare(spark).read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned without each fourth id by checksum."""
+    return language_id.languages(prepare(spark).read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of every document, and what they decode to, as hashes."""
     definition = Path(public_tokenizers.path("byte_bpe_50k.json")).read_text()
@@ -97,6 +102,7 @@ QUERIES: dict[str, Query] = {
         op5_top_k,
         op6_token_counts,
         op7_minhash_dedup,
+        op8_language_id,
         op9_bpe,
         op10_secret_scan,
     )
