@@ -1,0 +1,54 @@
+from collections import Counter, defaultdict
+
+from pyspark.sql import functions as F
+
+from roadlake.llm.lines import BLANK, drop_boilerplate
+
+SCHEMA = "doc_id long, host string, text string, hit_page string, HIT_KEYS int"
+
+
+def plain(rows, max_ratio, min_pages, max_loss=1.0):
+    pages, counts = Counter(), defaultdict(Counter)
+    for _, host, text in rows:
+        pages[host or ""] += 1
+        counts[host or ""].update({l.strip(BLANK) for l in (text or "").split("\n")} - {""})
+    out = []
+    for i, host, text in rows:
+        host = host or ""
+        bad = {l for l, n in counts[host].items() if n >= min_pages and n > max_ratio * pages[host]}
+        lines = (text or "").split("\n")
+        kept = [l for l in lines if l.strip(BLANK) not in bad]
+        size = lambda part: sum(map(len, part))
+        drops = i is not None and len(kept) < len(lines) and size(kept) >= (1 - max_loss) * size(lines)
+        out.append((i, "\n".join(kept) if drops else text))
+    return sorted(out, key=repr)
+
+
+ROWS = (
+    [(i, "a", f"Menu\nown {i}\n  Menu\t\nfoot") for i in range(20)]
+    + [(100 + i, "a", f"other {i}\n\nlast") for i in range(40)]
+    + [(200 + i, "b", "Menu\nsame page") for i in range(6)]
+    + [(300, None, "alone"), (301, None, None), (302, "a", ""), (None, "a", "Menu\nx"), (0, "a", "Menu\nown 0\n  Menu\t\nfoot")]
+)
+
+
+def run(spark, rows, **options):
+    frame = spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA)
+    out = drop_boilerplate(frame, F.col("host"), **options)
+    assert out.columns == frame.columns
+    return sorted(((r.doc_id, r.text) for r in out.collect()), key=repr)
+
+
+def test_matches_a_plain_version(spark):
+    for ratio, least, loss in ((0.1, 5, 1.0), (0.5, 5, 1.0), (0.1, 5, 0.5), (0.0, 1, 1.0)):
+        assert run(spark, ROWS, max_ratio=ratio, min_pages=least, max_loss=loss) == plain(ROWS, ratio, least, loss)
+
+
+def test_copies_are_left_to_another_stage(spark):
+    copies = [(i, "a", "first line\nsecond line") for i in range(30)]
+    assert all(text == "" for _, text in run(spark, copies))
+    assert all(text == "first line\nsecond line" for _, text in run(spark, copies, max_loss=0.5))
+
+
+def test_empty_table(spark):
+    assert run(spark, []) == []

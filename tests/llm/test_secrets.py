@@ -1,0 +1,94 @@
+import re
+
+from hypothesis import HealthCheck, given, settings, strategies as st
+
+from roadlake.llm.secrets import BASE_RULES, RULES, Rule, digest, find_secrets, mask_secrets, read_ledger
+
+SCHEMA = "doc_id long, text string, found string, Found_In int"
+# The contract's patterns, with the length test after the match.
+CONTRACT = [
+    ("assign", r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A, 2, 8),
+    ("access", r"AKIA[A-Z0-9]+", 0, 0, 16),
+    ("hex", r"[0-9a-f]+", 0, 0, 32),
+]
+HEX = "0123456789abcdef" * 2
+TEXTS = [
+    None, "", "nothing here", "password=abcdefgh", "PassWord : 'abcdefg", "password: secret: abcdefgh12", "token=password=12345678 x",
+    "api_key='AKIAABCDEFGHIJKL' apikey:\"x\" APIKEY=abc.def-123=", f"é漢😀 {HEX} {HEX}0a {HEX[:31]} AKIA1 AKIAAKIA1234567890",
+    "secret  =  " + HEX, "passwd==========", "a" * 5000 + " password=" + "b" * 3000, "password=abcdefgh" * 50,
+    "AKIA" + "A" * 11, "AKIA" + "A" * 12, "x" + HEX + "y" + HEX.upper(),
+]
+
+
+def plain(text):
+    spans = []
+    for rank, (kind, pattern, flags, group, least) in enumerate(CONTRACT):
+        found = [m for m in re.finditer(pattern, text or "", flags) if len(m[group]) >= least]
+        spans += [(m.start(), rank, m.end(), kind) for m in found]
+    return sorted(spans)
+
+
+def run(spark, texts, **options):
+    frame = spark.createDataFrame([(i, t, "x", 2) for i, t in enumerate(texts)], SCHEMA)
+    return {r.doc_id: [tuple(s) for s in r.found] for r in find_secrets(frame, **options).collect()}
+
+
+def test_base_spans_match_the_contract(spark):
+    got = run(spark, TEXTS, rules=BASE_RULES)
+    assert got == {i: plain(t) for i, t in enumerate(TEXTS)}
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.lists(st.sampled_from(["password", "token", "=", ":", " ", "'", "abcdefgh", "12", "AKIA", HEX, "é", "\n", "Z9"])), max_size=30))
+def test_base_spans_match_on_random_texts(spark, parts):
+    texts = ["".join(p) for p in parts]
+    assert run(spark, texts, rules=BASE_RULES) == {i: plain(t) for i, t in enumerate(texts)}
+
+
+def test_digest_keeps_base_spans_beside_others(spark):
+    text = f"-----BEGIN RSA PRIVATE KEY----- token=ghp_{'a' * 36}"
+    frame = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    row = digest(find_secrets(frame)).first()
+    assert (row.n_assign, row.n_access, row.n_hex) == (1, 0, 1)
+    assert [s.split(":")[0] for s in row.spans.split(",")] == ["private_key", "assign", "forge_token", "hex"]
+
+
+def test_repeated_rows_and_null_ids_are_answered_each(spark):
+    frame = spark.createDataFrame([(1, "token=12345678")] * 3 + [(None, "token=12345678")], "doc_id long, text string")
+    rows = find_secrets(frame).collect()
+    assert len(rows) == 4 and all(len(r.found) == 1 for r in rows)
+    assert find_secrets(frame.limit(0)).count() == 0
+
+
+def test_ledger_scans_only_what_is_new(spark, folder):
+    first = spark.createDataFrame([(1, "token=12345678"), (2, "clean"), (3, "clean")], "doc_id long, text string")
+    find_secrets(first, folder, rules=RULES).collect()
+    assert read_ledger(spark, folder).count() == 2 * len(RULES)
+    more = first.union(spark.createDataFrame([(4, "passwd=87654321"), (5, "clean")], "doc_id long, text string"))
+    found = {r.doc_id: len(r.found) for r in find_secrets(more, folder).collect()}
+    assert found == {1: 1, 2: 0, 3: 0, 4: 1, 5: 0}
+    assert read_ledger(spark, folder).count() == 3 * len(RULES)
+    # A new version of one rule is applied to every blob, the others are not applied again.
+    newer = (Rule("assign", "clean", version=2), *RULES[1:])
+    found = {r.doc_id: len(r.found) for r in find_secrets(more, folder, rules=newer).collect()}
+    assert found == {1: 0, 2: 1, 3: 1, 4: 0, 5: 1}
+    assert read_ledger(spark, folder).count() == 3 * len(RULES) + 3
+
+
+def test_mask_replaces_every_span(spark):
+    frame = spark.createDataFrame([(i, t, "x", 2) for i, t in enumerate(TEXTS)], SCHEMA)
+    out = mask_secrets(frame, "#")
+    assert out.columns == frame.columns
+    for row in out.collect():
+        text, want, at = TEXTS[row.doc_id], "", 0
+        for start, _, stop, _ in plain(text):
+            if start >= at:
+                want += text[at:start] + "#"
+            at = max(at, stop)
+        assert row.text == (text if text is None else want + text[at:])
+
+
+def test_no_python_on_the_way(spark):
+    frame = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    plan = digest(find_secrets(frame))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
