@@ -17,9 +17,9 @@ BIKE_NAMES = [
 ]
 STATE_CODES = ["MH", "DL", "KA", "TN", "GJ", "RJ", "UP", "MP", "WB", "PB", "HR", "CG"]
 DISTRICT_CODES = ["01", "02", "03", "04", "05", "06", "07", "08", "09", "10", "12", "14", "20"]
-VEHICLE_ID_PATTERN = "^V[1-9][0-9]{3}$"
-PLATE_PATTERN = f"^({'|'.join(STATE_CODES)}) ({'|'.join(DISTRICT_CODES)}) [A-Z]{{2}} [1-9][0-9]{{3}}$"
-PHONE_PATTERN = "^[789][0-9]{8}$"
+VEHICLE_ID_PATTERN = r"^V[1-9][0-9]{3}\z"
+PLATE_PATTERN = rf"^({'|'.join(STATE_CODES)}) ({'|'.join(DISTRICT_CODES)}) [A-Z]{{2}} [1-9][0-9]{{3}}\z"
+PHONE_PATTERN = r"^[789][0-9]{8}\z"
 RANGES = {
     "speed": (20.0, 200.0),
     "location_lat": (18.5, 19.0),

@@ -7,11 +7,11 @@ from functools import reduce
 from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import BinaryType, StringType
+from pyspark.sql.types import BinaryType, DoubleType, FloatType, StringType
 
 
 def dedupe_latest(df: DataFrame, keys: Sequence[str], latest_by: Sequence[str]) -> DataFrame:
-    """Keep the row with the greatest ``latest_by`` per key; a null counts as least.
+    """Keep the row with the greatest ``latest_by`` per key; a null or NaN counts as least.
 
     Ties go to the greatest remaining columns, in column order, so the outcome does not depend
     on row order. Rows with a null in the key equal no other row and are all kept.
@@ -24,8 +24,16 @@ def dedupe_latest(df: DataFrame, keys: Sequence[str], latest_by: Sequence[str])
     order = [c for c in latest_by if c not in keys] + rest
     # A row without a complete key gets a number of its own, so it stays alone in its group.
     numbered = df.withColumn("_alone", F.when(~complete(keys), F.monotonically_increasing_id()))
-    latest = numbered.groupBy(*keys, "_alone").agg(F.max(F.struct(*order)).alias("_row"))
-    return latest.select(*keys, "_row.*").select(*df.columns)
+    ranked = [recency(df, c).alias(f"_by_{i}") for i, c in enumerate(latest_by) if c not in keys]
+    latest = numbered.groupBy(*keys, "_alone").agg(F.max(F.struct(*ranked, *order)).alias("_row"))
+    return latest.select(*keys, *[F.col("_row")[c].alias(c) for c in order]).select(*df.columns)
+
+
+def recency(df: DataFrame, column: str) -> Column:
+    """A column as it is ordered: NaN, which sorts above every number, counts as null."""
+    if isinstance(df.schema[column].dataType, (DoubleType, FloatType)):
+        return F.nanvl(column, F.lit(None).cast(df.schema[column].dataType))
+    return F.col(column)
 
 
 def fixed_width_first(df: DataFrame, keys: Sequence[str]) -> list[str]:

@@ -21,12 +21,14 @@ def time_range(df: DataFrame, start: dt.datetime, end: dt.datetime, column: str
     """Rows with ``start <= column < end``; times without a zone are UTC.
 
     A filter on the timestamp alone cannot skip folders, so the matching bounds on the
-    partition date are added.
+    partition date are added; rows of a folder without a full date are looked at as well.
     """
     start, end = _as_utc(start), _as_utc(end)
     at = F.col(column)
     inside = df.where((at >= _instant(start)) & (at < _instant(end)))
-    return on_days(inside, start.date(), end.date())
+    day = F.make_date("year", "month", "day")
+    # Folders without a full date may hold any time.
+    return inside.where(day.isNull() | ((day >= F.lit(start.date())) & (day <= F.lit(end.date()))))
 
 
 def _as_utc(time: dt.datetime) -> dt.datetime:

@@ -7,7 +7,7 @@ touches and leaves every other file alone.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
@@ -15,19 +15,21 @@ from pyspark.sql.types import StructType
 
 from roadlake.functions.event_time import add_date_parts
 from roadlake.operators.columns import conform
-from roadlake.operators.dedupe import complete, dedupe_latest, fixed_width_first, split_on_null
+from roadlake.operators.dedupe import dedupe_latest, fixed_width_first, split_on_null
 from roadlake.schema import KEY_COLS, PARTITION_COLS, TARGET_SCHEMA
 from roadlake.session import no_rows
 from roadlake.sources.processed import read_parquet_or_empty
 
-# Touched partitions listed on the driver at most; beyond it they are joined as a table.
+# Touched partitions that one merge reads and writes at most; a source that touches more is merged slice by slice.
 LISTED_PARTITIONS = 1000
-# Up to this many touched partitions, tasks write straight from the join.
+# Up to this many touched partitions, tasks write straight from the join. A parameter of file layout only.
 DIRECT_PARTITIONS = 4
 # Source keys are broadcast up to this measured size.
 BROADCAST_BYTES = 32 * 1024 * 1024
 
 _FRESH = "_fresh"
+# The key column that partitions follow from.
+EVENT_TIME = "event_time"
 
 
 class Upserted(NamedTuple):
@@ -64,100 +66,108 @@ def upsert(
     schema: StructType = TARGET_SCHEMA,
     journal: str | None = None,
     on_unkeyed: Callable[[DataFrame], None] | None = None,
+    keep_newer: bool = False,
 ) -> Upserted:
     """Merge ``source`` into the table at ``path``: replace rows with an equal key, add the rest.
 
     A replaced row takes every non-key column from the source, nulls included. Of several source
-    rows with one key the latest wins. Running the same upsert twice is the same as running it
-    once, but for rows with a null in the key: it equals nothing, so they are added each time.
-    With ``on_unkeyed`` such rows, if there are any, are handed to it and not merged.
+    rows with one key the latest wins. The source replaces whatever the table holds, as MERGE does; with
+    ``keep_newer`` a row of the table stays that is later by ``latest_by``, so that loads may come in any order.
+    Running the same upsert twice is the same as running it once, but for rows with a null in the key: it
+    equals nothing, so they are added each time. With ``on_unkeyed`` such rows, if there are any, are handed to
+    it and not merged. ``keys`` must hold ``event_time``, or a key could lie in several partitions.
 
     One writer per table: plain Parquet has no transactions. Losing executors is harmless, but a
     driver lost while it swaps partition folders could leave one without its old rows. With a
     ``journal`` folder the merged partitions are kept there until the swap is over, and the
     next upsert finishes an interrupted one first; pass the same folder every time.
     """
+    if EVENT_TIME not in keys:
+        raise ValueError(f"{EVENT_TIME} must be part of the key: it gives the partition")
     spark = source.sparkSession
     if journal is not None:
         finish_interrupted(spark, journal, schema)
     create_target(spark, path, schema)
     incoming = add_date_parts(conform(source, schema, required=keys)).select(*schema.names)
 
-    touch = _touch(incoming, keys)
-    if on_unkeyed is not None and touch.unkeyed != 0:
+    if on_unkeyed is not None:
         incoming, unkeyed = split_on_null(incoming, keys)
-        if touch.unkeyed or not unkeyed.isEmpty():
+        if not unkeyed.isEmpty():
             on_unkeyed(unkeyed)
-        touch = touch.keyed_only()
-    if touch.days == []:
-        return Upserted(0, 0)
-    counts = Observation()
-    merged = merge(incoming, read_target(spark, path, schema), keys, latest_by, touch).observe(
-        counts, F.count_if(_FRESH).alias("from_source"), F.count_if(~F.col(_FRESH)).alias("carried_over")
-    ).drop(_FRESH)
-
-    if journal is None:
-        _swap_partitions(merged, path)
-    else:
-        # Static even where the cluster's default is not: nothing of an earlier run may stay.
-        pending = merged.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        pending.partitionBy(*PARTITION_COLS).parquet(_pending(journal))
-        _note(spark, journal, path)
-        finish_interrupted(spark, journal, schema)
-    return Upserted(**counts.get)
+    done = Upserted(0, 0)
+    for touch in _touched_slices(incoming, keys):
+        # A slice's own rows; one slice has them all.
+        part = incoming if touch.whole else incoming.where(_folder(incoming).isin(touch.days))
+        counts = Observation()
+        merged = merge(part, read_target(spark, path, schema), keys, latest_by, touch, keep_newer).observe(
+            counts, F.count_if(_FRESH).alias("from_source"), F.count_if(~F.col(_FRESH)).alias("carried_over")
+        ).drop(_FRESH)
+
+        if journal is None:
+            _swap_partitions(merged, path)
+        else:
+            # Static even where the cluster's default is not: nothing of an earlier run may stay.
+            pending = merged.write.mode("overwrite").option("partitionOverwriteMode", "static")
+            pending.partitionBy(*PARTITION_COLS).parquet(_pending(journal))
+            _note(spark, journal, path)
+            finish_interrupted(spark, journal, schema)
+        done = Upserted(done.from_source + counts.get["from_source"], done.carried_over + counts.get["carried_over"])
+    return done
 
 
 class Touch(NamedTuple):
-    """What a source touches; all None when that is too many partitions to list."""
+    """Partitions that a source, or a slice of it, touches."""
 
-    days: list[str] | None  # as year/month/day
-    keyed_days: list[str] | None
-    key_bytes: int | None
-    unkeyed: int | None
+    days: list[str]  # as year/month/day
+    key_bytes: int
+    whole: bool
 
-    def keyed_only(self) -> Touch:
-        return self._replace(days=self.keyed_days)
 
-
-def _touch(incoming: DataFrame, keys: Sequence[str]) -> Touch:
-    """Measure the source in one pass over its keys; what reaches the driver is bounded."""
+def _touched_slices(incoming: DataFrame, keys: Sequence[str]) -> Iterator[Touch]:
+    """Measure the source in one pass over its keys; the driver holds one slice of partitions at a time."""
     key_bytes = F.lit(32)
     for k in keys:
         key_bytes = key_bytes + F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0))
-    per_day = incoming.groupBy(_folder(incoming).alias("day")).agg(
-        F.sum(key_bytes).alias("key_bytes"),
-        F.count_if(complete(keys)).alias("keyed"),
-        F.count_if(~complete(keys)).alias("unkeyed"),
-    )
-    listed = per_day.limit(LISTED_PARTITIONS + 1).collect()
-    if len(listed) > LISTED_PARTITIONS:
-        return Touch(None, None, None, None)
-    return Touch(
-        days=[r.day for r in listed],
-        keyed_days=[r.day for r in listed if r.keyed],
-        key_bytes=sum(r.key_bytes for r in listed),
-        unkeyed=sum(r.unkeyed for r in listed),
-    )
+    day = _folder(incoming).alias("day")
+    per_day = incoming.groupBy(day).agg(F.sum(key_bytes).alias("key_bytes"))
+    last: str | None = None
+    while True:
+        beyond = per_day if last is None else per_day.where(F.col("day") > last)
+        listed = beyond.orderBy("day").limit(LISTED_PARTITIONS + 1).collect()
+        some, more = listed[:LISTED_PARTITIONS], len(listed) > LISTED_PARTITIONS
+        if some:
+            whole = last is None and not more
+            yield Touch([r.day for r in some], sum(r.key_bytes for r in some), whole)
+        if not more:
+            return
+        last = some[-1].day
 
 
 def merge(
-    incoming: DataFrame, target: DataFrame, keys: Sequence[str], latest_by: Sequence[str], touch: Touch
+    incoming: DataFrame, target: DataFrame, keys: Sequence[str], latest_by: Sequence[str], touch: Touch, keep_newer: bool = False
 ) -> DataFrame:
     """New contents of the partitions that ``incoming`` touches, with a flag ``_fresh``."""
-    fresh = dedupe_latest(incoming, keys, latest_by).withColumn(_FRESH, F.lit(True))
-    if touch.days is not None:
-        current = target.where(_folder(target).isin(touch.days))
-        # New days need no join; one look at their (absent) files tells.
-        merged = fresh if current.isEmpty() else fresh.unionByName(_unmatched(current, incoming, keys, touch))
+    fresh = dedupe_latest(incoming, keys, latest_by)
+    current = target.where(_folder(target).isin(touch.days))
+    # New days need no join; one look at their (absent) files tells.
+    if current.isEmpty():
+        merged = fresh.withColumn(_FRESH, F.lit(True))
+    elif keep_newer:
+        merged = _latest_of_both(fresh, current, keys, latest_by)
     else:
-        days = incoming.select(_folder(incoming).alias("_day")).distinct()
-        current = target.join(days, _folder(target) == F.col("_day"), "left_semi")
-        merged = fresh.unionByName(_unmatched(current, incoming, keys, touch))
+        merged = fresh.withColumn(_FRESH, F.lit(True)).unionByName(_unmatched(current, incoming, keys, touch))
     # Tasks of the join hold rows of every day. With few days, writing from there makes a file
     # per task and day of a good size; with many, rows are first brought together by day.
-    if touch.days is not None and len(touch.days) <= DIRECT_PARTITIONS:
-        return merged
-    return merged.hint("rebalance", *PARTITION_COLS)
+    return merged if len(touch.days) <= DIRECT_PARTITIONS else merged.hint("rebalance", *PARTITION_COLS)
+
+
+def _latest_of_both(fresh: DataFrame, current: DataFrame, keys: Sequence[str], latest_by: Sequence[str]) -> DataFrame:
+    """Per key the later of the source's and the table's row; rows without a key all stay.
+
+    Ties go to the greatest remaining columns as within a source, so the outcome depends on no order of loads.
+    """
+    both = fresh.withColumn(_FRESH, F.lit(True)).unionByName(current.withColumn(_FRESH, F.lit(False)))
+    return dedupe_latest(both, keys, latest_by)
 
 
 def _unmatched(current: DataFrame, incoming: DataFrame, keys: Sequence[str], touch: Touch) -> DataFrame:
@@ -167,7 +177,7 @@ def _unmatched(current: DataFrame, incoming: DataFrame, keys: Sequence[str], tou
     per map task. When they are measured to be small, the target is not shuffled at all.
     """
     matched = incoming.select(*keys).distinct()
-    if touch.key_bytes is not None and touch.key_bytes <= BROADCAST_BYTES:
+    if touch.key_bytes <= BROADCAST_BYTES:
         matched = F.broadcast(matched)
     kept = current.join(matched, fixed_width_first(current, keys), "left_anti").select(*current.columns)
     return kept.withColumn(_FRESH, F.lit(False))

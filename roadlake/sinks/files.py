@@ -1,4 +1,4 @@
-"""Partitioned file writes that a repeated micro-batch does not duplicate."""
+"""Partitioned file writes that a repeated micro-batch neither duplicates nor changes."""
 
 from __future__ import annotations
 
@@ -6,12 +6,14 @@ import uuid
 from collections.abc import Mapping
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from roadlake.functions.event_time import add_date_parts, utc_date
 from roadlake.schema import EVENT_COLS, PARTITION_COLS, PROCESSED_SCHEMA
 
 BATCH_COL = "batch"
+# Readers pass over names that begin with an underscore.
+STAGING = "_staging"
 LEFT_OUT = "left_out"
 # Fixed value: rows per raw file.
 ROWS_PER_RAW_FILE = 100
@@ -48,7 +50,7 @@ def write_files(
     Rows are gathered by ``gather_by`` (the partition columns unless given) so that a folder gets
     few files; the rebalance hint lets AQE cut a folder that holds much of the data into several
     tasks. With an empty list every task writes the rows it has. ``append`` adds files;
-    ``overwrite`` replaces the partitions that occur in the rows.
+    ``overwrite`` replaces the whole tree.
 
     Counts come from the write itself. Rows to leave out are few and cross the exchange with
     the others, so that one pass counts both kinds.
@@ -61,7 +63,7 @@ def write_files(
     counts = Observation()
     counted = df.observe(counts, F.count_if(~F.col(LEFT_OUT)).alias("rows"), F.count_if(LEFT_OUT).alias("left_out"))
     rows = counted.where(~F.col(LEFT_OUT)).drop(LEFT_OUT)
-    writer = rows.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols)
+    writer = rows.write.mode(mode).option("partitionOverwriteMode", "static").partitionBy(*partition_cols)
     writer.options(**(options or {})).format(file_format).save(path)
     return Written(**counts.get)
 
@@ -78,14 +80,39 @@ def write_batch(
 ) -> Written:
     """Write ``columns`` into ``batch=<tag>`` folders below the partition folders.
 
-    Writing the same tag again replaces exactly those folders. Without a tag the rows get one of
-    their own, so that every tree has the same depth however it was filled.
+    A tag's folder is final once it can be seen: the rows are written aside and each complete folder is moved into
+    place, and writing the same tag again leaves the folders that are there alone. So a reader that follows the
+    tree sees every file once, whenever a batch is cut off and repeated. Without a tag the rows get one
+    of their own, so that every tree has the same depth however it was filled.
     """
     chosen = df.select(*columns, *[c for c in df.columns if c == LEFT_OUT])
     tagged = chosen.withColumn(BATCH_COL, F.lit(uuid.uuid4().hex if tag is None else tag))
     gather_by = partition_cols if gather_by is None else gather_by
-    mode = "append" if tag is None else "overwrite"
-    return write_files(tagged, path, file_format, [*partition_cols, BATCH_COL], gather_by, options, mode)
+    folders = [*partition_cols, BATCH_COL]
+    if tag is None:
+        return write_files(tagged, path, file_format, folders, gather_by, options)
+    aside = f"{path}/{STAGING}/{tag}"
+    done = write_files(tagged, aside, file_format, folders, gather_by, options, "overwrite")
+    _publish(df.sparkSession, aside, path, len(folders))
+    return done
+
+
+def _publish(spark: SparkSession, aside: str, path: str, depth: int) -> None:
+    """Move the folders ``depth`` levels below ``aside`` to the same place below ``path``, but for those already there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path
+    source = folder(aside)
+    fs = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    places = [""]
+    for _ in range(depth):
+        found = [(p, s.getPath().getName()) for p in places for s in fs.listStatus(folder(f"{aside}{p}")) if s.isDirectory()]
+        places = [f"{p}/{name}" for p, name in found if "=" in name]
+    for place in places:
+        target = folder(f"{path}{place}")
+        if not fs.exists(target):
+            fs.mkdirs(target.getParent())
+            if not fs.rename(folder(f"{aside}{place}"), target):
+                raise OSError(f"{aside}{place} could not be moved to {target}")
+    fs.delete(source, True)
 
 
 def write_raw(
@@ -103,7 +130,9 @@ def write_raw(
         "month": F.date_format(date, "MM"),
         "day": F.date_format(date, "dd"),
     })
-    options = {"header": "true", "maxRecordsPerFile": str(rows_per_file)}
+    # Names keep their outer spaces; a field with a line break is quoted.
+    spaces = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    options = {"header": "true", "maxRecordsPerFile": str(rows_per_file), **spaces}
     return write_batch(
         dated, root, "csv", tag, EVENT_COLS + PARTITION_COLS, gather_by=gather_by, options=options
     )

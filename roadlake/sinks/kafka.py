@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming.query import StreamingQuery
 
 from roadlake.functions.records import encode_events
+from roadlake.schema import EVENT_COLS
 from roadlake.sources.kafka import TOPIC
 
 
-def write_kafka(df: DataFrame, servers: str, topic: str = TOPIC) -> None:
-    """Send a bounded frame, one JSON value per row, without keys."""
-    encode_events(df).write.format("kafka").options(**sink_options(servers, topic)).save()
+def write_kafka(df: DataFrame, servers: str, topic: str = TOPIC, columns: list[str] = EVENT_COLS) -> None:
+    """Send ``columns`` of a bounded frame, one JSON value per row, without keys."""
+    encode_events(df, columns).write.format("kafka").options(**sink_options(servers, topic)).save()
 
 
 def stream_to_kafka(df: DataFrame, servers: str, checkpoint: str, topic: str = TOPIC) -> StreamingQuery:

@@ -8,7 +8,7 @@ from pyspark.sql.types import StructType
 
 from roadlake.schema import PARTITION_COLS, PROCESSED_SCHEMA
 from roadlake.session import no_rows
-from roadlake.sources.raw import per_trigger
+from roadlake.sources.raw import ANY_AGE, per_trigger
 
 
 def _parquet(spark: SparkSession, root: str, schema: StructType, **options: str) -> DataFrame | None:
@@ -49,15 +49,14 @@ def read_processed_any_layout(spark: SparkSession, root: str, schema: StructType
 def processed_stream(
     spark: SparkSession, root: str, max_files: int | None = None, max_bytes: int | None = None
 ) -> DataFrame:
-    """New processed files only, at any depth.
+    """New processed files only, at any depth and of any age.
 
-    A replayed upstream batch swaps its files for new ones; the old names may already be
-    scheduled here, so missing files are passed over and their replacements read instead.
+    Files of this tree are final, so each is read once.
     """
     reader = spark.readStream.schema(_in_file(PROCESSED_SCHEMA)).options(
         pathGlobFilter="*.parquet",
         recursiveFileLookup="true",
-        ignoreMissingFiles="true",
+        **ANY_AGE,
         **per_trigger(max_files, max_bytes),
     )
     return _with_path_parts(reader.parquet(root), PROCESSED_SCHEMA)

@@ -21,7 +21,11 @@ _OPTIONS = {
     "mode": "PERMISSIVE",
     "columnNameOfCorruptRecord": CORRUPT,
     "pathGlobFilter": "*.csv",
+    # A value may hold a line break, so a file is read by one task; writers bound its rows.
+    "multiLine": "true",
 }
+# A file of any age is read: the default passes over those a week older than the newest.
+ANY_AGE = {"maxFileAge": "36500d"}
 _SCHEMA = StructType([*EVENT_SCHEMA.fields]).add(CORRUPT, "string")
 
 
@@ -32,10 +36,11 @@ def raw_stream(
 
     A micro-batch takes ``max_files`` files, or files of ``max_bytes`` in all where that is given
     (the better bound when files differ in size). The root is watched, not one day's folder, so a
-    new day needs no restart, and files may sit at any depth. Pass ``cleanSource`` and
-    ``sourceArchiveDir`` to keep the listing short on long runs.
+    new day needs no restart, and files may sit at any depth. Files of any age are taken, so the query
+    remembers every name it has seen; pass ``cleanSource`` and ``sourceArchiveDir`` to keep the listing short on
+    long runs. An empty string reads back as null, as CSV does not tell them apart here.
     """
-    reader = spark.readStream.schema(_SCHEMA).options(**_OPTIONS, **per_trigger(max_files, max_bytes))
+    reader = spark.readStream.schema(_SCHEMA).options(**_OPTIONS, **ANY_AGE, **per_trigger(max_files, max_bytes))
     reader = reader.option("recursiveFileLookup", "true")
     return reader.options(**options).csv(root).select(*EVENT_COLS, CORRUPT)
 

@@ -5,8 +5,11 @@ enrich: raw CSV -> processed Parquet by event date
 load:   processed Parquet -> keyed target table
 
 Every job keeps its progress in a checkpoint that is committed after the sink has written, and
-every sink gives the same result when a batch is repeated, so a restart neither loses nor
-doubles rows. Rows that cannot be used go to the quarantine tree, never away.
+what a batch has written is final, so a restart neither loses nor doubles rows, in this stage or the next.
+Of events with one key the latest ``timestamp`` wins, in whatever order they are loaded. Rows that
+cannot be used go to the quarantine tree, never away.
+
+    alerts: raw CSV -> fined events as JSON lines, or to a topic
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from roadlake.functions.event_time import add_event_time, coerce_times, stamp
 from roadlake.functions.measures import nan_to_null
 from roadlake.functions.records import decode_events
-from roadlake.operators.alerts import preview
+from roadlake.operators.alerts import overspeed_alerts, preview
 from roadlake.operators.quality import split_decoded, with_violations
 from roadlake.operators.upsert import Upserted, create_target, stage, upsert
 from roadlake.schema import PARTITION_COLS, PROCESSED_SCHEMA
@@ -30,17 +33,23 @@ from roadlake.sinks.files import (
     LEFT_OUT,
     ROWS_PER_RAW_FILE,
     batch_tag,
+    write_batch,
     write_processed,
     write_quarantine,
     write_raw,
 )
+from roadlake.sinks.kafka import write_kafka
 from roadlake.sources.processed import processed_stream, read_processed_any_layout
 from roadlake.sources.raw import CORRUPT, FILES_PER_TRIGGER, raw_stream
 
 log = logging.getLogger(__name__)
 
-# Fixed value: the pause between micro-batches of a continuous run.
+# The pause between micro-batches of a continuous run, and between loads of the target.
 TRIGGER = "1 minute"
+LOAD_TRIGGER = "1 hour"
+ALERT_TOPIC = "vehicle-alerts"
+# What an alert file carries beside the alert's own fields.
+ALERT_KEEP = ("event_time", *PARTITION_COLS)
 
 
 @dataclass(frozen=True)
@@ -61,6 +70,10 @@ class Layout:
     def target(self) -> str:
         return f"{self.root}/target/vehicle_data"
 
+    @property
+    def alerts(self) -> str:
+        return f"{self.root}/alerts"
+
     @property
     def quarantine(self) -> str:
         return f"{self.root}/quarantine"
@@ -145,14 +158,43 @@ def start_enrich(
     return _start(enriched, write, layout.checkpoint("enrich"), trigger)
 
 
-def start_load(
+def start_alerts(
     spark: SparkSession,
     layout: Layout,
     trigger: str | None = TRIGGER,
+    max_files: int = FILES_PER_TRIGGER,
+    max_bytes: int | None = None,
+    servers: str | None = None,
+    topic: str = ALERT_TOPIC,
+) -> StreamingQuery:
+    """Write an alert for every fined raw event, as JSON lines by event date or, given ``servers``, to a topic.
+
+    Files are written once; a topic gets the alerts of a repeated batch again.
+    """
+    layout.create(prepare(spark))
+    alerts = overspeed_alerts(add_event_time(raw_stream(spark, layout.raw, max_files, max_bytes)), ALERT_KEEP)
+
+    def write(batch: DataFrame, tag: str) -> None:
+        if servers is not None:
+            write_kafka(batch, servers, topic, batch.columns)
+        else:
+            log.info("alerts %s: %s", tag, write_batch(batch, layout.alerts, "json", tag, batch.columns))
+
+    return _start(alerts, write, layout.checkpoint("alerts"), trigger)
+
+
+def start_load(
+    spark: SparkSession,
+    layout: Layout,
+    trigger: str | None = LOAD_TRIGGER,
     max_files: int | None = None,
     max_bytes: int | None = None,
 ) -> StreamingQuery:
-    """Merge processed files into the target as they appear."""
+    """Merge processed files into the target as they appear.
+
+    Each load reads and writes the touched days whole, twice with the journal, however few rows are new, so loads are
+    made less often than the other jobs' batches.
+    """
     layout.create(prepare(spark))
     loadable = load_frame(processed_stream(spark, layout.processed, max_files, max_bytes), F.current_timestamp())
 
@@ -175,7 +217,7 @@ def _merge_keyed(rows: DataFrame, layout: Layout, tag: str) -> Upserted:
     def set_aside(unkeyed: DataFrame) -> None:
         write_quarantine(unkeyed, layout.quarantine, "load", tag)
 
-    return upsert(rows, layout.target, journal=layout.journal, on_unkeyed=set_aside)
+    return upsert(rows, layout.target, journal=layout.journal, on_unkeyed=set_aside, keep_newer=True)
 
 
 def load_frame(processed: DataFrame, run_time: Column) -> DataFrame:
@@ -193,11 +235,13 @@ def run_available(
     rows_per_file: int = ROWS_PER_RAW_FILE,
     max_files: int = FILES_PER_TRIGGER,
     max_bytes: int | None = None,
+    precision: str = "second",
+    enforce_contract: bool = False,
 ) -> None:
     """One bounded run of all stages over whatever is new, each picking up where it last ended."""
     if messages is not None:
         start_ingest(messages, layout, None, rows_per_file).awaitTermination()
-    start_enrich(spark, layout, None, max_files, max_bytes).awaitTermination()
+    start_enrich(spark, layout, None, max_files, max_bytes, precision, enforce_contract).awaitTermination()
     start_load(spark, layout, None, max_bytes=max_bytes).awaitTermination()
 
 

@@ -140,6 +140,8 @@ def test_well_formed_event_breaks_no_rule(spark):
     ({"location_lat": 19.1}, ["location_lat"]),
     ({"location_lon": 73.69}, ["location_lon"]),
     ({"user_id": 1001}, ["user_id"]),
+    ({"vehicle_id": "V1001\n"}, ["vehicle_id"]),
+    ({"phone_number": "912345678\n"}, ["phone_number"]),
     ({"car_life_years": 0}, ["car_life_years"]),
     ({"price_of_vechical": 99999.99}, ["price_of_vechical"]),
     ({"timestamp": NAN}, ["timestamp"]),

@@ -6,7 +6,7 @@ import pytest
 from pyspark.errors import AnalysisException
 
 from conftest import event
-from roadlake.functions.records import decode_events, encode_events
+from roadlake.functions.records import decode_events, encode_events, unknown_fields
 from roadlake.operators.quality import split_decoded, split_keyed, split_quality
 from roadlake.schema import EVENT_COLS, EVENT_SCHEMA
 from roadlake.sinks.kafka import sink_options, write_kafka
@@ -47,6 +47,10 @@ def test_nulls_are_written_out(spark):
     (b"null", "malformed_json"),
     (b"", "malformed_json"),
     (b'{"speed":1.0} trailing', "malformed_json"),
+    (b'{"vehicle_id":"V1"} {"vehicle_id":"V2"}', "malformed_json"),
+    (b'{"vehicle_id":"V1"},{"vehicle_id":"V2"}', "malformed_json"),
+    (b'{"vehicle_id":"V1"} junk}', "malformed_json"),
+    (b'{"vehicle_id":"}{"}', None),
     (b'\xff{"speed":1.0}', "invalid_utf8"),
     (None, "null_value"),
 ])
@@ -100,3 +104,9 @@ def test_topic_needs_the_connector(spark):
         kafka_stream(spark, "h:1")
     with pytest.raises(AnalysisException):
         write_kafka(spark.createDataFrame([event()], EVENT_SCHEMA), "h:1")
+
+
+def test_unknown_fields_are_named(spark):
+    rows = [('{"vehicle_id":"V1","colour":"red","speed":1}',), ("{}",), ("{bad",), (None,)]
+    got = spark.createDataFrame(rows, "value string").select(unknown_fields().alias("names")).collect()
+    assert [r.names for r in got] == [["colour"], [], None, None]

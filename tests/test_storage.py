@@ -139,11 +139,41 @@ def test_large_day_is_cut_into_several_files(spark, folder):
     assert files[1] >= 4 > files[2]
 
 
-def test_same_tag_replaces_and_other_tags_add(spark, folder):
+def test_a_tag_is_final_and_other_tags_add(spark, folder):
     df = add_event_time(events(spark, 10))
-    for tag in ("q-1", "q-1", "q-2"):
-        write_processed(df, folder, tag)
-    assert read_processed(spark, folder).count() == 20
+    write_processed(df, folder, "q-1")
+    before = sorted(glob.glob(f"{folder}/**/*.parquet", recursive=True))
+    for tag in ("q-1", "q-2"):
+        assert write_processed(df, folder, tag) == (10, 0)
+    after = sorted(glob.glob(f"{folder}/**/*.parquet", recursive=True))
+    assert read_processed(spark, folder).count() == 20 and set(before) < set(after)
+    assert not glob.glob(f"{folder}/_staging/*")
+
+
+def test_a_publication_cut_off_is_finished(spark, folder):
+    """Some folders of a tag are in place, others are not."""
+    df = add_event_time(events(spark, 3).union(events(spark, 3).withColumn("timestamp", F.lit(START + DAY).cast("double"))))
+    write_processed(df.where("day = 1"), folder, "q-1")
+    first = glob.glob(f"{folder}/**/*.parquet", recursive=True)
+    assert write_processed(df, folder, "q-1") == (6, 0)
+    assert read_processed(spark, folder).count() == 6 and set(first) < set(glob.glob(f"{folder}/**/*.parquet", recursive=True))
+
+
+NAMES = ["  Kia Seltos ", 'say "hi", he', "Kia\nSeltos", "a\r\nb", "\\", "\\\"", "tab\t", "ünï,", "'", "x" * 5000]
+
+
+def test_raw_text_comes_back_as_it_was(spark, folder):
+    df = spark.createDataFrame([event(f"V{i}", vehicle_name=n) for i, n in enumerate(NAMES)], EVENT_SCHEMA)
+    write_raw(df.withColumn("arrived", F.lit(at("2024-01-01"))), folder, rows_per_file=4)
+    for rows in (read_raw(spark, folder), streamed(raw_stream(spark, folder))):
+        got = {r.vehicle_id: (r.vehicle_name, r[CORRUPT]) for r in rows.collect()}
+        assert got == {f"V{i}": (n, None) for i, n in enumerate(NAMES)}
+
+
+def streamed(df):
+    query = df.writeStream.format("memory").queryName("streamed").trigger(availableNow=True).start()
+    query.awaitTermination()
+    return df.sparkSession.table("streamed")
 
 
 def test_left_out_rows_are_counted_not_written(spark, folder):
@@ -210,6 +240,14 @@ def test_time_range_prunes_and_is_half_open(spark, folder):
     assert "GreaterThanOrEqual(event_time" in plan_line(found, "PushedFilters")
 
 
+def test_time_range_looks_into_folders_without_a_full_date(spark, folder):
+    rows = add_event_time(events(spark, 4)).select(*PROCESSED_SCHEMA.names)
+    write_files(rows.where("vehicle_id < 'V1002'"), folder, "parquet", ["year", "month", "day"])
+    write_files(rows.where("vehicle_id >= 'V1002'"), folder, "parquet", ["year", "month"])
+    found = time_range(read_processed_any_layout(spark, folder), at("2024-01-01"), at("2024-01-02"))
+    assert found.count() == 4
+
+
 def test_time_range_takes_zoned_times(spark, folder):
     write_processed(add_event_time(events(spark, 3)), folder)
     zone = dt.timezone(dt.timedelta(hours=-5))

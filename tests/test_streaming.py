@@ -2,6 +2,8 @@
 
 import glob
 import json
+import os
+import time
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -17,7 +19,7 @@ from roadlake.sinks.files import batch_tag, write_processed, write_raw
 from roadlake.sources.processed import read_processed
 from roadlake.sources.raw import raw_stream, read_raw
 from roadlake.streaming import jobs
-from roadlake.streaming.jobs import Layout, load_full, run_available, start_enrich, start_ingest, start_load
+from roadlake.streaming.jobs import Layout, load_full, run_available, start_alerts, start_enrich, start_ingest, start_load
 from test_storage import START
 
 
@@ -125,7 +127,7 @@ def test_replayed_load_batch_is_not_doubled(spark, layout, monkeypatch):
     assert read_target(spark, layout.target).count() == 50
 
 
-def test_load_passes_over_files_an_upstream_replay_has_replaced(spark, layout, monkeypatch):
+def test_load_reads_files_once_though_an_upstream_batch_is_repeated(spark, layout, monkeypatch):
     df = add_event_time(rows(spark, 20))
     write_processed(df, layout.processed, "q-0")
     fail_after(monkeypatch, "stage", 1)
@@ -137,6 +139,53 @@ def test_load_passes_over_files_an_upstream_replay_has_replaced(spark, layout, m
     assert read_target(spark, layout.target).count() == 20
 
 
+def test_a_repeated_batch_does_not_double_the_next_stage(spark, layout, folder, monkeypatch):
+    """Ingest dies after its write, enrich runs, ingest repeats the batch, enrich runs again."""
+    source = f"{folder}/messages"
+    put_messages(spark, source, [r.value for r in encode_events(rows(spark, 20)).collect()])
+    fail_after(monkeypatch, "write_raw", 1)
+    with pytest.raises(StreamingQueryException):
+        start_ingest(messages(spark, source), layout, None).awaitTermination()
+    monkeypatch.undo()
+    drain(start_enrich(spark, layout, None))
+    drain(start_ingest(messages(spark, source), layout, None))
+    drain(start_enrich(spark, layout, None))
+    assert read_raw(spark, layout.raw).count() == 20
+    assert read_processed(spark, layout.processed).count() == 20
+
+
+def test_old_files_are_read_like_new_ones(spark, layout):
+    put_raw(rows(spark, 5), layout)
+    drain(start_enrich(spark, layout, None))
+    put_raw(rows(spark, 5, 5), layout)
+    known = {r.vehicle_id for r in read_processed(spark, layout.processed).collect()}
+    month_ago = time.time() - 30 * 86_400
+    for path in glob.glob(f"{layout.raw}/**/*.csv", recursive=True):
+        os.utime(path, (month_ago, month_ago))
+    put_raw(rows(spark, 5, 10), layout)
+    drain(start_enrich(spark, layout, None))
+    assert len(known) == 5 and read_processed(spark, layout.processed).count() == 15
+
+
+def test_the_latest_event_wins_in_any_order_of_loads(spark, layout):
+    late, early = rows(spark, 1, speed=90.0).withColumn("timestamp", F.lit(START + 0.9)), rows(spark, 1, speed=10.0)
+    for df in (late, early):
+        write_processed(add_event_time(df), layout.processed)
+        drain(start_load(spark, layout, None))
+    assert [r.speed for r in read_target(spark, layout.target).collect()] == [90.0]
+    load_full(spark, layout)
+    assert [r.speed for r in read_target(spark, layout.target).collect()] == [90.0]
+
+
+def test_alerts_job_writes_each_alert_once(spark, layout):
+    put_raw(rows(spark, 3).union(rows(spark, 2, 3, speed=160.0, fine=1000)), layout)
+    for _ in range(2):
+        drain(start_alerts(spark, layout, None))
+    alerts = spark.read.json(layout.alerts)
+    assert {r.vehicle_id for r in alerts.collect()} == {"V1003", "V1004"} and alerts.count() == 2
+    assert all("overspeeding" in r.message for r in alerts.collect())
+
+
 def test_new_day_folder_is_seen_by_the_next_run(spark, layout):
     put_raw(rows(spark, 5), layout, "2024-01-01")
     drain(start_enrich(spark, layout, None))

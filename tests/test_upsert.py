@@ -101,13 +101,13 @@ def test_untouched_days_keep_their_files(spark, folder):
 
 
 def touching(days):
-    return Touch(days=days, keyed_days=days, key_bytes=100, unkeyed=0)
+    return Touch(days=days, key_bytes=100, whole=True)
 
 
 def test_unkeyed_rows_are_handed_over(spark, folder, monkeypatch):
     handed = []
     source = load(spark, [event(None, START), event("V1", None), event(None, START + DAY), event("V1", START)])
-    for limit in (1000, 0):
+    for limit in (1000, 1):
         monkeypatch.setattr(module, "LISTED_PARTITIONS", limit)
         upsert(source, folder, on_unkeyed=lambda df: handed.append(df.count()))
     assert handed == [3, 3] and table(spark, folder)[1] == 1
@@ -137,7 +137,7 @@ def test_keys_are_broadcast_only_when_measured_small(spark, folder, monkeypatch)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         source, target = load(spark, [event("V1", START)]), read_target(spark, folder)
-        plan = explain(merge(source, target, KEY_COLS, ["timestamp"], module._touch(source, KEY_COLS)))
+        plan = explain(merge(source, target, KEY_COLS, ["timestamp"], next(module._touched_slices(source, KEY_COLS))))
         assert "SortMergeJoin" in plan and "Broadcast" not in plan
         assert upsert(source, folder) == (1, 1)
     finally:
@@ -147,7 +147,7 @@ def test_keys_are_broadcast_only_when_measured_small(spark, folder, monkeypatch)
 def test_new_days_need_no_join(spark, folder):
     upsert(load(spark, [event("V1", START)]), folder)
     source = load(spark, [event("V1", START + DAY)])
-    merged = merge(source, read_target(spark, folder), KEY_COLS, ["timestamp"], module._touch(source, KEY_COLS))
+    merged = merge(source, read_target(spark, folder), KEY_COLS, ["timestamp"], next(module._touched_slices(source, KEY_COLS)))
     assert "Join" not in explain(merged)
 
 
@@ -162,6 +162,53 @@ def test_more_days_than_can_be_listed(spark, folder, monkeypatch):
     assert sum(before[d] == after[d] for d in before) == 4
 
 
+def test_slices_read_touched_days_only(spark, folder, monkeypatch):
+    upsert(load(spark, [event("V1", START + d * DAY) for d in range(10)]), folder)
+    monkeypatch.setattr(module, "LISTED_PARTITIONS", 2)
+    source = load(spark, [event("V1", START + d * DAY) for d in range(5)])
+    slices = list(module._touched_slices(source, KEY_COLS))
+    assert [len(t.days) for t in slices] == [2, 2, 1] and not any(t.whole for t in slices)
+    for touch in slices:
+        filters = plan_line(merge(source, read_target(spark, folder), KEY_COLS, ["timestamp"], touch), "PartitionFilters")
+        assert all(day in filters for day in touch.days)
+
+
+def test_keys_without_event_time_are_refused(spark, folder):
+    with pytest.raises(ValueError, match="event_time"):
+        upsert(load(spark, [event()]), folder, keys=["vehicle_id"])
+
+
+def test_later_row_of_the_table_stays_when_asked_for(spark, folder):
+    old, new = event("V1", START + 0.1, speed=10.0), event("V1", START + 0.9, speed=90.0)
+    upsert(load(spark, [new, event("V2", START, speed=1.0)]), folder)
+    upsert(load(spark, [old, event("V2", START, speed=2.0)]), folder, keep_newer=True)
+    speeds = {k[0]: r.speed for k, r in table(spark, folder)[0].items()}
+    assert speeds == {"V1": 90.0, "V2": 2.0}
+    upsert(load(spark, [old]), folder)
+    assert table(spark, folder)[0][("V1", "2024-01-01 00:00:00")].speed == 10.0
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    rows=st.lists(st.tuples(st.sampled_from("AB"), st.sampled_from([0.1, 0.5, None]), st.integers(1, 3)), min_size=1, max_size=6),
+    cuts=st.lists(st.integers(0, 6), min_size=1, max_size=2),
+    order=st.randoms(use_true_random=False),
+)
+def test_any_split_and_order_of_loads_gives_one_table(spark, rows, cuts, order):
+    events = [event(v, None if t is None else START + t, speed=float(s)) for v, t, s in rows]
+    keyed = [e for e, (_, t, _) in zip(events, rows) if t is not None]
+    bounds = sorted({0, len(keyed), *[c for c in cuts if c < len(keyed)]})
+    parts = [keyed[a:b] for a, b in zip(bounds, bounds[1:])]
+    order.shuffle(parts)
+    one, many = scratch_path(spark, "one"), scratch_path(spark, "many")
+    if keyed:
+        upsert(load(spark, keyed), one, keep_newer=True)
+    for part in parts:
+        upsert(load(spark, part), many, keep_newer=True)
+    values = lambda path: {k: (r.speed, r.timestamp) for k, r in table(spark, path)[0].items()}
+    assert values(one) == values(many)
+
+
 def test_date_parts_always_follow_the_event_time(spark, folder):
     upsert(load(spark, [event()]).withColumn("year", F.lit(1999)), folder)
     upsert(load(spark, [event()]), folder)
@@ -247,6 +294,12 @@ def test_dedupe_ties_and_nulls(spark):
     assert sorted(map(tuple, dedupe_latest(df, ["k"], ["t"]).collect())) == [("a", 1.0, 3), ("b", None, 2)]
 
 
+def test_dedupe_takes_nan_for_no_time(spark):
+    df = spark.createDataFrame([("a", float("nan"), 1), ("a", 5.0, 2), ("b", float("nan"), 3), ("b", None, 4)], "k string, t double, n int")
+    got = sorted((r.k, r.n) for r in dedupe_latest(df, ["k"], ["t"]).collect())
+    assert got[0] == ("a", 2) and len(got) == 2
+
+
 def test_dedupe_keeps_every_row_without_a_key(spark):
     df = spark.createDataFrame([(None, 1), (None, 1), ("a", 1), ("a", 2)], "k string, t int")
     assert sorted(map(str, map(tuple, dedupe_latest(df, ["k"], ["t"]).collect()))) == [
