@@ -20,6 +20,8 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from roadlake.llm.common import cut
@@ -31,6 +33,8 @@ LONG, LEAF = 1024, 512
 DEALT, DEALT_LEAF = 262_144, 65_536
 #: Tokens on each side of a join in its first window.
 WINDOW = 8
+#: Parts a worker remembers; fewer than when packing, as it holds a second tokenizer and the decoded texts too.
+REMEMBERED = 500_000
 #: Characters of the texts encoded together.
 AT_ONCE = 1_000_000
 
@@ -85,9 +89,11 @@ class _Worker:
     def __init__(self, definition: str):
         self.tree, self.encoder = Tree(definition), Encoder(definition)
         self.encoder.long, self.encoder.of_long = LONG, self.tree.encode
+        self.encoder.remembered = REMEMBERED
         self.library, self.encoder.library = self.encoder.library, self._library
         self.stretch = re.compile(r"\S{%d}|\s{%d}" % (LONG, LONG))
         self.special = re.compile("(" + "|".join(map(re.escape, self.encoder.special)) + ")")
+        self.table = vocabulary_bytes(definition)
 
     def pre_tokens(self, text: str) -> Iterator[str]:
         """A text cut by the library's own pre-tokenizer, special tokens apart."""
@@ -114,6 +120,12 @@ class _Worker:
         return [as_bytes(self.of_tokens(self.pre_tokens(t))) if is_long else next(known) for t, is_long in zip(texts, long)]
 
 
+def vocabulary_bytes(definition: str) -> list[bytes]:
+    """Bytes of each id of a tokenizer."""
+    parsed = json.loads(definition)
+    return byte_table(parsed["model"]["vocab"] | {t["content"]: t["id"] for t in parsed["added_tokens"]})
+
+
 def decoded(ids: bytes, table: list[bytes]) -> str:
     """Text of little-endian unsigned 32-bit ids, given the bytes of each."""
     return b"".join(map(table.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
@@ -130,6 +142,19 @@ def worker(definition: str) -> _Worker:
     return _WORKERS[definition]
 
 
+def _in_place(batches: Iterable[pa.RecordBatch], definition: str, back: bool) -> Iterator[pa.RecordBatch]:
+    """Ids of whole texts, a few texts at a time, and what they decode to."""
+    own = worker(definition)
+    for batch in batches:
+        names, texts = batch.column(0), batch.column(1)
+        for a, b in runs(pc.utf8_length(texts).to_pylist(), AT_ONCE):
+            ids = own.encoder(texts[a:b].to_pylist())
+            columns = [names[a:b], pa.array(ids, pa.binary())]
+            if back:
+                columns.append(pa.array([decoded(x, own.table) for x in ids], pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, ["name", "ids", "decoded"][: len(columns)])
+
+
 def _leaves(batches: Iterable[pd.DataFrame], definition: str) -> Iterator[pd.DataFrame]:
     """Texts as rows to encode: short pre-tokens together, and each leaf of a long one apart."""
     own = worker(definition)
@@ -182,9 +207,11 @@ def _is_dealt(text: Column) -> Column:
     return F.coalesce((F.octet_length(text) >= DEALT) & text.rlike(stretch), F.lit(False))
 
 
-def encode(docs: DataFrame, definition: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(docs: DataFrame, definition: str, id_col: str = "doc_id", text_col: str = "text", back: bool = False) -> DataFrame:
     """``id_col`` and ``ids`` (binary, little-endian unsigned 32-bit) of every row, exactly as the library encodes.
 
+    With ``back`` also ``decoded``, the text that the ids stand for, as ``decode`` gives it, from the same pass.
+
     ``definition`` is the JSON of a byte-level BPE tokenizer without a normalizer; special tokens are not added, but
     found where a text writes them out, as the library does. Null and empty texts have no ids. Ids of rows,
     null and repeated ones too, are passed through.
@@ -192,12 +219,10 @@ def encode(docs: DataFrame, definition: str, id_col: str = "doc_id", text_col: s
     send = docs.sparkSession.sparkContext.broadcast(definition)
     rows = docs.select(F.col(id_col).alias("name"), F.col(text_col).alias("text"))
 
-    @F.pandas_udf("binary")
-    def in_place(texts: pd.Series) -> pd.Series:
-        own, texts = worker(send.value), texts.tolist()
-        return pd.Series([ids for a, b in runs(texts, AT_ONCE) for ids in own.encoder(texts[a:b])], dtype=object)
-
-    near = rows.where(~_is_dealt(F.col("text"))).select("name", in_place("text").alias("ids"))
+    kind = rows.schema["name"].dataType.simpleString()
+    near = rows.where(~_is_dealt(F.col("text"))).mapInArrow(
+        lambda x: _in_place(x, send.value, back), f"name {kind}, ids binary" + ", decoded string" * back
+    )
     # Numbered before the checkpoint, so that a lost task cannot number a row anew.
     far = cut(rows.where(_is_dealt(F.col("text"))).withColumn("row", F.monotonically_increasing_id()))
     pieces = far.select("row", "text").mapInPandas(
@@ -206,14 +231,13 @@ def encode(docs: DataFrame, definition: str, id_col: str = "doc_id", text_col: s
     spread = pieces.repartition(F.xxhash64("row", "part"))
     encoded = spread.mapInPandas(lambda x: _encode_leaves(x, send.value), "row long, part int, tree int, ids binary")
     joined = encoded.groupBy("row").applyInPandas(lambda x: _join_leaves(x, send.value), "row long, ids binary")
-    return near.union(far.join(joined, "row").select("name", "ids")).withColumnRenamed("name", id_col)
+    rest = far.join(joined, "row").select("name", "ids")
+    return near.union(decode(rest, definition) if back else rest).withColumnRenamed("name", id_col)
 
 
 def decode(encoded: DataFrame, definition: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
     """``encoded`` with the text of its ids; bytes that are no UTF-8 become replacement characters. Null ids give null."""
-    parsed = json.loads(definition)
-    vocabulary = parsed["model"]["vocab"] | {t["content"]: t["id"] for t in parsed["added_tokens"]}
-    send = encoded.sparkSession.sparkContext.broadcast(byte_table(vocabulary))
+    send = encoded.sparkSession.sparkContext.broadcast(vocabulary_bytes(definition))
 
     @F.pandas_udf("string")
     def text(ids: pd.Series) -> pd.Series:

@@ -11,13 +11,11 @@ from __future__ import annotations
 import json
 import re
 from array import array
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 from tokenizers import Tokenizer, pre_tokenizers
 
-#: Pieces a worker remembers.
-REMEMBERED = 500_000
 
 #: Characters beyond these, for which the cuts below are not written out, go the library's way.
 _PLAIN = re.compile("[^\t-\r -~\xa0-įı-ſ]")
@@ -74,8 +72,8 @@ def as_bytes(ids: Iterable[int]) -> bytes:
 class Encoder:
     """Encodes texts with the byte-level BPE tokenizer of a JSON definition; special tokens are not added."""
 
-    #: Pre-tokens of this many characters are handed to ``of_long`` and not remembered.
-    long = 1024
+    #: Parts that are remembered, and characters of pre-tokens that are handed to ``of_long`` and not remembered.
+    remembered, long = 1_000_000, 1024
 
     def __init__(self, definition: str):
         self.of_long, self.unremembered = self.merged, set()
@@ -110,7 +108,7 @@ class Encoder:
 
     def _learn(self, parts: set[str]) -> None:
         missing = parts.difference(self.ids)
-        if len(self.ids) + len(missing) > REMEMBERED:
+        if len(self.ids) + len(missing) > self.remembered:
             self.ids.clear()
             missing = parts
         tokens = self.tokens
@@ -150,14 +148,14 @@ def encoder(definition: str) -> Encoder:
     return _ENCODERS[definition]
 
 
-def runs(texts: Iterable[str | None], most: int) -> Iterable[tuple[int, int]]:
-    """Ranges of consecutive texts of about ``most`` characters, at least one text each."""
-    start, size, n = 0, 0, 0
-    for n, text in enumerate(texts, start=1):
-        size += len(text or "")
-        if size >= most:
+def runs(sizes: Iterable[int | None], most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of consecutive items whose sizes add up to about ``most``, at least one item each; no size counts as 0."""
+    start, total, n = 0, 0, 0
+    for n, size in enumerate(sizes, start=1):
+        total += size or 0
+        if total >= most:
             yield start, n
-            start, size = n, 0
+            start, total = n, 0
     if start < n:
         yield start, n
 

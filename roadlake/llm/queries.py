@@ -78,7 +78,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of every document, and what they decode to, as hashes."""
     definition = Path(public_tokenizers.path("byte_bpe_50k.json")).read_text()
     docs = prepare(spark).read.parquet(f"{sf_dir}/documents.parquet")
-    return bpe.decode(bpe.encode(docs, definition), definition).select(
+    return bpe.encode(docs, definition, back=True).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

@@ -63,8 +63,8 @@ def test_bpe_round_trip(spark):
     draw = random.Random(1)
     long = ["".join(draw.choice("abcdefgh") for _ in range(300_000)), "x \n\n" + "漢é" * 140_000 + "\n\n y", " " * 270_000 + "z"]
     texts = ODD + long + ["same"] * 3
-    out = bpe.decode(bpe.encode(frame(spark, texts), definition), definition)
-    rows = out.collect()
+    rows = bpe.decode(bpe.encode(frame(spark, texts), definition), definition).collect()
+    assert sorted(bpe.encode(frame(spark, texts), definition, back=True).collect()) == sorted(rows)
     assert len(rows) == len(texts)
     for r in rows:
         assert np.frombuffer(r.ids, "<u4").tolist() == ids_of(definition, texts[r.doc_id])
