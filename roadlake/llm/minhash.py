@@ -8,14 +8,14 @@ full shingle sets.
 
 Buckets are worked off without listing all their pairs. First each member is paired with its bucket's
 smallest id; the confirmed links join most members of a group of copies. Only buckets whose members then still
-belong to different components are compared pair by pair, across components, in tiles of bounded size.
+belong to different components are compared pair by pair, across components, in tiles of bounded size that hold the
+texts, so that no pair leaves its task before it is confirmed.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Iterator
-from functools import partial
 from itertools import chain
 
 import numpy as np
@@ -24,7 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from roadlake.llm.common import components, cut
+from roadlake.llm.common import components, cut, free_name
 from roadlake.llm.encoding import runs
 
 #: Words in a shingle.
@@ -36,6 +36,8 @@ HASHES = BANDS * ROWS
 BATCH, MISS = 25, 1e-7
 #: Members of a bucket compared in one task with those of another such tile, on average.
 TILE = 1024
+#: Shingles of the members of a tile, on average at most.
+TILE_SHINGLES = 1_000_000
 #: Pairs of one document confirmed in one group.
 CONFIRM = 64
 #: Words a worker remembers the hashes of.
@@ -77,7 +79,7 @@ def shingle_sets(texts: list[str | None]) -> Iterator[np.ndarray]:
 
     A-Z are lower-cased, words end at ASCII blanks; fewer words than a shingle are one shingle, none are no shingle.
     """
-    for a, b in runs(texts, AT_ONCE):
+    for a, b in runs([len(t or "") for t in texts], AT_ONCE):
         words = [(t or "").encode().lower().split() for t in texts[a:b]]
         counts = [len(w) for w in words]
         hashes = np.fromiter(map(_WORDS.__getitem__, chain.from_iterable(words)), np.uint64, sum(counts))
@@ -152,35 +154,49 @@ def _prune(batches: Iterable[pa.RecordBatch], threshold: float, miss: float) ->
             yield batch.select(["u", "v"]).take(pa.array(surviving(*sigs, threshold, miss)))
 
 
-def _tile_pairs(rows: pd.DataFrame, threshold: float, miss: float, all_pairs: bool) -> pd.DataFrame:
-    """Pairs of two tiles of a bucket that belong to different components and survive.
+def first_shared_band(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """First band in which pairs of signatures agree, row by row; 0 also where none does."""
+    return (left == right).reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1)
 
-    Without ``all_pairs`` only the pair with most equal values is given for any two components.
+
+def _tile_links(rows: pd.DataFrame, percent: int, miss: float) -> pd.DataFrame:
+    """Links between two tiles of a bucket that join different components; a forest of them.
+
+    A pair is looked at in the first bucket that it shares only.
     """
     rows = rows.sort_values("id", ignore_index=True)
-    ids, component, sizes = (rows[c].to_numpy() for c in ("id", "component", "n_shingles"))
-    sigs, hub = _signatures(rows["sig"]), rows["hub"].iat[0]
-    one, two = np.flatnonzero(rows["tile"] == rows["a"]), np.flatnonzero(rows["tile"] == rows["b"])
-    found = []
-    for i in one:
+    ids, group, sizes, first = (rows[c].to_numpy().copy() for c in ("id", "component", "n_shingles", "tile"))
+    sigs, sets = _signatures(rows["sig"]), list(shingle_sets(rows["text"].tolist()))
+    hub, band, a, b = (rows[c].iat[0] for c in ("hub", "band", "a", "b"))
+    links = []
+    for i in np.flatnonzero(first == a):
         if ids[i] == hub:  # compared before
             continue
-        j = two[(component[two] != component[i]) & (ids[two] != hub)]
-        if rows["a"].iat[0] == rows["b"].iat[0]:
+        j = np.flatnonzero((first == b) & (group != group[i]) & (ids != hub))
+        if a == b:
             j = j[j > i]
-        # Neither set can hold more of the other than its own size.
-        j = j[np.minimum(sizes[j], sizes[i]) >= threshold * np.maximum(sizes[j], sizes[i])]
-        j = j[surviving(np.broadcast_to(sigs[i], (len(j), HASHES)), sigs[j], threshold, miss)]
-        if len(j):
-            found.append(pd.DataFrame({
-                "u": np.minimum(ids[i], ids[j]), "v": np.maximum(ids[i], ids[j]),
-                "c": np.minimum(component[i], component[j]), "d": np.maximum(component[i], component[j]),
-                "m": (sigs[j] == sigs[i]).sum(axis=1),
-            }))
-    pairs = pd.concat(found) if found else pd.DataFrame({c: pd.Series(dtype="int64") for c in "uvcdm"})
-    if not all_pairs:
-        pairs = pairs.sort_values(["m", "u", "v"], ascending=[False, True, True]).drop_duplicates(["c", "d"])
-    return pairs[["u", "v"]].astype("int64")
+        # Neither set can share more than its own size.
+        j = j[100 * np.minimum(sizes[j], sizes[i]) >= percent * np.maximum(sizes[j], sizes[i])]
+        same = np.broadcast_to(sigs[i], (len(j), HASHES))
+        j = j[first_shared_band(same, sigs[j]) == band]
+        j = j[surviving(same[: len(j)], sigs[j], percent / 100, miss)]
+        while len(j):
+            some, j = j[:CONFIRM], j[CONFIRM:]
+            linked = some[similar(sets[i], [sets[k] for k in some], percent)]
+            others, at = np.unique(group[linked], return_index=True)
+            links += [(ids[i], ids[linked[k]]) for k in at]
+            group[np.isin(group, others)] = group[i]
+            j = j[group[j] != group[i]]
+    return pd.DataFrame(links, columns=["u", "v"], dtype="int64")
+
+
+def similar(own: np.ndarray, others: list[np.ndarray], percent: int) -> np.ndarray:
+    """For each other set whether it shares ``percent`` hundredths of the union with one set."""
+    sizes = np.array([len(x) for x in others])
+    joined = np.concatenate(others)
+    at = np.minimum(np.searchsorted(own, joined), len(own) - 1)
+    common = np.add.reduceat((own[at] == joined).astype(np.int64), np.cumsum(sizes) - sizes)
+    return 100 * common >= percent * (len(own) + sizes - common)
 
 
 def _confirm(hubs: pd.DataFrame, members: pd.DataFrame, percent: int) -> pd.DataFrame:
@@ -188,12 +204,7 @@ def _confirm(hubs: pd.DataFrame, members: pd.DataFrame, percent: int) -> pd.Data
     if hubs.empty or members.empty:
         return pd.DataFrame({"u": pd.Series(dtype="int64"), "v": pd.Series(dtype="int64")})
     (own,) = shingle_sets([hubs["hub_text"].iat[0]])
-    linked = []
-    for other in shingle_sets(members["text"].tolist()):
-        at = np.minimum(np.searchsorted(own, other), len(own) - 1)
-        common = int((own[at] == other).sum())
-        linked.append(100 * common >= percent * (len(own) + len(other) - common))
-    return members.loc[linked, ["u", "v"]]
+    return members.loc[similar(own, list(shingle_sets(members["text"].tolist())), percent), ["u", "v"]]
 
 
 def _limited(ids: DataFrame) -> DataFrame:
@@ -202,10 +213,14 @@ def _limited(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= SMALL else ids
 
 
+def _texts_of(ids: DataFrame, texts: DataFrame) -> DataFrame:
+    """``id`` and ``text`` of some ids, once each."""
+    return texts.join(_limited(ids.distinct()), "id", "left_semi").dropDuplicates(["id"])
+
+
 def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Those of ``pairs`` (u, v) that are links; ``texts`` has ``id`` and ``text``. Written and read again."""
-    needed = _limited(pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct())
-    texts = texts.join(needed, "id", "left_semi").dropDuplicates(["id"])
+    texts = _texts_of(pairs.select(F.explode(F.array("u", "v")).alias("id")), texts)
     chunks = pairs.groupBy("u").agg(F.ceil(F.count(F.lit(1)) / CONFIRM).alias("chunks"))
     dealt = pairs.join(chunks, "u").select("u", "v", F.pmod(F.xxhash64("v"), "chunks").alias("chunk"))
     members = dealt.join(texts.withColumnRenamed("id", "v"), "v")
@@ -234,34 +249,33 @@ def near_duplicates(
     classes = cut(
         usable.groupBy("digest").agg(F.min("id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"))
     )
-    bands = classes.select("id", F.explode(F.transform(
+    bands = classes.select("id", F.posexplode(F.transform(
         F.sequence(F.lit(0), F.lit(BANDS - 1)),
         lambda b: F.xxhash64(b, F.substring("sig", b * (4 * ROWS) + 1, F.lit(4 * ROWS))),
-    )).alias("bucket"))
-    shared = bands.groupBy("bucket").agg(F.min("id").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = cut(bands.join(shared, "bucket").select("bucket", "hub", "n", "id"))
+    )).alias("band", "bucket"))
+    shared = bands.groupBy("band", "bucket").agg(F.min("id").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = cut(bands.join(shared, ["band", "bucket"]).select("band", "bucket", "hub", "n", "id"))
 
     sigs = classes.select("id", "sig")
     pairs = members.where("id <> hub").select(F.col("hub").alias("u"), F.col("id").alias("v")).distinct()
     pairs = pairs.join(sigs.toDF("u", "sig_u"), "u").join(sigs.toDF("v", "sig_v"), "v")
     links = confirmed(cut(pairs.mapInArrow(lambda x: _prune(x, threshold, miss), "u long, v long")), texts, percent)
 
-    for all_pairs in (False, True):
-        groups = cut(components(links)).toDF("id", "component")
-        placed = cut(members.join(groups, "id", "left").withColumn("component", F.coalesce("component", "id")))
-        mixed = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        open_ = placed.join(mixed.where("low < high").select("bucket"), "bucket", "left_semi").where("n > 2")
-        tiles = F.ceil(F.col("n") / tile)
-        open_ = open_.join(classes.select("id", "n_shingles", "sig"), "id").withColumn("tile", F.pmod(F.xxhash64("id"), tiles))
-        open_ = open_.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), tiles - 1)))
-        open_ = open_.withColumns({"a": F.least("tile", "other"), "b": F.greatest("tile", "other")})
-        rest = open_.groupBy("bucket", "a", "b").applyInPandas(
-            partial(_tile_pairs, threshold=threshold, miss=miss, all_pairs=all_pairs), "u long, v long"
-        )
-        rest = cut(rest.distinct())
-        if rest.isEmpty():
-            break
-        links = cut(links.union(confirmed(rest, texts, percent)))
+    # Buckets whose members the links to the hub have not joined yet.
+    groups = cut(components(links)).toDF("id", "component")
+    placed = members.where("n > 2").join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    placed = cut(placed.join(classes.select("id", "n_shingles"), "id"))
+    amount = F.greatest(F.count(F.lit(1)) / tile, F.sum("n_shingles") / TILE_SHINGLES)
+    mixed = placed.groupBy("band", "bucket").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.ceil(amount).alias("tiles")
+    )
+    rest = placed.join(mixed.where("low < high").drop("low", "high"), ["band", "bucket"])
+    rest = rest.join(sigs, "id").join(_texts_of(rest.select("id"), texts), "id")
+    rest = rest.withColumn("tile", F.pmod(F.xxhash64("id"), "tiles"))
+    rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
+    rest = rest.withColumns({"a": F.least("tile", "other"), "b": F.greatest("tile", "other")})
+    found = rest.groupBy("band", "bucket", "a", "b").applyInPandas(lambda x: _tile_links(x, percent, miss), "u long, v long")
+    links = cut(links.union(found))
     groups = components(links).toDF("id", "component")
     ends = classes.select("digest", "id").join(groups, "id", "left").select("digest", F.coalesce("component", "id").alias("component"))
     has = described.select("id", "n_shingles", "digest").where("digest is not null").join(ends, "digest", "left")
@@ -270,3 +284,17 @@ def near_duplicates(
     return has.union(none).select(
         F.col("id").alias(id_col), "n_shingles", F.col("component").alias("component_id"), (F.col("id") == F.col("component")).alias("kept")
     )
+
+
+def drop_near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one document of each component, that of the smallest id; same columns.
+
+    Of rows that repeat an id one stays; rows without an id all stay.
+    """
+    answer = near_duplicates(docs, percent, id_col, text_col).where(F.col(id_col).isNotNull())
+    key = free_name(docs, "seen_id")
+    ids = cut(answer.groupBy(F.col(id_col).alias(key)).agg(F.min("kept").alias("stays"), F.count(F.lit(1)).alias("n")))
+    same = F.col(id_col).cast("long") == F.col(key)
+    single = docs.join(ids.where("not stays or n > 1").select(key), same, "left_anti")
+    repeated = docs.join(ids.where("stays and n > 1").select(key), same, "left_semi").dropDuplicates([id_col])
+    return single.unionByName(repeated)
