@@ -1,34 +1,69 @@
-"""From raw documents to packed training sequences, stage by stage."""
+"""From raw documents to packed training sequences, stage by stage.
+
+Each stage works on all that the one before kept. Its result is written to the shared folder and read again, so a lost
+executor repeats tasks of one stage only.
+"""
 
 from __future__ import annotations
 
+from pathlib import Path
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from roadlake.llm import lines, secrets
-from roadlake.session import scratch_path
+from roadlake.llm import lines, minhash, packing, secrets, toxicity
+from roadlake.session import prepare, scratch_path
 
-#: A source's page that would lose more of its text than this is a copy of others; the near-duplicate stage takes it.
+#: A document that would lose more of its text than this is a copy of others of its source; the near-duplicate stage takes it.
 LINE_MAX_LOSS = 0.5
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+def _counted(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``n_chars`` made to fit the text; null texts keep it."""
+    length = F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType), F.col("n_chars"))
+    return docs.withColumn("n_chars", length)
+
+
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not predicted toxic, by a classifier of the table ``labels``."""
+    return toxicity.reject(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that over a tenth of their source's documents repeat."""
-    return lines.drop_boilerplate(docs, F.col("source"), max_loss=LINE_MAX_LOSS)
+    return _counted(lines.drop_boilerplate(docs, F.col("source"), max_loss=LINE_MAX_LOSS))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return minhash.drop_near_duplicates(docs)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with every secret replaced by a mark."""
-    return secrets.mask_secrets(docs)
+    return _counted(secrets.mask_secrets(docs))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The place of every piece of every document in sequences of 4096 tokens."""
+    return packing.pack(docs, Path(TOKENIZER).read_text())
 
 
-STAGES = [("line_dedup", line_dedup), ("secret_scan", secret_scan)]
-#: SQL cannot express the first, the third and the last stage; tests compare them with plain versions.
+STAGES = [
+    ("toxicity", reject_toxic),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("secret_scan", secret_scan),
+    ("packing", pack),
+]
+#: SQL cannot express the first and the last stage; tests compare the stages with plain versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply all stages to ``documents``; each result is written to the shared folder and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """Apply all stages to the table ``documents``."""
+    docs = prepare(spark).read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = scratch_path(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)

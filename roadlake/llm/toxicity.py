@@ -23,9 +23,9 @@ from functools import partial
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from roadlake.llm.common import held_out
+from roadlake.llm.common import free_name, held_out
 
 #: Labelled documents the classifier is fitted on, the first by a hash of their id. A bound on purpose: more
 #: hardly change the few weights, and it keeps the fit's cost fixed. All other statistics cover every document.
@@ -342,16 +342,13 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column, id_col: str = "doc_
 _EVIDENCE: dict[int, Evidence] = {}
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col``, ``score`` (0 to 1) and ``predicted`` (1 from 0.5 on) of every row, from its whole text.
-
-    Null texts count as empty; ids, null and repeated ones too, are passed through.
-    """
-    send = docs.sparkSession.sparkContext.broadcast(model)
+def scored(spark: SparkSession, model: Model, text: Column) -> Column:
+    """Score (0 to 1) of a whole text; a null text counts as empty."""
+    send = spark.sparkContext.broadcast(model)
     name = hash((len(model.groups), model.final.tobytes()))
 
     @F.pandas_udf("double")
-    def scored(texts: pd.Series) -> pd.Series:
+    def of(texts: pd.Series) -> pd.Series:
         own = send.value
         if name not in _EVIDENCE:
             _EVIDENCE.clear()
@@ -360,10 +357,25 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         x = np.array([(*evidence.features(t), 1.0) for t in texts]).reshape(-1, 4)
         return pd.Series(1 / (1 + np.exp(-np.clip(x @ own.final, -30, 30))))
 
-    rows = docs.select(F.col(id_col).alias("row_id"), scored(text_col).alias("score"))
+    return of(text)
+
+
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id_col``, ``score`` and ``predicted`` (1 from a score of 0.5 on) of every row.
+
+    Ids, null and repeated ones too, are passed through.
+    """
+    rows = docs.select(F.col(id_col).alias("row_id"), scored(docs.sparkSession, model, F.col(text_col)).alias("score"))
     return rows.select(F.col("row_id").alias(id_col), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def reject(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without those whose score is 0.5 or more; same columns."""
+    model = fit(docs, labels, ~held_out(F.col(id_col), folds, fold), id_col, text_col)
+    name = free_name(docs, "score")
+    return docs.withColumn(name, scored(docs.sparkSession, model, F.col(text_col))).where(F.col(name) < 0.5).drop(name)
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Scores of all ``docs`` by a model that learned no label of the held-out fold; adds ``held_out``."""
     aside = held_out(F.col(id_col), folds, fold)

@@ -1,0 +1,127 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from roadlake.llm.common import held_out
+from roadlake.llm.toxicity import Restorer, decode, fit, language_model, reject, restore, score, suspicious, toxicity
+
+CLEAN = "the of and to in that with from this are was for house garden river winter summer letter people water morning bread".split()
+TOXIC = "idiot moron loser stupid scum trash".split()
+SCHEMA = "doc_id long, text string, score string, toxic int"
+
+
+def make(seed, n):
+    draw = random.Random(seed)
+    docs, labels = [], []
+    for i in range(n):
+        words = [draw.choice(CLEAN) for _ in range(draw.randrange(5, 60))]
+        toxic = int(draw.random() < 0.2)
+        if toxic:
+            for _ in range(draw.randrange(1, 4)):
+                words.insert(draw.randrange(len(words)), draw.choice(TOXIC))
+        docs.append((i, " ".join(words), "x", 9))
+        labels.append((i, toxic))
+    return docs, labels
+
+
+@pytest.fixture(scope="module")
+def known(spark):
+    docs, labels = make(1, 600)
+    docs, labels = spark.createDataFrame(docs, SCHEMA).cache(), spark.createDataFrame(labels, "doc_id long, toxic int")
+    return docs, labels, fit(docs, labels, ~held_out(F.col("doc_id"), 5, 0))
+
+
+DISGUISED = {
+    "1d10t": ("idiot", "diot"), "m0r0n": ("moron",), "l0$er": ("loser",), "$tup1d": ("stupid",), "i.d.i.o.t": ("idiot",),
+    "iiddiioott": ("idiot",), "looooser": ("loser",), "tr4$h!!": ("trash",), "(st-u-p-i-d)": ("st-u-p-i-d", "stupid"),
+}
+
+
+def test_disguised_words_are_restored(known):
+    restorer = Restorer(known[2].characters)
+    for shown, meant in DISGUISED.items():
+        assert restorer.word(shown) in meant, shown
+    assert restorer.stretch("s t u p i d") == "stupid"
+    assert restorer.text("That 1D10T and m o r o n in the house") .split()[2:4] == ["and", "moron"]
+
+
+def test_plain_words_have_one_reading(known):
+    restorer = Restorer(known[2].characters)
+    for word in CLEAN + ["108.51.216.133", "été", "", "...", "漢字"]:
+        assert not suspicious(word) and restorer.word(word) == word.strip(".")
+
+
+def test_decoding_is_the_best_path(known):
+    """Against all readings, for short words."""
+    from itertools import product
+
+    from roadlake.llm.toxicity import _GAP, _readings, _symbol
+
+    model = known[2].characters
+
+    def cost(ways):
+        a = b = _GAP
+        total, text = 0.0, ""
+        for letter, price in [*ways, (" ", 0.0)]:
+            total += price
+            if letter == " ":
+                if b != _GAP:
+                    total, a, b, text = total - model[a, b, _GAP], b, _GAP, text + " "
+            elif letter:
+                s = _symbol(letter)
+                total, a, b, text = total - model[a, b, s], b, s, text + letter
+        return total, text.strip()
+
+    for shown in ("1d10t", "l00ser", "a$$", "t r a", "0!1"):
+        best = min((cost(w) for w in product(*_readings(shown, " " in shown))), key=lambda x: x[0])
+        got = decode(shown, model, joined=" " in shown)
+        same = [t for c, t in (cost(w) for w in product(*_readings(shown, " " in shown))) if abs(c - best[0]) < 1e-6]
+        assert got in same
+
+
+def test_held_out_documents_and_disguises(spark, known):
+    docs, labels, model = known
+    truth = {r.doc_id: r.toxic for r in labels.collect()}
+    out = toxicity(docs, labels)
+    assert out.dtypes == [("doc_id", "bigint"), ("held_out", "boolean"), ("score", "double"), ("predicted", "int")]
+    rows = out.collect()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in rows)
+    wrong = [r for r in rows if r.held_out and r.predicted != truth[r.doc_id]]
+    assert len(wrong) <= 2
+    planted = [(1, "the river and m0r0n was l0$er 1d10t", "x", 0), (2, "s t u p i d house i d i o t garden", "x", 0), (3, "the river was in summer", "x", 0)]
+    got = {r.doc_id: r.predicted for r in score(spark.createDataFrame(planted, SCHEMA), model).collect()}
+    assert got == {1: 1, 2: 1, 3: 0}
+
+
+def test_labels_of_the_held_out_fold_are_not_learned(spark, known):
+    docs, labels, model = known
+    flipped = labels.withColumn("toxic", F.when(held_out(F.col("doc_id"), 5, 0), 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    again = fit(docs, flipped, ~held_out(F.col("doc_id"), 5, 0))
+    assert again.groups == model.groups and (again.final == model.final).all()
+
+
+def test_odd_rows(spark, known):
+    docs, labels, model = known
+    odd = [(None, "stupid moron scum", "x", 0), (1, None, "x", 0), (2, "", "x", 0), (2, "", "x", 0), (3, "the river " * 50_000, "x", 0), (4, "1 2 3 ! $ a a a", "x", 0)]
+    rows = score(spark.createDataFrame(odd, SCHEMA), model).collect()
+    assert len(rows) == 6 and [r.predicted for r in rows if r.doc_id is None] == [1]
+    assert len({r.score for r in rows if r.doc_id in (1, 2)}) == 1
+    empty, none = spark.createDataFrame([], SCHEMA), labels.limit(0)
+    assert toxicity(empty, labels).count() == 0
+    assert {r.predicted for r in toxicity(docs, none).collect()} == {0}
+    assert toxicity(empty, none).count() == 0
+    assert np.isfinite(language_model(empty)).all()
+
+
+def test_reject_and_restore(spark, known):
+    docs, labels, model = known
+    kept = reject(docs, labels)
+    assert kept.columns == docs.columns
+    predicted = {r.doc_id for r in toxicity(docs, labels).where("predicted = 1").collect()}
+    assert {r.doc_id for r in docs.collect()} - {r.doc_id for r in kept.collect()} == predicted
+    frame = spark.createDataFrame([("A M0R0N, was",), (None,)], "text string")
+    assert [r.restored for r in restore(frame, model.characters).collect()] == ["a moron was", None]
