@@ -6,18 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from roadlake.session import scratch_path
+from roadlake.session import checkpointed
 
 # The size and the age at which a batch is closed.
 MAX_ROWS = 100
 MAX_SECONDS = 60
 
-# A time bucket up to this size is numbered by one window task; larger ones are numbered
-# across tasks.
-WINDOW_ROWS = 1_000_000
-# Runs (see ``_number_across_tasks``) are broadcast up to this count, at some 40 bytes each.
-BROADCAST_RUNS = 500_000
-
 
 def assign_batches(
     df: DataFrame,
@@ -25,55 +19,36 @@ def assign_batches(
     tie_breakers: Sequence[str] = (),
     max_rows: int = MAX_ROWS,
     max_seconds: int = MAX_SECONDS,
-    window_rows: int = WINDOW_ROWS,
 ) -> DataFrame:
     """Add ``bucket_start`` and ``batch_no`` (from 0 within the bucket).
 
     A batch spans at most ``max_seconds`` and holds at most ``max_rows`` rows, in order of
     ``time_col`` then ``tie_breakers``; rows equal in both come in any order. Buckets lie on
     fixed multiples of ``max_seconds``, so they can be numbered independently.
-    """
-    second = F.unix_seconds(F.col(time_col).cast("timestamp"))
-    bucketed = df.withColumn("bucket_start", F.timestamp_seconds(second - F.pmod(second, F.lit(max_seconds))))
-    order = [time_col, *tie_breakers]
-    fullest = bucketed.groupBy("bucket_start").count().agg(F.max("count")).first()[0] or 0
-    if fullest <= window_rows:
-        position = F.row_number().over(Window.partitionBy("bucket_start").orderBy(*order)) - 1
-        numbered = bucketed.withColumn("_position", position)
-    else:
-        numbered = _number_across_tasks(bucketed, order)
-    batch_no = F.floor(F.col("_position") / F.lit(max_rows)).cast("bigint")
-    return numbered.withColumn("batch_no", batch_no).drop("_position")
 
-
-def _number_across_tasks(bucketed: DataFrame, order: list[str]) -> DataFrame:
-    """``_position`` within the bucket when a bucket is too large for one task.
-
-    Rows are range-partitioned and sorted by bucket and order, so a bucket is a run of rows over
+    Rows are range-partitioned and sorted by bucket and order, so a bucket of any size is a run of rows over
     neighbouring partitions. A generated id per input row comes last in the order: it lets a
     range end inside any number of otherwise equal rows. The id generated after the sort holds
     the partition in its upper bits and the row in its lower 33; a position is the row's distance
     from the bucket's first row in its partition plus what earlier partitions hold of the
-    bucket. The sorted rows are written once, because range bounds are sampled anew for every
-    plan that contains them.
+    bucket. The sorted rows are checkpointed, because range bounds are sampled anew for every plan that contains them.
     """
-    spark = bucketed.sparkSession
-    path = scratch_path(spark, "batches")
-    columns = ["bucket_start", *order, "_input_id"]
+    second = F.unix_seconds(F.col(time_col).cast("timestamp"))
+    bucketed = df.withColumn("bucket_start", F.timestamp_seconds(second - F.pmod(second, F.lit(max_seconds))))
+    columns = ["bucket_start", time_col, *tie_breakers, "_input_id"]
     with_id = bucketed.withColumn("_input_id", F.monotonically_increasing_id())
     ordered = with_id.repartitionByRange(*columns).sortWithinPartitions(*columns).drop("_input_id")
-    ordered.withColumn("_id", F.monotonically_increasing_id()).write.parquet(path)
+    rows = checkpointed(ordered.withColumn("_id", F.monotonically_increasing_id())).withColumn("_part", F.shiftright("_id", 33))
 
-    rows = spark.read.parquet(path).withColumn("_part", F.shiftright("_id", 33))
+    # A row per bucket and partition that holds some of it; joined by whichever way their measured size allows.
     runs = rows.groupBy("bucket_start", "_part").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_rows"))
     earlier = Window.partitionBy("bucket_start").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     runs = runs.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0))).drop("_rows")
     runs = runs.withColumnsRenamed({"bucket_start": "_bucket", "_part": "_run_part"})
-    if runs.count() <= BROADCAST_RUNS:
-        runs = F.broadcast(runs)
     same_run = F.col("bucket_start").eqNullSafe(F.col("_bucket")) & (F.col("_part") == F.col("_run_part"))
     position = F.col("_before") + F.col("_id") - F.col("_first")
-    return rows.join(runs, same_run).withColumn("_position", position).select(*bucketed.columns, "_position")
+    batch_no = F.floor(position / F.lit(max_rows)).cast("bigint")
+    return rows.join(runs, same_run).select(*bucketed.columns, batch_no.alias("batch_no"))
 
 
 def batch_counts(batched: DataFrame) -> DataFrame:

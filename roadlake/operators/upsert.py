@@ -54,7 +54,7 @@ def stage(source: DataFrame, path: str, schema: StructType = TARGET_SCHEMA) -> D
     Upsert reads its source more than once; staging spares repeated parsing or fetching, and
     fixes values that would differ between reads.
     """
-    conform(source, schema).write.mode("overwrite").parquet(path)
+    conform(source, schema, unfit="raise").write.mode("overwrite").parquet(path)
     return source.sparkSession.read.schema(schema).parquet(path)
 
 
@@ -67,6 +67,7 @@ def upsert(
     journal: str | None = None,
     on_unkeyed: Callable[[DataFrame], None] | None = None,
     keep_newer: bool = False,
+    slice_days: int | None = None,
 ) -> Upserted:
     """Merge ``source`` into the table at ``path``: replace rows with an equal key, add the rest.
 
@@ -75,7 +76,8 @@ def upsert(
     ``keep_newer`` a row of the table stays that is later by ``latest_by``, so that loads may come in any order.
     Running the same upsert twice is the same as running it once, but for rows with a null in the key: it
     equals nothing, so they are added each time. With ``on_unkeyed`` such rows, if there are any, are handed to
-    it and not merged. ``keys`` must hold ``event_time``, or a key could lie in several partitions.
+    it and not merged. A value that does not fit its column fails the upsert. A source that touches more than ``slice_days``
+    partitions is merged in slices of so many. ``keys`` must hold ``event_time``, or a key could lie in several partitions.
 
     One writer per table: plain Parquet has no transactions. Losing executors is harmless, but a
     driver lost while it swaps partition folders could leave one without its old rows. With a
@@ -88,14 +90,14 @@ def upsert(
     if journal is not None:
         finish_interrupted(spark, journal, schema)
     create_target(spark, path, schema)
-    incoming = add_date_parts(conform(source, schema, required=keys)).select(*schema.names)
+    incoming = add_date_parts(conform(source, schema, keys, "raise")).select(*schema.names)
 
     if on_unkeyed is not None:
         incoming, unkeyed = split_on_null(incoming, keys)
         if not unkeyed.isEmpty():
             on_unkeyed(unkeyed)
     done = Upserted(0, 0)
-    for touch in _touched_slices(incoming, keys):
+    for touch in _touched_slices(incoming, keys, slice_days or LISTED_PARTITIONS):
         # A slice's own rows; one slice has them all.
         part = incoming if touch.whole else incoming.where(_folder(incoming).isin(touch.days))
         counts = Observation()
@@ -123,7 +125,7 @@ class Touch(NamedTuple):
     whole: bool
 
 
-def _touched_slices(incoming: DataFrame, keys: Sequence[str]) -> Iterator[Touch]:
+def _touched_slices(incoming: DataFrame, keys: Sequence[str], limit: int) -> Iterator[Touch]:
     """Measure the source in one pass over its keys; the driver holds one slice of partitions at a time."""
     key_bytes = F.lit(32)
     for k in keys:
@@ -133,8 +135,8 @@ def _touched_slices(incoming: DataFrame, keys: Sequence[str]) -> Iterator[Touch]
     last: str | None = None
     while True:
         beyond = per_day if last is None else per_day.where(F.col("day") > last)
-        listed = beyond.orderBy("day").limit(LISTED_PARTITIONS + 1).collect()
-        some, more = listed[:LISTED_PARTITIONS], len(listed) > LISTED_PARTITIONS
+        listed = beyond.orderBy("day").limit(limit + 1).collect()
+        some, more = listed[:limit], len(listed) > limit
         if some:
             whole = last is None and not more
             yield Touch([r.day for r in some], sum(r.key_bytes for r in some), whole)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from roadlake.functions.contract import BIKE_NAMES, CAR_NAMES, DISTRICT_CODES, RANGES, STATE_CODES
-from roadlake.schema import EVENT_COLS, TARGET_SCHEMA
-
-_EVENT_LIST = ", ".join(f'"{c}"' for c in EVENT_COLS)
+# Fixed values, written out here so that a wrong constant in the code shows.
+_EVENT = [
+    "vehicle_id", "number_plate", "vehicle_type", "vehicle_name", "speed", "location_lat", "location_lon", "user_id",
+    "phone_number", "car_life_years", "price_of_vechical", "fine", "timestamp",
+]
+_EVENT_LIST = ", ".join(f'"{c}"' for c in _EVENT)
 _PROCESSED_LIST = f'{_EVENT_LIST}, event_time, "year", "month", "day"'
-_TARGET_LIST = ", ".join(f'"{c}"' for c in TARGET_SCHEMA.names)
+_TARGET_LIST = f"{_PROCESSED_LIST}, last_updated"
 
 _TELEMETRY = """
 telemetry AS (
@@ -84,23 +86,22 @@ merged AS (
 )"""
 
 
-def _quoted(names: list[str]) -> str:
-    return ", ".join(f"'{n}'" for n in names)
-
-
 _RULES = {
     "vehicle_id": "regexp_full_match(vehicle_id, 'V[1-9][0-9]{3}')",
-    "number_plate": (
-        f"regexp_full_match(number_plate, '({'|'.join(STATE_CODES)}) ({'|'.join(DISTRICT_CODES)}) "
-        "[A-Z]{2} [1-9][0-9]{3}')"
-    ),
+    "number_plate": "regexp_full_match(number_plate, '(MH|DL|KA|TN|GJ|RJ|UP|MP|WB|PB|HR|CG) "
+    "(01|02|03|04|05|06|07|08|09|10|12|14|20) [A-Z]{2} [1-9][0-9]{3}')",
     "vehicle_type": "vehicle_type IN ('car', 'bike')",
-    "vehicle_name": (
-        f"(vehicle_type = 'car' AND vehicle_name IN ({_quoted(CAR_NAMES)})) "
-        f"OR (vehicle_type = 'bike' AND vehicle_name IN ({_quoted(BIKE_NAMES)}))"
-    ),
+    "vehicle_name": "(vehicle_type = 'car' AND vehicle_name IN ('Maruti Swift', 'Hyundai i20', 'Tata Nexon', "
+    "'Mahindra XUV300', 'Honda City', 'Toyota Fortuner', 'Kia Seltos', 'Suzuki Baleno')) OR "
+    "(vehicle_type = 'bike' AND vehicle_name IN ('Royal Enfield Classic', 'Bajaj Pulsar', 'TVS Apache', 'Hero Splendor', "
+    "'Honda Activa', 'Yamaha FZ', 'Suzuki Gixxer', 'KTM Duke'))",
     "phone_number": "regexp_full_match(phone_number, '[789][0-9]{8}')",
-    **{column: f"{column} BETWEEN {low} AND {high}" for column, (low, high) in RANGES.items()},
+    "speed": "speed BETWEEN 20 AND 200",
+    "location_lat": "location_lat BETWEEN 18.5 AND 19",
+    "location_lon": "location_lon BETWEEN 73.7 AND 74",
+    "user_id": "user_id BETWEEN 1 AND 1000",
+    "car_life_years": "car_life_years BETWEEN 1 AND 15",
+    "price_of_vechical": "price_of_vechical BETWEEN 100000 AND 2000000",
     "fine": "fine = CASE WHEN round(speed, 2) > 150 THEN 1000 ELSE 0 END",
     "timestamp": '"timestamp" IS NOT NULL',
 }
@@ -168,7 +169,10 @@ WHERE CAST(event_time AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-20'""
   CASE WHEN vehicle_type = 'car' THEN CAST("day" AS VARCHAR) END AS "day"
 FROM enriched""",
     "q27_assign_batches_across_tasks": f"WITH {_BATCHES} SELECT * FROM batched",
-    "q28_stream_ingest": "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS files_too_large FROM events",
+    "q28_stream_ingest": f"""WITH {_TELEMETRY}
+SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS files_too_large, sum(user_id)::BIGINT AS users, sum(fine)::BIGINT AS fines,
+  sum(CAST(round(speed * 100) AS BIGINT))::BIGINT AS speeds, sum(CAST(phone_number AS BIGINT))::BIGINT AS phones
+FROM telemetry""",
     "q29_full_run": f"WITH {_LOADS} SELECT {_PROCESSED_LIST} FROM first_load",
     "q30_micro_precision": """SELECT event_id, ts AS event_time, CAST(year(ts) AS INT) AS "year",
   CAST(month(ts) AS INT) AS "month", CAST(day(ts) AS INT) AS "day"
@@ -187,4 +191,49 @@ UNION ALL SELECT vehicle_id, phone_number, speed, event_time FROM unkeyed
 UNION ALL SELECT vehicle_id, phone_number, speed, event_time FROM unkeyed""",
     "q33_stream_contract": f"""WITH {_ENRICHED}
 SELECT {_PROCESSED_LIST} FROM enriched WHERE {_REASONS} = ''""",
+    "q34_replay_across_jobs": f"WITH {_ENRICHED} SELECT {_PROCESSED_LIST} FROM enriched",
+    "q35_load_order": f"""WITH {_TELEMETRY},
+later AS (
+  SELECT * REPLACE (speed + 1 AS speed, floor("timestamp") + CAST(0.9 AS DOUBLE) AS "timestamp") FROM telemetry
+),{_enriched("later_enriched", "later")}
+SELECT {_PROCESSED_LIST} FROM later_enriched
+QUALIFY row_number() OVER (PARTITION BY vehicle_id, event_time ORDER BY "timestamp" DESC, event_id DESC) = 1""",
+    "q36_decode_strict": f"""WITH {_TELEMETRY}
+SELECT event_id, CASE WHEN event_id % 4 IN (0, 1) THEN 'malformed_json' END AS decode_error,
+  CASE WHEN event_id % 4 = 2 THEN 'colour' WHEN event_id % 4 = 3 THEN '' END AS "unknown",
+  vehicle_id
+FROM telemetry""",
+    "q37_raw_csv_text": f"""WITH {_TELEMETRY},
+named AS (
+  SELECT vehicle_id, phone_number, CASE event_id % 4 WHEN 0 THEN '  ' || vehicle_name || ' '
+    WHEN 1 THEN '"' || vehicle_name || '", "x"' WHEN 2 THEN vehicle_name || chr(10) || 'line, two'
+    ELSE vehicle_name END AS vehicle_name
+  FROM telemetry
+)
+SELECT * FROM named UNION ALL SELECT * FROM named""",
+    "q38_upsert_many_days": f"WITH {_LOADS} SELECT {_TARGET_LIST} FROM merged",
+    "q39_unfit_values": f"""WITH {_TELEMETRY},
+checked AS (
+  SELECT event_id, concat_ws(',', CASE WHEN fine > 0 THEN 'speed' END, CASE WHEN vehicle_type = 'bike' THEN 'user_id' END) AS bad
+  FROM telemetry
+)
+SELECT event_id, CASE WHEN bad = '' THEN 'loaded' ELSE 'set aside' END AS outcome, nullif(bad, '') AS "columns" FROM checked""",
+    "q40_stream_alerts": f"""WITH {_TELEMETRY}, {_ALERTS}
+SELECT vehicle_id, speed, fine, phone_number, message FROM alerts""",
+    "q41_observed_counts": f"""WITH {_LOADS},
+fined AS (
+  SELECT count(*) AS n FROM (SELECT DISTINCT vehicle_id, event_time FROM resent_enriched WHERE fine > 0)
+),
+touched AS (
+  SELECT count(*) AS n FROM first_load f
+  WHERE (f."year", f."month", f."day") IN (SELECT ("year", "month", "day") FROM resent_enriched WHERE fine > 0)
+    AND (f.vehicle_id, f.event_time) NOT IN (SELECT (vehicle_id, event_time) FROM resent_enriched WHERE fine > 0)
+)
+SELECT 'written' AS what, count(*) AS n FROM telemetry WHERE fine = 0
+UNION ALL SELECT 'left_out', count(*) FROM telemetry WHERE fine > 0
+UNION ALL SELECT 'first_load', count(*) FROM first_load
+UNION ALL SELECT 'second_load', n FROM fined
+UNION ALL SELECT 'carried_over', n FROM touched""",
+    "q42_other_suffixes": f"WITH {_ENRICHED} SELECT {_PROCESSED_LIST} FROM enriched",
+    "q43_files_per_trigger": "SELECT count(*) AS n_rows, true AS within_limit FROM events",
 }

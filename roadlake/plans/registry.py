@@ -15,10 +15,10 @@ from pyspark.sql.types import StructType, TimestampType
 
 from roadlake.functions.event_time import add_date_parts, add_event_time, coerce_times, stamp
 from roadlake.functions.measures import nan_to_null, round_measures, speeding_fine
-from roadlake.functions.records import decode_events, encode_events
+from roadlake.functions.records import decode_events, encode_events, unknown_fields
 from roadlake.operators.alerts import overspeed_alerts, preview
 from roadlake.operators.batching import assign_batches, batch_counts
-from roadlake.operators.columns import conform, rename, require_columns, union_by_name
+from roadlake.operators.columns import conform, rename, require_columns, split_unfit, union_by_name
 from roadlake.operators.dedupe import dedupe_latest
 from roadlake.operators.quality import split_decoded, split_keyed, with_violations
 from roadlake.operators.time_range import time_range
@@ -26,7 +26,7 @@ from roadlake.operators.upsert import read_target, stage, upsert
 from roadlake.plans.telemetry import telemetry
 from roadlake.schema import EVENT_COLS, EVENT_SCHEMA, PROCESSED_SCHEMA, TARGET_SCHEMA
 from roadlake.session import prepare, scratch_path
-from roadlake.sinks.files import ROWS_PER_RAW_FILE, write_files, write_processed, write_raw
+from roadlake.sinks.files import LEFT_OUT, ROWS_PER_RAW_FILE, write_files, write_processed, write_raw
 from roadlake.sources.processed import read_processed, read_processed_any_layout
 from roadlake.sources.raw import read_raw
 from roadlake.streaming.jobs import (
@@ -34,6 +34,7 @@ from roadlake.streaming.jobs import (
     load_frame,
     load_full,
     run_available,
+    start_alerts,
     start_enrich,
     start_ingest,
     start_load,
@@ -297,19 +298,28 @@ def q26_partition_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def q27_assign_batches_across_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """q05 by the route taken when one bucket is too large for a task."""
-    enriched = add_event_time(telemetry(spark, sf_dir)).select("event_id", "event_time")
-    return assign_batches(enriched, "event_time", ["event_id"], max_seconds=DAY_SECONDS, window_rows=0)
+    """q05 with rows that arrive in no order, over many tasks."""
+    enriched = add_event_time(telemetry(spark, sf_dir)).select("event_id", "event_time").repartition(23)
+    return assign_batches(enriched, "event_time", ["event_id"], max_seconds=DAY_SECONDS)
 
 
 @_query
 def q28_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw files of an ingest run: rows in all, and files with more rows than allowed."""
+    """Raw files of an ingest run: rows and sums of their contents, and files with more rows than allowed."""
     layout = _layout(spark, "q28")
     start_ingest(_messages(spark, sf_dir, "q28-messages"), layout, trigger=None).awaitTermination()
     files = spark.read.schema(EVENT_SCHEMA).option("header", "true").csv(layout.raw)
-    per_file = files.groupBy(F.input_file_name().alias("file")).agg(F.count(F.lit(1)).alias("n"))
-    return per_file.agg(F.sum("n").alias("n_rows"), F.count_if(F.col("n") > ROWS_PER_RAW_FILE).alias("files_too_large"))
+    per_file = files.groupBy(F.input_file_name().alias("file")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("user_id").alias("users"),
+        F.sum("fine").alias("fines"),
+        F.sum(F.round(F.col("speed") * 100).cast("bigint")).alias("speeds"),
+        F.sum(F.col("phone_number").cast("bigint")).alias("phones"),
+    )
+    return per_file.agg(
+        F.sum("n").alias("n_rows"), F.count_if(F.col("n") > ROWS_PER_RAW_FILE).alias("files_too_large"),
+        *[F.sum(c).cast("bigint").alias(c) for c in ("users", "fines", "speeds", "phones")],
+    )
 
 
 @_query
@@ -354,3 +364,142 @@ def q33_stream_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     _fill_raw(spark, sf_dir, layout.raw)
     start_enrich(spark, layout, trigger=None, max_files=1000, enforce_contract=True).awaitTermination()
     return read_processed(spark, layout.processed)
+
+
+@_query
+def q34_replay_across_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw batches written, enriched, written again under the same names as after a lost commit, and enriched again."""
+    layout = Layout(scratch_path(spark, "q34"))
+    events = add_event_time(telemetry(spark, sf_dir))
+    for _ in range(2):
+        for kind in ("car", "bike"):
+            write_raw(events.where(F.col("vehicle_type") == kind), layout.raw, "event_time", LARGE_FILE, tag=f"{kind}-0")
+        start_enrich(spark, layout, trigger=None, max_files=1000).awaitTermination()
+    return read_processed(spark, layout.processed)
+
+
+@_query
+def q35_load_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Later events are loaded first; earlier ones with the same keys then change nothing."""
+    layout = Layout(scratch_path(spark, "q35"))
+    events = telemetry(spark, sf_dir).drop("event_id")
+    second = F.floor("timestamp").cast("double")
+    for fraction, faster in ((0.9, 1), (0.1, 2)):
+        changes = {"timestamp": second + fraction, "speed": F.col("speed") + faster}
+        write_processed(add_event_time(events.withColumns(changes)), layout.processed)
+        start_load(spark, layout, trigger=None).awaitTermination()
+    return read_target(spark, layout.target).drop("last_updated")
+
+
+@_query
+def q36_decode_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events sent as bytes: good, twice in one message, with text after them, or with a field too many."""
+    sent = encode_events(telemetry(spark, sf_dir), keep=("event_id",))
+    body = F.col("value")
+    value = (
+        F.when(F.col("event_id") % 4 == 0, F.concat(body, F.lit(" "), body))
+        .when(F.col("event_id") % 4 == 1, F.concat(body, F.lit(" junk}")))
+        .when(F.col("event_id") % 4 == 2, F.concat(F.lit('{"colour":"red",'), F.expr("substr(value, 2)")))
+        .otherwise(body)
+    )
+    decoded = decode_events(sent.select("event_id", F.encode(value, "UTF-8").alias("value")), keep=("event_id",))
+    unknown = F.when(F.col("decode_error").isNull(), F.array_join(unknown_fields(), ","))
+    return decoded.select("event_id", "vehicle_id", "decode_error", unknown.alias("unknown"))
+
+
+def _awkward_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events whose vehicle names hold outer spaces, quotes, commas and line breaks."""
+    name = (
+        F.when(F.col("event_id") % 4 == 0, F.concat(F.lit("  "), F.col("vehicle_name"), F.lit(" ")))
+        .when(F.col("event_id") % 4 == 1, F.concat(F.lit('"'), F.col("vehicle_name"), F.lit('", "x"')))
+        .when(F.col("event_id") % 4 == 2, F.concat(F.col("vehicle_name"), F.lit("\nline, two")))
+        .otherwise(F.col("vehicle_name"))
+    )
+    return telemetry(spark, sf_dir).withColumn("vehicle_name", name)
+
+
+@_query
+def q37_raw_csv_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Awkward names through raw files, once read as a table and once as a stream."""
+    layout = Layout(scratch_path(spark, "q37"))
+    write_raw(add_event_time(_awkward_names(spark, sf_dir)), layout.raw, "event_time", LARGE_FILE)
+    start_enrich(spark, layout, trigger=None, max_files=1000).awaitTermination()
+    columns = ["vehicle_id", "phone_number", "vehicle_name"]
+    return read_raw(spark, layout.raw).select(*columns).unionByName(read_processed(spark, layout.processed).select(*columns))
+
+
+@_query
+def q38_upsert_many_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """q16 with a source that is merged a few days at a time."""
+    path = scratch_path(spark, "q38")
+    upsert(stamp(_first_load(spark, sf_dir), F.lit(FIRST_LOAD)), path, slice_days=20)
+    second = stage(stamp(_second_load(spark, sf_dir), F.lit(SECOND_LOAD)), scratch_path(spark, "q38-staging"))
+    upsert(second, path, slice_days=20)
+    return read_target(spark, path)
+
+
+@_query
+def q39_unfit_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which events are loaded when some hold text where a number belongs, or a fraction where a whole number does."""
+    events = telemetry(spark, sf_dir)
+    loose = events.withColumns({
+        "speed": F.when(F.col("fine") > 0, "fast").otherwise(F.col("speed").cast("string")),
+        "user_id": F.col("user_id") + F.when(F.col("vehicle_type") == "bike", 0.5).otherwise(0.0),
+    })
+    fit, unfit = split_unfit(loose, TARGET_SCHEMA)
+    return fit.select("event_id", F.lit("loaded").alias("outcome"), F.lit(None).cast("string").alias("columns")).unionByName(
+        unfit.select("event_id", F.lit("set aside").alias("outcome"), F.array_join("unfit", ",").alias("columns"))
+    )
+
+
+@_query
+def q40_stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts that the alerts job writes from raw files."""
+    layout = Layout(scratch_path(spark, "q40"))
+    _fill_raw(spark, sf_dir, layout.raw)
+    start_alerts(spark, layout, trigger=None, max_files=1000).awaitTermination()
+    schema = "vehicle_id string, speed double, fine int, phone_number string, message string"
+    return spark.read.schema(schema).json(layout.alerts).select("vehicle_id", "speed", "fine", "phone_number", "message")
+
+
+@_query
+def q41_observed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What writes and upserts report about their rows."""
+    events = add_event_time(telemetry(spark, sf_dir))
+    written = write_processed(events.withColumn(LEFT_OUT, F.col("fine") > 0), scratch_path(spark, "q41"))
+    path = scratch_path(spark, "q41-target")
+    first = upsert(stamp(_first_load(spark, sf_dir), F.lit(FIRST_LOAD)), path)
+    second = upsert(stamp(_second_load(spark, sf_dir).where("fine > 0"), F.lit(SECOND_LOAD)), path)
+    counts = {
+        "written": written.rows, "left_out": written.left_out, "first_load": first.from_source,
+        "second_load": second.from_source, "carried_over": second.carried_over,
+    }
+    # Counts of whole runs: five rows, whatever the table's size.
+    return spark.range(1).select(F.explode(F.create_map(*[F.lit(x) for kv in counts.items() for x in kv])).alias("what", "n")).select(
+        "what", F.col("n").cast("bigint").alias("n")
+    )
+
+
+@_query
+def q42_other_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A processed tree in which files of another kind lie beside the Parquet ones."""
+    root = scratch_path(spark, "q42")
+    enriched = add_event_time(telemetry(spark, sf_dir)).select(*PROCESSED_SCHEMA.names)
+    write_files(enriched, root, "parquet", ["year", "month", "day"])
+    write_files(enriched.withColumn("event_time", F.col("event_time").cast("string")), root, "json", ["year", "month", "day"])
+    return read_processed(spark, root)
+
+
+@_query
+def q43_files_per_trigger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Micro-batches of an enrich run that may take ten files at a time: none more, no file lost."""
+    layout = Layout(scratch_path(spark, "q43"))
+    _fill_raw(spark, sf_dir, layout.raw)
+    query = start_enrich(spark, layout, trigger=None, max_files=10)
+    query.awaitTermination()
+    batches = F.col("file_rows").isNotNull()
+    per_batch = spark.read.schema(PROCESSED_SCHEMA).parquet(layout.processed).withColumn(
+        "file_rows", F.regexp_extract(F.col("_metadata.file_path"), "/batch=([^/]+)/", 1)
+    )
+    found = per_batch.where(batches).groupBy("file_rows").agg(F.count(F.lit(1)).alias("n"), F.countDistinct(F.to_date("event_time")).alias("days"))
+    return found.agg(F.sum("n").alias("n_rows"), (F.max("days") <= 10).alias("within_limit"))

@@ -42,6 +42,17 @@ def _local_dir() -> str:
     return tempfile.mkdtemp(prefix="roadlake-")
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Write a frame to the shared folder and go on from there, so that a lost executor repeats nothing before it.
+
+    Spark removes the files once the frame is gone where ``spark.cleaner.referenceTracking.cleanCheckpoints`` says so.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_dir(df.sparkSession))
+    return df.checkpoint(eager=True)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that nothing has used before."""
     return f"{shared_dir(spark)}/roadlake/{label}-{uuid.uuid4().hex}"

@@ -2,10 +2,8 @@
 
 from collections import Counter
 
-import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 
-from roadlake.operators import batching
 from roadlake.operators.batching import assign_batches, batch_counts
 
 BASE = 1704067200
@@ -30,35 +28,36 @@ def actual(df):
     return {r.id: (int(r.bucket_start.timestamp()), r.batch_no) for r in df.collect()}
 
 
-@pytest.mark.parametrize("window_rows", [0, 1000])
 @settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
 @given(seconds=st.lists(st.floats(0, 400, width=16), min_size=1, max_size=60), max_rows=st.integers(1, 9))
-def test_matches_a_fold(spark, window_rows, seconds, max_rows):
-    batched = assign_batches(frame(spark, seconds), "t", ["id"], max_rows, 60, window_rows)
+def test_matches_a_fold(spark, seconds, max_rows):
+    batched = assign_batches(frame(spark, seconds), "t", ["id"], max_rows, 60)
     assert actual(batched) == expected(seconds, max_rows, 60)
 
 
 def test_bounds_hold_when_one_bucket_has_most_rows(spark):
     seconds = [5.0] * 700 + [float(s) for s in range(300)]
-    for window_rows in (0, 10_000):
-        batched = assign_batches(frame(spark, seconds), "t", ["id"], window_rows=window_rows)
-        counts = batch_counts(batched).collect()
-        assert sum(r.n_rows for r in counts) == 1000
-        assert max(r.n_rows for r in counts) == 100
-        assert sum(r.n_rows == 100 for r in counts) == 7
-        assert actual(batched) == expected(seconds, 100, 60)
+    batched = assign_batches(frame(spark, seconds), "t", ["id"])
+    counts = batch_counts(batched).collect()
+    assert sum(r.n_rows for r in counts) == 1000
+    assert max(r.n_rows for r in counts) == 100
+    assert sum(r.n_rows == 100 for r in counts) == 7
+    assert actual(batched) == expected(seconds, 100, 60)
 
 
-def test_many_runs_are_joined_without_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(batching, "BROADCAST_RUNS", 0)
-    seconds = [float(s % 240) for s in range(500)]
-    batched = assign_batches(frame(spark, seconds), "t", ["id"], 7, 60, window_rows=0)
-    assert actual(batched) == expected(seconds, 7, 60)
+def test_runs_are_joined_without_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        seconds = [float(s % 240) for s in range(500)]
+        batched = assign_batches(frame(spark, seconds), "t", ["id"], 7, 60)
+        assert actual(batched) == expected(seconds, 7, 60)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_equal_rows_spread_over_tasks(spark):
     same = spark.range(0, 20_000, 1, 8).selectExpr("timestamp_seconds(1704067200) as t")
-    batched = assign_batches(same, "t", window_rows=0)
+    batched = assign_batches(same, "t")
     sizes = Counter(r.n_rows for r in batch_counts(batched).collect())
     assert sizes == {100: 200}
 
@@ -67,9 +66,8 @@ def test_null_times_form_their_own_bucket(spark):
     df = spark.createDataFrame([(1, None), (2, None), (3, 5.0)], "id bigint, s double").selectExpr(
         "id", "cast(s as timestamp) as t"
     )
-    for window_rows in (0, 10):
-        counts = batch_counts(assign_batches(df, "t", ["id"], window_rows=window_rows)).collect()
-        assert {(str(r.bucket_start), r.n_rows) for r in counts} == {("None", 2), ("1970-01-01 00:00:00", 1)}
+    counts = batch_counts(assign_batches(df, "t", ["id"])).collect()
+    assert {(str(r.bucket_start), r.n_rows) for r in counts} == {("None", 2), ("1970-01-01 00:00:00", 1)}
 
 
 def test_no_rows(spark):

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from conftest import at, event
 from roadlake.functions.event_time import add_event_time
-from roadlake.operators.columns import conform, rename, require_columns, union_by_name
+from roadlake.operators.columns import conform, rename, require_columns, split_unfit, union_by_name
 from roadlake.operators.time_range import time_range
 from roadlake.plans.telemetry import telemetry
 from roadlake.schema import EVENT_COLS, EVENT_SCHEMA, PROCESSED_SCHEMA, TARGET_SCHEMA
@@ -273,6 +273,17 @@ def test_rename_skips_absent_columns(spark):
     assert rename(spark.createDataFrame([(1, 2)], "a int, b int"), {"a": "x", "z": "y"}).columns == ["x", "b"]
 
 
+def test_unfit_values_are_set_aside_or_refused(spark):
+    rows = [("1", 5.0, "7"), ("2", 5.7, "7"), ("3", 5.0, "fast"), ("4", None, None), ("5", 1e12, "x")]
+    df = spark.createDataFrame(rows, "vehicle_id string, user_id double, speed string")
+    fit, unfit = split_unfit(df, TARGET_SCHEMA)
+    assert sorted(r.vehicle_id for r in fit.collect()) == ["1", "4"] and fit.columns == df.columns
+    assert {r.vehicle_id: r.unfit for r in unfit.collect()} == {"2": ["user_id"], "3": ["speed"], "5": ["speed", "user_id"]}
+    assert conform(fit, TARGET_SCHEMA, unfit="raise").count() == 2
+    with pytest.raises(Exception, match="do not fit: speed"):
+        conform(df.where("vehicle_id = '3'"), TARGET_SCHEMA, unfit="raise").collect()
+
+
 def test_conform(spark):
     df = spark.createDataFrame([("7", 1.9, "V1")], "user_id string, speed float, vehicle_id string")
     row = conform(df, TARGET_SCHEMA, required=["vehicle_id"]).first()

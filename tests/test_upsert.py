@@ -137,7 +137,7 @@ def test_keys_are_broadcast_only_when_measured_small(spark, folder, monkeypatch)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         source, target = load(spark, [event("V1", START)]), read_target(spark, folder)
-        plan = explain(merge(source, target, KEY_COLS, ["timestamp"], next(module._touched_slices(source, KEY_COLS))))
+        plan = explain(merge(source, target, KEY_COLS, ["timestamp"], next(module._touched_slices(source, KEY_COLS, 1000))))
         assert "SortMergeJoin" in plan and "Broadcast" not in plan
         assert upsert(source, folder) == (1, 1)
     finally:
@@ -147,7 +147,7 @@ def test_keys_are_broadcast_only_when_measured_small(spark, folder, monkeypatch)
 def test_new_days_need_no_join(spark, folder):
     upsert(load(spark, [event("V1", START)]), folder)
     source = load(spark, [event("V1", START + DAY)])
-    merged = merge(source, read_target(spark, folder), KEY_COLS, ["timestamp"], next(module._touched_slices(source, KEY_COLS)))
+    merged = merge(source, read_target(spark, folder), KEY_COLS, ["timestamp"], next(module._touched_slices(source, KEY_COLS, 1000)))
     assert "Join" not in explain(merged)
 
 
@@ -166,7 +166,7 @@ def test_slices_read_touched_days_only(spark, folder, monkeypatch):
     upsert(load(spark, [event("V1", START + d * DAY) for d in range(10)]), folder)
     monkeypatch.setattr(module, "LISTED_PARTITIONS", 2)
     source = load(spark, [event("V1", START + d * DAY) for d in range(5)])
-    slices = list(module._touched_slices(source, KEY_COLS))
+    slices = list(module._touched_slices(source, KEY_COLS, 2))
     assert [len(t.days) for t in slices] == [2, 2, 1] and not any(t.whole for t in slices)
     for touch in slices:
         filters = plan_line(merge(source, read_target(spark, folder), KEY_COLS, ["timestamp"], touch), "PartitionFilters")
