@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from roadlake.session import checkpointed
+
 #: Rounds of :func:`components` that order nodes by their id before order is drawn at random.
 PLAIN_ROUNDS = 2
 
 
 def cut(df: DataFrame) -> DataFrame:
     """Write a frame to the checkpoint folder all executors share and go on from there."""
-    return df.checkpoint(eager=True)
+    return checkpointed(df)
 
 
 def free_name(df: DataFrame, wanted: str) -> str:
