@@ -14,6 +14,7 @@ from functools import partial
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from roadlake.llm.common import held_out
@@ -209,16 +210,20 @@ class Reader:
         return out
 
 
-def _training_windows(batches: Iterable[pd.DataFrame], most: int) -> Iterator[pd.DataFrame]:
+def _training_windows(batches: Iterable[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
     """Windows of each document, spread evenly over it, that hold a letter."""
-    for pdf in batches:
+    for batch in batches:
         rows = []
-        for key, lang, text in zip(pdf["key"], pdf["lang"], pdf["text"]):
-            data = (text or "").encode().lower()
+        for row in batch.to_pylist():
+            data = (row["text"] or "").encode().lower()
             starts = np.unique(np.linspace(0, max(0, len(data) - WINDOW), most).astype(int)) if data else []
-            cut = [data[s : s + WINDOW].ljust(WINDOW) for s in starts]
-            rows += [(key, int(s), lang, w) for s, w in zip(starts, cut) if _IS_LETTER[np.frombuffer(w, np.uint8)].any()]
-        yield pd.DataFrame(rows, columns=["key", "start", "lang", "window"])
+            for start in starts:
+                window = data[start : start + WINDOW].ljust(WINDOW)
+                if _IS_LETTER[np.frombuffer(window, np.uint8)].any():
+                    rows.append((row["key"], int(start), row["lang"], window))
+        columns = zip(*rows) if rows else ([],) * 4
+        types = pa.string(), pa.int32(), pa.string(), pa.binary()
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["key", "start", "lang", "window"])
 
 
 def fit(
@@ -230,7 +235,8 @@ def fit(
     order = F.xxhash64("key")
     # The ids first, so that no more than those reach one place; a repeated id gives the same windows again.
     keys = rows.select("key").distinct().orderBy(order, "key").limit(limit)
-    windows = rows.join(F.broadcast(keys), "key").mapInPandas(
+    chosen = rows.join(F.broadcast(keys), "key").withColumn("key", F.col("key").cast("string"))
+    windows = chosen.mapInArrow(
         partial(_training_windows, most=WINDOWS), "key string, start int, lang string, window binary"
     ).distinct()
     seen = windows.orderBy("key", "start", "lang", "window").toPandas()  # ``limit * WINDOWS`` rows at most
@@ -255,7 +261,7 @@ def predict(docs: DataFrame, network: Network | None, id_col: str = "doc_id", te
         if send.value is None:
             return pd.DataFrame({"lang_pred": [UNDETERMINED] * len(texts), "score": 0.0})
         reader = Reader(send.value)
-        found = [x for a, b in runs(texts, AT_ONCE) for x in reader(texts[a:b])]
+        found = [x for a, b in runs([len(t or "") for t in texts], AT_ONCE) for x in reader(texts[a:b])]
         return pd.DataFrame(found, columns=["lang_pred", "score"])
 
     rows = docs.select(F.col(id_col).alias("row_id"), read(text_col).alias("found"))
