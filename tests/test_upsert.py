@@ -12,6 +12,7 @@ from conftest import event
 from roadlake.functions.event_time import add_event_time, stamp
 from roadlake.operators import upsert as module
 from roadlake.operators.dedupe import dedupe_latest
+from roadlake.operators.merge import merge_table
 from roadlake.operators.upsert import Touch, create_target, finish_interrupted, merge, read_target, stage, upsert
 from roadlake.schema import EVENT_SCHEMA, KEY_COLS, TARGET_SCHEMA
 from roadlake.session import scratch_path
@@ -346,3 +347,13 @@ def test_dedupe_does_not_depend_on_row_order(spark, rows, order):
         for r in (rows_of(rows), shuffled)
     ]
     assert results[0] == results[1]
+
+
+def test_tables_without_merge_are_refused(spark):
+    create = load(spark, [event()]).where("false")
+    create.write.mode("overwrite").saveAsTable("plain_table")
+    try:
+        with pytest.raises(Exception, match="(?i)merge"):
+            merge_table(load(spark, [event()]), "plain_table")
+    finally:
+        spark.sql("DROP TABLE plain_table")
