@@ -14,6 +14,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from roadlake.llm.common import cut
@@ -22,9 +23,9 @@ from roadlake.llm.encoding import encoder, runs
 #: Tokens of a sequence.
 CAPACITY = 4096
 #: Rests in a group, on average: what one task holds and packs at a time.
-GROUP = 16_384
+GROUP = 2_048
 #: Characters of the texts encoded together.
-AT_ONCE = 4_000_000
+AT_ONCE = 1_000_000
 
 
 class Tournament:
@@ -66,10 +67,10 @@ def _tokenized(batches: Iterable[pa.RecordBatch], definition: str, end: int, cap
     encode = encoder(definition)
     last = np.array([end], dtype="<u4").tobytes()
     for batch in batches:
-        names, texts = batch.column(0), batch.column(1).to_pylist()
-        for a, b in runs(texts, AT_ONCE):
+        names, texts = batch.column(0), batch.column(1)
+        for a, b in runs(pc.utf8_length(texts).to_pylist(), AT_ONCE):
             row, start, length, total, crc, kept = [], [], [], [], [], []
-            for at, ids in enumerate(encode(texts[a:b]), start=a):
+            for at, ids in enumerate(encode(texts[a:b].to_pylist()), start=a):
                 ids += last
                 n = len(ids) // 4
                 for s in range(0, n, capacity):
