@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from functools import cache
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -17,8 +18,10 @@ def prepare(spark: SparkSession) -> SparkSession:
 
     UTC, so that parsed and printed times never depend on where a job runs; and timestamps in
     Parquet that carry statistics, which the default encoding lacks, so that a filter on
-    ``event_time`` can skip parts of a file.
+    ``event_time`` can skip parts of a file. Python workers look for this package where the driver found it,
+    which serves local sessions and shared installations; elsewhere submit it with ``--py-files``.
     """
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[1]))
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
     return spark
