@@ -27,26 +27,31 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not predicted toxic, by a classifier of the table ``labels``."""
+    prepare(spark)
     return toxicity.reject(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that over a tenth of their source's documents repeat."""
+    prepare(spark)
     return _counted(lines.drop_boilerplate(docs, F.col("source"), max_loss=LINE_MAX_LOSS))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
+    prepare(spark)
     return minhash.drop_near_duplicates(docs)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with every secret replaced by a mark."""
+    prepare(spark)
     return _counted(secrets.mask_secrets(docs))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The place of every piece of every document in sequences of 4096 tokens."""
+    prepare(spark)
     return packing.pack(docs, Path(TOKENIZER).read_text())
 
 
