@@ -28,6 +28,8 @@ DIRECT_PARTITIONS = 4
 BROADCAST_BYTES = 32 * 1024 * 1024
 
 _FRESH = "_fresh"
+# How a folder writes a null.
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 # The key column that partitions follow from.
 EVENT_TIME = "event_time"
 
@@ -48,6 +50,19 @@ def read_target(spark: SparkSession, path: str, schema: StructType = TARGET_SCHE
     return read_parquet_or_empty(spark, path, schema)
 
 
+def _read_days(spark: SparkSession, path: str, schema: StructType, days: Sequence[str]) -> DataFrame:
+    """Rows of some partitions. Only their folders are listed, however many the table has."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path
+    fs = folder(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [[_NO_VALUE if part == "None" else part for part in day.split("/")] for day in days]
+    places = ["/".join([path, *[f"{c}={v}" for c, v in zip(PARTITION_COLS, values)]]) for values in names]
+    there = [p for p in places if fs.exists(folder(p))]
+    if not there:
+        return no_rows(spark, schema)
+    reader = spark.read.schema(schema).options(basePath=path, pathGlobFilter="*.parquet")
+    return reader.parquet(*there).select(*schema.names)
+
+
 def stage(source: DataFrame, path: str, schema: StructType = TARGET_SCHEMA) -> DataFrame:
     """Materialise the source in the target's columns at ``path``, replacing what was there.
 
@@ -101,7 +116,7 @@ def upsert(
         # A slice's own rows; one slice has them all.
         part = incoming if touch.whole else incoming.where(_folder(incoming).isin(touch.days))
         counts = Observation()
-        merged = merge(part, read_target(spark, path, schema), keys, latest_by, touch, keep_newer).observe(
+        merged = merge(part, _read_days(spark, path, schema, touch.days), keys, latest_by, touch, keep_newer).observe(
             counts, F.count_if(_FRESH).alias("from_source"), F.count_if(~F.col(_FRESH)).alias("carried_over")
         ).drop(_FRESH)
 
@@ -179,10 +194,14 @@ def _unmatched(current: DataFrame, incoming: DataFrame, keys: Sequence[str], tou
     per map task. When they are measured to be small, the target is not shuffled at all.
     """
     matched = incoming.select(*keys).distinct()
+    order = fixed_width_first(current, keys)
     if touch.key_bytes <= BROADCAST_BYTES:
-        matched = F.broadcast(matched)
-    kept = current.join(matched, fixed_width_first(current, keys), "left_anti").select(*current.columns)
-    return kept.withColumn(_FRESH, F.lit(False))
+        kept = current.join(F.broadcast(matched), order, "left_anti")
+    else:
+        # A null equals nothing, so rows with one in the key stay and need not meet in one task.
+        keyed, unkeyed = split_on_null(current, keys)
+        kept = keyed.join(matched, order, "left_anti").select(*current.columns).unionByName(unkeyed)
+    return kept.select(*current.columns).withColumn(_FRESH, F.lit(False))
 
 
 def finish_interrupted(spark: SparkSession, journal: str, schema: StructType = TARGET_SCHEMA) -> None:

@@ -24,6 +24,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[1]))
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
+    # Without it a day that holds much of the data, or a key that does, would be one task's.
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
     return spark
 
 
