@@ -2,14 +2,34 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import TypeVar
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from roadlake.session import checkpointed
 
+T = TypeVar("T")
+
 #: Rounds of :func:`components` that order nodes by their id before order is drawn at random.
 PLAIN_ROUNDS = 2
 
 
+#: The one thing that a worker process keeps between tasks.
+_KEPT: dict[object, object] = {}
+
+
+def kept(name: object, make: Callable[[], T]) -> T:
+    """What ``make`` gives, kept by the worker process for later tasks that ask for the same name.
+
+    Only the last thing asked for is kept, so that what one operator remembers does not add to what the next one does.
+    """
+    if name not in _KEPT:
+        _KEPT.clear()
+        _KEPT[name] = make()
+    return _KEPT[name]
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write a frame to the checkpoint folder all executors share and go on from there."""
     return checkpointed(df)

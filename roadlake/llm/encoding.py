@@ -10,12 +10,15 @@ from __future__ import annotations
 
 import json
 import re
+import sys
 from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 from tokenizers import Tokenizer, pre_tokenizers
 
+from roadlake.llm.common import kept
+
 
 #: Characters beyond these, for which the cuts below are not written out, go the library's way.
 _PLAIN = re.compile("[^\t-\r -~\xa0-įı-ſ]")
@@ -69,6 +72,23 @@ def as_bytes(ids: Iterable[int]) -> bytes:
     return np.asarray(ids, dtype="<u4").tobytes()
 
 
+class _Ids(dict):
+    """Ids of parts as bytes, filled on demand; long parts are not kept."""
+
+    def __init__(self, encoder: Encoder):
+        super().__init__()
+        self.encoder = encoder
+
+    def __missing__(self, part: str) -> bytes:
+        ids = self.encoder.tokens(part)
+        ids = ids.tobytes() if sys.byteorder == "little" and ids.itemsize == 4 else as_bytes(ids)
+        if len(part) < self.encoder.long:
+            if len(self) >= self.encoder.remembered:
+                self.clear()
+            self[part] = ids
+        return ids
+
+
 class Encoder:
     """Encodes texts with the byte-level BPE tokenizer of a JSON definition; special tokens are not added."""
 
@@ -76,7 +96,7 @@ class Encoder:
     remembered, long = 1_000_000, 1024
 
     def __init__(self, definition: str):
-        self.of_long, self.unremembered = self.merged, set()
+        self.of_long = self.merged
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
@@ -87,7 +107,7 @@ class Encoder:
         self.cut, self.pre_token = (word_parts, _WORDS) if words else (byte_level_parts, _BYTE_LEVEL)
         self.shown = {b: c for c, b in shown_bytes().items()}
         self.merges = self.tokenizer.model.tokenize
-        self.ids: dict[str, bytes] = {}
+        self.ids = _Ids(self)
 
     def library(self, texts: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -106,16 +126,6 @@ class Encoder:
             token = token.encode().decode("latin-1").translate(self.shown)
         return [t.id for t in self.merges(token)]
 
-    def _learn(self, parts: set[str]) -> None:
-        missing = parts.difference(self.ids)
-        if len(self.ids) + len(missing) > self.remembered:
-            self.ids.clear()
-            missing = parts
-        tokens = self.tokens
-        self.ids.update([(p, as_bytes(tokens(p))) for p in missing])
-        for p in [p for p in missing if len(p) >= self.long]:
-            self.unremembered.add(p)
-
     def parts(self, text: str) -> list[str] | None:
         """The parts that are encoded independently; None when only the library knows them."""
         if "<|" in text or _PLAIN.search(text):  # the first is how special tokens begin
@@ -126,26 +136,15 @@ class Encoder:
         """Ids of each text as little-endian unsigned 32-bit numbers; a null text is empty."""
         texts = [t or "" for t in texts]
         cut = [self.parts(t) for t in texts]
-        self._learn(set().union(*[own for own in cut if own]))
         other = [i for i, own in enumerate(cut) if own is None]
         rest = dict(zip(other, self.library([texts[i] for i in other])))
         at = self.ids.__getitem__
-        out = [rest[i] if own is None else b"".join(map(at, own)) for i, own in enumerate(cut)]
-        for part in self.unremembered:
-            del self.ids[part]
-        self.unremembered.clear()
-        return out
-
-
-#: By definition: one per worker process, so that its tasks share what is remembered.
-_ENCODERS: dict[str, Encoder] = {}
+        return [rest[i] if own is None else b"".join(map(at, own)) for i, own in enumerate(cut)]
 
 
 def encoder(definition: str) -> Encoder:
-    if definition not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[definition] = Encoder(definition)
-    return _ENCODERS[definition]
+    """The encoder of a definition, kept between tasks."""
+    return kept(("encoder", definition), lambda: Encoder(definition))
 
 
 def runs(sizes: Iterable[int | None], most: int) -> Iterator[tuple[int, int]]:
