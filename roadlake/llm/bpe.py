@@ -24,7 +24,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from roadlake.llm.common import cut
+from roadlake.llm.common import cut, kept
 from roadlake.llm.encoding import Encoder, as_bytes, byte_table, runs, unsplit_tokenizer
 
 #: Characters of a stretch without a cut from which on it is encoded as a tree, and those of a leaf.
@@ -131,15 +131,9 @@ def decoded(ids: bytes, table: list[bytes]) -> str:
     return b"".join(map(table.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
 
 
-#: By definition: one per worker process, so that its tasks share what is remembered.
-_WORKERS: dict[str, _Worker] = {}
-
-
 def worker(definition: str) -> _Worker:
-    if definition not in _WORKERS:
-        _WORKERS.clear()
-        _WORKERS[definition] = _Worker(definition)
-    return _WORKERS[definition]
+    """Encoder and tree of a definition, kept between tasks."""
+    return kept(("bpe", definition), lambda: _Worker(definition))
 
 
 def _in_place(batches: Iterable[pa.RecordBatch], definition: str, back: bool) -> Iterator[pa.RecordBatch]:

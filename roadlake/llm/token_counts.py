@@ -19,6 +19,8 @@ import ahocorasick
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from roadlake.llm.common import kept
+
 #: What the tokenizer writes for a space, and takes off the lowest score for a character without a piece.
 SPACE, UNKNOWN_PENALTY = "▁", 10.0
 #: Words a worker remembers.
@@ -87,10 +89,6 @@ class _Counts(dict):
         return sum(map(self.__getitem__, (text[1:] if text[0] == " " else text).split(" ")))
 
 
-#: By checksum of the vocabulary: one per worker process, so that its tasks share what is remembered.
-_REMEMBERED: dict[int, _Counts] = {}
-
-
 def count_tokens(
     docs: DataFrame, scored: list[tuple[str, float]], id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -107,10 +105,7 @@ def count_tokens(
 
     @F.pandas_udf("long")
     def n_tokens(texts: pd.Series) -> pd.Series:
-        counts = _REMEMBERED.get(name)
-        if counts is None:
-            _REMEMBERED.clear()
-            counts = _REMEMBERED[name] = _Counts(piece_counter(vocabulary.value))
+        counts = kept(("counts", name), lambda: _Counts(piece_counter(vocabulary.value)))
         return pd.Series([counts.of_text(t) for t in texts], dtype="int64")
 
     return docs.select(F.col(id_col).alias("row_id"), F.col(text_col).alias("row_text")).select(

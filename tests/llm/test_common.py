@@ -4,7 +4,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from roadlake.llm.common import components, free_name, held_out, host_of
+from roadlake.llm.common import components, free_name, held_out, host_of, kept
 
 
 def plain_components(edges):
@@ -58,3 +58,10 @@ def test_host_and_free_name(spark):
     frame = spark.createDataFrame(urls, "url string, host string")
     assert frame.where(host_of(F.col("url")) != F.col("host")).count() == 0
     assert free_name(spark.createDataFrame([], "Score int, score_ int"), "score") == "score__"
+
+
+def test_a_worker_keeps_the_last_thing_only():
+    made = []
+    make = lambda name: kept(name, lambda: made.append(name) or name)
+    assert [make(n) for n in ("a", "a", "b", "b", "a")] == ["a", "a", "b", "b", "a"]
+    assert made == ["a", "b", "a"]
