@@ -40,9 +40,6 @@ TILE = 1024
 TILE_SHINGLES = 1_000_000
 #: Pairs of one document confirmed in one group.
 CONFIRM = 64
-#: Words a worker remembers the hashes of.
-REMEMBERED = 1_000_000
-
 #: Ids that are broadcast at most (8 bytes each); more are joined by a shuffle.
 SMALL = 1_000_000
 #: Characters of the texts hashed together.
@@ -54,19 +51,6 @@ _TIMES = _draw.integers(1, 2**63, HASHES, dtype=np.uint64) | np.uint64(1)
 _PLUS = _draw.integers(0, 2**63, HASHES, dtype=np.uint64)
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        value = xxhash.xxh3_64_intdigest(word)
-        if len(word) <= 64:
-            self[word] = value
-        return value
-
-
-_WORDS = _WordHashes()
-
-
 def _mixed(h: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit."""
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -82,7 +66,7 @@ def shingle_sets(texts: list[str | None]) -> Iterator[np.ndarray]:
     for a, b in runs([len(t or "") for t in texts], AT_ONCE):
         words = [(t or "").encode().lower().split() for t in texts[a:b]]
         counts = [len(w) for w in words]
-        hashes = np.fromiter(map(_WORDS.__getitem__, chain.from_iterable(words)), np.uint64, sum(counts))
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, chain.from_iterable(words)), np.uint64, sum(counts))
         rolled = np.zeros(max(0, len(hashes) - WORDS + 1), np.uint64)
         for i in range(WORDS):
             rolled += hashes[i : i + len(rolled)] * _PLACES[i]
