@@ -25,7 +25,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from roadlake.llm.common import free_name, held_out
+from roadlake.llm.common import cut, free_name, held_out, kept
 
 #: Labelled documents the classifier is fitted on, the first by a hash of their id. A bound on purpose: more
 #: hardly change the few weights, and it keeps the fit's cost fixed. All other statistics cover every document.
@@ -37,7 +37,7 @@ BELIEF, STRONG = 10.0, 1.5
 #: Letters in a stem.
 STEMS = (3, 4, 5, 6, 7)
 #: Words and stretches a worker remembers.
-REMEMBERED = 1_000_000
+REMEMBERED = 700_000
 
 # What look-alike characters may stand for.
 LOOKALIKES = {
@@ -322,7 +322,7 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column, id_col: str = "doc_
     known = known.where("key is not null").orderBy(F.xxhash64("key"), "key").limit(limit)
     texts = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text"))
     half = F.pmod(F.xxhash64("key", F.lit(1)), F.lit(2)).cast("int").alias("half")
-    rows = texts.join(F.broadcast(known), "key").select("text", "toxic", half)  # at most ``limit`` ids
+    rows = cut(texts.join(F.broadcast(known), "key").select("text", "toxic", half))  # at most ``limit`` ids
     words = _group_table(rows, characters, None)
     both = lambda t: t.assign(toxic=t["toxic0"] + t["toxic1"], clean=t["clean0"] + t["clean1"])
     of_half = lambda t, h: t.assign(toxic=t[f"toxic{h}"], clean=t[f"clean{h}"])
@@ -338,10 +338,6 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column, id_col: str = "doc_
     return Model(characters, groups, _logistic(seen[["a", "b", "c"]].to_numpy(), seen["toxic"].to_numpy(float)))
 
 
-#: By the model's broadcast: one per worker process, so that its tasks share what is remembered.
-_EVIDENCE: dict[int, Evidence] = {}
-
-
 def scored(spark: SparkSession, model: Model, text: Column) -> Column:
     """Score (0 to 1) of a whole text; a null text counts as empty."""
     send = spark.sparkContext.broadcast(model)
@@ -350,10 +346,7 @@ def scored(spark: SparkSession, model: Model, text: Column) -> Column:
     @F.pandas_udf("double")
     def of(texts: pd.Series) -> pd.Series:
         own = send.value
-        if name not in _EVIDENCE:
-            _EVIDENCE.clear()
-            _EVIDENCE[name] = Evidence(Restorer(own.characters), own.groups)
-        evidence = _EVIDENCE[name]
+        evidence = kept(("evidence", name), lambda: Evidence(Restorer(own.characters), own.groups))
         x = np.array([(*evidence.features(t), 1.0) for t in texts]).reshape(-1, 4)
         return pd.Series(1 / (1 + np.exp(-np.clip(x @ own.final, -30, 30))))
 
