@@ -16,6 +16,8 @@ from roadlake.session import prepare, scratch_path
 
 #: A document that would lose more of its text than this is a copy of others of its source; the near-duplicate stage takes it.
 LINE_MAX_LOSS = 0.5
+#: Hundredths of their five-word shingles that near duplicates share; the 85 of op7 are that query's contract.
+NEAR_PERCENT = 80
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -40,7 +42,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
     prepare(spark)
-    return minhash.drop_near_duplicates(docs)
+    return minhash.drop_near_duplicates(docs, NEAR_PERCENT)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -29,9 +29,8 @@ from roadlake.llm.encoding import runs
 
 #: Words in a shingle.
 WORDS = 5
-#: Signature layout. A pair at similarity 0.85 shares no band with probability (1 - 0.85^5)^25 = 4e-7.
-BANDS, ROWS = 25, 5
-HASHES = BANDS * ROWS
+#: Values of a signature, the most of them in a band, and the chance with which a pair at the threshold may share no band.
+HASHES, ROWS, UNSEEN = 125, 5, 1e-6
 #: Signature values compared at a time, and the posterior chance at which a pair is dropped.
 BATCH, MISS = 25, 1e-7
 #: Members of a bucket compared in one task with those of another such tile, on average.
@@ -138,9 +137,19 @@ def _prune(batches: Iterable[pa.RecordBatch], threshold: float, miss: float) ->
             yield batch.select(["u", "v"]).take(pa.array(surviving(*sigs, threshold, miss)))
 
 
-def first_shared_band(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+def layout(percent: int) -> tuple[int, int]:
+    """Number of bands and their length: the longest bands of which a pair at the threshold shares one almost surely.
+
+    At 0.85, 25 bands of 5 miss a pair with probability (1 - 0.85^5)^25 = 4e-7; at 0.8, 31 of 4 miss (1 - 0.8^4)^31 = 8e-8.
+    """
+    fits = [r for r in range(1, ROWS + 1) if (1 - (percent / 100) ** r) ** (HASHES // r) <= UNSEEN]
+    rows = max(fits, default=1)
+    return HASHES // rows, rows
+
+
+def first_shared_band(left: np.ndarray, right: np.ndarray, bands: int, rows: int) -> np.ndarray:
     """First band in which pairs of signatures agree, row by row; 0 also where none does."""
-    return (left == right).reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1)
+    return (left == right)[:, : bands * rows].reshape(-1, bands, rows).all(axis=2).argmax(axis=1)
 
 
 def _tile_links(rows: pd.DataFrame, percent: int, miss: float) -> pd.DataFrame:
@@ -162,7 +171,7 @@ def _tile_links(rows: pd.DataFrame, percent: int, miss: float) -> pd.DataFrame:
         # Neither set can share more than its own size.
         j = j[100 * np.minimum(sizes[j], sizes[i]) >= percent * np.maximum(sizes[j], sizes[i])]
         same = np.broadcast_to(sigs[i], (len(j), HASHES))
-        j = j[first_shared_band(same, sigs[j]) == band]
+        j = j[first_shared_band(same, sigs[j], *layout(percent)) == band]
         j = j[surviving(same[: len(j)], sigs[j], percent / 100, miss)]
         while len(j):
             some, j = j[:CONFIRM], j[CONFIRM:]
@@ -233,9 +242,10 @@ def near_duplicates(
     classes = cut(
         usable.groupBy("digest").agg(F.min("id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"))
     )
+    n_bands, n_rows = layout(percent)
     bands = classes.select("id", F.posexplode(F.transform(
-        F.sequence(F.lit(0), F.lit(BANDS - 1)),
-        lambda b: F.xxhash64(b, F.substring("sig", b * (4 * ROWS) + 1, F.lit(4 * ROWS))),
+        F.sequence(F.lit(0), F.lit(n_bands - 1)),
+        lambda b: F.xxhash64(b, F.substring("sig", b * (4 * n_rows) + 1, F.lit(4 * n_rows))),
     )).alias("band", "bucket"))
     shared = bands.groupBy("band", "bucket").agg(F.min("id").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
     members = cut(bands.join(shared, ["band", "bucket"]).select("band", "bucket", "hub", "n", "id"))

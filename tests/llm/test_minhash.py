@@ -126,3 +126,18 @@ def test_shingles_of_short_and_repeated_words():
     sets = list(shingle_sets(["a b", "A  B", "a b c d e", "a a a a a a a", None, "b a"]))
     assert [len(s) for s in sets] == [1, 1, 1, 1, 0, 1]
     assert (sets[0] == sets[1]).all() and sets[0][0] != sets[5][0]
+
+
+def test_bands_follow_the_threshold():
+    assert minhash.layout(85) == (25, 5)
+    for percent in (50, 80, 85, 95):
+        bands, rows = minhash.layout(percent)
+        assert bands * rows <= minhash.HASHES and (1 - (percent / 100) ** rows) ** bands <= 1e-6
+
+
+def test_threshold_of_eighty_matches_all_pairs(spark):
+    rows = corpus(3)
+    _, least = plain(rows, 80)
+    assert least != plain(rows, 85)[1]
+    got = near_duplicates(spark.createDataFrame([(*r, 0, "x") for r in rows], SCHEMA), 80).collect()
+    assert {r.doc_id: r.component_id for r in got} == least

@@ -113,3 +113,16 @@ def test_odd_documents_pass_every_stage(spark):
     empty = documents.limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SF_DIR).count() == 0
+
+
+def test_near_dedup_takes_pairs_from_eighty_hundredths(spark):
+    words = [f"w{i}" for i in range(104)]
+    rows = [(1, 100), (2, 82), (3, 60)]  # shingles; 82 and 60 of 100
+    frame = spark.createDataFrame([(i, " ".join(words[: n + 4]), "en", "s", 0) for i, n in rows], "doc_id long, text string, lang string, source string, n_chars int")
+    assert sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, frame, SF_DIR).collect()) == [1, 3]
+
+
+def test_near_dedup_matches_all_pairs_from_eighty_hundredths(stages):
+    before = texts(stages["line_dedup"])
+    _, least = plain_components(sorted(before.items()), 80)
+    assert texts(stages["near_dedup"]) == {i: t for i, t in before.items() if least[i] == i}
