@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from roadlake.llm import lines, minhash, packing, secrets, toxicity
 from roadlake.session import prepare, scratch_path
 
-#: A document that would lose more of its text than this is a copy of others of its source; the near-duplicate stage takes it.
-LINE_MAX_LOSS = 0.5
+#: Boilerplate goes however much of a document it is; copies of a whole text count once, so that they do not make its lines boilerplate.
+LINE_MAX_LOSS = 1.0
 #: Hundredths of their five-word shingles that near duplicates share; the 85 of op7 are that query's contract.
 NEAR_PERCENT = 80
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -34,9 +34,9 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that over a tenth of their source's documents repeat."""
+    """Documents without the lines that over a tenth of their source's different documents repeat."""
     prepare(spark)
-    return _counted(lines.drop_boilerplate(docs, F.col("source"), max_loss=LINE_MAX_LOSS))
+    return _counted(lines.drop_boilerplate(docs, F.col("source"), max_loss=LINE_MAX_LOSS, copies_once=True))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -27,10 +27,19 @@ def _key(line: Column) -> Column:
     return F.when(trimmed != "", F.unhex(F.md5(trimmed)))
 
 
-def page_lines(docs: DataFrame, host: Column, id_col: str, text_col: str, separator: str) -> DataFrame:
-    """Columns ``id``, ``host`` and ``key``: each line of a page once. A null host is the empty host."""
+def _whole(text: Column) -> Column:
+    """128-bit hash of a whole text; a null text is the empty one."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
+
+
+def page_lines(docs: DataFrame, host: Column, id_col: str, text_col: str, separator: str, copies_once: bool = False) -> DataFrame:
+    """Columns ``id``, ``host`` and ``key``: each line of a page once. A null host is the empty host.
+
+    With ``copies_once`` a column ``whole`` tells the texts apart.
+    """
     keys = F.array_distinct(F.transform(split_lines(F.col(text_col), separator), _key))
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(host, F.lit("")).alias("host"), F.explode(keys).alias("key"))
+    whole = [_whole(F.col(text_col)).alias("whole")] if copies_once else []
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(host, F.lit("")).alias("host"), *whole, F.explode(keys).alias("key"))
     return rows.where("key is not null")
 
 
@@ -50,20 +59,25 @@ def drop_boilerplate(
     min_pages: int = 5,
     max_loss: float = 1.0,
     joiner: str = "\n",
+    copies_once: bool = False,
 ) -> DataFrame:
     """``docs`` without the boilerplate lines of each host; same rows and columns.
 
     ``separator`` is a regular expression, ``joiner`` what kept lines are joined with. Pages that lose no line
     keep their text untouched. A page that would lose more than ``max_loss`` of the characters
-    of its lines is kept whole: such a page is a copy of others, not a page with boilerplate on it.
+    of its lines is kept whole. With ``copies_once`` pages of a host with one whole text count as one page, so that
+    a text is no boilerplate because it is copied, and its copies stay for another stage to find.
 
     A page counts once however often it repeats a line. Null and empty texts have no line and
     stay, and count as pages of their host. Ids must tell pages with different lines apart; repeated rows each
-    count as a page and stay repeated. Rows with a null id count too, but stay as they are.
+    count as a page (save with ``copies_once``) and stay repeated. Rows with a null id count too, but stay as they are.
     """
-    lines = cut(page_lines(docs, host, id_col, text_col, separator))
-    totals = docs.groupBy(F.coalesce(host, F.lit("")).alias("host")).agg(F.count(F.lit(1)).alias("total"))
-    hits = lines.join(boilerplate(lines, totals, max_ratio, min_pages), ["host", "key"])
+    lines = cut(page_lines(docs, host, id_col, text_col, separator, copies_once))
+    pages, counted = docs.select(F.coalesce(host, F.lit("")).alias("host"), _whole(F.col(text_col)).alias("whole")), lines
+    if copies_once:
+        pages, counted = pages.distinct(), lines.select("host", "key", "whole").distinct()
+    totals = pages.groupBy("host").agg(F.count(F.lit(1)).alias("total"))
+    hits = lines.join(boilerplate(counted, totals, max_ratio, min_pages), ["host", "key"])
     page, keys = free_name(docs, "hit_page"), free_name(docs, "hit_keys")
     # A page's distinct lines bound this set.
     hits = hits.where("id is not null").groupBy(F.col("id").alias(page)).agg(F.collect_set("key").alias(keys))

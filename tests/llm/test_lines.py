@@ -50,5 +50,17 @@ def test_copies_are_left_to_another_stage(spark):
     assert all(text == "first line\nsecond line" for _, text in run(spark, copies, max_loss=0.5))
 
 
+def test_copies_of_a_text_count_once(spark):
+    copies = [(i, "a", "first line\nsecond line") for i in range(30)]
+    others = [(100 + i, "a", f"a line of the site that is longer\nown {i}") for i in range(6)] + [(200, "a", "first line\nown")]
+    once = [(200, "a", "first line\nown"), (0, "a", "first line\nsecond line")] + others[:6]
+    bad = dict(plain(once, 0.1, 5))
+    want = sorted([(i, bad.get(i, text)) for i, _, text in copies + others], key=repr)
+    assert run(spark, copies + others, copies_once=True) == want
+    assert dict(want)[103] == "own 3" and dict(want)[7] == "first line\nsecond line" and dict(want)[200] == "first line\nown"
+    assert dict(run(spark, copies + others))[7] == ""
+    assert run(spark, [], copies_once=True) == []
+
+
 def test_empty_table(spark):
     assert run(spark, []) == []

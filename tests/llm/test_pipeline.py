@@ -126,3 +126,11 @@ def test_near_dedup_matches_all_pairs_from_eighty_hundredths(stages):
     before = texts(stages["line_dedup"])
     _, least = plain_components(sorted(before.items()), 80)
     assert texts(stages["near_dedup"]) == {i: t for i, t in before.items() if least[i] == i}
+
+
+def test_line_dedup_cleans_documents_that_are_mostly_boilerplate(spark):
+    licence = "This text may be passed on by everybody under the licence of its source."
+    rows = [(i, f"{licence}\nown {i}", "en", "s", 0) for i in range(8)] + [(100 + i, "copied\ntext", "en", "s", 0) for i in range(8)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int")
+    got = texts(corpus_pipeline.line_dedup(spark, frame, SF_DIR))
+    assert got == {i: f"own {i}" for i in range(8)} | {100 + i: "copied\ntext" for i in range(8)}
