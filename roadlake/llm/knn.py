@@ -142,6 +142,8 @@ def top_k(
     rows = vectors.select(
         F.col(id_col).cast("long").alias("id"), scaled(F.col(vec_col), factor).alias("vec"), F.coalesce(is_query, F.lit(False)).alias("query")
     ).where(F.col("id").isNotNull() & usable(F.col("vec")))
+    # Bounds count rows, answers count ids: every id is one row before anything is counted.
+    rows = cut(rows.groupBy("id").agg(F.min("vec").alias("vec"), F.max("query").alias("query")))
     drawn = [list(r.vec) for r in rows.orderBy(F.xxhash64("id"), "id").limit(pivots).select("vec").collect()]
     schema = "id long, vec array<double>, query boolean, dim int, cell int, away double"
     placed = cut(rows.mapInPandas(partial(_assign, drawn=drawn), schema))

@@ -135,3 +135,12 @@ def test_reachable_scores_are_reached():
     )
     for q, c in zip(queries, own.tolist()):
         assert np.sort(data @ q)[::-1][3] >= scores[c] - 1e-9
+
+
+@pytest.mark.parametrize("options", [{}, {"pivots": 2}, {"block": 3}])
+def test_top_k_of_a_row_repeated_more_than_k_times(spark, options):
+    vectors = {0: 10.0, 1: 9.0, 2: 8.0, 3: 7.0, 4: 6.0, 5: 5.0}
+    rows = [(i, [x, 0.0], 0, 0, 0) for i, x in vectors.items()]
+    rows += [rows[1]] * 40 + [rows[0]] * 3
+    got = {tuple(r) for r in top_k(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") == 0, **options).collect()}
+    assert len(got) == 5 and got == {t for t in plain_top(rows, 5, 10) if t[0] == 0}
