@@ -150,19 +150,24 @@ def find_secrets(
     spark = docs.sparkSession
     ledger = ledger or scratch_path(spark, "blob-ledger")
     scan_blobs(docs, ledger, id_col, text_col, rules)
+    per_blob = findings(spark, ledger, rules)
+    none = F.expr("cast(array() as array<struct<start:int,rank:int,stop:int,kind:string>>)")
+    rows = _addressed(docs, id_col, text_col).select("id", "blob")
+    return rows.join(per_blob, "blob", "left").select(F.col("id").alias(id_col), F.coalesce("found", none).alias("found"))
+
+
+def findings(spark: SparkSession, ledger: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """``blob`` and ``found`` of the ledger's blobs in which ``rules`` have found something."""
     rank = F.create_map(*[x for i, r in enumerate(rules) for x in (F.lit(_tag(r)), F.lit(i))])
     hits = read_ledger(spark, ledger).where(F.size("spans") > 0)
     hits = hits.withColumn("rank", rank[F.concat_ws("@", "rule", "version")]).where("rank is not null")
     # A rule and blob that two interrupted runs scanned are listed once.
     per_rule = hits.groupBy("blob", "rule", "rank").agg(F.max("spans").alias("spans"))
-    per_blob = per_rule.groupBy("blob").agg(
+    return per_rule.groupBy("blob").agg(
         F.array_sort(F.flatten(F.collect_list(F.expr(
             "transform(spans, s -> named_struct('start', s.start, 'rank', rank, 'stop', s.stop, 'kind', rule))"
         )))).alias("found")
     )
-    none = F.expr("cast(array() as array<struct<start:int,rank:int,stop:int,kind:string>>)")
-    rows = _addressed(docs, id_col, text_col).select("id", "blob")
-    return rows.join(per_blob, "blob", "left").select(F.col("id").alias(id_col), F.coalesce("found", none).alias("found"))
 
 
 def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -182,12 +187,13 @@ def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
 def mask_secrets(docs: DataFrame, mask: str = "[SECRET]", ledger: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with every found span replaced by ``mask``; overlapping spans count as one.
 
-    Columns and rows stay as they are; a null text stays null. Ids must tell rows with different
-    texts apart; repeated rows stay repeated.
+    Columns and rows stay as they are; a null text stays null. Findings belong to a text, so rows without an
+    id and rows that share one are masked each by its own; repeated rows stay repeated.
     """
     key, hits = free_name(docs, "found_in"), free_name(docs, "found")
-    found = find_secrets(docs, ledger, id_col, text_col).where(F.size("found") > 0).dropDuplicates([id_col])
-    found = found.select(F.col(id_col).alias(key), F.col("found").alias(hits))
+    ledger = ledger or scratch_path(docs.sparkSession, "blob-ledger")
+    scan_blobs(docs, ledger, id_col, text_col)
+    found = findings(docs.sparkSession, ledger).select(F.col("blob").alias(key), F.col("found").alias(hits))
     text = F.col(text_col)
     # Walks the spans by start: keeps the text before each one that begins beyond the last end.
     masked = F.aggregate(
@@ -199,7 +205,7 @@ def mask_secrets(docs: DataFrame, mask: str = "[SECRET]", ledger: str | None = N
         )).otherwise(F.struct(F.greatest(s["stop"], acc["at"]).alias("at"), acc["out"].alias("out"))),
         lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))),
     )
-    joined = docs.join(found, F.col(id_col) == F.col(key), "left")
+    joined = docs.join(found, F.unhex(F.sha2(text, 256)) == F.col(key), "left")
     return joined.select(*[
         F.when(F.col(hits).isNotNull(), masked).otherwise(text).alias(c) if c == text_col else F.col(c) for c in docs.columns
     ])

@@ -88,6 +88,13 @@ def test_mask_replaces_every_span(spark):
         assert row.text == (text if text is None else want + text[at:])
 
 
+def test_mask_goes_by_text_and_not_by_id(spark):
+    rows = [(None, "token=12345678"), (1, "a token=12345678"), (1, "longer text before passwd=abcdefgh z"), (1, "a token=12345678"), (2, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.text) for r in mask_secrets(frame, "#").collect()), key=repr)
+    assert got == sorted([(None, "#"), (1, "a #"), (1, "longer text before # z"), (1, "a #"), (2, None)], key=repr)
+
+
 def test_no_python_on_the_way(spark):
     frame = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
     plan = digest(find_secrets(frame))._jdf.queryExecution().executedPlan().toString()
