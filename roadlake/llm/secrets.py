@@ -53,6 +53,17 @@ MORE_RULES = (
     Rule("forge_token", r"gh[pousr]_[A-Za-z0-9]{36,}"),
 )
 RULES = BASE_RULES + MORE_RULES
+#: A private key up to its END line, or over the base64 runs that follow where there is none before the next such line.
+#: Counts bound the depth of the matcher's recursion: 200 hyphens in a key's headers, 500 lines of a key without an end.
+WHOLE_KEY = Rule(
+    "private_key",
+    r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"
+    r"(?:(?:[^-]++|-(?!----)){0,400}+-----END [A-Z ]{0,40}PRIVATE KEY-----"
+    r"|(?:(?:\s|\\[nr])*+[A-Za-z0-9+/]{16,}+={0,2}){0,500})",
+    version=2,
+)
+#: What is masked: the kinds of ``RULES``, keys as a whole. (``RULES`` finds their first line, as the query's SQL does.)
+MASKED_RULES = tuple(WHOLE_KEY if r.kind == WHOLE_KEY.kind else r for r in RULES)
 
 
 def _spans(text: Column, rule: Rule) -> Column:
@@ -192,8 +203,8 @@ def mask_secrets(docs: DataFrame, mask: str = "[SECRET]", ledger: str | None = N
     """
     key, hits = free_name(docs, "found_in"), free_name(docs, "found")
     ledger = ledger or scratch_path(docs.sparkSession, "blob-ledger")
-    scan_blobs(docs, ledger, id_col, text_col)
-    found = findings(docs.sparkSession, ledger).select(F.col("blob").alias(key), F.col("found").alias(hits))
+    scan_blobs(docs, ledger, id_col, text_col, MASKED_RULES)
+    found = findings(docs.sparkSession, ledger, MASKED_RULES).select(F.col("blob").alias(key), F.col("found").alias(hits))
     text = F.col(text_col)
     # Walks the spans by start: keeps the text before each one that begins beyond the last end.
     masked = F.aggregate(
