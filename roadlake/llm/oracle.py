@@ -111,4 +111,42 @@ SELECT doc_id,
 FROM docs LEFT JOIN ranked USING (doc_id) GROUP BY doc_id
 """
 
-ORACLE: dict[str, str] = {"op1_line_dedup": _OP1, "op2_embedding_dedup": _OP2, "op5_top_k": _OP5, "op7_minhash_dedup": _OP7, "op10_secret_scan": _OP10}
+_OP11 = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+marked AS (
+  SELECT part, coalesce(quality = 1, false) AS good, coalesce(toxic = 1, false) AS toxic, {
+    'A': len(w) < 100, 'B': 100 * len(list_distinct(w)) < 80 * len(w),
+    'C': 100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 10 * length(text),
+    'D': regexp_matches(text, '[#$%&*|]'),
+    'E': coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false)} AS f
+  FROM texts LEFT JOIN (SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id) USING (doc_id)),
+failing AS (
+  SELECT part, good, toxic, concat(CASE WHEN f['A'] THEN 'A' ELSE '' END, CASE WHEN f['B'] THEN 'B' ELSE '' END,
+    CASE WHEN f['C'] THEN 'C' ELSE '' END, CASE WHEN f['D'] THEN 'D' ELSE '' END, CASE WHEN f['E'] THEN 'E' ELSE '' END) AS fails FROM marked),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps AS (SELECT filter_order, unnest([1, 2, 3, 4, 5])::INT AS step FROM orders),
+grouped AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM failing GROUP BY ALL),
+placed AS (
+  SELECT part, filter_order, step, substr(filter_order, step, 1) AS x, fails, n, good, toxic,
+         fails <> translate(fails, left(filter_order, step - 1), '') AS earlier, contains(fails, substr(filter_order, step, 1)) AS here
+  FROM grouped, steps),
+counted AS (
+  SELECT part, filter_order, step, x,
+         coalesce(sum(n) FILTER (NOT earlier AND NOT here), 0)::BIGINT AS kept, coalesce(sum(n) FILTER (NOT earlier AND here), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (earlier AND here), 0)::BIGINT AS redundant, coalesce(sum(n) FILTER (fails = x), 0)::BIGINT AS unique_fails,
+         coalesce(sum(good) FILTER (NOT earlier AND here), 0)::BIGINT AS good_lost, coalesce(sum(toxic) FILTER (NOT earlier AND here), 0)::BIGINT AS toxic_lost
+  FROM placed GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, x))::BIGINT AS shapley
+FROM counted
+"""
+
+ORACLE: dict[str, str] = {
+    "op1_line_dedup": _OP1, "op2_embedding_dedup": _OP2, "op5_top_k": _OP5, "op7_minhash_dedup": _OP7, "op10_secret_scan": _OP10,
+    "op11_filter_audit": _OP11,
+}

@@ -9,7 +9,7 @@ import public_tokenizers
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from roadlake.llm import bpe, knn, language_id, lines, minhash, packing, secrets, token_counts, toxicity, vectors
+from roadlake.llm import bpe, filter_audit, knn, language_id, lines, minhash, packing, secrets, token_counts, toxicity, vectors
 from roadlake.llm.common import host_of
 from roadlake.session import prepare
 
@@ -92,6 +92,12 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.find_secrets(docs))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters over all documents, in every order."""
+    labels = prepare(spark).read.parquet(f"{sf_dir}/labels.parquet")
+    return filter_audit.audit(spark, f"{sf_dir}/documents.parquet", labels)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -105,5 +111,6 @@ QUERIES: dict[str, Query] = {
         op8_language_id,
         op9_bpe,
         op10_secret_scan,
+        op11_filter_audit,
     )
 }
