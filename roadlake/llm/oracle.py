@@ -146,7 +146,36 @@ SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lo
 FROM counted
 """
 
+_OP12 = r"""
+WITH docs AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS d,
+         list_transform(regexp_extract_all(coalesce(text, ''), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+'),
+           lambda w: translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS w FROM documents),
+occurring AS (SELECT lang, source, d, unnest(w) AS term FROM docs),
+kept AS (SELECT lang, term, count(*) AS total FROM occurring GROUP BY ALL HAVING count(DISTINCT d) >= 3),
+counts AS (SELECT lang, source, term, count(*) AS c FROM occurring JOIN kept USING (lang, term) GROUP BY ALL),
+languages AS (SELECT lang, count(*)::HUGEINT AS v, sum(total)::HUGEINT AS n FROM kept GROUP BY lang),
+sources AS (SELECT DISTINCT lang, source FROM docs),
+totals AS (
+  SELECT lang, source, coalesce(sum(c), 0)::HUGEINT AS n FROM sources LEFT JOIN counts USING (lang, source) GROUP BY ALL),
+shares AS (
+  SELECT t.lang, t.source, k.term, coalesce(c, 0) AS c, 1 + (1000000000::HUGEINT * (coalesce(c, 0) + 1)) // (t.n + l.v) AS p,
+         1 + (1000000000::HUGEINT * (k.total + 1)) // (l.n + l.v) AS q
+  FROM totals t JOIN languages l USING (lang) JOIN kept k USING (lang) LEFT JOIN counts USING (lang, source, term)),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM sources a JOIN sources b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q) // q)::BIGINT FROM shares WHERE c > 0 AND p > q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM found)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
 ORACLE: dict[str, str] = {
     "op1_line_dedup": _OP1, "op2_embedding_dedup": _OP2, "op5_top_k": _OP5, "op7_minhash_dedup": _OP7, "op10_secret_scan": _OP10,
-    "op11_filter_audit": _OP11,
+    "op11_filter_audit": _OP11, "op12_divergence": _OP12,
 }

@@ -9,7 +9,7 @@ import public_tokenizers
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from roadlake.llm import bpe, filter_audit, knn, language_id, lines, minhash, packing, secrets, token_counts, toxicity, vectors
+from roadlake.llm import bpe, divergence, filter_audit, knn, language_id, lines, minhash, packing, secrets, token_counts, toxicity, vectors
 from roadlake.llm.common import host_of
 from roadlake.session import prepare
 
@@ -98,6 +98,11 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(spark, f"{sf_dir}/documents.parquet", labels)
 
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances between the sources of each language, and the terms that mark a source, over all documents."""
+    return divergence.divergence(prepare(spark).read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -112,5 +117,6 @@ QUERIES: dict[str, Query] = {
         op9_bpe,
         op10_secret_scan,
         op11_filter_audit,
+        op12_divergence,
     )
 }

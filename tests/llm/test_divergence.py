@@ -1,0 +1,132 @@
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from roadlake.llm import divergence as d
+
+SCHEMA = "doc_id long, text string, lang string, source string, term string, VALUE int"
+SMALL = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def terms_of(text):
+    return [w.translate(SMALL) for w in re.findall("[A-Za-z\x80-\U0010ffff]+", text or "")]
+
+
+def plain(rows, min_docs=3, top=200):
+    in_docs, counts, groups = defaultdict(Counter), defaultdict(Counter), defaultdict(set)
+    for _, text, lang, source in rows:
+        found = terms_of(text)
+        in_docs[lang or ""].update(set(found))
+        counts[lang or "", source or ""].update(found)
+        groups[lang or ""].add(source or "")
+    out = []
+    for lang, sources in groups.items():
+        kept = [t for t, n in in_docs[lang].items() if n >= min_docs]
+        share = lambda c, n: 1 + 1_000_000_000 * (c + 1) // (n + len(kept))  # noqa: B023, E731
+        gap = lambda p, q: (p - q) ** 2 // q
+        total = sum((counts[lang, s] for s in sources), Counter())
+        n_lang = sum(total[t] for t in kept)
+        p = {}
+        for s in sources:
+            n = sum(counts[lang, s][t] for t in kept)
+            p[s] = {t: share(counts[lang, s][t], n) for t in kept}
+        for s in sources:
+            pairs = [(o, sum(gap(p[s][t], p[o][t]) for t in kept)) for o in sources if o != s]
+            marks = [(t, gap(p[s][t], share(total[t], n_lang))) for t in kept if counts[lang, s][t] and p[s][t] > share(total[t], n_lang)]
+            for part, found, limit in (("pair", pairs, None), ("term", marks, top)):
+                ordered = sorted(found, key=lambda x: (-x[1], x[0].encode()))[:limit]
+                out += [(lang, s, part, item, value, i) for i, (item, value) in enumerate(ordered, 1)]
+    return sorted(out)
+
+
+def rows_of(seed, n=160):
+    rng = random.Random(seed)
+    words = ["Alpha", "alpha", "Über", "ÜBER", "x", "don't", "٠١", "naïve", "\U0001f600b", "end.", "İ"] + [f"w{chr(97 + i)}" for i in range(26)]
+    rows = [
+        (i, rng.choice([" ", "\n", "1", "-"]).join(rng.choices(words, k=rng.randrange(0, 40))), rng.choice(["en", "en", "de", None]), rng.choice(["a", "b", "c", "ö", None]))
+        for i in range(n)
+    ]
+    hot = [(1000 + i, "the same words", "en", "hot") for i in range(n // 2)]
+    odd = [(None, None, "en", "silent"), (None, "", "fr", "only"), (7, "once twice thrice", "it", "a"), (8, "\x00\x7f 123", "it", "b"), (9, "rare " * 50, "it", "a")]
+    return rows + rows[:5] + hot + odd
+
+
+def run(spark, rows, **options):
+    frame = spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA).repartition(5)
+    out = d.divergence(frame, **options)
+    assert out.columns == ["lang", "source", "part", "item", "value", "rank"]
+    return sorted(tuple(r) for r in out.collect())
+
+
+@pytest.mark.parametrize("options", [{}, {"min_docs": 1, "top_terms": 3, "shards": 1}, {"min_docs": 500}])
+def test_matches_a_plain_version(spark, options):
+    rows = rows_of(1)
+    want = plain(rows, options.get("min_docs", 3), options.get("top_terms", 200))
+    assert run(spark, rows, **options) == want
+
+
+def test_many_runs_are_merged_in_groups(spark, monkeypatch):
+    monkeypatch.setattr(d, "FAN_IN", 2)
+    rows = rows_of(2)
+    assert run(spark, rows, shards=3) == plain(rows)
+
+
+def test_empty_table(spark):
+    assert run(spark, []) == []
+
+
+def test_blocks_spill_and_pages_merge(monkeypatch):
+    """Small blocks and pages: many runs, terms that cross page ends, and one heap entry per open page."""
+    monkeypatch.setattr(d, "PAGE", 3)
+    monkeypatch.setattr(d, "AT_ONCE", 7)
+    rows, pages, block = rows_of(3), [], d._Block()
+    for n, (_, text, lang, source) in enumerate(rows):
+        block.add(lang or "", source or "", text or "")
+        if n % 10 == 9:
+            pages += block.pages(n, 4)
+            block = d._Block()
+    pages += block.pages(len(rows), 4)
+    assert all(p["terms"] == sorted(p["terms"]) and len(p["terms"]) <= 3 for p in pages)
+    ordered = sorted((p | {"run": 0} for p in pages), key=lambda p: (p["shard"], p["lang"], p["first"]))
+    merged = list(d._merged(d._batched(ordered, d._PAGES)))
+    want_counts, want_docs = Counter(), Counter()
+    for _, text, lang, source in rows:
+        for t, n in Counter(terms_of(text)).items():
+            want_counts[lang or "", t, source or ""] += n
+            want_docs[lang or "", t, source or ""] += 1
+    assert {(lang, t, s): e[0] for _, _, lang, t, by in merged for s, e in by.items()} == want_counts
+    assert {(lang, t, s): e[1] for _, _, lang, t, by in merged for s, e in by.items()} == want_docs
+    assert len(merged) == len({(lang, t) for lang, t, _ in want_counts})
+
+
+def test_corrections_in_bounded_buffers(monkeypatch):
+    rng = np.random.default_rng(0)
+    rows = []
+    for i in range(60):
+        k = int(rng.integers(2, 9))
+        rows.append(("en" if i % 2 else "de", rng.choice(list("abcdefghij"), k, replace=False).tolist(), rng.integers(1, 10**9, k).tolist(), rng.integers(1, 10**6, k).tolist()))
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["lang", "source", "p", "p0"])
+    want = Counter()
+    gap = lambda p, q: (p - q) ** 2 // q
+    for lang, sources, p, p0 in rows:
+        for i, a in enumerate(sources):
+            for j, b in enumerate(sources):
+                if i != j:
+                    want[lang, a, b] += gap(p[i], p[j]) - gap(p[i], p0[j]) - gap(p0[i], p[j]) + gap(p0[i], p0[j])
+    for held in (1_000_000, 20):
+        monkeypatch.setattr(d, "HELD", held)
+        got = Counter()
+        for out in d._corrections([batch.slice(0, 25), batch.slice(25)]):
+            for lang, a, b, value in zip(*(c.to_pylist() for c in out.columns)):
+                got[lang, a, b] += value
+        assert got == want
+
+
+def test_shares_are_exact_beyond_double_precision(spark):
+    frame = spark.createDataFrame([(2**53 + 1, 2**54 + 3, 7), (0, 0, 1), (9_300_000_000_000, 9_300_000_000_001, 5)], "count long, n long, v long")
+    got = [r[0] for r in frame.select(d._share("count", "n", "v")).collect()]
+    assert got == [1 + 10**9 * (c + 1) // (n + v) for c, n, v in ((2**53 + 1, 2**54 + 3, 7), (0, 0, 1), (9_300_000_000_000, 9_300_000_000_001, 5))]
