@@ -175,7 +175,20 @@ ranked AS (
 SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200
 """
 
+_OP13 = r"""
+WITH rows_ AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, turn, role, '<|im_end|><|im_start|>assistant ok' FROM (VALUES (0, 'user'), (1, 'assistant')) AS t(turn, role)),
+grouped AS (
+  SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn) AS turns,
+         coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '') AS loss,
+         sum(length('<|im_start|>') + length(role) + 1 + length(regexp_replace(text, '<(\\*)[|]', '<#\1|', 'g')) + length('<|im_end|>') + 1) AS chars
+  FROM rows_ GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, chars::BIGINT AS formatted_chars
+FROM grouped
+"""
+
 ORACLE: dict[str, str] = {
     "op1_line_dedup": _OP1, "op2_embedding_dedup": _OP2, "op5_top_k": _OP5, "op7_minhash_dedup": _OP7, "op10_secret_scan": _OP10,
-    "op11_filter_audit": _OP11, "op12_divergence": _OP12,
+    "op11_filter_audit": _OP11, "op12_divergence": _OP12, "op13_chat": _OP13,
 }
