@@ -18,6 +18,7 @@ from itertools import permutations
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
@@ -34,6 +35,7 @@ _ROW = "bucket long, key binary, id long, late boolean, part string, mask int, g
 #: Bucket of the rows without an id.
 ALONE = -1
 _CHANGE = "part string, mask int, good int, toxic int, n long"
+_CHECKSUMS = "spark.sql.streaming.checkpoint.fileChecksum.enabled"
 #: Rows of the bucket's least ids, as an Arrow table.
 _STATE = "rows binary"
 _KEPT = ["key", "id", "part", "mask", "good", "toxic"]
@@ -117,12 +119,25 @@ def counters(
         summed.write.mode("overwrite").parquet(f"{changes}/batch={batch_id}")
 
     writer = changed.writeStream.foreachBatch(write).option("checkpointLocation", f"{state}/checkpoint")
-    writer.trigger(availableNow=True).start().awaitTermination()
+    _started(spark, writer.trigger(availableNow=True)).awaitTermination()
     rows = spark.read.schema(schema).parquet(changes)
     total = rows.groupBy("part", "mask", "good", "toxic").agg(F.sum("n").alias("n"))
     return total.where("n > 0")
 
 
+def _started(spark: SparkSession, writer: DataStreamWriter) -> StreamingQuery:
+    """The query, without the pool of threads that checksums cost in each partition of the state, on every executor."""
+    before = spark.conf.get(_CHECKSUMS, None)
+    spark.conf.set(_CHECKSUMS, "false")
+    try:
+        return writer.start()  # it goes on with a copy of the session
+    finally:
+        if before is None:
+            spark.conf.unset(_CHECKSUMS)
+        else:
+            spark.conf.set(_CHECKSUMS, before)
+
+
 def _watched(whole: DataFrame, path: str) -> str:
     """``path`` as a stream takes it: a folder as it is, a single file as a pattern that it alone matches."""
     is_file = [f.rsplit("/", 1)[-1] for f in whole.inputFiles()] == [path.rsplit("/", 1)[-1]]
