@@ -1,12 +1,12 @@
-"""Count-or-time batches over a bounded frame."""
+"""Count-or-time batches over a bounded frame, on a fixed lattice of time; ``closing`` has batches closed one after the other."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from roadlake.session import checkpointed
+from roadlake.operators.numbering import numbered
 
 # The size and the age at which a batch is closed.
 MAX_ROWS = 100
@@ -26,29 +26,13 @@ def assign_batches(
     ``time_col`` then ``tie_breakers``; rows equal in both come in any order. Buckets lie on
     fixed multiples of ``max_seconds``, so they can be numbered independently.
 
-    Rows are range-partitioned and sorted by bucket and order, so a bucket of any size is a run of rows over
-    neighbouring partitions. A generated id per input row comes last in the order: it lets a
-    range end inside any number of otherwise equal rows. The id generated after the sort holds
-    the partition in its upper bits and the row in its lower 33; a position is the row's distance
-    from the bucket's first row in its partition plus what earlier partitions hold of the
-    bucket. The sorted rows are checkpointed, because range bounds are sampled anew for every plan that contains them.
+    Rows are numbered over all tasks, so a bucket may be of any size.
     """
     second = F.unix_seconds(F.col(time_col).cast("timestamp"))
     bucketed = df.withColumn("bucket_start", F.timestamp_seconds(second - F.pmod(second, F.lit(max_seconds))))
-    columns = ["bucket_start", time_col, *tie_breakers, "_input_id"]
-    with_id = bucketed.withColumn("_input_id", F.monotonically_increasing_id())
-    ordered = with_id.repartitionByRange(*columns).sortWithinPartitions(*columns).drop("_input_id")
-    rows = checkpointed(ordered.withColumn("_id", F.monotonically_increasing_id())).withColumn("_part", F.shiftright("_id", 33))
-
-    # A row per bucket and partition that holds some of it; joined by whichever way their measured size allows.
-    runs = rows.groupBy("bucket_start", "_part").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_rows"))
-    earlier = Window.partitionBy("bucket_start").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    runs = runs.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0))).drop("_rows")
-    runs = runs.withColumnsRenamed({"bucket_start": "_bucket", "_part": "_run_part"})
-    same_run = F.col("bucket_start").eqNullSafe(F.col("_bucket")) & (F.col("_part") == F.col("_run_part"))
-    position = F.col("_before") + F.col("_id") - F.col("_first")
-    batch_no = F.floor(position / F.lit(max_rows)).cast("bigint")
-    return rows.join(runs, same_run).select(*bucketed.columns, batch_no.alias("batch_no"))
+    rows = numbered(bucketed, ["bucket_start"], [time_col, *tie_breakers], "_position")
+    batch_no = F.floor(F.col("_position") / F.lit(max_rows)).cast("bigint")
+    return rows.select(*bucketed.columns, batch_no.alias("batch_no"))
 
 
 def batch_counts(batched: DataFrame) -> DataFrame:
