@@ -35,7 +35,10 @@ _ROW = "bucket long, key binary, id long, late boolean, part string, mask int, g
 #: Bucket of the rows without an id.
 ALONE = -1
 _CHANGE = "part string, mask int, good int, toxic int, n long"
-_CHECKSUMS = "spark.sql.streaming.checkpoint.fileChecksum.enabled"
+_SETTINGS = {"spark.sql.streaming.checkpoint.fileChecksum.enabled": "false"}
+_LOCAL_SETTINGS = {
+    "spark.sql.streaming.checkpointFileManagerClass": "org.apache.spark.sql.execution.streaming.checkpointing.FileSystemBasedCheckpointFileManager"
+}
 #: Rows of the bucket's least ids, as an Arrow table.
 _STATE = "rows binary"
 _KEPT = ["key", "id", "part", "mask", "good", "toxic"]
@@ -119,23 +122,26 @@ def counters(
         summed.write.mode("overwrite").parquet(f"{changes}/batch={batch_id}")
 
     writer = changed.writeStream.foreachBatch(write).option("checkpointLocation", f"{state}/checkpoint")
-    _started(spark, writer.trigger(availableNow=True)).awaitTermination()
+    _started(spark, writer.trigger(availableNow=True), state).awaitTermination()
     rows = spark.read.schema(schema).parquet(changes)
     total = rows.groupBy("part", "mask", "good", "toxic").agg(F.sum("n").alias("n"))
     return total.where("n > 0")
 
 
-def _started(spark: SparkSession, writer: DataStreamWriter) -> StreamingQuery:
-    """The query, without the pool of threads that checksums cost in each partition of the state, on every executor."""
-    before = spark.conf.get(_CHECKSUMS, None)
-    spark.conf.set(_CHECKSUMS, "false")
+def _started(spark: SparkSession, writer: DataStreamWriter, state: str) -> StreamingQuery:
+    """The query, started with settings that spare every partition of the state a pool of threads for checksums, and on a local file
+    system a process for each file that is looked at."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(state)
+    local = path.getFileSystem(spark._jsc.hadoopConfiguration()).getScheme() == "file"
+    wanted = _SETTINGS | (_LOCAL_SETTINGS if local else {})
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
     try:
         return writer.start()  # it goes on with a copy of the session
     finally:
-        if before is None:
-            spark.conf.unset(_CHECKSUMS)
-        else:
-            spark.conf.set(_CHECKSUMS, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def _watched(whole: DataFrame, path: str) -> str:
