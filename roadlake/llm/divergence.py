@@ -2,8 +2,8 @@
 
 Tasks read documents into a block: the terms of each document, by source. When the block is full it becomes a run:
 postings sorted by term, dealt to shards by a hash of the term, cut into pages, and spilled to a table in the shared
-folder. A shard's pages are read in the order of their first terms and merged in a heap; a term is
-complete once the next page begins beyond it, so the heap holds one page of each run at most. Many runs are merged
+folder. A shard's pages are read in the order of their first terms and merged through a heap; a term is
+complete once the next page begins beyond it, so the heap holds about a page of each run. Many runs are merged
 group by group first. Whole frequencies give shares in whole numbers.
 
 Pairs of sources are compared over all terms without listing them: for two sources that lack a term its contribution is
@@ -17,10 +17,11 @@ import heapq
 import re
 import zlib
 from collections.abc import Iterable, Iterator
-from itertools import pairwise
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -35,7 +36,7 @@ MIN_DOCS = 3
 SHARE = 1_000_000_000
 TOP_TERMS = 200
 #: A block is full at so many occurrences or so many terms. Bounds of memory.
-BLOCK_TOKENS, BLOCK_TERMS = 4_000_000, 400_000
+BLOCK_TOKENS, BLOCK_TERMS = 2_000_000, 400_000
 #: Characters of a text that are cut into terms together.
 AT_ONCE = 1_000_000
 #: Terms of a page, and runs that are merged at once.
@@ -43,20 +44,14 @@ PAGE, FAN_IN = 256, 4096
 #: Entries of pairs that are held before they are summed up, and sums that are held before they are handed on.
 HELD = 1_000_000
 
-_PAGE_FIELDS = [
-    ("run", pa.int64()), ("shard", pa.int32()), ("lang", pa.string()), ("first", pa.string()), ("terms", pa.list_(pa.string())),
-    ("sizes", pa.list_(pa.int32())), ("sources", pa.list_(pa.string())), ("codes", pa.list_(pa.int32())),
-    ("counts", pa.list_(pa.int64())), ("docs", pa.list_(pa.int64())),
-]
-_PAGES = pa.schema(_PAGE_FIELDS)
 _PAGES_DDL = (
     "run long, shard int, lang string, first string, terms array<string>, sizes array<int>, sources array<string>, "
-    "codes array<int>, counts array<long>, docs array<long>"
+    "counts array<long>, docs array<long>"
 )
-_POSTINGS = pa.schema([("lang", pa.string()), ("term", pa.string()), ("sources", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))])
+_PAGES = ["run", "shard", "lang", "first", "terms", "sizes", "sources", "counts", "docs"]
 _POSTINGS_DDL = "lang string, term string, sources array<string>, counts array<long>"
-#: Rows of an Arrow batch that a task hands on.
-_ROWS = 2000
+#: Pages of an Arrow batch that a task hands on, and postings that come in before those that are complete are merged.
+AT_A_TIME, GATHERED = 100, 200_000
 
 
 class _Numbers(dict):
@@ -88,43 +83,65 @@ class _Block:
         self.group.append(self.groups[lang, source])
         self.tokens += size
 
-    def pages(self, run: int, shards: int) -> Iterator[dict]:
+    def pages(self, run: int, shards: int) -> Iterator[pa.RecordBatch]:
         """Term-sorted pages of every shard."""
         if not self.tokens:
             return
-        small = [w.translate(_SMALL) for w in self.written]
-        terms = sorted(set(small))
-        rank = {t: i for i, t in enumerate(terms)}
-        ranks = np.fromiter(map(rank.__getitem__, small), np.int64, len(small))[np.concatenate(self.ids)]
+        small = pa.array([w.lower() if w.isascii() else w.translate(_SMALL) for w in self.written], pa.string()).dictionary_encode()
+        terms, rank = _sorted(small)
+        ranks = rank[np.concatenate(self.ids)].astype(np.int64)
         doc = np.repeat(np.arange(len(self.sizes), dtype=np.int64), self.sizes)
         per_doc, n = np.unique(doc * len(terms) + ranks, return_counts=True)
-        names = list(self.groups)
-        languages = _Numbers()
-        # Groups in the order of their languages, so that one sort gives language, term and source.
+        del ranks, doc
+        names, languages = list(self.groups), _Numbers()
         language = np.array([languages[lang] for lang, _ in names], dtype=np.int64)
         group, term = np.array(self.group, dtype=np.int64)[per_doc // len(terms)], per_doc % len(terms)
-        shard_of = np.fromiter((zlib.crc32(t.encode()) % shards for t in terms), np.int64, len(terms))
+        shard_of = np.fromiter((zlib.crc32(t.encode()) % shards for t in terms.to_pylist()), np.int64, len(terms))
         order = np.lexsort((group, term, language[group], shard_of[term]))
         group, term, n = group[order], term[order], n[order]
-        # One entry per language, term and source.
-        new = np.flatnonzero(np.diff(group, prepend=-1) | np.diff(term, prepend=-1))
+        # One posting per shard, language, term and source; one entry per shard, language and term.
+        new = np.flatnonzero(_changes(group) | _changes(term))
         counts, docs = np.add.reduceat(n, new), np.diff(np.append(new, len(n)))
         group, term = group[new], term[new]
         lang, shard = language[group], shard_of[term]
-        heads = np.flatnonzero(np.diff(term, prepend=-1) | np.diff(lang, prepend=-1))
-        ends = np.append(heads[1:], len(term))
-        cuts = np.flatnonzero(np.diff(lang[heads], prepend=-1) | np.diff(shard[heads], prepend=-1)).tolist() + [len(heads)]
-        for low, high in pairwise(cuts):
-            for a in range(low, high, PAGE):
-                b = min(a + PAGE, high)
-                i, j = heads[a], ends[b - 1]
-                used, codes = np.unique(group[i:j], return_inverse=True)
-                of_page = [terms[t] for t in term[heads[a:b]]]
-                yield {
-                    "run": run, "shard": int(shard[i]), "lang": names[group[i]][0], "first": of_page[0], "terms": of_page,
-                    "sizes": ends[a:b] - heads[a:b], "sources": [names[g][1] for g in used], "codes": codes,
-                    "counts": counts[i:j], "docs": docs[i:j],
-                }
+        heads = np.flatnonzero(_changes(term) | _changes(lang))
+        yield from _paged(
+            np.full(len(heads), run), shard[heads], pa.array(list(languages)).take(lang[heads]), terms.take(term[heads]),
+            np.append(heads, len(term)), pa.array([source for _, source in names]).take(group), counts, docs,
+            _changes(lang[heads]) | _changes(shard[heads]),
+        )
+
+
+def _changes(values: np.ndarray) -> np.ndarray:
+    """Where an array differs from the value before."""
+    return np.concatenate([[True], values[1:] != values[:-1]]) if len(values) else np.zeros(0, bool)
+
+
+def _sorted(encoded: pa.DictionaryArray) -> tuple[pa.Array, np.ndarray]:
+    """The distinct strings in order, and the place of each value among them."""
+    order = pc.sort_indices(encoded.dictionary)
+    place = np.empty(len(order), dtype=np.int64)
+    place[order.to_numpy()] = np.arange(len(order))
+    return encoded.dictionary.take(order), place[encoded.indices.to_numpy()]
+
+
+def _paged(
+    run: np.ndarray, shard: np.ndarray, lang: pa.Array, terms: pa.Array, heads: np.ndarray,
+    sources: pa.Array, counts: np.ndarray, docs: np.ndarray, begins: np.ndarray,
+) -> Iterator[pa.RecordBatch]:
+    """Entries as pages; ``heads`` has their first postings and the end, ``begins`` is true where a new page must begin."""
+    index = np.arange(len(terms))
+    since = index - np.maximum.accumulate(np.where(begins, index, 0))
+    first = np.flatnonzero(since % PAGE == 0)
+    entries, postings = np.append(first, len(terms)).astype(np.int32), heads[np.append(first, len(terms))].astype(np.int32)
+    lists = lambda at, values: pa.ListArray.from_arrays(pa.array(at), values)
+    batch = pa.RecordBatch.from_arrays([
+        pa.array(run[first], pa.int64()), pa.array(shard[first], pa.int32()), lang.take(pa.array(first)), terms.take(pa.array(first)),
+        lists(entries, terms), lists(entries, pa.array(np.diff(heads), pa.int32())), lists(postings, sources),
+        lists(postings, pa.array(counts, pa.int64())), lists(postings, pa.array(docs, pa.int64())),
+    ], _PAGES)
+    for i in range(0, len(first), AT_A_TIME):
+        yield batch.slice(i, AT_A_TIME)
 
 
 def _parts(text: str) -> Iterator[str]:
@@ -138,99 +155,118 @@ def _parts(text: str) -> Iterator[str]:
         at = end
 
 
-def _batched(rows: Iterable[dict], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    held: list[dict] = []
-    for row in rows:
-        held.append(row)
-        if len(held) == _ROWS:
-            yield pa.RecordBatch.from_pylist(held, schema)
-            held = []
-    if held:
-        yield pa.RecordBatch.from_pylist(held, schema)
-
-
 def _runs(batches: Iterable[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
     """Blocks of a task's documents as pages of runs."""
+    run, block = TaskContext.get().partitionId() << 32, _Block()
+    for batch in batches:
+        for lang, source, text in zip(*(c.to_pylist() for c in batch.columns)):
+            block.add(lang, source, text)
+            if block.full():
+                yield from block.pages(run, shards)
+                run, block = run + 1, _Block()
+    yield from block.pages(run, shards)
+
+
+class _Page:
+    """A page of which the terms from ``at`` on have not been merged yet."""
+
+    def __init__(self, batch: pa.RecordBatch, i: int):
+        self.terms, sizes, self.sources, self.counts, self.docs = (batch.column(k)[i].values for k in range(4, 9))
+        self.ends = np.concatenate([[0], np.cumsum(sizes.to_numpy())])
+        self.at = 0
+
+    def below(self, bound: str | None) -> int:
+        """The first term that is not below the bound."""
+        low, high = self.at, len(self.terms)
+        while bound is not None and low < high:
+            middle = (low + high) // 2
+            low, high = (middle + 1, high) if self.terms[middle].as_py() < bound else (low, middle)
+        return high
+
+    def take(self, to: int) -> tuple:
+        """Terms up to ``to`` with their sizes and postings."""
+        a, b, i, j = self.at, to, self.ends[self.at], self.ends[to]
+        self.at = to
+        return (self.terms[a:b], np.diff(self.ends[a : b + 1]), self.sources[i:j], self.counts[i:j].to_numpy(), self.docs[i:j].to_numpy())
+
+
+class _Merged(NamedTuple):
+    """Terms of a shard and language in order; ``heads`` has their first postings and the end."""
+
+    run: int
+    shard: int
+    lang: str
+    terms: pa.Array
+    heads: np.ndarray
+    sources: pa.Array
+    counts: np.ndarray
+    docs: np.ndarray
+
+
+def _merged(batches: Iterable[pa.RecordBatch]) -> Iterator[_Merged]:
+    """Each term of a shard once, from pages in the order of their first terms.
+
+    Open pages lie in a heap by their last terms. Terms below the first one of the page that comes next are complete: whole pages
+    are taken off the heap, and from the others the part below.
+    """
+    heap: list[tuple[str, int, _Page]] = []
+    place, number, gathered = None, 0, 0
 
-    def pages() -> Iterator[dict]:
-        run, block = TaskContext.get().partitionId() << 32, _Block()
-        for batch in batches:
-            for lang, source, text in zip(*(c.to_pylist() for c in batch.columns)):
-                block.add(lang, source, text)
-                if block.full():
-                    yield from block.pages(run, shards)
-                    run, block = run + 1, _Block()
-        yield from block.pages(run, shards)
-
-    yield from _batched(pages(), _PAGES)
-
-
-def _merged(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, int, str, str, dict[str, list[int]]]]:
-    """Each term of a shard once, from pages in the order of their first terms: run, shard, language, term, and count and
-    documents by source."""
-    heap: list[tuple] = []
-    place, number = None, 0
-
-    def drained(bound: str | None) -> Iterator[tuple]:
+    def complete(bound: str | None) -> Iterator[_Merged]:
+        parts = []
         while heap and (bound is None or heap[0][0] < bound):
-            term, by_source = heap[0][0], {}
-            while heap and heap[0][0] == term:
-                _, n, page, i = heap[0]
-                for k in range(page["starts"][i], page["starts"][i + 1]):
-                    entry = by_source.setdefault(page["sources"][page["codes"][k]], [0, 0])
-                    entry[0] += page["counts"][k]
-                    entry[1] += page["docs"][k]
-                if i + 1 < len(page["terms"]):
-                    heapq.heapreplace(heap, (page["terms"][i + 1], n, page, i + 1))
-                else:
-                    heapq.heappop(heap)
-            yield *place, term, by_source
+            page = heapq.heappop(heap)[2]
+            parts.append(page.take(len(page.terms)))
+        parts += [page.take(page.below(bound)) for _, _, page in heap]
+        if any(len(p[0]) for p in parts):
+            yield _Merged(*place, *_united(parts))
 
     for batch in batches:
         for i in range(batch.num_rows):
-            page = batch.slice(i, 1).to_pylist()[0]
-            here = (page["run"], page["shard"], page["lang"])
-            if here != place:
-                yield from drained(None)
-                place = here
-            yield from drained(page["first"])
-            page["starts"] = np.cumsum([0, *page["sizes"]]).tolist()
-            number += 1
-            heapq.heappush(heap, (page["first"], number, page, 0))
-    yield from drained(None)
+            run, shard, lang, first = (batch.column(k)[i].as_py() for k in range(4))
+            if (run, shard, lang) != place:
+                yield from complete(None)
+                place, gathered = (run, shard, lang), 0
+            elif gathered >= GATHERED:
+                yield from complete(first)
+                gathered = 0
+            page = _Page(batch, i)
+            number, gathered = number + 1, gathered + int(page.ends[-1])
+            heapq.heappush(heap, (page.terms[-1].as_py(), number, page))
+    yield from complete(None)
+
+
+def _united(parts: list[tuple]) -> tuple[pa.Array, np.ndarray, pa.Array, np.ndarray, np.ndarray]:
+    """Terms of several pages in order, with the postings of equal ones summed up by source."""
+    terms, sizes, sources, counts, docs = zip(*parts)
+    terms, place = _sorted(pa.concat_arrays(terms).dictionary_encode())
+    sources = pa.concat_arrays(sources).dictionary_encode()
+    key = np.repeat(place, np.concatenate(sizes)) * len(sources.dictionary) + sources.indices.to_numpy()
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    new = np.flatnonzero(_changes(key))
+    term, source = np.divmod(key[new], len(sources.dictionary))
+    counts, docs = (np.add.reduceat(np.concatenate(x)[order], new) for x in (counts, docs))
+    return terms, np.append(np.flatnonzero(_changes(term)), len(term)), sources.dictionary.take(source), counts, docs
 
 
 def _merged_pages(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Runs of a group as pages of one run."""
-
-    def pages() -> Iterator[dict]:
-        page: dict | None = None
-        for run, shard, lang, term, by_source in _merged(batches):
-            if page is None or (run, shard, lang) != (page["run"], page["shard"], page["lang"]) or len(page["terms"]) == PAGE:
-                if page is not None:
-                    yield page | {"sources": list(page["sources"])}
-                page = {"run": run, "shard": shard, "lang": lang, "first": term, "sources": _Numbers()}
-                page |= {c: [] for c in ("terms", "sizes", "codes", "counts", "docs")}
-            page["terms"].append(term)
-            page["sizes"].append(len(by_source))
-            for source, (count, docs) in by_source.items():
-                page["codes"].append(page["sources"][source])
-                page["counts"].append(count)
-                page["docs"].append(docs)
-        if page is not None:
-            yield page | {"sources": list(page["sources"])}
-
-    yield from _batched(pages(), _PAGES)
+    for m in _merged(batches):
+        n = len(m.terms)
+        lang = pa.array([m.lang]).take(pa.array(np.zeros(n, np.int64)))
+        yield from _paged(np.full(n, m.run), np.full(n, m.shard), lang, m.terms, m.heads, m.sources, m.counts, m.docs, np.arange(n) == 0)
 
 
 def _frequencies(batches: Iterable[pa.RecordBatch], min_docs: int) -> Iterator[pa.RecordBatch]:
     """Terms that enough documents have, with their count in each source."""
-    rows = (
-        {"lang": lang, "term": term, "sources": list(by), "counts": [count for count, _ in by.values()]}
-        for _, _, lang, term, by in _merged(batches)
-        if sum(docs for _, docs in by.values()) >= min_docs
-    )
-    yield from _batched(rows, _POSTINGS)
+    for m in _merged(batches):
+        kept = np.flatnonzero(np.add.reduceat(m.docs, m.heads[:-1]) >= min_docs)
+        at = pa.array(m.heads.astype(np.int32))
+        lists = [pa.ListArray.from_arrays(at, values).take(pa.array(kept)) for values in (m.sources, pa.array(m.counts, pa.int64()))]
+        lang = pa.array([m.lang]).take(pa.array(np.zeros(len(kept), np.int64)))
+        if len(kept):
+            yield pa.RecordBatch.from_arrays([lang, m.terms.take(pa.array(kept)), *lists], ["lang", "term", "sources", "counts"])
 
 
 def frequencies(docs: DataFrame, min_docs: int = MIN_DOCS, shards: int | None = None) -> DataFrame:

@@ -79,8 +79,10 @@ def test_empty_table(spark):
     assert run(spark, []) == []
 
 
-def test_blocks_spill_and_pages_merge(monkeypatch):
-    """Small blocks and pages: many runs, terms that cross page ends, and one heap entry per open page."""
+@pytest.mark.parametrize("gathered", [1, 25, 200_000])
+def test_blocks_spill_and_pages_merge(monkeypatch, gathered):
+    """Small blocks and pages: many runs, and pages that are merged in part while others are still to come."""
+    monkeypatch.setattr(d, "GATHERED", gathered)
     monkeypatch.setattr(d, "PAGE", 3)
     monkeypatch.setattr(d, "AT_ONCE", 7)
     rows, pages, block = rows_of(3), [], d._Block()
@@ -90,17 +92,25 @@ def test_blocks_spill_and_pages_merge(monkeypatch):
             pages += block.pages(n, 4)
             block = d._Block()
     pages += block.pages(len(rows), 4)
-    assert all(p["terms"] == sorted(p["terms"]) and len(p["terms"]) <= 3 for p in pages)
-    ordered = sorted((p | {"run": 0} for p in pages), key=lambda p: (p["shard"], p["lang"], p["first"]))
-    merged = list(d._merged(d._batched(ordered, d._PAGES)))
+    table = pa.Table.from_batches(pages)
+    assert all(t == sorted(t) and len(t) <= 3 for t in table["terms"].to_pylist())
+    table = table.set_column(0, "run", pa.array([0] * len(table), pa.int64()))
+    ordered = table.sort_by([(c, "ascending") for c in ("shard", "lang", "first")])
+    merged = list(d._merged(ordered.to_batches(max_chunksize=7)))
+    assert gathered > 10 or len(merged) > 40
     want_counts, want_docs = Counter(), Counter()
     for _, text, lang, source in rows:
         for t, n in Counter(terms_of(text)).items():
             want_counts[lang or "", t, source or ""] += n
             want_docs[lang or "", t, source or ""] += 1
-    assert {(lang, t, s): e[0] for _, _, lang, t, by in merged for s, e in by.items()} == want_counts
-    assert {(lang, t, s): e[1] for _, _, lang, t, by in merged for s, e in by.items()} == want_docs
-    assert len(merged) == len({(lang, t) for lang, t, _ in want_counts})
+    counts, docs, met = {}, {}, []
+    for m in merged:
+        for i, t in enumerate(m.terms.to_pylist()):
+            met.append((m.lang, t))
+            for k in range(m.heads[i], m.heads[i + 1]):
+                counts[m.lang, t, m.sources[k].as_py()] = m.counts[k]
+                docs[m.lang, t, m.sources[k].as_py()] = m.docs[k]
+    assert counts == want_counts and docs == want_docs and len(met) == len(set(met))
 
 
 def test_corrections_in_bounded_buffers(monkeypatch):
