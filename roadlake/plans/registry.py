@@ -139,7 +139,7 @@ def q08_stream_csv_to_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     layout = _layout(spark, "q08")
     _fill_raw(spark, sf_dir, layout.raw)
     start_enrich(spark, layout, trigger=None).awaitTermination()
-    return read_processed(spark, layout.processed)
+    return read_processed(spark, layout.enriched)
 
 
 @_query
@@ -308,7 +308,7 @@ def q28_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw files of an ingest run: rows and sums of their contents, and files with more rows than allowed."""
     layout = _layout(spark, "q28")
     start_ingest(_messages(spark, sf_dir, "q28-messages"), layout, trigger=None).awaitTermination()
-    files = spark.read.schema(EVENT_SCHEMA).option("header", "true").csv(layout.raw)
+    files = spark.read.schema(EVENT_SCHEMA).option("header", "true").csv(layout.ingested)
     per_file = files.groupBy(F.input_file_name().alias("file")).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("user_id").alias("users"),
@@ -363,19 +363,21 @@ def q33_stream_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     layout = Layout(scratch_path(spark, "q33"))
     _fill_raw(spark, sf_dir, layout.raw)
     start_enrich(spark, layout, trigger=None, max_files=1000, enforce_contract=True).awaitTermination()
-    return read_processed(spark, layout.processed)
+    return read_processed(spark, layout.enriched)
 
 
 @_query
 def q34_replay_across_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw batches written, enriched, written again under the same names as after a lost commit, and enriched again."""
+    """Messages ingested and enriched; then the record that each job has finished is lost, and both repeat their last batch."""
     layout = Layout(scratch_path(spark, "q34"))
-    events = add_event_time(telemetry(spark, sf_dir))
-    for _ in range(2):
-        for kind in ("car", "bike"):
-            write_raw(events.where(F.col("vehicle_type") == kind), layout.raw, "event_time", LARGE_FILE, tag=f"{kind}-0")
+    messages = _messages(spark, sf_dir, "q34-messages")
+    for job in ("ingest", "enrich", None):
+        start_ingest(messages, layout, None, LARGE_FILE).awaitTermination()
         start_enrich(spark, layout, trigger=None, max_files=1000).awaitTermination()
-    return read_processed(spark, layout.processed)
+        if job is not None:
+            commits = spark._jvm.org.apache.hadoop.fs.Path(f"{layout.checkpoint(job)}/commits")
+            commits.getFileSystem(spark._jsc.hadoopConfiguration()).delete(commits, True)
+    return read_processed(spark, layout.enriched)
 
 
 @_query
@@ -425,7 +427,7 @@ def q37_raw_csv_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_raw(add_event_time(_awkward_names(spark, sf_dir)), layout.raw, "event_time", LARGE_FILE)
     start_enrich(spark, layout, trigger=None, max_files=1000).awaitTermination()
     columns = ["vehicle_id", "phone_number", "vehicle_name"]
-    return read_raw(spark, layout.raw).select(*columns).unionByName(read_processed(spark, layout.processed).select(*columns))
+    return read_raw(spark, layout.raw).select(*columns).unionByName(read_processed(spark, layout.enriched).select(*columns))
 
 
 @_query
@@ -495,11 +497,8 @@ def q43_files_per_trigger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Micro-batches of an enrich run that may take ten files at a time: none more, no file lost."""
     layout = Layout(scratch_path(spark, "q43"))
     _fill_raw(spark, sf_dir, layout.raw)
-    query = start_enrich(spark, layout, trigger=None, max_files=10)
-    query.awaitTermination()
-    batches = F.col("file_rows").isNotNull()
-    per_batch = spark.read.schema(PROCESSED_SCHEMA).parquet(layout.processed).withColumn(
-        "file_rows", F.regexp_extract(F.col("_metadata.file_path"), "/batch=([^/]+)/", 1)
-    )
-    found = per_batch.where(batches).groupBy("file_rows").agg(F.count(F.lit(1)).alias("n"), F.countDistinct(F.to_date("event_time")).alias("days"))
-    return found.agg(F.sum("n").alias("n_rows"), (F.max("days") <= 10).alias("within_limit"))
+    files = read_raw(spark, layout.raw).select(F.input_file_name().alias("file")).distinct().count()
+    job = start_enrich(spark, layout, trigger=None, max_files=10)
+    job.awaitTermination()
+    batches = sum(p["numInputRows"] > 0 for p in job.recentProgress)
+    return read_processed(spark, layout.enriched).agg(F.count(F.lit(1)).alias("n_rows"), F.lit(files <= 10 * batches).alias("within_limit"))

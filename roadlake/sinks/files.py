@@ -1,19 +1,16 @@
-"""Partitioned file writes that a repeated micro-batch neither duplicates nor changes."""
+"""Partitioned file writes: bounded ones, and streams that write each row once."""
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql.streaming.query import StreamingQuery
 
 from roadlake.functions.event_time import add_date_parts, utc_date
 from roadlake.schema import EVENT_COLS, PARTITION_COLS, PROCESSED_SCHEMA
 
-BATCH_COL = "batch"
-# Readers pass over names that begin with an underscore.
-STAGING = "_staging"
 LEFT_OUT = "left_out"
 # Fixed value: rows per raw file.
 ROWS_PER_RAW_FILE = 100
@@ -26,16 +23,6 @@ class Written(NamedTuple):
     left_out: int
 
 
-def batch_tag(df: DataFrame, batch_id: int) -> str:
-    """Name of a micro-batch, the same when it is replayed and never shared by two queries.
-
-    The query id is kept in the checkpoint, so a query started on a fresh checkpoint gets tags
-    of its own instead of overwriting what its predecessor wrote.
-    """
-    query = df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
-    return f"{query}-{batch_id:010d}"
-
-
 def write_files(
     df: DataFrame,
     path: str,
@@ -68,83 +55,70 @@ def write_files(
     return Written(**counts.get)
 
 
-def write_batch(
-    df: DataFrame,
+def start_sink(
+    rows: DataFrame,
     path: str,
     file_format: str,
-    tag: str | None,
-    columns: list[str],
-    partition_cols: list[str] = PARTITION_COLS,
-    gather_by: list[str] | None = None,
+    checkpoint: str,
+    pace: Mapping[str, object],
+    partition_cols: Sequence[str],
+    gather_by: Sequence[str] | None = None,
     options: Mapping[str, str] | None = None,
-) -> Written:
-    """Write ``columns`` into ``batch=<tag>`` folders below the partition folders.
-
-    A tag's folder is final once it can be seen: the rows are written aside and each complete folder is moved into
-    place, and writing the same tag again leaves the folders that are there alone. So a reader that follows the
-    tree sees every file once, whenever a batch is cut off and repeated. Without a tag the rows get one
-    of their own, so that every tree has the same depth however it was filled.
+    name: str | None = None,
+) -> StreamingQuery:
+    """Append a stream to a tree of its own, each row once.
+
+    Spark's file sink notes the files of a micro-batch in the tree's log when all are there, and passes over a batch that it
+    has noted. Readers of ``path``, bounded or streaming, go by the log: what a lost run has left beside it is never
+    read, whatever a rename is on the file system, and no tree is listed. The tree has this one query as writer. Rows are gathered as by
+    :func:`write_files`.
     """
-    chosen = df.select(*columns, *[c for c in df.columns if c == LEFT_OUT])
-    tagged = chosen.withColumn(BATCH_COL, F.lit(uuid.uuid4().hex if tag is None else tag))
     gather_by = partition_cols if gather_by is None else gather_by
-    folders = [*partition_cols, BATCH_COL]
-    if tag is None:
-        return write_files(tagged, path, file_format, folders, gather_by, options)
-    aside = f"{path}/{STAGING}/{tag}"
-    done = write_files(tagged, aside, file_format, folders, gather_by, options, "overwrite")
-    _publish(df.sparkSession, aside, path, len(folders))
-    return done
-
-
-def _publish(spark: SparkSession, aside: str, path: str, depth: int) -> None:
-    """Move the folders ``depth`` levels below ``aside`` to the same place below ``path``, but for those already there."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path
-    source = folder(aside)
-    fs = source.getFileSystem(spark._jsc.hadoopConfiguration())
-    places = [""]
-    for _ in range(depth):
-        found = [(p, s.getPath().getName()) for p in places for s in fs.listStatus(folder(f"{aside}{p}")) if s.isDirectory()]
-        places = [f"{p}/{name}" for p, name in found if "=" in name]
-    for place in places:
-        target = folder(f"{path}{place}")
-        if not fs.exists(target):
-            fs.mkdirs(target.getParent())
-            if not fs.rename(folder(f"{aside}{place}"), target):
-                raise OSError(f"{aside}{place} could not be moved to {target}")
-    fs.delete(source, True)
-
-
-def write_raw(
-    df: DataFrame,
-    root: str,
-    arrived: str = "arrived",
-    rows_per_file: int = ROWS_PER_RAW_FILE,
-    tag: str | None = None,
-    gather_by: list[str] | None = None,
-) -> Written:
-    """Event columns as headered CSV under the (zero-padded) UTC date of the ``arrived`` timestamp."""
+    if gather_by:
+        rows = rows.hint("rebalance", *gather_by)
+    writer = rows.writeStream.format(file_format).options(**(options or {})).partitionBy(*partition_cols)
+    if name is not None:
+        writer = writer.queryName(name)
+    return writer.option("checkpointLocation", checkpoint).outputMode("append").trigger(**pace).start(path)
+
+
+def dated_raw(df: DataFrame, arrived: str = "arrived") -> DataFrame:
+    """Event columns with the (zero-padded) UTC date of the ``arrived`` timestamp."""
     date = utc_date(arrived)
-    dated = df.withColumns({
+    return df.withColumns({
         "year": F.date_format(date, "yyyy"),
         "month": F.date_format(date, "MM"),
         "day": F.date_format(date, "dd"),
     })
-    # Names keep their outer spaces; a field with a line break is quoted.
+
+
+def raw_options(rows_per_file: int) -> dict[str, str]:
+    """How raw CSV is written. Names keep their outer spaces; a field with a line break is quoted."""
     spaces = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
-    options = {"header": "true", "maxRecordsPerFile": str(rows_per_file), **spaces}
-    return write_batch(
-        dated, root, "csv", tag, EVENT_COLS + PARTITION_COLS, gather_by=gather_by, options=options
-    )
+    return {"header": "true", "maxRecordsPerFile": str(rows_per_file), **spaces}
+
+
+def write_raw(df: DataFrame, root: str, arrived: str = "arrived", rows_per_file: int = ROWS_PER_RAW_FILE) -> Written:
+    """Event columns as headered CSV under the (zero-padded) UTC date of the ``arrived`` timestamp."""
+    chosen = dated_raw(df, arrived).select(*EVENT_COLS, *PARTITION_COLS, *_flag(df))
+    return write_files(chosen, root, "csv", PARTITION_COLS, options=raw_options(rows_per_file))
 
 
-def write_processed(df: DataFrame, root: str, tag: str | None = None) -> Written:
+def write_processed(df: DataFrame, root: str) -> Written:
     """Enriched events as Parquet under the (unpadded) date of their ``event_time``."""
-    return write_batch(add_date_parts(df), root, "parquet", tag, PROCESSED_SCHEMA.names)
+    return write_files(add_date_parts(df).select(*PROCESSED_SCHEMA.names, *_flag(df)), root, "parquet", PARTITION_COLS)
+
 
+def _flag(df: DataFrame) -> list[str]:
+    return [c for c in df.columns if c == LEFT_OUT]
 
-def write_quarantine(df: DataFrame, root: str, stage: str, tag: str | None = None) -> Written:
-    """Rows set aside by a stage, as JSON text so that unlike rows can share a tree."""
+
+def as_quarantined(df: DataFrame, stage: str) -> DataFrame:
+    """Rows set aside by a stage, as JSON text so that unlike rows can share a layout."""
     text = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
-    aside = df.select(text.alias("row"), F.lit(stage).alias("stage"))
-    return write_batch(aside, root, "parquet", tag, ["row", "stage"], ["stage"], gather_by=[])
+    return df.select(text.alias("row"), F.lit(stage).alias("stage"))
+
+
+def write_quarantine(df: DataFrame, path: str, stage: str) -> Written:
+    """Rows set aside by one run, in a folder of its own; writing it again replaces it."""
+    return write_files(as_quarantined(df, stage), path, "parquet", [], mode="overwrite")

@@ -36,7 +36,8 @@ def raw_stream(
 
     A micro-batch takes ``max_files`` files, or files of ``max_bytes`` in all where that is given
     (the better bound when files differ in size). The root is watched, not one day's folder, so a
-    new day needs no restart, and files may sit at any depth. Files of any age are taken, so the query
+    new day needs no restart, and files may sit at any depth; where a stream has written the tree, its log of files is
+    followed instead. Files of any age are taken, so the query
     remembers every name it has seen; pass ``cleanSource`` and ``sourceArchiveDir`` to keep the listing short on
     long runs. An empty string reads back as null, as CSV does not tell them apart here.
     """

@@ -5,40 +5,34 @@ enrich: raw CSV -> processed Parquet by event date
 load:   processed Parquet -> keyed target table
 alerts: raw CSV -> fined events as JSON lines, or to a topic
 
-Every job keeps its progress in a checkpoint that is committed after the sink has written, and
-what a batch has written is final, so a restart neither loses nor doubles rows, in this stage or the next.
+Every job keeps its progress in a checkpoint. The trees that jobs write have a log of finished files, by which the next
+job reads, so a restart neither loses nor doubles rows, in this stage or the next.
 Of events with one key the latest ``timestamp`` wins, in whatever order they are loaded. Rows that
-cannot be used go to the quarantine tree, never away.
+cannot be used go to the quarantine trees, never away.
 """
 
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming.query import StreamingQuery
+from pyspark.sql.types import StructType
 
-from roadlake.functions.event_time import add_event_time, coerce_times, stamp
+from roadlake.functions.event_time import add_date_parts, add_event_time, coerce_times, stamp
 from roadlake.functions.measures import nan_to_null
 from roadlake.functions.records import decode_events
-from roadlake.operators.alerts import overspeed_alerts, preview
+from roadlake.operators.alerts import overspeed_alerts
 from roadlake.operators.quality import split_decoded, with_violations
 from roadlake.operators.upsert import Upserted, create_target, stage, upsert
-from roadlake.schema import PARTITION_COLS, PROCESSED_SCHEMA
+from roadlake.schema import EVENT_COLS, PARTITION_COLS, PROCESSED_SCHEMA
 from roadlake.session import no_rows, prepare
-from roadlake.sinks.files import (
-    LEFT_OUT,
-    ROWS_PER_RAW_FILE,
-    batch_tag,
-    write_batch,
-    write_processed,
-    write_quarantine,
-    write_raw,
-)
+from roadlake.sinks.files import ROWS_PER_RAW_FILE, as_quarantined, dated_raw, raw_options, start_sink, write_quarantine
 from roadlake.sinks.kafka import write_kafka
-from roadlake.sources.processed import processed_stream, read_processed_any_layout
+from roadlake.sources.processed import processed_stream, read_parquet_or_empty, read_processed_any_layout
 from roadlake.sources.raw import CORRUPT, FILES_PER_TRIGGER, raw_stream
 
 log = logging.getLogger(__name__)
@@ -61,10 +55,20 @@ class Layout:
     def raw(self) -> str:
         return f"{self.root}/raw/vehicle"
 
+    @property
+    def ingested(self) -> str:
+        """Raw files of the ingest job, which has the tree for itself."""
+        return f"{self.root}/raw/ingested"
+
     @property
     def processed(self) -> str:
         return f"{self.root}/processed/vehicle"
 
+    @property
+    def enriched(self) -> str:
+        """Processed files of the enrich job, which has the tree for itself."""
+        return f"{self.root}/processed/enriched"
+
     @property
     def target(self) -> str:
         return f"{self.root}/target/vehicle_data"
@@ -77,6 +81,9 @@ class Layout:
     def quarantine(self) -> str:
         return f"{self.root}/quarantine"
 
+    def set_aside(self, stage_name: str) -> str:
+        return f"{self.quarantine}/{stage_name}"
+
     def checkpoint(self, job: str) -> str:
         return f"{self.root}/checkpoints/{job}"
 
@@ -91,37 +98,74 @@ class Layout:
     def create(self, spark: SparkSession) -> None:
         """Make the folders that streams watch; a stream cannot start on a missing one."""
         nothing = no_rows(spark, PROCESSED_SCHEMA).write.mode("ignore").partitionBy(*PARTITION_COLS)
-        nothing.csv(self.raw)
-        nothing.parquet(self.processed)
+        for tree in (self.raw, self.ingested):
+            nothing.csv(tree)
+        for tree in (self.processed, self.enriched):
+            nothing.parquet(tree)
         create_target(spark, self.target)
 
 
+class Job:
+    """Queries that make up a job, the main one first. It can be waited for and stopped like one query."""
+
+    def __init__(self, *queries: StreamingQuery):
+        self.queries = queries
+
+    def awaitTermination(self) -> None:
+        """Wait for all; when one fails, the others are stopped and the failure is raised."""
+        try:
+            for query in self._until_over():
+                query.awaitTermination(1)
+        except BaseException:
+            self.stop()
+            raise
+
+    def _until_over(self) -> Iterator[StreamingQuery]:
+        while any(q.isActive for q in self.queries):
+            yield from [q for q in self.queries if q.isActive]
+        yield from self.queries  # raises what one has failed with
+
+    def stop(self) -> None:
+        for query in self.queries:
+            query.stop()
+
+    def processAllAvailable(self) -> None:
+        for query in self.queries:
+            query.processAllAvailable()
+
+    @property
+    def isActive(self) -> bool:
+        return any(q.isActive for q in self.queries)
+
+    @property
+    def recentProgress(self) -> list:
+        return self.queries[0].recentProgress
+
+
 def start_ingest(
     messages: DataFrame,
     layout: Layout,
     trigger: str | None = TRIGGER,
     rows_per_file: int = ROWS_PER_RAW_FILE,
     value: str = "value",
-) -> StreamingQuery:
+) -> Job:
     """Decode messages and write raw files under the UTC date of arrival.
 
     The arrival time is the micro-batch's own timestamp, which the checkpoint records, so a batch
-    repeated after midnight still goes to its first folder.
+    repeated after midnight still goes to its first folder. Malformed messages are written by a query of their own, which reads
+    the messages once more.
     """
     prepare(messages.sparkSession)
     decoded = decode_events(
         messages.withColumn("arrived", F.current_timestamp()), value=value, keep=("arrived",)
     )
-
-    def write(batch: DataFrame, tag: str) -> None:
-        flagged = batch.withColumn(LEFT_OUT, F.col("decode_error").isNotNull())
-        # A micro-batch arrives on one day and raw files are small: tasks write what they read.
-        done = write_raw(flagged, layout.raw, rows_per_file=rows_per_file, tag=tag, gather_by=[])
-        if done.left_out:
-            write_quarantine(split_decoded(batch, value)[1], layout.quarantine, "decode", tag)
-        log.info("ingest %s: %s", tag, done)
-
-    return _start(decoded, write, layout.checkpoint("ingest"), trigger)
+    malformed = F.col("decode_error").isNotNull()
+    good = dated_raw(_counted(decoded, malformed).where(~malformed)).select(*EVENT_COLS, *PARTITION_COLS)
+    # A micro-batch arrives on one day and raw files are small: tasks write what they read.
+    main = start_sink(
+        good, layout.ingested, "csv", layout.checkpoint("ingest"), _pace(trigger), PARTITION_COLS, [], raw_options(rows_per_file), "ingest"
+    )
+    return Job(main, _set_aside(split_decoded(decoded, value)[1], layout, "decode", trigger))
 
 
 def start_enrich(
@@ -133,28 +177,43 @@ def start_enrich(
     precision: str = "second",
     enforce_contract: bool = False,
     **options: str,
-) -> StreamingQuery:
+) -> Job:
     """Add event time and date parts to raw events and write processed Parquet.
 
-    With ``enforce_contract`` events that break the domain contract are set aside as well.
-    Further ``options`` go to the file source.
+    With ``enforce_contract`` events that break the domain contract are set aside as well. Rows set aside are written by a
+    query of their own, which reads the raw files once more. Further ``options`` go to the file sources.
     """
     layout.create(prepare(spark))
-    enriched = add_event_time(raw_stream(spark, layout.raw, max_files, max_bytes, **options), precision)
+    enriched = add_event_time(_raw(spark, layout, max_files, max_bytes, **options), precision)
+    broken = F.col(CORRUPT).isNotNull()
+    if enforce_contract:
+        enriched = with_violations(enriched)
+        broken = broken | (F.size("reasons") > 0)
+    good = add_date_parts(_counted(enriched, broken).where(~broken)).select(*PROCESSED_SCHEMA.names)
+    main = start_sink(
+        good, layout.enriched, "parquet", layout.checkpoint("enrich"), _pace(trigger), PARTITION_COLS, name="enrich"
+    )
+    return Job(main, _set_aside(enriched.where(broken), layout, "enrich", trigger))
+
+
+def _raw(spark: SparkSession, layout: Layout, max_files: int, max_bytes: int | None, **options: str) -> DataFrame:
+    """What the ingest job has written, and raw files that others put beside it; the limits hold for each."""
+    ingested, other = (raw_stream(spark, root, max_files, max_bytes, **options) for root in (layout.ingested, layout.raw))
+    return ingested.unionByName(other)
+
+
+def _counted(rows: DataFrame, left_out: Column) -> DataFrame:
+    """``rows``, of which each micro-batch reports how many it keeps and how many it leaves out."""
+    flag = F.coalesce(left_out, F.lit(False))
+    return rows.observe("counts", F.count_if(~flag).alias("rows"), F.count_if(flag).alias("left_out"))
 
-    def write(batch: DataFrame, tag: str) -> None:
-        if log.isEnabledFor(logging.DEBUG):
-            log.debug("enrich %s: sample %s", tag, preview(batch).collect())
-        broken = F.col(CORRUPT).isNotNull()
-        if enforce_contract:
-            batch = with_violations(batch)
-            broken = broken | (F.size("reasons") > 0)
-        done = write_processed(batch.withColumn(LEFT_OUT, broken), layout.processed, tag)
-        if done.left_out:
-            write_quarantine(batch.where(broken), layout.quarantine, "enrich", tag)
-        log.info("enrich %s: %s", tag, done)
 
-    return _start(enriched, write, layout.checkpoint("enrich"), trigger)
+def _set_aside(rows: DataFrame, layout: Layout, stage_name: str, trigger: str | None) -> StreamingQuery:
+    aside = as_quarantined(rows, stage_name).drop("stage")
+    return start_sink(
+        aside, layout.set_aside(stage_name), "parquet", layout.checkpoint(f"{stage_name}-quarantine"), _pace(trigger), [],
+        name=f"{stage_name}-quarantine",
+    )
 
 
 def start_alerts(
@@ -165,21 +224,20 @@ def start_alerts(
     max_bytes: int | None = None,
     servers: str | None = None,
     topic: str = ALERT_TOPIC,
-) -> StreamingQuery:
+) -> Job:
     """Write an alert for every fined raw event, as JSON lines by event date or, given ``servers``, to a topic.
 
     Files are written once; a topic gets the alerts of a repeated batch again.
     """
     layout.create(prepare(spark))
-    alerts = overspeed_alerts(add_event_time(raw_stream(spark, layout.raw, max_files, max_bytes)), ALERT_KEEP)
+    alerts = overspeed_alerts(add_event_time(_raw(spark, layout, max_files, max_bytes)), ALERT_KEEP)
+    if servers is None:
+        return Job(start_sink(alerts, layout.alerts, "json", layout.checkpoint("alerts"), _pace(trigger), PARTITION_COLS, name="alerts"))
 
-    def write(batch: DataFrame, tag: str) -> None:
-        if servers is not None:
-            write_kafka(batch, servers, topic, batch.columns)
-        else:
-            log.info("alerts %s: %s", tag, write_batch(batch, layout.alerts, "json", tag, batch.columns))
+    def write(batch: DataFrame, _: int) -> None:
+        write_kafka(batch, servers, topic, batch.columns)
 
-    return _start(alerts, write, layout.checkpoint("alerts"), trigger)
+    return Job(_start(alerts, write, layout.checkpoint("alerts"), trigger, "alerts"))
 
 
 def start_load(
@@ -188,37 +246,46 @@ def start_load(
     trigger: str | None = LOAD_TRIGGER,
     max_files: int | None = None,
     max_bytes: int | None = None,
-) -> StreamingQuery:
+) -> Job:
     """Merge processed files into the target as they appear.
 
     Each load reads and writes the touched days whole, twice with the journal, however few rows are new, so loads are
     made less often than the other jobs' batches.
     """
     layout.create(prepare(spark))
-    loadable = load_frame(processed_stream(spark, layout.processed, max_files, max_bytes), F.current_timestamp())
+    streams = [processed_stream(spark, root, max_files, max_bytes) for root in (layout.enriched, layout.processed)]
+    loadable = load_frame(streams[0].unionByName(streams[1]), F.current_timestamp())
 
-    def write(batch: DataFrame, tag: str) -> None:
-        log.info("load %s: %s", tag, _merge_keyed(stage(batch, layout.staging), layout, tag))
+    def write(batch: DataFrame, batch_id: int) -> None:
+        log.info("load %s: %s", batch_id, _merge_keyed(stage(batch, layout.staging), layout, f"{_query_id(batch)}-{batch_id:010d}"))
 
-    return _start(loadable, write, layout.checkpoint("load"), trigger)
+    return Job(_start(loadable, write, layout.checkpoint("load"), trigger, "load"))
 
 
 def load_full(spark: SparkSession, layout: Layout, run_time: Column | None = None) -> Upserted:
     """Merge every processed row again, whatever earlier runs have loaded."""
     prepare(spark)
     run_time = F.current_timestamp() if run_time is None else run_time
-    return _merge_keyed(load_frame(read_processed_any_layout(spark, layout.processed), run_time), layout, "full-load")
+    enriched, other = (read_processed_any_layout(spark, root) for root in (layout.enriched, layout.processed))
+    return _merge_keyed(load_frame(enriched.unionByName(other), run_time), layout, "full-load")
 
 
-def _merge_keyed(rows: DataFrame, layout: Layout, tag: str) -> Upserted:
+def _merge_keyed(rows: DataFrame, layout: Layout, run: str) -> Upserted:
     """Merge the rows that have a key; the others would be added anew by every run."""
 
     def set_aside(unkeyed: DataFrame) -> None:
-        write_quarantine(unkeyed, layout.quarantine, "load", tag)
+        write_quarantine(unkeyed, f"{layout.set_aside('load')}/run={run}", "load")
 
     return upsert(rows, layout.target, journal=layout.journal, on_unkeyed=set_aside, keep_newer=True)
 
 
+def read_quarantine(spark: SparkSession, layout: Layout) -> DataFrame:
+    """Rows that the jobs have set aside: ``row`` (JSON text) and ``stage``."""
+    schema = StructType().add("row", "string")
+    stages = [read_parquet_or_empty(spark, layout.set_aside(s), schema).withColumn("stage", F.lit(s)) for s in ("decode", "enrich", "load")]
+    return reduce(DataFrame.unionByName, stages)
+
+
 def load_frame(processed: DataFrame, run_time: Column) -> DataFrame:
     """Processed events as the target wants them: real timestamps, no NaN, an audit stamp.
 
@@ -244,17 +311,24 @@ def run_available(
     start_load(spark, layout, None, max_bytes=max_bytes).awaitTermination()
 
 
-def _start(
-    rows: DataFrame, write: Callable[[DataFrame, str], None], checkpoint: str, trigger: str | None
-) -> StreamingQuery:
-    """Append-mode query; ``trigger`` is the pause between batches, None drains and stops."""
+def _pace(trigger: str | None) -> dict[str, object]:
+    """``trigger`` is the pause between batches, None drains and stops."""
+    return {"availableNow": True} if trigger is None else {"processingTime": trigger}
+
+
+def _query_id(batch: DataFrame) -> str:
+    """Kept in the checkpoint, so the same when a micro-batch is repeated."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
+def _start(rows: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, trigger: str | None, name: str) -> StreamingQuery:
+    """Append-mode query that hands its batches to ``write``, which must bear being called again with the same one."""
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
-            log.info("batch %s has no rows", batch_id)
+            log.info("%s: batch %s has no rows", name, batch_id)
         else:
-            write(batch, batch_tag(batch, batch_id))
+            write(batch, batch_id)
 
-    pace = {"availableNow": True} if trigger is None else {"processingTime": trigger}
-    writer = rows.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
-    return writer.outputMode("append").trigger(**pace).start()
+    writer = rows.writeStream.foreachBatch(on_batch).queryName(name).option("checkpointLocation", checkpoint)
+    return writer.outputMode("append").trigger(**_pace(trigger)).start()

@@ -4,6 +4,7 @@ import datetime as dt
 import glob
 import os
 import re
+import shutil
 from types import SimpleNamespace
 
 import pytest
@@ -16,8 +17,8 @@ from roadlake.operators.time_range import time_range
 from roadlake.plans.telemetry import telemetry
 from roadlake.schema import EVENT_COLS, EVENT_SCHEMA, PROCESSED_SCHEMA, TARGET_SCHEMA
 from roadlake.session import scratch_path, shared_dir
-from roadlake.sinks.files import LEFT_OUT, write_files, write_processed, write_raw
-from roadlake.sources.processed import read_processed, read_processed_any_layout
+from roadlake.sinks.files import LEFT_OUT, start_sink, write_files, write_processed, write_quarantine, write_raw
+from roadlake.sources.processed import processed_stream, read_processed, read_processed_any_layout
 from roadlake.sources.raw import CORRUPT, raw_stream, read_raw
 
 DAY = 86_400
@@ -55,7 +56,7 @@ def test_only_a_local_session_may_lack_a_shared_folder():
 def test_raw_files_are_small_headered_and_zero_padded(spark, folder):
     df = events(spark, 250).coalesce(1).withColumn("arrived", F.lit(at("2024-03-05T10:00:00")))
     assert write_raw(df, folder) == (250, 0)
-    files = glob.glob(f"{folder}/year=2024/month=03/day=05/batch=*/*.csv")
+    files = glob.glob(f"{folder}/year=2024/month=03/day=05/*.csv")
     sizes = sorted(sum(1 for _ in open(f)) - 1 for f in files)
     assert sizes == [50, 100, 100]
     assert open(files[0]).readline().strip() == ",".join(EVENT_COLS)
@@ -103,7 +104,7 @@ def test_raw_stream_has_event_columns_only(spark, folder):
 def test_processed_round_trip(spark, folder):
     df = add_event_time(events(spark, 40))
     assert write_processed(df, folder) == (40, 0)
-    assert glob.glob(f"{folder}/year=2024/month=1/day=1/batch=*/*.parquet")
+    assert glob.glob(f"{folder}/year=2024/month=1/day=1/*.parquet")
     back = read_processed(spark, folder)
     assert back.columns == PROCESSED_SCHEMA.names
     assert back.schema == PROCESSED_SCHEMA
@@ -118,14 +119,6 @@ def test_plain_append_has_no_batch_folder(spark, folder):
     assert read_processed(spark, folder).count() == 8
 
 
-def test_tagged_and_untagged_writes_share_a_tree(spark, folder):
-    df = add_event_time(events(spark, 4))
-    write_processed(df, folder)
-    write_processed(df, folder, "t")
-    write_processed(df, folder)
-    assert read_processed(spark, folder).count() == 12
-
-
 def test_large_day_is_cut_into_several_files(spark, folder):
     stamps = F.when(F.col("id") < 30_000, START).otherwise(START + F.col("id") % 20 * DAY)
     df = spark.range(0, 60_000, 1, 8).crossJoin(F.broadcast(events(spark, 1).drop("timestamp")))
@@ -135,28 +128,45 @@ def test_large_day_is_cut_into_several_files(spark, folder):
         write_processed(df, folder)
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    files = {d: len(glob.glob(f"{folder}/year=2024/month=1/day={d}/*/*.parquet")) for d in (1, 2)}
+    files = {d: len(glob.glob(f"{folder}/year=2024/month=1/day={d}/*.parquet")) for d in (1, 2)}
     assert files[1] >= 4 > files[2]
 
 
-def test_a_tag_is_final_and_other_tags_add(spark, folder):
-    df = add_event_time(events(spark, 10))
-    write_processed(df, folder, "q-1")
-    before = sorted(glob.glob(f"{folder}/**/*.parquet", recursive=True))
-    for tag in ("q-1", "q-2"):
-        assert write_processed(df, folder, tag) == (10, 0)
-    after = sorted(glob.glob(f"{folder}/**/*.parquet", recursive=True))
-    assert read_processed(spark, folder).count() == 20 and set(before) < set(after)
-    assert not glob.glob(f"{folder}/_staging/*")
+def sink(spark, folder, made):
+    """A stream of ``folder``/in into a tree of its own."""
+    stream = spark.readStream.schema(made.schema).parquet(f"{folder}/in")
+    query = start_sink(stream, f"{folder}/out", "parquet", f"{folder}/checkpoint", {"availableNow": True}, ["year", "month", "day"])
+    query.awaitTermination()
+
+
+def test_a_micro_batch_is_written_once_though_it_is_repeated(spark, folder):
+    """The commit of the batch is lost after its files have been noted."""
+    made = add_event_time(events(spark, 1000)).select(*PROCESSED_SCHEMA.names)
+    made.repartition(4).write.parquet(f"{folder}/in")
+    for _ in range(2):
+        sink(spark, folder, made)
+        shutil.rmtree(f"{folder}/checkpoint/commits")
+    sink(spark, folder, made)
+    assert read_processed(spark, f"{folder}/out").count() == 1000
+
+
+def test_a_batch_of_which_some_files_are_there_is_repeated_whole(spark, folder):
+    """What a lost driver or a copying rename leaves: files that no log notes. They are neither read nor taken for the batch."""
+    made = add_event_time(events(spark, 1000)).select(*PROCESSED_SCHEMA.names)
+    made.repartition(7).write.parquet(f"{folder}/in")
+    write_processed(made.limit(28), f"{folder}/out")
+    sink(spark, folder, made)
+    write_processed(made.limit(50), f"{folder}/out")
+    assert read_processed(spark, f"{folder}/out").count() == 1000
+    assert read_processed_any_layout(spark, f"{folder}/out").count() == 1000
+    assert streamed(processed_stream(spark, f"{folder}/out")).count() == 1000
+    assert spark.read.parquet(*glob.glob(f"{folder}/out/*/*/*/*.parquet")).count() == 1078
 
 
-def test_a_publication_cut_off_is_finished(spark, folder):
-    """Some folders of a tag are in place, others are not."""
-    df = add_event_time(events(spark, 3).union(events(spark, 3).withColumn("timestamp", F.lit(START + DAY).cast("double"))))
-    write_processed(df.where("day = 1"), folder, "q-1")
-    first = glob.glob(f"{folder}/**/*.parquet", recursive=True)
-    assert write_processed(df, folder, "q-1") == (6, 0)
-    assert read_processed(spark, folder).count() == 6 and set(first) < set(glob.glob(f"{folder}/**/*.parquet", recursive=True))
+def test_quarantine_of_a_run_is_replaced(spark, folder):
+    for n in (5, 3):
+        write_quarantine(events(spark, n), folder, "load")
+    assert spark.read.parquet(folder).count() == 3
 
 
 NAMES = ["  Kia Seltos ", 'say "hi", he', "Kia\nSeltos", "a\r\nb", "\\", "\\\"", "tab\t", "ünï,", "'", "x" * 5000]
@@ -184,8 +194,8 @@ def test_left_out_rows_are_counted_not_written(spark, folder):
 
 def test_all_rows_left_out_and_no_rows_at_all(spark, folder):
     df = add_event_time(events(spark, 10))
-    assert write_processed(df.withColumn(LEFT_OUT, F.lit(True)), folder, "t") == (0, 10)
-    assert write_processed(df.where("speed < 0"), folder, "u") == (0, 0)
+    assert write_processed(df.withColumn(LEFT_OUT, F.lit(True)), folder) == (0, 10)
+    assert write_processed(df.where("speed < 0"), folder) == (0, 0)
     assert not glob.glob(f"{folder}/**/*.parquet", recursive=True)
     assert read_processed(spark, folder).count() == 0
 
@@ -198,7 +208,7 @@ def test_missing_folder_reads_as_no_rows(spark, folder):
 
 def test_other_suffixes_are_ignored(spark, folder):
     write_processed(add_event_time(events(spark, 3)), folder)
-    leaf = glob.glob(f"{folder}/year=2024/month=1/day=1/batch=*")[0]
+    leaf = glob.glob(f"{folder}/year=2024/month=1/day=1")[0]
     with open(f"{leaf}/notes.txt", "w") as notes:
         notes.write("x")
     assert read_processed(spark, folder).count() == 3

@@ -3,6 +3,7 @@
 import glob
 import json
 import os
+import shutil
 import time
 
 import pytest
@@ -15,11 +16,11 @@ from roadlake.functions.records import encode_events
 from roadlake.operators.alerts import overspeed_alerts
 from roadlake.operators.upsert import read_target
 from roadlake.schema import EVENT_SCHEMA, KEY_COLS, PROCESSED_SCHEMA
-from roadlake.sinks.files import batch_tag, write_processed, write_raw
+from roadlake.sinks.files import write_processed, write_raw
 from roadlake.sources.processed import read_processed
 from roadlake.sources.raw import raw_stream, read_raw
 from roadlake.streaming import jobs
-from roadlake.streaming.jobs import Layout, load_full, run_available, start_alerts, start_enrich, start_ingest, start_load
+from roadlake.streaming.jobs import Layout, load_full, read_quarantine, run_available, start_alerts, start_enrich, start_ingest, start_load
 from test_storage import START
 
 
@@ -53,16 +54,16 @@ def drain(query):
 
 
 def aside(spark, layout):
-    return spark.read.parquet(layout.quarantine).collect()
+    return read_quarantine(spark, layout).collect()
 
 
 def test_enrich_equals_the_batch_result(spark, layout):
     put_raw(rows(spark, 95), layout)
     drain(start_enrich(spark, layout, None, max_files=4))
-    got = read_processed(spark, layout.processed)
+    got = read_processed(spark, layout.enriched)
     want = add_event_time(rows(spark, 95)).select(*PROCESSED_SCHEMA.names)
     assert got.count() == 95 and got.exceptAll(want).isEmpty()
-    assert not glob.glob(f"{layout.quarantine}/*")
+    assert aside(spark, layout) == []
 
 
 def test_rate_limit_bounds_a_batch(spark, layout):
@@ -75,7 +76,7 @@ def test_rate_limit_bounds_a_batch(spark, layout):
 def test_size_limit_bounds_a_batch(spark, layout):
     put_raw(rows(spark, 95), layout)
     query = drain(start_enrich(spark, layout, None, max_bytes=3000))
-    assert read_processed(spark, layout.processed).count() == 95
+    assert read_processed(spark, layout.enriched).count() == 95
     assert len([p for p in query.recentProgress if p["numInputRows"]]) > 3
 
 
@@ -93,28 +94,41 @@ def fail_after(monkeypatch, name, calls):
     monkeypatch.setattr(jobs, name, wrapped)
 
 
-def test_replayed_enrich_batch_is_not_doubled(spark, layout, monkeypatch):
+def lose_commit(layout, job):
+    """As when the driver dies after the files of a batch have been noted and before its commit: the batch is repeated."""
+    shutil.rmtree(f"{layout.checkpoint(job)}/commits")
+
+
+def test_replayed_enrich_batch_is_not_doubled(spark, layout):
     put_raw(rows(spark, 50), layout)
-    fail_after(monkeypatch, "write_processed", 2)
-    with pytest.raises(StreamingQueryException):
-        start_enrich(spark, layout, None, max_files=2).awaitTermination()
-    monkeypatch.undo()
-    assert read_processed(spark, layout.processed).count() == 40
     drain(start_enrich(spark, layout, None, max_files=2))
-    got = read_processed(spark, layout.processed)
-    assert got.count() == 50 and got.select("vehicle_id").distinct().count() == 50
+    lose_commit(layout, "enrich")
+    put_raw(rows(spark, 10, 50), layout)
+    drain(start_enrich(spark, layout, None, max_files=2))
+    got = read_processed(spark, layout.enriched)
+    assert got.count() == 60 and got.select("vehicle_id").distinct().count() == 60
 
 
-def test_replayed_ingest_batch_is_not_doubled(spark, layout, folder, monkeypatch):
+def test_replayed_ingest_batch_is_not_doubled(spark, layout, folder):
     source = f"{folder}/messages"
     for i in range(3):
-        put_messages(spark, source, [r.value for r in encode_events(rows(spark, 10, i * 10)).collect()])
-    fail_after(monkeypatch, "write_raw", 2)
-    with pytest.raises(StreamingQueryException):
-        start_ingest(messages(spark, source), layout, None).awaitTermination()
-    monkeypatch.undo()
+        put_messages(spark, source, [r.value for r in encode_events(rows(spark, 10, i * 10)).collect()] + ["{bad"])
+        drain(start_ingest(messages(spark, source), layout, None))
+        lose_commit(layout, "ingest")
+        lose_commit(layout, "decode-quarantine")
     drain(start_ingest(messages(spark, source), layout, None))
-    assert sorted(r.vehicle_id for r in read_raw(spark, layout.raw).collect()) == [f"V{1000 + i}" for i in range(30)]
+    assert sorted(r.vehicle_id for r in read_raw(spark, layout.ingested).collect()) == [f"V{1000 + i}" for i in range(30)]
+    assert len(aside(spark, layout)) == 3
+
+
+def test_a_write_that_was_cut_off_is_made_anew(spark, layout, monkeypatch):
+    """Half of a batch's files lie in the tree and nothing notes them; the batch is written whole and read once."""
+    put_raw(rows(spark, 1000), layout)
+    write_processed(add_event_time(rows(spark, 28)), layout.enriched)
+    drain(start_enrich(spark, layout, None, max_files=1000))
+    drain(start_load(spark, layout, None))
+    assert read_processed(spark, layout.enriched).count() == 1000
+    assert read_target(spark, layout.target).count() == 1000
 
 
 def test_replayed_load_batch_is_not_doubled(spark, layout, monkeypatch):
@@ -127,44 +141,42 @@ def test_replayed_load_batch_is_not_doubled(spark, layout, monkeypatch):
     assert read_target(spark, layout.target).count() == 50
 
 
-def test_load_reads_files_once_though_an_upstream_batch_is_repeated(spark, layout, monkeypatch):
-    df = add_event_time(rows(spark, 20))
-    write_processed(df, layout.processed, "q-0")
-    fail_after(monkeypatch, "stage", 1)
-    with pytest.raises(StreamingQueryException):
-        start_load(spark, layout, None).awaitTermination()
-    monkeypatch.undo()
-    write_processed(df, layout.processed, "q-0")
-    drain(start_load(spark, layout, None))
+def test_a_repeated_batch_does_not_double_the_next_stage(spark, layout, folder):
+    """Ingest loses its commit after its write, enrich runs, ingest repeats the batch, enrich runs again; so does load."""
+    source = f"{folder}/messages"
+    put_messages(spark, source, [r.value for r in encode_events(rows(spark, 20)).collect()])
+    for job in ("ingest", "enrich", None):
+        drain(start_ingest(messages(spark, source), layout, None))
+        drain(start_enrich(spark, layout, None))
+        drain(start_load(spark, layout, None))
+        if job:
+            lose_commit(layout, job)
+    assert read_raw(spark, layout.ingested).count() == 20
+    assert read_processed(spark, layout.enriched).count() == 20
     assert read_target(spark, layout.target).count() == 20
 
 
-def test_a_repeated_batch_does_not_double_the_next_stage(spark, layout, folder, monkeypatch):
-    """Ingest dies after its write, enrich runs, ingest repeats the batch, enrich runs again."""
-    source = f"{folder}/messages"
-    put_messages(spark, source, [r.value for r in encode_events(rows(spark, 20)).collect()])
-    fail_after(monkeypatch, "write_raw", 1)
-    with pytest.raises(StreamingQueryException):
-        start_ingest(messages(spark, source), layout, None).awaitTermination()
-    monkeypatch.undo()
-    drain(start_enrich(spark, layout, None))
-    drain(start_ingest(messages(spark, source), layout, None))
-    drain(start_enrich(spark, layout, None))
-    assert read_raw(spark, layout.raw).count() == 20
-    assert read_processed(spark, layout.processed).count() == 20
+def test_a_failing_query_stops_the_job(spark, layout, folder):
+    put_messages(spark, f"{folder}/messages", ["{bad"])
+    slow = messages(spark, f"{folder}/messages")
+    fine = slow.writeStream.format("noop").trigger(processingTime="1 hour").start()
+    failing = slow.selectExpr("raise_error('lost')").writeStream.format("noop").trigger(availableNow=True).start()
+    with pytest.raises(StreamingQueryException, match="lost"):
+        jobs.Job(fine, failing).awaitTermination()
+    assert not fine.isActive
 
 
 def test_old_files_are_read_like_new_ones(spark, layout):
     put_raw(rows(spark, 5), layout)
     drain(start_enrich(spark, layout, None))
     put_raw(rows(spark, 5, 5), layout)
-    known = {r.vehicle_id for r in read_processed(spark, layout.processed).collect()}
+    known = {r.vehicle_id for r in read_processed(spark, layout.enriched).collect()}
     month_ago = time.time() - 30 * 86_400
     for path in glob.glob(f"{layout.raw}/**/*.csv", recursive=True):
         os.utime(path, (month_ago, month_ago))
     put_raw(rows(spark, 5, 10), layout)
     drain(start_enrich(spark, layout, None))
-    assert len(known) == 5 and read_processed(spark, layout.processed).count() == 15
+    assert len(known) == 5 and read_processed(spark, layout.enriched).count() == 15
 
 
 def test_the_latest_event_wins_in_any_order_of_loads(spark, layout):
@@ -191,7 +203,7 @@ def test_new_day_folder_is_seen_by_the_next_run(spark, layout):
     drain(start_enrich(spark, layout, None))
     put_raw(rows(spark, 5, 5), layout, "2024-01-02")
     drain(start_enrich(spark, layout, None))
-    assert read_processed(spark, layout.processed).count() == 10
+    assert read_processed(spark, layout.enriched).count() == 10
 
 
 def test_trees_filled_by_another_tool_can_be_taken_over(spark, layout):
@@ -209,7 +221,7 @@ def test_trees_filled_by_another_tool_can_be_taken_over(spark, layout):
 def test_late_events_go_to_their_own_day(spark, layout):
     put_raw(rows(spark, 1), layout, "2024-03-31")
     drain(start_enrich(spark, layout, None))
-    row = read_processed(spark, layout.processed).first()
+    row = read_processed(spark, layout.enriched).first()
     assert (row.year, row.month, row.day) == (2024, 1, 1)
 
 
@@ -221,14 +233,14 @@ def test_continuous_trigger_and_stop(spark, layout):
     query.processAllAvailable()
     query.stop()
     assert not query.isActive
-    assert read_processed(spark, layout.processed).count() == 10
+    assert read_processed(spark, layout.enriched).count() == 10
 
 
 def test_bad_messages_are_set_aside(spark, layout, folder):
     good = [r.value for r in encode_events(rows(spark, 5)).collect()]
     put_messages(spark, f"{folder}/messages", good + ["{bad", None, "[]"])
     drain(start_ingest(messages(spark, f"{folder}/messages"), layout, None))
-    assert read_raw(spark, layout.raw).count() == 5
+    assert read_raw(spark, layout.ingested).count() == 5
     kept = [json.loads(r.row) for r in aside(spark, layout)]
     assert sorted((r["reason"], str(r["value"])) for r in kept) == [
         ("malformed_json", "[]"), ("malformed_json", "{bad"), ("null_value", "None"),
@@ -239,13 +251,13 @@ def test_batch_of_bad_messages_only(spark, layout, folder):
     put_messages(spark, f"{folder}/messages", ["{bad"] * 3)
     drain(start_ingest(messages(spark, f"{folder}/messages"), layout, None))
     assert len(aside(spark, layout)) == 3
-    assert not glob.glob(f"{layout.raw}/**/*.csv", recursive=True)
+    assert not glob.glob(f"{layout.ingested}/**/*.csv", recursive=True)
 
 
 def test_bad_lines_and_broken_contract_are_set_aside(spark, layout):
     put_raw(rows(spark, 3).union(rows(spark, 2, 3, speed=500.0)), layout)
     drain(start_enrich(spark, layout, None, enforce_contract=True))
-    assert read_processed(spark, layout.processed).count() == 3
+    assert read_processed(spark, layout.enriched).count() == 3
     assert {tuple(json.loads(r.row)["reasons"]) for r in aside(spark, layout)} == {("speed", "fine")}
 
 
@@ -256,7 +268,7 @@ def test_rows_without_a_key_are_set_aside_once(spark, layout):
     load_full(spark, layout)
     load_full(spark, layout)
     assert read_target(spark, layout.target).count() == 3
-    runs = {r.batch for r in aside(spark, layout)}
+    runs = {r.run for r in spark.read.parquet(layout.set_aside("load")).collect()}
     assert len(aside(spark, layout)) == 2 and len(runs) == 2
 
 
@@ -300,7 +312,3 @@ def test_alerts_on_a_stream(spark, layout):
     query = alerts.writeStream.format("memory").queryName("alerts").trigger(availableNow=True).start()
     drain(query)
     assert {r.vehicle_id for r in spark.table("alerts").collect()} == {"V1003", "V1004"}
-
-
-def test_tag_outside_a_stream(spark):
-    assert batch_tag(spark.range(1), 7) == "batch-0000000007"
