@@ -6,17 +6,18 @@ import argparse
 import logging
 import signal
 
-from pyspark.sql import SparkSession
-from pyspark.sql.streaming.query import StreamingQuery
+from pyspark.sql import DataFrame, SparkSession
 
 from roadlake.session import prepare
 from roadlake.sinks.files import ROWS_PER_RAW_FILE
 from roadlake.sources.kafka import TOPIC, kafka_stream
 from roadlake.sources.raw import FILES_PER_TRIGGER
+from roadlake.streaming.audit import audited
 from roadlake.streaming.jobs import (
     ALERT_TOPIC,
     LOAD_TRIGGER,
     TRIGGER,
+    Job,
     Layout,
     load_full,
     run_available,
@@ -35,6 +36,8 @@ _OPTION_JOBS = {
     "rows_per_file": {"ingest", "run"},
     "max_offsets": {"ingest", "run"},
     "option": {"ingest", "run"},
+    "keep_extras": {"ingest"},
+    "keep_offsets": {"ingest"},
     "max_files": {"enrich", "load", "run", "alerts"},
     "max_bytes": {"enrich", "load", "run", "alerts"},
     "precision": {"enrich", "run"},
@@ -52,6 +55,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--topic", help=f"default {TOPIC}; for alerts {ALERT_TOPIC}")
     parser.add_argument("--max-offsets", type=int, help=f"messages per micro-batch, default {MAX_OFFSETS}")
     parser.add_argument("--option", action="append", metavar="KEY=VALUE", help="further option of the topic reader")
+    parser.add_argument("--keep-extras", action="store_true", default=None, help="keep fields that the schema lacks")
+    parser.add_argument("--keep-offsets", action="store_true", default=None, help="keep a ledger of the offsets taken")
     parser.add_argument("--once", action="store_true", default=None, help="work off what is there, then stop")
     parser.add_argument("--every", help=f"pause between micro-batches, default {TRIGGER}; for load {LOAD_TRIGGER}")
     parser.add_argument("--rows-per-file", type=int, help=f"default {ROWS_PER_RAW_FILE}")
@@ -78,7 +83,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     default("max_offsets", MAX_OFFSETS)
     default("max_files", None if args.job == "load" else FILES_PER_TRIGGER)
     default("precision", "second")
-    default("enforce_contract", False)
+    for flag in ("enforce_contract", "keep_extras", "keep_offsets"):
+        default(flag, False)
     args.option = dict(o.split("=", 1) for o in args.option or ())
     return args
 
@@ -109,18 +115,25 @@ def _work(spark: SparkSession, args: argparse.Namespace) -> None:
         )
     elif args.job == "full-load":
         logging.info("%s", load_full(spark, layout))
-    elif args.job == "ingest":
-        _await(start_ingest(messages, layout, trigger, args.rows_per_file))
-    elif args.job == "enrich":
-        _await(start_enrich(spark, layout, trigger, args.max_files, args.max_bytes, args.precision, args.enforce_contract))
-    elif args.job == "alerts":
-        _await(start_alerts(spark, layout, trigger, args.max_files, args.max_bytes, args.servers, args.topic))
     else:
-        _await(start_load(spark, layout, trigger, args.max_files, args.max_bytes))
+        with audited(spark, layout.audit):
+            _await(_started(spark, args, layout, trigger, messages))
 
 
-def _await(query: StreamingQuery) -> None:
-    """Wait for a query; an interrupt or a termination signal stops it, and the next start goes on from there."""
+def _started(spark: SparkSession, args: argparse.Namespace, layout: Layout, trigger: str | None, messages: DataFrame | None) -> Job:
+    if args.job == "ingest":
+        return start_ingest(
+            messages, layout, trigger, args.rows_per_file, keep_extras=args.keep_extras, keep_offsets=args.keep_offsets
+        )
+    if args.job == "enrich":
+        return start_enrich(spark, layout, trigger, args.max_files, args.max_bytes, args.precision, args.enforce_contract)
+    if args.job == "alerts":
+        return start_alerts(spark, layout, trigger, args.max_files, args.max_bytes, args.servers, args.topic)
+    return start_load(spark, layout, trigger, args.max_files, args.max_bytes)
+
+
+def _await(query: Job) -> None:
+    """Wait for a job; an interrupt or a termination signal stops it, and the next start goes on from there."""
 
     def interrupt(*_: object) -> None:
         raise KeyboardInterrupt

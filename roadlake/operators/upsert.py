@@ -169,6 +169,11 @@ def merge(
     # New days need no join; one look at their (absent) files tells.
     if current.isEmpty():
         merged = fresh.withColumn(_FRESH, F.lit(True))
+    elif keep_newer and touch.key_bytes <= BROADCAST_BYTES:
+        # Only rows that the source has a key of are compared; the others stay where the scan has them.
+        merged = _latest_of_both(fresh, _matched(current, incoming, keys), keys, latest_by).unionByName(
+            _unmatched(current, incoming, keys, touch)
+        )
     elif keep_newer:
         merged = _latest_of_both(fresh, current, keys, latest_by)
     else:
@@ -187,6 +192,12 @@ def _latest_of_both(fresh: DataFrame, current: DataFrame, keys: Sequence[str], l
     return dedupe_latest(both, keys, latest_by)
 
 
+def _matched(current: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Target rows whose key the source has; its keys have been measured to be small."""
+    known = F.broadcast(incoming.select(*keys).distinct())
+    return current.join(known, fixed_width_first(current, keys), "left_semi").select(*current.columns)
+
+
 def _unmatched(current: DataFrame, incoming: DataFrame, keys: Sequence[str], touch: Touch) -> DataFrame:
     """Target rows whose key the source does not have.
 

@@ -85,6 +85,21 @@ merged AS (
     SELECT 1 FROM second_load s WHERE s.vehicle_id = f.vehicle_id AND s.event_time = f.event_time)
 )"""
 
+# A second load with rows as they were among its corrections, and what each of its rows does to the first.
+_CHANGES = _LOADS + """,
+sent AS (
+  SELECT *, 1 AS later FROM resent_enriched UNION ALL SELECT *, 0 FROM enriched WHERE fine = 0
+),
+third_load AS (
+  SELECT * EXCLUDE (later), TIMESTAMP '2024-03-02 00:00:00' AS last_updated FROM sent
+  QUALIFY row_number() OVER (PARTITION BY vehicle_id, event_time ORDER BY "timestamp" DESC, later DESC, event_id DESC) = 1
+),
+outcome AS (
+  SELECT t.*, CASE WHEN f.vehicle_id IS NULL THEN 'inserted' WHEN f.speed = t.speed AND f."timestamp" = t."timestamp"
+    AND f.phone_number = t.phone_number THEN 'unchanged' ELSE 'updated' END AS change
+  FROM third_load t LEFT JOIN first_load f ON f.vehicle_id = t.vehicle_id AND f.event_time = t.event_time
+)"""
+
 
 _RULES = {
     "vehicle_id": "regexp_full_match(vehicle_id, 'V[1-9][0-9]{3}')",
@@ -236,4 +251,63 @@ UNION ALL SELECT 'second_load', n FROM fined
 UNION ALL SELECT 'carried_over', n FROM touched""",
     "q42_other_suffixes": f"WITH {_ENRICHED} SELECT {_PROCESSED_LIST} FROM enriched",
     "q43_files_per_trigger": "SELECT count(*) AS n_rows, true AS within_limit FROM events",
+    # Where each batch begins, followed from one to the next.
+    "q44_closed_batches": f"""WITH RECURSIVE {_ENRICHED},
+placed AS (
+  SELECT event_id, event_time, least(event_id % 6, 2) AS topic_partition,
+    row_number() OVER (PARTITION BY least(event_id % 6, 2) ORDER BY event_time, event_id) - 1 AS pos
+  FROM enriched
+),
+steps AS (
+  SELECT topic_partition, pos, least(pos + 56, count(*) OVER (
+    PARTITION BY topic_partition ORDER BY event_time RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 21599 SECONDS FOLLOWING)) AS next
+  FROM placed
+),
+starts AS (
+  SELECT topic_partition, pos, next, CAST(0 AS BIGINT) AS batch_no FROM steps WHERE pos = 0
+  UNION ALL
+  SELECT s.topic_partition, s.pos, s.next, b.batch_no + 1
+  FROM starts b JOIN steps s ON s.topic_partition = b.topic_partition AND s.pos = b.next
+)
+SELECT p.event_id, p.event_time, p.topic_partition, b.batch_no
+FROM placed p ASOF JOIN starts b ON p.topic_partition = b.topic_partition AND p.pos >= b.pos""",
+    "q45_change_feed": f"""WITH {_CHANGES}
+SELECT {_TARGET_LIST}, change FROM outcome WHERE change <> 'unchanged'""",
+    "q46_keyed_table": f"""WITH {_CHANGES}
+SELECT {_TARGET_LIST} FROM outcome WHERE change <> 'unchanged'
+UNION ALL
+SELECT {_TARGET_LIST} FROM first_load f
+WHERE NOT EXISTS (SELECT 1 FROM outcome o WHERE o.vehicle_id = f.vehicle_id AND o.event_time = f.event_time AND change <> 'unchanged')""",
+    "q47_change_counts": f"""WITH {_CHANGES}
+SELECT 'first' AS load, count(*) AS inserted, CAST(0 AS BIGINT) AS updated, CAST(0 AS BIGINT) AS unchanged, true AS rewrites FROM first_load
+UNION ALL SELECT 'second', count(*) FILTER (change = 'inserted'), count(*) FILTER (change = 'updated'),
+  count(*) FILTER (change = 'unchanged'), true FROM outcome
+UNION ALL SELECT 'again', 0, 0, count(*), false FROM outcome""",
+    "q48_drifting_fields": f"""WITH {_TELEMETRY}
+SELECT event_id, vehicle_id, CASE WHEN fine > 0 THEN 'red' END AS colour, CASE WHEN fine > 0 THEN user_id % 4 END AS lane,
+  CASE WHEN fine > 0 THEN CAST(user_id % 4 AS VARCHAR) WHEN vehicle_type = 'bike' THEN 'left' END AS lane_text,
+  CASE WHEN fine = 0 AND vehicle_type = 'bike' THEN '{{"n":2}}' END AS axles
+FROM telemetry""",
+    "q49_offset_findings": f"""WITH {_TELEMETRY},
+messages AS (
+  SELECT event_id % 3 AS "partition", event_id // 3 AS "offset", speed <= 150 AS kept, (event_id // 3) % 1000 BETWEEN 600 AND 699 AS twice
+  FROM telemetry
+),
+spans AS (SELECT "partition", min("offset") AS low, max("offset") AS high FROM messages WHERE kept GROUP BY "partition"),
+flagged AS (
+  SELECT "partition", 'skipped' AS kind, "offset" FROM messages JOIN spans USING ("partition") WHERE NOT kept AND "offset" BETWEEN low AND high
+  UNION ALL SELECT "partition", 'doubled', "offset" FROM messages WHERE kept AND twice
+),
+islands AS (SELECT *, "offset" - row_number() OVER (PARTITION BY "partition", kind ORDER BY "offset") AS island FROM flagged)
+SELECT "partition", kind, min("offset") AS first, max("offset") AS last FROM islands GROUP BY "partition", kind, island""",
+    "q50_audit_table": f"""WITH {_TELEMETRY}, flagged AS (SELECT *, {_REASONS} AS reasons FROM telemetry)
+SELECT 'ingest' AS job, count(*) AS rows_in, count(*) FILTER (fine = 0) AS "rows", count(*) FILTER (fine > 0) AS left_out FROM flagged
+UNION ALL SELECT 'enrich', count(*), count(*) FILTER (reasons = ''), count(*) FILTER (reasons <> '') FROM flagged WHERE fine = 0""",
+    "q51_uneven_days": f"""WITH {_ENRICHED} SELECT {_EVENT_LIST}, event_time, "year", "month",
+  CASE WHEN vehicle_type = 'car' THEN CAST("day" AS VARCHAR) END AS "day"
+FROM enriched WHERE "year" = 2024 AND "month" = 1 AND (vehicle_type = 'bike' OR "day" BETWEEN 8 AND 14)""",
+    "q52_repeated_keys": f"""WITH {_ENRICHED}
+SELECT vehicle_id, event_time, CAST(sum(CASE WHEN fine > 0 THEN 2 ELSE 1 END) AS BIGINT) AS n_rows
+FROM enriched GROUP BY vehicle_id, event_time HAVING n_rows > 1""",
+    "q53_downward_corrections": f"""WITH {_LOADS} SELECT {_PROCESSED_LIST} FROM first_load""",
 }

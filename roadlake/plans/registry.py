@@ -13,22 +13,28 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType, TimestampType
 
+from roadlake.functions.drift import promoted, with_extras
 from roadlake.functions.event_time import add_date_parts, add_event_time, coerce_times, stamp
 from roadlake.functions.measures import nan_to_null, round_measures, speeding_fine
 from roadlake.functions.records import decode_events, encode_events, unknown_fields
 from roadlake.operators.alerts import overspeed_alerts, preview
 from roadlake.operators.batching import assign_batches, batch_counts
+from roadlake.operators.changes import apply_changes, read_feed, read_keyed
+from roadlake.operators.closing import close_batches
 from roadlake.operators.columns import conform, rename, require_columns, split_unfit, union_by_name
 from roadlake.operators.dedupe import dedupe_latest
+from roadlake.operators.keys import repeated_keys
+from roadlake.operators.offsets import findings, offset_ranges
 from roadlake.operators.quality import split_decoded, split_keyed, with_violations
 from roadlake.operators.time_range import time_range
 from roadlake.operators.upsert import read_target, stage, upsert
 from roadlake.plans.telemetry import telemetry
-from roadlake.schema import EVENT_COLS, EVENT_SCHEMA, PROCESSED_SCHEMA, TARGET_SCHEMA
+from roadlake.schema import EVENT_COLS, EVENT_SCHEMA, KEY_COLS, PROCESSED_SCHEMA, TARGET_SCHEMA
 from roadlake.session import prepare, scratch_path
 from roadlake.sinks.files import LEFT_OUT, ROWS_PER_RAW_FILE, write_files, write_processed, write_raw
 from roadlake.sources.processed import read_processed, read_processed_any_layout
 from roadlake.sources.raw import read_raw
+from roadlake.streaming.audit import audited, read_audit
 from roadlake.streaming.jobs import (
     Layout,
     load_frame,
@@ -502,3 +508,126 @@ def q43_files_per_trigger(spark: SparkSession, sf_dir: str) -> DataFrame:
     job.awaitTermination()
     batches = sum(p["numInputRows"] > 0 for p in job.recentProgress)
     return read_processed(spark, layout.enriched).agg(F.count(F.lit(1)).alias("n_rows"), F.lit(files <= 10 * batches).alias("within_limit"))
+
+
+@_query
+def q44_closed_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches closed one after the other, by number or by age, in each partition of a topic; one partition has two thirds of the rows."""
+    partition = F.least(F.col("event_id") % 6, F.lit(2)).alias("topic_partition")
+    events = add_event_time(telemetry(spark, sf_dir)).select("event_id", "event_time", partition)
+    return close_batches(events, ["topic_partition"], "event_time", ["event_id"], 56, DAY_SECONDS // 4)
+
+
+def _third_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second load, and the events that it has not corrected sent once more as they were."""
+    return _second_load(spark, sf_dir).unionByName(_first_load(spark, sf_dir).where("fine = 0"))
+
+
+@_query
+def q45_change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a second load has inserted and updated, as the feed has it."""
+    root = scratch_path(spark, "q45")
+    apply_changes(stamp(_first_load(spark, sf_dir), F.lit(FIRST_LOAD)), f"{root}/table", f"{root}/feed", "first")
+    apply_changes(stamp(_third_load(spark, sf_dir), F.lit(SECOND_LOAD)), f"{root}/table", f"{root}/feed", "second")
+    return read_feed(spark, f"{root}/feed").where("run = 'second'").drop("run")
+
+
+@_query
+def q46_keyed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table after both loads, the second one twice and in steps of a few folders."""
+    root = scratch_path(spark, "q46")
+    apply_changes(stamp(_first_load(spark, sf_dir), F.lit(FIRST_LOAD)), f"{root}/table", f"{root}/feed", "first", buckets=4)
+    for run in ("second", "again"):
+        load = stamp(_third_load(spark, sf_dir), F.lit(SECOND_LOAD))
+        apply_changes(load, f"{root}/table", f"{root}/feed", run, buckets=4, listed=200)
+    return read_keyed(spark, f"{root}/table")
+
+
+@_query
+def q47_change_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What loads report: all new, some changed, and nothing changed, for which no folder is written."""
+    root = scratch_path(spark, "q47")
+    loads = {"first": _first_load(spark, sf_dir), "second": _third_load(spark, sf_dir), "again": _third_load(spark, sf_dir)}
+    rows = []
+    for name, load in loads.items():
+        done = apply_changes(stamp(load, F.lit(FIRST_LOAD)), f"{root}/table", f"{root}/feed", name, buckets=4)
+        rows.append(F.struct(
+            F.lit(name).alias("load"), *[F.lit(n).cast("bigint").alias(c) for c, n in done._asdict().items() if c not in ("stale", "folders")],
+            F.lit(done.folders > 0).alias("rewrites"),
+        ))
+    # Counts of whole loads: three rows, whatever the table's size.
+    return spark.range(1).select(F.inline(F.array(*rows)))
+
+
+@_query
+def q48_drifting_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events whose messages have fields beyond the schema, through a Parquet file and back."""
+    more = F.when(F.col("fine") > 0, F.concat(F.lit('{"colour":"red","lane":'), F.col("user_id") % 4, F.lit(","))).when(
+        F.col("vehicle_type") == "bike", '{"lane":"left","axles":{"n":2},'
+    ).otherwise("{")
+    sent = encode_events(telemetry(spark, sf_dir), keep=("event_id", "fine", "user_id", "vehicle_type"))
+    path = scratch_path(spark, "q48")
+    value = F.concat(more, F.expr("substr(value, 2)"))
+    with_extras(decode_events(sent.select("event_id", value.alias("value")), keep=("event_id",))).write.parquet(path)
+    kept = promoted(spark.read.parquet(path), {"colour": "string", "lane": "int", "axles": "string"})
+    text = F.try_variant_get("extras", "$.lane", "string")
+    return kept.select("event_id", "vehicle_id", "colour", "lane", text.alias("lane_text"), "axles")
+
+
+@_query
+def q49_offset_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a ledger of two batches says of a topic whose fast events are lost, while a stretch of it is taken by both."""
+    events = telemetry(spark, sf_dir)
+    messages = events.select(
+        (F.col("event_id") % 3).alias("partition"), F.floor(F.col("event_id") / 3).alias("offset"), "speed"
+    )
+    first, second = messages.where("speed <= 150 AND offset % 1000 < 700"), messages.where("speed <= 150 AND offset % 1000 >= 600")
+    ledger = offset_ranges(first, ["partition"]).unionByName(offset_ranges(second, ["partition"]))
+    return findings(ledger, ["partition"])
+
+
+@_query
+def q50_audit_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows in, kept and set aside over all micro-batches of an ingest and an enrich run, as the audit table has them."""
+    layout = _layout(spark, "q50")
+    cut_short = F.when(F.col("fine") > 0, F.expr("left(value, length(value) - 1)")).otherwise(F.col("value"))
+    path = scratch_path(spark, "q50-messages")
+    encode_events(telemetry(spark, sf_dir), keep=("fine",)).select(cut_short.alias("value")).repartition(6).write.parquet(path)
+    messages = spark.readStream.schema("value string").option("maxFilesPerTrigger", 2).parquet(path)
+    with audited(spark, layout.audit):
+        start_ingest(messages, layout, None, LARGE_FILE).awaitTermination()
+        start_enrich(spark, layout, None, max_files=1000, enforce_contract=True).awaitTermination()
+    noted = read_audit(spark, layout.audit).where(F.col("job").isin("ingest", "enrich"))
+    return noted.groupBy("job").agg(*[F.sum(c).alias(c) for c in ("rows_in", "rows", "left_out")])
+
+
+@_query
+def q51_uneven_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A week from a tree with cars filed by day and bikes by month only; files of other days are not opened."""
+    root = scratch_path(spark, "q51")
+    enriched = add_event_time(telemetry(spark, sf_dir)).select(*PROCESSED_SCHEMA.names)
+    is_car = F.col("vehicle_type") == "car"
+    write_files(enriched.where(is_car), root, "parquet", ["year", "month", "day"])
+    write_files(enriched.where(~is_car), root, "parquet", ["year", "month"])
+    week = read_processed_any_layout(spark, root, first_day=dt.date(2024, 1, 8), last_day=dt.date(2024, 1, 14))
+    return week.withColumn("day", F.col("day").cast("string"))
+
+
+@_query
+def q52_repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys that a table without an upsert has more than once: fined events are there twice."""
+    events = add_event_time(telemetry(spark, sf_dir)).drop("event_id")
+    root = scratch_path(spark, "q52")
+    write_processed(events.unionByName(events.where("fine > 0")), root)
+    return repeated_keys(read_processed(spark, root), KEY_COLS)
+
+
+@_query
+def q53_downward_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row with the time of the table's row replaces it where its values are greater; a lower speed with the same time does not land."""
+    layout = _layout(spark, "q53")
+    events = telemetry(spark, sf_dir).drop("event_id")
+    for change in (0, -1):
+        write_processed(add_event_time(events.withColumn("speed", F.col("speed") + change)), layout.processed)
+        start_load(spark, layout, trigger=None).awaitTermination()
+    return read_target(spark, layout.target).drop("last_updated")

@@ -22,10 +22,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.types import StructType
 
+from roadlake.functions.drift import with_extras
 from roadlake.functions.event_time import add_date_parts, add_event_time, coerce_times, stamp
 from roadlake.functions.measures import nan_to_null
 from roadlake.functions.records import decode_events
 from roadlake.operators.alerts import overspeed_alerts
+from roadlake.operators.offsets import offset_ranges
 from roadlake.operators.quality import split_decoded, with_violations
 from roadlake.operators.upsert import Upserted, create_target, stage, upsert
 from roadlake.schema import EVENT_COLS, PARTITION_COLS, PROCESSED_SCHEMA
@@ -34,6 +36,7 @@ from roadlake.sinks.files import ROWS_PER_RAW_FILE, as_quarantined, dated_raw, r
 from roadlake.sinks.kafka import write_kafka
 from roadlake.sources.processed import processed_stream, read_parquet_or_empty, read_processed_any_layout
 from roadlake.sources.raw import CORRUPT, FILES_PER_TRIGGER, raw_stream
+from roadlake.streaming.audit import audited
 
 log = logging.getLogger(__name__)
 
@@ -41,6 +44,8 @@ log = logging.getLogger(__name__)
 TRIGGER = "1 minute"
 LOAD_TRIGGER = "1 hour"
 ALERT_TOPIC = "vehicle-alerts"
+#: What tells the offsets of messages apart.
+OFFSET_SOURCES = ("topic", "partition")
 # What an alert file carries beside the alert's own fields.
 ALERT_KEEP = ("event_time", *PARTITION_COLS)
 
@@ -60,6 +65,18 @@ class Layout:
         """Raw files of the ingest job, which has the tree for itself."""
         return f"{self.root}/raw/ingested"
 
+    @property
+    def extras(self) -> str:
+        return f"{self.root}/raw/extras"
+
+    @property
+    def offsets(self) -> str:
+        return f"{self.root}/offsets"
+
+    @property
+    def audit(self) -> str:
+        return f"{self.root}/audit"
+
     @property
     def processed(self) -> str:
         return f"{self.root}/processed/vehicle"
@@ -148,12 +165,15 @@ def start_ingest(
     trigger: str | None = TRIGGER,
     rows_per_file: int = ROWS_PER_RAW_FILE,
     value: str = "value",
+    keep_extras: bool = False,
+    keep_offsets: bool = False,
 ) -> Job:
     """Decode messages and write raw files under the UTC date of arrival.
 
     The arrival time is the micro-batch's own timestamp, which the checkpoint records, so a batch
     repeated after midnight still goes to its first folder. Malformed messages are written by a query of their own, which reads
-    the messages once more.
+    the messages once more. So are, where asked for, the fields that the schema lacks, with the event's vehicle and time; and the ranges of
+    offsets that were taken, from messages with ``topic``, ``partition`` and ``offset``.
     """
     prepare(messages.sparkSession)
     decoded = decode_events(
@@ -165,7 +185,27 @@ def start_ingest(
     main = start_sink(
         good, layout.ingested, "csv", layout.checkpoint("ingest"), _pace(trigger), PARTITION_COLS, [], raw_options(rows_per_file), "ingest"
     )
-    return Job(main, _set_aside(split_decoded(decoded, value)[1], layout, "decode", trigger))
+    queries = [main, _set_aside(split_decoded(decoded, value)[1], layout, "decode", trigger)]
+    if keep_extras:
+        more = with_extras(decoded.where(~malformed), value).where("extras is not null")
+        dated = dated_raw(more.select("vehicle_id", "timestamp", "extras", "arrived")).drop("arrived")
+        queries.append(start_sink(
+            dated, layout.extras, "parquet", layout.checkpoint("extras"), _pace(trigger), PARTITION_COLS, [], name="extras"
+        ))
+    if keep_offsets:
+        def note(batch: DataFrame, batch_id: int) -> None:
+            # A batch that is repeated replaces what it has noted.
+            offset_ranges(batch, OFFSET_SOURCES).write.mode("overwrite").parquet(f"{layout.offsets}/run={_query_id(batch)}-{batch_id:010d}")
+
+        taken = messages.select(*OFFSET_SOURCES, "offset")
+        queries.append(_start(taken, note, layout.checkpoint("offsets"), trigger, "offsets"))
+    return Job(*queries)
+
+
+def read_offsets(spark: SparkSession, layout: Layout) -> DataFrame:
+    """Ranges of offsets that ingest has taken, for ``operators.offsets``."""
+    schema = StructType.fromDDL("topic string, partition int, first bigint, last bigint, copies bigint")
+    return read_parquet_or_empty(spark, layout.offsets, schema)
 
 
 def start_enrich(
@@ -304,11 +344,12 @@ def run_available(
     precision: str = "second",
     enforce_contract: bool = False,
 ) -> None:
-    """One bounded run of all stages over whatever is new, each picking up where it last ended."""
-    if messages is not None:
-        start_ingest(messages, layout, None, rows_per_file).awaitTermination()
-    start_enrich(spark, layout, None, max_files, max_bytes, precision, enforce_contract).awaitTermination()
-    start_load(spark, layout, None, max_bytes=max_bytes).awaitTermination()
+    """One bounded run of all stages over whatever is new, each picking up where it last ended; its counts go to the audit table."""
+    with audited(spark, layout.audit):
+        if messages is not None:
+            start_ingest(messages, layout, None, rows_per_file).awaitTermination()
+        start_enrich(spark, layout, None, max_files, max_bytes, precision, enforce_contract).awaitTermination()
+        start_load(spark, layout, None, max_bytes=max_bytes).awaitTermination()
 
 
 def _pace(trigger: str | None) -> dict[str, object]:

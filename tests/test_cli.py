@@ -1,3 +1,4 @@
+import contextlib
 import os
 import signal
 import time
@@ -25,7 +26,8 @@ def test_defaults_are_the_fixed_values():
 def test_topic_options_reach_the_reader(monkeypatch):
     seen = {}
     monkeypatch.setattr(cli, "kafka_stream", lambda spark, *args, **options: seen.update(args=args, **options))
-    monkeypatch.setattr(cli, "start_ingest", lambda *args: None)
+    monkeypatch.setattr(cli, "start_ingest", lambda *args, **options: None)
+    monkeypatch.setattr(cli, "audited", lambda *_: contextlib.nullcontext())
     monkeypatch.setattr(cli, "_await", lambda query: None)
     extra = ["--option", "failOnDataLoss=false", "--option", "kafka.x=a=b"]
     cli._work(None, arguments(["ingest", "--root", "/r", "--servers", "h:1", "--topic", "t", "--max-offsets", "7", *extra]))

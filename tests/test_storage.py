@@ -304,3 +304,28 @@ def test_conform(spark):
         conform(df, TARGET_SCHEMA, required=["event_time"])
     with pytest.raises(ValueError, match="odd"):
         conform(df.withColumn("odd", F.lit(1)), TARGET_SCHEMA)
+
+
+def test_paths_decide_which_files_of_uneven_trees_are_opened(spark, folder):
+    """Files below the first day of a range, beyond its last one, and those whose path leaves it open."""
+    sizes = {
+        "year=2023/month=12/day=31": 1, "year=2024/month=1/day=7": 2, "year=2024/month=1/day=8": 4, "year=2024/month=1": 8, "year=2024/month=2": 16,
+        "year=2024": 32, "year=2025": 64, "nothing": 128, "month=1/day=1": 256, "year=2024/day=30": 512, "year=2024/month=01/day=09/batch=1": 1024,
+    }
+    for path, n in sizes.items():
+        write = events(spark, n).select(*EVENT_COLS).coalesce(1).write.mode("append")
+        write.parquet(f"{folder}/{path}")
+    ranged = read_processed_any_layout(spark, folder, first_day=dt.date(2024, 1, 8), last_day=dt.date(2024, 1, 31))
+    assert ranged.count() == 4 + 8 + 32 + 128 + 256 + 512 + 1024
+    assert read_processed_any_layout(spark, folder).count() == sum(sizes.values())
+    assert read_processed_any_layout(spark, folder, last_day=dt.date(2023, 12, 31)).count() == 1 + 128 + 256
+    assert files_read(ranged) == 7
+
+
+def files_read(df):
+    """Files that the scan of a frame opens, by its own metric."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    while plan.children().size():
+        plan = plan.children().apply(0)
+    return plan.metrics().apply("numFiles").value()

@@ -14,13 +14,15 @@ from conftest import at, event
 from roadlake.functions.event_time import add_event_time
 from roadlake.functions.records import encode_events
 from roadlake.operators.alerts import overspeed_alerts
+from roadlake.operators.offsets import findings
 from roadlake.operators.upsert import read_target
 from roadlake.schema import EVENT_SCHEMA, KEY_COLS, PROCESSED_SCHEMA
 from roadlake.sinks.files import write_processed, write_raw
 from roadlake.sources.processed import read_processed
 from roadlake.sources.raw import raw_stream, read_raw
 from roadlake.streaming import jobs
-from roadlake.streaming.jobs import Layout, load_full, read_quarantine, run_available, start_alerts, start_enrich, start_ingest, start_load
+from roadlake.streaming.audit import audited, read_audit
+from roadlake.streaming.jobs import Layout, load_full, read_offsets, read_quarantine, run_available, start_alerts, start_enrich, start_ingest, start_load
 from test_storage import START
 
 
@@ -312,3 +314,40 @@ def test_alerts_on_a_stream(spark, layout):
     query = alerts.writeStream.format("memory").queryName("alerts").trigger(availableNow=True).start()
     drain(query)
     assert {r.vehicle_id for r in spark.table("alerts").collect()} == {"V1003", "V1004"}
+
+
+def test_the_audit_table_has_every_batch_once(spark, layout, folder):
+    source = f"{folder}/messages"
+    for i in range(3):
+        put_messages(spark, source, [r.value for r in encode_events(rows(spark, 10, i * 10)).collect()] + ["{bad"] * i)
+    with audited(spark, layout.audit):
+        drain(start_ingest(messages(spark, source), layout, None))
+        drain(start_enrich(spark, layout, None, enforce_contract=True))
+        lose_commit(layout, "enrich")
+        drain(start_enrich(spark, layout, None, enforce_contract=True))
+    noted = read_audit(spark, layout.audit).collect()
+    ingested = sorted(((r.rows_in, r["rows"], r.left_out) for r in noted if r.job == "ingest"))
+    assert ingested == [(10, 10, 0), (11, 10, 1), (12, 10, 2)]
+    assert [(r.rows_in, r["rows"], r.left_out) for r in noted if r.job == "enrich"] == [(30, 30, 0)]
+    assert len({(r.query_id, r.batch) for r in noted}) == len(noted)
+    put_raw(rows(spark, 4), layout)
+    drain(start_enrich(spark, layout, None))  # outside of the block nothing is noted
+    assert read_audit(spark, layout.audit).count() == len(noted)
+
+
+def test_ingest_keeps_extra_fields_and_offsets(spark, layout, folder):
+    sent = [r.value for r in encode_events(rows(spark, 20)).collect()]
+    made = [("t", i % 2, i // 2 + (5 if i >= 10 else 0), '{"colour":"red",' + v[1:] if i < 3 else v) for i, v in enumerate([*sent, "{bad"])]
+    schema = "topic string, partition int, offset bigint, value string"
+    for i in range(0, 21, 7):
+        spark.createDataFrame(made[i : i + 7], schema).coalesce(1).write.mode("append").parquet(f"{folder}/topic")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/topic")
+    for _ in range(2):
+        drain(start_ingest(stream, layout, None, keep_extras=True, keep_offsets=True))
+        lose_commit(layout, "offsets")
+        lose_commit(layout, "extras")
+    kept = spark.read.parquet(layout.extras).select("vehicle_id", F.to_json("extras").alias("e")).collect()
+    assert sorted(tuple(r) for r in kept) == [(f"V{1000 + i}", '{"colour":"red"}') for i in range(3)]
+    assert read_raw(spark, layout.ingested).count() == 20 and len(aside(spark, layout)) == 1
+    found = findings(read_offsets(spark, layout), ["topic", "partition"]).collect()
+    assert sorted((r.partition, r.kind, r["first"], r["last"]) for r in found) == [(0, "skipped", 5, 9), (1, "skipped", 5, 9)]
