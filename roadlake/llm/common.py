@@ -44,8 +44,8 @@ def free_name(df: DataFrame, wanted: str) -> str:
 
 
 def host_of(url: Column) -> Column:
-    """Lower-case host of a URL; empty when there is none."""
-    return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]*)", 1))
+    """Lower-case host of a URL, without user or port; empty when there is none."""
+    return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#]*@)?([^/?#:]*)", 1))
 
 
 def held_out(doc_id: Column, folds: int, fold: int) -> Column:

@@ -1,8 +1,8 @@
 """Boilerplate lines by how often a site repeats them.
 
-A line is boilerplate on a host when at least ``min_pages`` pages of the host contain it and they make up
-more than ``max_ratio`` of the host's pages. Only hashes of lines are shuffled; the texts stay where
-they are, save for the final join of pages that lose a line.
+A line is boilerplate on a host when it is repeated, on ``min_pages`` pages of the host at least, and they make up
+more than ``max_ratio`` of the host's pages. Lines are counted and found by hashes; the texts are shuffled once, when
+pages meet the lines that they lose.
 """
 
 from __future__ import annotations
@@ -56,7 +56,7 @@ def drop_boilerplate(
     text_col: str = "text",
     separator: str = "\n",
     max_ratio: float = 0.1,
-    min_pages: int = 5,
+    min_pages: int = 2,
     max_loss: float = 1.0,
     joiner: str = "\n",
     copies_once: bool = False,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 _OP1 = r"""
 WITH pages_ AS (
-  SELECT page_id, lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]*)', 1)) AS host,
+  SELECT page_id, lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#]*@)?([^/?#:]*)', 1)) AS host,
          regexp_replace(coalesce(html, ''), '(?:<[^<>]*>|\n)+', chr(10), 'g') AS text
   FROM pages),
 keyed AS (
@@ -17,7 +17,7 @@ shares AS (
   FROM (SELECT host, unnest(list_distinct(keys)) AS key FROM keyed) WHERE key <> '' GROUP BY host, key),
 dropped AS (
   SELECT host, list(key) AS bad FROM shares JOIN totals USING (host)
-  WHERE n >= 5 AND n > 0.1 * total GROUP BY host)
+  WHERE n >= 2 AND n > 0.1 * total GROUP BY host)
 SELECT page_id, keyed.host AS host,
        array_to_string(list_transform(list_filter(list_zip(lines, keys),
          lambda z: NOT coalesce(list_contains(bad, z[2]), false)), lambda z: z[1]), chr(10)) AS text

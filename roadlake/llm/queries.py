@@ -15,8 +15,8 @@ from roadlake.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-#: What stands between the lines of a raw page: tags and line breaks.
-MARKUP = r"(?:<[^<>]*>|\n)+"
+#: What stands between the lines of a raw page: tags and line breaks. Possessive, so that the matcher loops over a long run of them.
+MARKUP = r"(?:<[^<>]*+>|\n)++"
 
 
 def pieces(model: str) -> list[str]:

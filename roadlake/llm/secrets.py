@@ -6,16 +6,16 @@ blob once, applies only the rule versions the ledger lacks for it, appends what
 joins the findings of the ledger back to every row that carries the blob.
 
 Everything is DataFrame expressions. Positions come from cutting a text at the matches: the
-lengths of the parts between and of the matches add up to the offsets.
+lengths of the parts between and of the matches add up to the offsets, a stretch of matches at a time.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from roadlake.llm.common import free_name
+from roadlake.llm.common import cut, free_name
 from roadlake.session import scratch_path
 
 LEDGER_SCHEMA = "blob binary, rule string, version int, spans array<struct<start:int,stop:int>>"
@@ -53,17 +53,14 @@ MORE_RULES = (
     Rule("forge_token", r"gh[pousr]_[A-Za-z0-9]{36,}"),
 )
 RULES = BASE_RULES + MORE_RULES
-#: A private key up to its END line, or over the base64 runs that follow where there is none before the next such line.
-#: Counts bound the depth of the matcher's recursion: 200 hyphens in a key's headers, 500 lines of a key without an end.
-WHOLE_KEY = Rule(
-    "private_key",
-    r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"
-    r"(?:(?:[^-]++|-(?!----)){0,400}+-----END [A-Z ]{0,40}PRIVATE KEY-----"
-    r"|(?:(?:\s|\\[nr])*+[A-Za-z0-9+/]{16,}+={0,2}){0,500})",
-    version=2,
-)
+#: A private key's first line with the base64 runs that follow it, and its last line. :func:`mask_secrets` pairs them by position.
+#: Repetitions are possessive, which the matcher loops over; others it would recurse into.
+KEY_BEGIN = Rule("key_begin", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----(?:(?:\s|\\[nr])*+[A-Za-z0-9+/]{16,}+={0,2}+)*+")
+KEY_END = Rule("key_end", r"-----END [A-Z ]{0,40}PRIVATE KEY-----")
 #: What is masked: the kinds of ``RULES``, keys as a whole. (``RULES`` finds their first line, as the query's SQL does.)
-MASKED_RULES = tuple(WHOLE_KEY if r.kind == WHOLE_KEY.kind else r for r in RULES)
+MASKED_RULES = tuple(r for r in RULES if r.kind != "private_key") + (KEY_BEGIN, KEY_END)
+#: Matches whose offsets are summed up together, and characters of a text that are masked together. Parameters of cost only.
+AT_ONCE, STRETCH = 256, 1024
 
 
 def _spans(text: Column, rule: Rule) -> Column:
@@ -82,8 +79,8 @@ def _spans(text: Column, rule: Rule) -> Column:
         ),
     )
     empty = F.expr("cast(array() as array<struct<start:int,stop:int>>)")
-    walked = F.aggregate(
-        F.filter(steps, lambda s: s["size"].isNotNull()),
+    ends = lambda parts: F.aggregate(
+        parts,
         F.struct(F.lit(0).alias("at"), empty.alias("spans")),
         lambda acc, s: F.struct(
             (acc["at"] + s["gap"] + s["size"]).alias("at"),
@@ -95,9 +92,25 @@ def _spans(text: Column, rule: Rule) -> Column:
                 ),
             ).otherwise(acc["spans"]).alias("spans"),
         ),
-        lambda acc: acc["spans"],
     )
-    return F.when(F.rlike(text, pattern), walked).otherwise(empty)
+    # An array that grows is copied with every match, so it grows by a stretch of matches only; stretches are then moved to their places.
+    # The list of one holds the matches, which an expression inside the inner function would look for again in every stretch.
+    whole = F.array(F.filter(steps, lambda s: s["size"].isNotNull()))
+    stretches = F.flatten(F.transform(whole, lambda all_: F.transform(
+        F.sequence(F.lit(1), F.size(all_), F.lit(AT_ONCE)), lambda i: ends(F.slice(all_, i, AT_ONCE))
+    )))
+    moved = F.aggregate(
+        stretches,
+        F.struct(F.lit(0).alias("at"), F.array(empty).alias("spans")),
+        lambda acc, part: F.struct(
+            (acc["at"] + part["at"]).alias("at"),
+            F.concat(acc["spans"], F.array(F.transform(part["spans"], lambda s: F.struct(
+                (acc["at"] + s["start"]).alias("start"), (acc["at"] + s["stop"]).alias("stop")
+            )))).alias("spans"),
+        ),
+        lambda acc: F.flatten(acc["spans"]),
+    )
+    return F.when(F.rlike(text, pattern), moved).otherwise(empty)
 
 
 def _tag(rule: Rule) -> str:
@@ -128,10 +141,13 @@ def scan_blobs(docs: DataFrame, ledger: str, id_col: str = "doc_id", text_col: s
     if known.isEmpty():
         blobs = rows.dropDuplicates(["blob"]).withColumn("missing", wanted)
     else:
+        # Addresses tell what is missing; only the texts that are go on.
         seen = known.groupBy("blob").agg(F.collect_set(F.concat_ws("@", "rule", "version")).alias("seen"))
         missing = F.array_except(wanted, F.coalesce("seen", F.expr("cast(array() as array<string>)")))
-        pending = rows.join(seen, "blob", "left").select("blob", "text", missing.alias("missing"))
-        blobs = pending.where(F.size("missing") > 0).dropDuplicates(["blob"])
+        pending = cut(rows.select("blob").distinct().join(seen, "blob", "left").select("blob", missing.alias("missing")).where(F.size("missing") > 0))
+        if pending.isEmpty():
+            return
+        blobs = rows.join(pending, "blob").dropDuplicates(["blob"])
     scanned = blobs.select(
         "blob",
         F.explode(F.array(*[
@@ -198,25 +214,76 @@ def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
 def mask_secrets(docs: DataFrame, mask: str = "[SECRET]", ledger: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with every found span replaced by ``mask``; overlapping spans count as one.
 
-    Columns and rows stay as they are; a null text stays null. Findings belong to a text, so rows without an
-    id and rows that share one are masked each by its own; repeated rows stay repeated.
+    A private key goes from its first line to its last one or, where there is none before the next first line, over the runs of base64
+    that follow. Columns and rows stay as they are; a null text stays null. Findings belong to a text, so rows without an
+    id and rows that share one are masked each by its own; repeated rows stay repeated. The work grows with a text and its findings,
+    not with their product.
     """
     key, hits = free_name(docs, "found_in"), free_name(docs, "found")
     ledger = ledger or scratch_path(docs.sparkSession, "blob-ledger")
     scan_blobs(docs, ledger, id_col, text_col, MASKED_RULES)
-    found = findings(docs.sparkSession, ledger, MASKED_RULES).select(F.col("blob").alias(key), F.col("found").alias(hits))
+    found = _stretches(_merged(_spans_to_mask(docs.sparkSession, ledger))).select(F.col("blob").alias(key), F.col("hit").alias(hits))
     text = F.col(text_col)
-    # Walks the spans by start: keeps the text before each one that begins beyond the last end.
-    masked = F.aggregate(
-        hits,
-        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda acc, s: F.when(s["start"] >= acc["at"], F.struct(
-            s["stop"].alias("at"),
-            F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mask)).alias("out"),
-        )).otherwise(F.struct(F.greatest(s["stop"], acc["at"]).alias("at"), acc["out"].alias("out"))),
-        lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))),
-    )
-    joined = docs.join(found, F.unhex(F.sha2(text, 256)) == F.col(key), "left")
+    pieces = F.regexp_extract_all(text, F.lit(r"(?s).{1,%d}" % STRETCH), 0)
+    joined = docs.join(found, F.unhex(F.sha2(text, 256)) == F.col(key), "left").withColumn(key, F.when(F.col(hits).isNotNull(), pieces))
     return joined.select(*[
-        F.when(F.col(hits).isNotNull(), masked).otherwise(text).alias(c) if c == text_col else F.col(c) for c in docs.columns
+        F.when(F.col(hits).isNotNull(), _masked(F.col(key), F.col(hits), mask)).otherwise(text).alias(c) if c == text_col else F.col(c)
+        for c in docs.columns
     ])
+
+
+def _spans_to_mask(spark: SparkSession, ledger: str) -> DataFrame:
+    """``blob``, ``start`` and ``stop`` of what ``MASKED_RULES`` have found, ends of keys paired with their beginnings."""
+    tags = [_tag(r) for r in MASKED_RULES]
+    hits = read_ledger(spark, ledger).where(F.concat_ws("@", "rule", "version").isin(tags))
+    spans = hits.select("blob", "rule", F.inline("spans")).distinct()
+    of_key = F.col("rule").isin(KEY_BEGIN.kind, KEY_END.kind)
+    in_order = Window.partitionBy("blob").orderBy("start")
+    ends_at = F.when(F.lead("rule").over(in_order) == KEY_END.kind, F.lead("stop").over(in_order))
+    keys = spans.where(of_key).withColumn("stop", F.when(F.col("rule") == KEY_BEGIN.kind, F.greatest("stop", ends_at)).otherwise(F.col("stop")))
+    return spans.where(~of_key).unionByName(keys.where(F.col("rule") == KEY_BEGIN.kind)).select("blob", "start", "stop")
+
+
+def _merged(spans: DataFrame) -> DataFrame:
+    """Spans that overlap as one."""
+    in_order = Window.partitionBy("blob").orderBy("start", "stop")
+    before = F.max("stop").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    begun = spans.withColumn("begins", F.when(F.col("start") < before, 0).otherwise(1))
+    numbered = begun.withColumn("n", F.sum("begins").over(in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return numbered.groupBy("blob", "n").agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
+
+
+def _stretches(spans: DataFrame) -> DataFrame:
+    """``hit`` of every blob: the stretches of its text that spans lie in, with their places there. ``first`` is where a span begins."""
+    cut_up = spans.select("blob", "start", "stop", F.explode(F.sequence(F.expr(f"start div {STRETCH}"), F.expr(f"(stop - 1) div {STRETCH}"))).alias("at"))
+    begin = F.col("at") * STRETCH
+    place = F.struct(
+        F.greatest(F.col("start") - begin, F.lit(0)).cast("int").alias("start"),
+        F.least(F.col("stop") - begin, F.lit(STRETCH)).cast("int").alias("stop"), (F.col("start") >= begin).alias("first"),
+    )
+    of_stretch = cut_up.groupBy("blob", F.col("at").cast("int").alias("at")).agg(F.sort_array(F.collect_list(place)).alias("places"))
+    return of_stretch.groupBy("blob").agg(F.sort_array(F.collect_list(F.struct("at", "places"))).alias("hit"))
+
+
+def _masked(pieces: Column, hits: Column, mask: str) -> Column:
+    """A text put together again from its stretches; those with places are walked through, the others taken as they are."""
+
+    def without(piece: Column, places: Column) -> Column:
+        walked = F.aggregate(
+            places,
+            F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
+            lambda acc, s: F.struct(
+                s["stop"].alias("at"),
+                F.concat(acc["out"], F.substring(piece, acc["at"] + 1, s["start"] - acc["at"]), F.when(s["first"], mask).otherwise("")).alias("out"),
+            ),
+        )
+        return F.concat(walked["out"], F.substring(piece, walked["at"] + 1, F.lit(STRETCH)))
+
+    def upto(hit: Column, i: Column) -> Column:
+        last = F.when(i > 0, F.get(hits, i - 1)["at"]).otherwise(-1)
+        untouched = F.array_join(F.slice(pieces, last + 2, hit["at"] - last - 1), "")
+        return F.concat(untouched, without(F.get(pieces, hit["at"]), hit["places"]))
+
+    last = F.element_at(hits, -1)["at"]
+    rest = F.array_join(F.slice(pieces, last + 2, F.greatest(F.size(pieces) - last - 1, F.lit(0))), "")
+    return F.concat(F.array_join(F.transform(hits, upto), ""), rest)

@@ -54,7 +54,7 @@ def test_held_out_is_the_checksum_of_the_text(spark):
 
 
 def test_host_and_free_name(spark):
-    urls = [("http://A.b/c?x", "a.b"), ("https://h:80", "h"), ("no url", ""), (None, ""), ("ftp://x#y", "x")]
+    urls = [("http://A.b/c?x", "a.b"), ("http://user:pw@Example.com:80/", "example.com"), ("http://a@b@c/x@y", "c"), ("https://h:80", "h"), ("no url", ""), (None, ""), ("ftp://x#y", "x")]
     frame = spark.createDataFrame(urls, "url string, host string")
     assert frame.where(host_of(F.col("url")) != F.col("host")).count() == 0
     assert free_name(spark.createDataFrame([], "Score int, score_ int"), "score") == "score__"

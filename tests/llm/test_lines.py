@@ -3,6 +3,7 @@ from collections import Counter, defaultdict
 from pyspark.sql import functions as F
 
 from roadlake.llm.lines import BLANK, drop_boilerplate
+from roadlake.llm.queries import op1_line_dedup
 
 SCHEMA = "doc_id long, host string, text string, hit_page string, HIT_KEYS int"
 
@@ -56,11 +57,29 @@ def test_copies_of_a_text_count_once(spark):
     once = [(200, "a", "first line\nown"), (0, "a", "first line\nsecond line")] + others[:6]
     bad = dict(plain(once, 0.1, 5))
     want = sorted([(i, bad.get(i, text)) for i, _, text in copies + others], key=repr)
-    assert run(spark, copies + others, copies_once=True) == want
+    assert run(spark, copies + others, copies_once=True, min_pages=5) == want
     assert dict(want)[103] == "own 3" and dict(want)[7] == "first line\nsecond line" and dict(want)[200] == "first line\nown"
-    assert dict(run(spark, copies + others))[7] == ""
+    assert dict(run(spark, copies + others, min_pages=5))[7] == ""
     assert run(spark, [], copies_once=True) == []
 
 
 def test_empty_table(spark):
     assert run(spark, []) == []
+
+
+def test_long_runs_of_markup_and_long_pages(spark, folder):
+    """Runs of tags or line feeds of any length are one break between lines."""
+    pages = [
+        (1, "http://h/1", "a" + "<p>" * 1_000_000 + "b"), (2, "http://h/2", "a" + "\n" * 1_000_000 + "c"), (3, "http://h/3", "<" * 4000 + "d" + ">" * 4000),
+        (4, "http://h/4", "word " * 400_000), (5, "http://h/5", None), (6, None, ""), (7, "http://h/6", "\n".join(f"line {i}" for i in range(50_000))),
+        (8, "http://h/7", "<p class='" + "x" * 1_000_000 + "'>e"),
+    ] + [(10 + i, f"http://h/{10 + i}", f"own {i}") for i in range(13)]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{folder}/pages.parquet")
+    got = {r.page_id: r.text for r in op1_line_dedup(spark, folder).collect()}
+    assert got[1] == "a\nb" and got[2] == "a\nc" and got[5] == got[6] == "" and got[8] == "\ne"
+    assert got[4] == pages[3][2] and got[7] == pages[6][2] and got[3] == "<" * 3999 + "\n" + ">" * 3999
+
+
+def test_repetition_on_small_hosts_counts(spark):
+    rows = [(i, "small", f"Menu\nown {i}") for i in range(3)] + [(10, "one", "Menu\nalone")]
+    assert dict(run(spark, rows)) == {0: "own 0", 1: "own 1", 2: "own 2", 10: "Menu\nalone"}

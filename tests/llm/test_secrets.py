@@ -1,8 +1,10 @@
+import glob
 import re
 
 from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F
 
-from roadlake.llm.secrets import BASE_RULES, RULES, Rule, digest, find_secrets, mask_secrets, read_ledger
+from roadlake.llm.secrets import BASE_RULES, RULES, Rule, digest, find_secrets, mask_secrets, read_ledger, scan_blobs
 
 SCHEMA = "doc_id long, text string, found string, Found_In int"
 # The contract's patterns, with the length test after the match.
@@ -107,6 +109,9 @@ def test_mask_takes_private_keys_as_a_whole(spark):
         (f"{begin} " + "a - b " * 30_000, "# " + "a - b " * 30_000),
         (f"{begin}\n" + "MIIEpAIBAAKCAQEA\n" * 500 + "z", "#\nz"),
         (begin * 500, "#" * 500),
+        (f"a {begin}\n" + "MIIEpAIBAAKCAQEA+/7k9zQabc\n" * 3000 + "z", "a #\nz"),
+        (f"a {begin}\nHeader: {'-' * 1200}\n{body}{end} z {end}", f"a # z {end}"),
+        (f"é{begin}\n{body * 60}{end}" * 40 + "é", "é#" * 40 + "é"),
     ]
     frame = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
     assert {r.doc_id: r.text for r in mask_secrets(frame, "#").collect()} == {i: want for i, (_, want) in enumerate(cases)}
@@ -116,3 +121,39 @@ def test_no_python_on_the_way(spark):
     frame = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
     plan = digest(find_secrets(frame))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_many_findings_and_long_texts(spark):
+    """Work that grew with the square of the findings would not come to an end here."""
+    text = "password=abcdefgh é " * 100_000
+    frame = spark.createDataFrame([(1, text), (2, "x" * 3_000_000), (3, HEX * 50_000)], "doc_id long, text string")
+    found = {r.doc_id: r.found for r in find_secrets(frame).collect()}
+    assert [(s.start, s.stop) for s in found[1]] == [(20 * i, 20 * i + 17) for i in range(100_000)]
+    assert found[2] == [] and [(s.start, s.stop) for s in found[3]] == [(0, 1_600_000)]
+    masked = {r.doc_id: r.text for r in mask_secrets(frame, "#").collect()}
+    assert masked == {1: "# é " * 100_000, 2: "x" * 3_000_000, 3: "#"}
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.lists(st.tuples(st.sampled_from(["token=12345678", HEX, "é ", "AKIA1234567890AB", "x" * 700, "\n"]), st.integers(1, 4)), max_size=25), min_size=1, max_size=12))
+def test_mask_matches_a_plain_version_over_stretches(spark, texts):
+    texts = ["".join(p * n for p, n in parts) for parts in texts]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for row in mask_secrets(frame, "#").collect():
+        want, at = "", 0
+        for start, _, stop, _ in plain(texts[row.doc_id]):
+            if start >= at:
+                want += texts[row.doc_id][at:start] + "#"
+            at = max(at, stop)
+        assert row.text == want + texts[row.doc_id][at:]
+
+
+def test_a_second_run_shuffles_addresses_only(spark, folder):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    scan_blobs(docs, folder)
+    written = set(glob.glob(f"{folder}/*.parquet"))
+    scan_blobs(docs, folder)
+    assert set(glob.glob(f"{folder}/*.parquet")) == written
+    more = docs.unionByName(spark.createDataFrame([(-1, "token=abcdefgh")], "doc_id long, text string"))
+    scan_blobs(more, folder)
+    assert read_ledger(spark, folder).select("blob").distinct().count() == docs.select(F.coalesce("text", F.lit(""))).distinct().count() + 1
