@@ -15,7 +15,7 @@ from functools import partial
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from roadlake.llm.common import held_out
 from roadlake.llm.encoding import runs
@@ -232,10 +232,14 @@ def fit(
     """Network trained on documents with a language that ``allowed``, a condition on ids, admits; None without any."""
     rows = docs.where(allowed & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull())
     rows = rows.select(F.col(id_col).alias("key"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
-    order = F.xxhash64("key")
-    # The ids first, so that no more than those reach one place; a repeated id gives the same windows again.
-    keys = rows.select("key").distinct().orderBy(order, "key").limit(limit)
-    chosen = rows.join(F.broadcast(keys), "key").withColumn("key", F.col("key").cast("string"))
+    # Drawn in turns from every language, so that a rare one is learned as well: the first of each by a hash, then the second, and so on.
+    turn = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("key"), "key"))
+    known = rows.select("key", "lang").distinct().withColumn("turn", turn).where(F.col("turn") <= limit)
+    keys = known.orderBy("turn", F.xxhash64("key"), "key", "lang").limit(limit).select("key", "lang")
+    # One text per id and language, so that ``limit`` bounds the rows as well; of several, the least by a hash.
+    chosen = rows.join(F.broadcast(keys), ["key", "lang"]).groupBy("key", "lang").agg(
+        F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("x")
+    ).select(F.col("key").cast("string").alias("key"), "lang", "x.text")
     windows = chosen.mapInArrow(
         partial(_training_windows, most=WINDOWS), "key string, start int, lang string, window binary"
     ).distinct()

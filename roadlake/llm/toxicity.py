@@ -45,15 +45,18 @@ LOOKALIKES = {
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¥": "y",
 }
 #: Costs in nats of a look-alike, of one more of a repeated letter, of a gap inside a word, and of
-#: a character without a blank around it, or a blank between single characters, that ends a word.
-REPLACED, REPEATED, APART, ENDED = 1.5, 0.3, 0.2, 1.5
+#: a character without a blank around it, or a blank between single characters, that ends a word. A look-alike that a word
+#: begins with costs more to pass over, as it spares no letter.
+REPLACED, REPEATED, APART, ENDED, PASSED = 1.5, 0.3, 0.2, 1.5, 6.0
 
 #: Symbols of the language model: the gap between words, a to z, any other letter.
 SYMBOLS = 28
 _GAP, _OTHER = 0, 27
 _LETTER = r"[^\W\d_]"
-_SPACED = re.compile(r"(?<!\S)\S(?: \S){2,}(?!\S)")
-_DOTTED = re.compile(r"[^\W_](?:[.\-_*~]+[^\W_]){2,}")
+_SPACED = re.compile(r"(?<!\S)\S(?:\s+\S){2,}(?!\S)")
+# One character that may be a letter, and such characters set apart.
+_ATOM = "(?:[^\\W_]|[" + re.escape("".join(c for c in LOOKALIKES if not c.isalnum())) + "])"
+_DOTTED = re.compile(rf"{_ATOM}(?:[.\-_*~]+{_ATOM}){{2,}}")
 _RUN = re.compile(r"(" + _LETTER + r")\1\1")
 _PAIR = re.compile(r"(" + _LETTER + r")\1")
 _EDGE = ".,;:?\"'`()[]{}<>«»“”…-_*~#/\\"
@@ -109,11 +112,13 @@ def language_model(docs: DataFrame, text_col: str = "text") -> np.ndarray:
 def _readings(shown: str, joined: bool) -> list[list[tuple[str, float]]]:
     """Per character what it may stand for, with costs; a blank stands for the gap, nothing for no symbol."""
     lattice, before = [], ""
-    for c in shown:
+    for i, c in enumerate(shown):
         if c.isalpha():
             ways = [(c, 0.0)]
         else:
-            ways = [(" ", ENDED if joined or c in LOOKALIKES else 0.0)] + [(x, REPLACED) for x in LOOKALIKES.get(c, "")]
+            leads = i == 0 and c in LOOKALIKES and any(x.isalpha() for x in shown)
+            gap = PASSED if leads else ENDED if joined or c in LOOKALIKES else 0.0
+            ways = [(" ", gap)] + [(x, REPLACED) for x in LOOKALIKES.get(c, "")]
         if c == before and (c.isalpha() or c in LOOKALIKES):
             ways.append(("", REPEATED))
         if joined and not c.isalnum() and c not in LOOKALIKES:
@@ -218,7 +223,13 @@ class Evidence(dict):
     def __missing__(self, word: str) -> float:
         if len(self) >= REMEMBERED:
             self.clear()
-        value = self[word] = self.of_reading(self.restorer.word(word))
+        value = self.of_reading(self.restorer.word(word))
+        if value == 0 and _PAIR.search(word):
+            # A letter too many: worth decoding where the word without it would be evidence.
+            bare = word.strip(_EDGE)
+            if self.of_reading(_PAIR.sub(r"\1", bare)) > 0:
+                value = self.of_reading(decode(bare, self.restorer.model))
+        self[word] = value
         return value
 
     def features(self, text: str | None) -> tuple[float, float, float]:
@@ -322,7 +333,11 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column, id_col: str = "doc_
     known = known.where("key is not null").orderBy(F.xxhash64("key"), "key").limit(limit)
     texts = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text"))
     half = F.pmod(F.xxhash64("key", F.lit(1)), F.lit(2)).cast("int").alias("half")
-    rows = cut(texts.join(F.broadcast(known), "key").select("text", "toxic", half))  # at most ``limit`` ids
+    # One text per id, so that ``limit`` bounds the rows as well; of several, the least by a hash.
+    found = texts.join(F.broadcast(known), "key").groupBy("key").agg(
+        F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("x"), F.first("toxic").alias("toxic")
+    )
+    rows = cut(found.select("x.text", "toxic", half))
     words = _group_table(rows, characters, None)
     both = lambda t: t.assign(toxic=t["toxic0"] + t["toxic1"], clean=t["clean0"] + t["clean1"])
     of_half = lambda t, h: t.assign(toxic=t[f"toxic{h}"], clean=t[f"clean{h}"])

@@ -100,3 +100,15 @@ def test_what_is_held_out_is_not_learned(spark, trained):
     changed = docs.withColumn("lang", F.when(aside, "zz").otherwise(F.col("lang"))).withColumn("text", F.when(aside, "qqq").otherwise(F.col("text")))
     again = fit(changed, ~aside)
     assert again.languages == network.languages and all((a == b).all() for a, b in zip(again.weights(), network.weights()))
+
+
+def test_rare_languages_are_learned_and_repeated_ids_stay_within_the_bound(spark, monkeypatch):
+    """Three documents of a script among hundreds of another, and one id on thousands of rows."""
+    draw = random.Random(3)
+    common = [(i, " ".join(draw.choices(WORDS["aa"], k=20)), "aa", "x", 1) for i in range(400)]
+    rare = [(1000 + i, " ".join(draw.choices(WORDS["cc"], k=20)), "cc", "x", 1) for i in range(3)]
+    hot = [(5000, " ".join(draw.choices(WORDS["bb"], k=8)), "bb", "x", 1) for _ in range(2000)]
+    seen = []
+    monkeypatch.setattr(language_id, "train", lambda data, truth, names: seen.append((len(data), names)) or new_network(names, units=3))
+    fit(spark.createDataFrame(common + rare + hot, SCHEMA), F.lit(True), limit=10)
+    assert seen[0][0] <= 10 * language_id.WINDOWS and seen[0][1] == ["aa", "bb", "cc"]

@@ -35,8 +35,8 @@ def known(spark):
 
 
 DISGUISED = {
-    "1d10t": ("idiot", "diot"), "m0r0n": ("moron",), "l0$er": ("loser",), "$tup1d": ("stupid",), "i.d.i.o.t": ("idiot",),
-    "iiddiioott": ("idiot",), "looooser": ("loser",), "tr4$h!!": ("trash",), "(st-u-p-i-d)": ("st-u-p-i-d", "stupid"),
+    "1d10t": ("idiot",), "m0r0n": ("moron",), "l0$er": ("loser",), "$tup1d": ("stupid",), "i.d.i.o.t": ("idiot",),
+    "iiddiioott": ("idiot",), "i.d.!.o.t": ("idiot",), "$.t.u.p.i.d": ("stupid",), "!d!0t": ("idiot",), "5.c.u.m": ("scum",), "looooser": ("loser",), "tr4$h!!": ("trash",), "(st-u-p-i-d)": ("st-u-p-i-d", "stupid"),
 }
 
 
@@ -44,7 +44,8 @@ def test_disguised_words_are_restored(known):
     restorer = Restorer(known[2].characters)
     for shown, meant in DISGUISED.items():
         assert restorer.word(shown) in meant, shown
-    assert restorer.stretch("s t u p i d") == "stupid"
+    for shown in ("s t u p i d", "s  t  u  p  i  d", "s\tt\tu\tp\ti\td", "$ t u p ! d", "s\nt\nu\np\ni\nd"):
+        assert restorer.stretch(shown) == "stupid", shown
     assert restorer.text("That 1D10T and m o r o n in the house") .split()[2:4] == ["and", "moron"]
 
 
@@ -97,6 +98,30 @@ def test_held_out_documents_and_disguises(spark, known):
     assert got == {1: 1, 2: 1, 3: 0}
 
 
+ONE_WORD = [
+    "1d10t", "m0r0n", "l0$er", "$tup1d", "i.d.i.o.t", "i.d.!.o.t", "$.t.u.p.i.d", "iddiot", "stuppid", "iiddiioott", "loooooser", "m o r o n", "s  c  u  m",
+    "t\tr\ta\ts\th", "t-r-a-s-h", "5cum", "IDIOT", "i*d*i*o*t", "s_t_u_p_i_d", "tr@sh!", "M.0.R.0.N",
+]
+
+
+def test_every_disguise_is_seen_in_a_text_with_one_toxic_word(spark, known):
+    planted = [(i, f"the river and the garden in summer {word} was for the people", "x", 0) for i, word in enumerate(ONE_WORD)]
+    clean = [(100 + i, f"the river and the garden in summer {word} was for the people", "x", 0) for i, word in enumerate([
+        "letter", "3rd", "10", "b.r.e.a.d", "a b c", "1 2 3", "$100", "summer!!", "4th", "user@host", "r i v e r", "hoouse", "w.a.t.3.r",
+    ])]
+    rows = score(spark.createDataFrame(planted + clean, SCHEMA), known[2]).collect()
+    missed = [ONE_WORD[r.doc_id] for r in rows if r.doc_id < 100 and not r.predicted]
+    assert missed == [] and [r.doc_id for r in rows if r.doc_id >= 100 and r.predicted] == []
+
+
+def test_a_repeated_id_does_not_outgrow_the_bound(spark, known):
+    docs, labels, _ = known
+    rng = random.Random(5)
+    more = [(3, " ".join(rng.choices(CLEAN, k=6)), "x", 0) for _ in range(2000)]
+    model = fit(docs.unionByName(spark.createDataFrame(more, SCHEMA)), labels, F.lit(True), limit=300)
+    assert np.isfinite(model.final).all()
+
+
 def test_labels_of_the_held_out_fold_are_not_learned(spark, known):
     docs, labels, model = known
     flipped = labels.withColumn("toxic", F.when(held_out(F.col("doc_id"), 5, 0), 1 - F.col("toxic")).otherwise(F.col("toxic")))
