@@ -9,6 +9,7 @@ changed keys; they are not shuffled.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 from typing import NamedTuple
 
@@ -55,9 +56,10 @@ def read_keyed(spark: SparkSession, path: str, schema: StructType = TARGET_SCHEM
     return read_parquet_or_empty(spark, path, table_schema(schema)).select(*schema.names)
 
 
-def read_feed(spark: SparkSession, feed: str, schema: StructType = TARGET_SCHEMA) -> DataFrame:
-    """What loads have inserted and updated: ``run``, ``change`` and the new row."""
-    return read_parquet_or_empty(spark, feed, StructType([*schema.fields]).add(CHANGE, "string").add("run", "string"))
+def read_feed(spark: SparkSession, feed: str, keys: Sequence[str] = KEY_COLS, schema: StructType = TARGET_SCHEMA) -> DataFrame:
+    """What loads have inserted and updated: ``run``, ``change`` and the new row, one per run and key."""
+    noted = read_parquet_or_empty(spark, feed, StructType([*schema.fields]).add(CHANGE, "string").add("run", "string"))
+    return noted.dropDuplicates(["run", *keys])  # a load that was cut off and repeated may have noted a row twice
 
 
 def apply_changes(
@@ -76,9 +78,10 @@ def apply_changes(
     """Merge ``source`` into the keyed table at ``path`` and note what changed below ``feed``/run=``run``.
 
     Of several source rows with one key the latest wins, ties go to the greater digest. A row with the values of the table's row
-    changes nothing, whenever it was written; another replaces it. With ``keep_newer`` the table's row stays if it is
-    later by the same rule, so loads may come in any order; the source's row is ``stale`` then. Running a load twice is the same as running it
-    once: the second run writes no folder. The same ``run`` again replaces its part of the feed.
+    changes nothing, whenever it was written; another replaces it. With ``keep_newer`` the table's row stays if it is later by
+    ``latest_by``, so loads may come in any order, and the source's row is ``stale``; a row with the time of the table's row is a correction
+    and replaces it. Running a load twice is the same as running it
+    once: the second run writes no folder. A load that was cut off is repeated with the same ``run``; what it has noted stays.
 
     Rows with a null in the key are handed to ``on_unkeyed``; without it they are refused. One writer per table; a
     driver lost while Spark moves finished files can leave a folder half replaced, as with any plain overwrite. A value that does not fit
@@ -95,7 +98,8 @@ def apply_changes(
             raise ValueError(f"rows with a null in {', '.join(keys)}")
         on_unkeyed(unkeyed)
     # Written by folder once, so that a step opens the folders it needs and nothing is fetched or deduped again.
-    staged_at, run_feed = f"{feed}/_staged", f"{feed}/run={run}"
+    # Each attempt notes its rows apart, so that rows which a lost one has noted are not taken for its own.
+    staged_at, run_feed = f"{feed}/_staged", f"{feed}/run={run}/attempt={uuid.uuid4().hex}"
     fresh = dedupe_latest(_with_folder(incoming, keys, buckets), keys, [*latest_by, DIGEST])
     _by_folder(fresh.select(*whole.names), "overwrite", "static").parquet(staged_at)
     _by_folder(no_rows(spark, whole).withColumn(CHANGE, F.lit("")), "overwrite", "static").parquet(run_feed)
@@ -160,12 +164,12 @@ def _outcomes(fresh: DataFrame, current: DataFrame, keys: Sequence[str], latest_
     order = [c for c in latest_by if c not in keys]
     narrow = current.select(
         *[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], F.col(DIGEST).alias("_digest"),
-        F.struct(*[recency(current, c).alias(f"_by{i}") for i, c in enumerate(order)], F.col(DIGEST).alias("_d")).alias("_held"),
+        F.struct(*[recency(current, c).alias(f"_by{i}") for i, c in enumerate(order)]).alias("_held"),
     )
     same = F.lit(True)
     for i, k in sorted(enumerate(keys), key=lambda x: fixed_width_first(fresh, keys).index(x[1])):
         same = same & (F.col(k) == F.col(f"_key{i}"))
-    offered = F.struct(*[recency(fresh, c).alias(f"_by{i}") for i, c in enumerate(order)], F.col(DIGEST).alias("_d"))
+    offered = F.struct(*[recency(fresh, c).alias(f"_by{i}") for i, c in enumerate(order)])
     change = F.when(F.col("_digest").isNull(), INSERTED).when(F.col("_digest") == F.col(DIGEST), UNCHANGED)
     if keep_newer:
         change = change.when(offered < F.col("_held"), STALE)

@@ -310,4 +310,10 @@ FROM enriched WHERE "year" = 2024 AND "month" = 1 AND (vehicle_type = 'bike' OR
 SELECT vehicle_id, event_time, CAST(sum(CASE WHEN fine > 0 THEN 2 ELSE 1 END) AS BIGINT) AS n_rows
 FROM enriched GROUP BY vehicle_id, event_time HAVING n_rows > 1""",
     "q53_downward_corrections": f"""WITH {_LOADS} SELECT {_PROCESSED_LIST} FROM first_load""",
+    "q54_stream_changes": f"""WITH {_LOADS}
+SELECT {", ".join("m." + c.strip() for c in _PROCESSED_LIST.split(","))},
+  CAST(CASE WHEN f.vehicle_id IS NOT NULL AND s.vehicle_id IS NOT NULL THEN 2 ELSE 1 END AS BIGINT) AS n_changes,
+  CASE WHEN s.vehicle_id IS NULL THEN NULL WHEN f.vehicle_id IS NULL THEN 'inserted' ELSE 'updated' END AS in_last
+FROM merged m LEFT JOIN first_load f ON f.vehicle_id = m.vehicle_id AND f.event_time = m.event_time
+LEFT JOIN second_load s ON s.vehicle_id = m.vehicle_id AND s.event_time = m.event_time""",
 }

@@ -43,6 +43,7 @@ from roadlake.streaming.jobs import (
     start_alerts,
     start_enrich,
     start_ingest,
+    start_keyed_load,
     start_load,
 )
 
@@ -631,3 +632,19 @@ def q53_downward_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
         write_processed(add_event_time(events.withColumn("speed", F.col("speed") + change)), layout.processed)
         start_load(spark, layout, trigger=None).awaitTermination()
     return read_target(spark, layout.target).drop("last_updated")
+
+
+@_query
+def q54_stream_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """q18 into the keyed table, the last load repeated as after a lost commit: how each row got there, and its values."""
+    layout = _layout(spark, "q54")
+    for n, load in enumerate((_first_load, _second_load)):
+        write_processed(load(spark, sf_dir), layout.processed)
+        start_keyed_load(spark, layout, trigger=None, buckets=2).awaitTermination()
+        if n:
+            commits = spark._jvm.org.apache.hadoop.fs.Path(f"{layout.checkpoint('keyed-load')}/commits")
+            commits.getFileSystem(spark._jsc.hadoopConfiguration()).delete(commits, True)
+            start_keyed_load(spark, layout, trigger=None, buckets=2).awaitTermination()
+    last = F.when(F.col("run").endswith("1"), F.col("change"))
+    changes = read_feed(spark, layout.feed).groupBy(*KEY_COLS).agg(F.count(F.lit(1)).alias("n_changes"), F.max(last).alias("in_last"))
+    return read_keyed(spark, layout.keyed).drop("last_updated").join(changes, KEY_COLS)

@@ -27,6 +27,7 @@ from roadlake.functions.event_time import add_date_parts, add_event_time, coerce
 from roadlake.functions.measures import nan_to_null
 from roadlake.functions.records import decode_events
 from roadlake.operators.alerts import overspeed_alerts
+from roadlake.operators.changes import BUCKETS, apply_changes
 from roadlake.operators.offsets import offset_ranges
 from roadlake.operators.quality import split_decoded, with_violations
 from roadlake.operators.upsert import Upserted, create_target, stage, upsert
@@ -90,6 +91,14 @@ class Layout:
     def target(self) -> str:
         return f"{self.root}/target/vehicle_data"
 
+    @property
+    def keyed(self) -> str:
+        return f"{self.root}/target/keyed"
+
+    @property
+    def feed(self) -> str:
+        return f"{self.root}/target/keyed_feed"
+
     @property
     def alerts(self) -> str:
         return f"{self.root}/alerts"
@@ -302,6 +311,35 @@ def start_load(
     return Job(_start(loadable, write, layout.checkpoint("load"), trigger, "load"))
 
 
+def start_keyed_load(
+    spark: SparkSession,
+    layout: Layout,
+    trigger: str | None = LOAD_TRIGGER,
+    max_files: int | None = None,
+    max_bytes: int | None = None,
+    buckets: int = BUCKETS,
+) -> Job:
+    """Like ``start_load``, into a table by day and bucket of the key, with a feed of what each load has inserted and updated.
+
+    A load reads keys and digests of the folders it touches and writes those with a change, so it may be made more often. A repeated
+    micro-batch changes nothing that it has changed before, and its part of the feed stays.
+    """
+    layout.create(prepare(spark))
+    streams = [processed_stream(spark, root, max_files, max_bytes) for root in (layout.enriched, layout.processed)]
+    loadable = load_frame(streams[0].unionByName(streams[1]), F.current_timestamp())
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        run = f"{_query_id(batch)}-{batch_id:010d}"
+
+        def set_aside(unkeyed: DataFrame) -> None:
+            write_quarantine(unkeyed, f"{layout.set_aside('load')}/run=keyed-{run}", "load")
+
+        done = apply_changes(batch, layout.keyed, layout.feed, run, buckets=buckets, keep_newer=True, on_unkeyed=set_aside)
+        log.info("keyed load %s: %s", batch_id, done)
+
+    return Job(_start(loadable, write, layout.checkpoint("keyed-load"), trigger, "keyed-load"))
+
+
 def load_full(spark: SparkSession, layout: Layout, run_time: Column | None = None) -> Upserted:
     """Merge every processed row again, whatever earlier runs have loaded."""
     prepare(spark)

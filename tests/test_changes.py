@@ -121,16 +121,30 @@ def test_no_rows(spark, folder):
     assert read_keyed(spark, f"{folder}/nowhere").isEmpty()
 
 
-def test_a_repeated_run_replaces_its_feed(spark, folder):
+def test_a_repeated_run_keeps_what_it_has_noted(spark, folder):
     put(spark, folder, [event("V1", START)], "1")
-    put(spark, folder, [event("V1", START, speed=1.0)], "2")
-    put(spark, folder, [event("V1", START, speed=1.0)], "2")
-    assert [(r.run, r.change) for r in read_feed(spark, f"{folder}/feed").collect()] == [("1", "inserted")]
+    for _ in range(2):
+        put(spark, folder, [event("V1", START, speed=1.0)], "2")
+    assert sorted((r.run, r.change) for r in read_feed(spark, f"{folder}/feed").collect()) == [("1", "inserted"), ("2", "updated")]
+
+
+def test_a_load_cut_off_before_it_rewrites_is_finished_by_its_repetition(spark, folder, monkeypatch):
+    put(spark, folder, [event(f"V{i}", START) for i in range(20)], "1")
+    load_ = [event(f"V{i}", START, speed=1.0) for i in range(5)] + [event("V77", START)]
+    monkeypatch.setattr(module, "_rewrite", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError, match="lost"):
+        put(spark, folder, load_, "2")
+    monkeypatch.undo()
+    assert put(spark, folder, load_, "2")[:4] == (1, 5, 0, 0)
+    noted = read_feed(spark, f"{folder}/feed").where("run = '2'").collect()
+    assert len(noted) == 6 and len(speeds(spark, f"{folder}/table")) == 21
 
 
 @settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
-    rows=st.lists(st.tuples(st.sampled_from("ABC"), st.sampled_from([0.1, 0.5, 0.9]), st.integers(1, 3)), min_size=1, max_size=8),
+    rows=st.lists(
+        st.tuples(st.sampled_from("ABC"), st.sampled_from([0.1, 0.5, 0.9]), st.integers(1, 3)), min_size=1, max_size=8, unique_by=lambda r: r[:2]
+    ),
     cut=st.integers(0, 8), newer=st.booleans(),
 )
 def test_any_split_gives_one_table(spark, rows, cut, newer):
@@ -148,3 +162,10 @@ def test_any_split_gives_one_table(spark, rows, cut, newer):
     for vehicle, (speed, at) in ((k[0], v) for k, v in results[0].items()):
         assert at == max(START + t for v, t, _ in rows if v == vehicle)
         assert (vehicle, round(at - START, 1), speed) in {(v, t, float(s)) for v, t, s in rows}
+
+
+def test_a_correction_with_the_same_time_lands_and_an_older_row_does_not(spark, folder):
+    put(spark, folder, [event("V1", START + 0.5, speed=5.0), event("V2", START + 0.5, speed=5.0)], "1")
+    done = put(spark, folder, [event("V1", START + 0.5, speed=4.0), event("V2", START + 0.1, speed=9.0)], "2", keep_newer=True)
+    assert done[:4] == (0, 1, 0, 1)
+    assert {k[0]: s for k, s in speeds(spark, f"{folder}/table").items()} == {"V1": 4.0, "V2": 5.0}
