@@ -17,7 +17,7 @@ from roadlake.functions.event_time import add_date_parts
 from roadlake.operators.columns import conform
 from roadlake.operators.dedupe import dedupe_latest, fixed_width_first, split_on_null
 from roadlake.schema import KEY_COLS, PARTITION_COLS, TARGET_SCHEMA
-from roadlake.session import no_rows
+from roadlake.session import checkpointed, no_rows, scratch_path
 from roadlake.sources.processed import read_parquet_or_empty
 
 # Touched partitions that one merge reads and writes at most; a source that touches more is merged slice by slice.
@@ -111,10 +111,12 @@ def upsert(
         incoming, unkeyed = split_on_null(incoming, keys)
         if not unkeyed.isEmpty():
             on_unkeyed(unkeyed)
-    done = Upserted(0, 0)
+    done, by_day = Upserted(0, 0), None
     for touch in _touched_slices(incoming, keys, slice_days or LISTED_PARTITIONS):
-        # A slice's own rows; one slice has them all.
-        part = incoming if touch.whole else incoming.where(_folder(incoming).isin(touch.days))
+        if not touch.whole and by_day is None:
+            by_day = _written_by_day(incoming, schema)
+        # A slice's own folders; one slice has all rows.
+        part = incoming if touch.whole else by_day.where(_folder(by_day).isin(touch.days))
         counts = Observation()
         merged = merge(part, _read_days(spark, path, schema, touch.days), keys, latest_by, touch, keep_newer).observe(
             counts, F.count_if(_FRESH).alias("from_source"), F.count_if(~F.col(_FRESH)).alias("carried_over")
@@ -132,6 +134,13 @@ def upsert(
     return done
 
 
+def _written_by_day(incoming: DataFrame, schema: StructType) -> DataFrame:
+    """The source as a table by partition, so that slices open their own folders instead of reading all of it."""
+    path = scratch_path(incoming.sparkSession, "upsert-by-day")
+    incoming.hint("rebalance", *PARTITION_COLS).write.partitionBy(*PARTITION_COLS).parquet(path)
+    return incoming.sparkSession.read.schema(schema).parquet(path).select(*schema.names)
+
+
 class Touch(NamedTuple):
     """Partitions that a source, or a slice of it, touches."""
 
@@ -141,12 +150,12 @@ class Touch(NamedTuple):
 
 
 def _touched_slices(incoming: DataFrame, keys: Sequence[str], limit: int) -> Iterator[Touch]:
-    """Measure the source in one pass over its keys; the driver holds one slice of partitions at a time."""
+    """Measure the source in one pass over its keys, kept as a row per partition; the driver holds one slice of partitions at a time."""
     key_bytes = F.lit(32)
     for k in keys:
         key_bytes = key_bytes + F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0))
     day = _folder(incoming).alias("day")
-    per_day = incoming.groupBy(day).agg(F.sum(key_bytes).alias("key_bytes"))
+    per_day = checkpointed(incoming.groupBy(day).agg(F.sum(key_bytes).alias("key_bytes")))
     last: str | None = None
     while True:
         beyond = per_day if last is None else per_day.where(F.col("day") > last)

@@ -74,16 +74,16 @@ def _beyond(bound: dt.date, beyond: Callable[[Column, Column], Column]) -> Colum
 
 
 def processed_stream(
-    spark: SparkSession, root: str, max_files: int | None = None, max_bytes: int | None = None
+    spark: SparkSession, root: str, max_files: int | None = None, max_bytes: int | None = None, any_age: bool = True
 ) -> DataFrame:
-    """New processed files only, at any depth and of any age.
+    """New processed files only, at any depth; ``any_age`` as for ``raw_stream``.
 
     Files of this tree are final, so each is read once.
     """
     reader = spark.readStream.schema(_in_file(PROCESSED_SCHEMA)).options(
         pathGlobFilter="*.parquet",
         recursiveFileLookup="true",
-        **ANY_AGE,
+        **(ANY_AGE if any_age else {}),
         **per_trigger(max_files, max_bytes),
     )
     return _with_path_parts(reader.parquet(root), PROCESSED_SCHEMA)

@@ -30,18 +30,19 @@ _SCHEMA = StructType([*EVENT_SCHEMA.fields]).add(CORRUPT, "string")
 
 
 def raw_stream(
-    spark: SparkSession, root: str, max_files: int = FILES_PER_TRIGGER, max_bytes: int | None = None, **options: str
+    spark: SparkSession, root: str, max_files: int = FILES_PER_TRIGGER, max_bytes: int | None = None, any_age: bool = True, **options: str
 ) -> DataFrame:
     """Event columns and the corrupt line, from every file that appears under ``root``.
 
     A micro-batch takes ``max_files`` files, or files of ``max_bytes`` in all where that is given
     (the better bound when files differ in size). The root is watched, not one day's folder, so a
     new day needs no restart, and files may sit at any depth; where a stream has written the tree, its log of files is
-    followed instead. Files of any age are taken, so the query
-    remembers every name it has seen; pass ``cleanSource`` and ``sourceArchiveDir`` to keep the listing short on
+    followed instead. Files of any age are taken, so the query remembers every name it has seen; pass ``cleanSource`` and
+    ``sourceArchiveDir`` to keep the listing short on long runs. Without ``any_age`` names are remembered for a week: for trees whose files come in
+    order of time, as those of one writing stream do, that is enough to read each once, however long the reader has paused; and what it holds stays small on
     long runs. An empty string reads back as null, as CSV does not tell them apart here.
     """
-    reader = spark.readStream.schema(_SCHEMA).options(**_OPTIONS, **ANY_AGE, **per_trigger(max_files, max_bytes))
+    reader = spark.readStream.schema(_SCHEMA).options(**_OPTIONS, **(ANY_AGE if any_age else {}), **per_trigger(max_files, max_bytes))
     reader = reader.option("recursiveFileLookup", "true")
     return reader.options(**options).csv(root).select(*EVENT_COLS, CORRUPT)
 

@@ -247,8 +247,8 @@ def start_enrich(
 
 def _raw(spark: SparkSession, layout: Layout, max_files: int, max_bytes: int | None, **options: str) -> DataFrame:
     """What the ingest job has written, and raw files that others put beside it; the limits hold for each."""
-    ingested, other = (raw_stream(spark, root, max_files, max_bytes, **options) for root in (layout.ingested, layout.raw))
-    return ingested.unionByName(other)
+    ingested = raw_stream(spark, layout.ingested, max_files, max_bytes, any_age=False, **options)
+    return ingested.unionByName(raw_stream(spark, layout.raw, max_files, max_bytes, **options))
 
 
 def _counted(rows: DataFrame, left_out: Column) -> DataFrame:
@@ -302,8 +302,7 @@ def start_load(
     made less often than the other jobs' batches.
     """
     layout.create(prepare(spark))
-    streams = [processed_stream(spark, root, max_files, max_bytes) for root in (layout.enriched, layout.processed)]
-    loadable = load_frame(streams[0].unionByName(streams[1]), F.current_timestamp())
+    loadable = load_frame(_processed(spark, layout, max_files, max_bytes), F.current_timestamp())
 
     def write(batch: DataFrame, batch_id: int) -> None:
         log.info("load %s: %s", batch_id, _merge_keyed(stage(batch, layout.staging), layout, f"{_query_id(batch)}-{batch_id:010d}"))
@@ -311,6 +310,12 @@ def start_load(
     return Job(_start(loadable, write, layout.checkpoint("load"), trigger, "load"))
 
 
+def _processed(spark: SparkSession, layout: Layout, max_files: int | None, max_bytes: int | None) -> DataFrame:
+    """What the enrich job has written, and processed files that others put beside it; the limits hold for each."""
+    enriched = processed_stream(spark, layout.enriched, max_files, max_bytes, any_age=False)
+    return enriched.unionByName(processed_stream(spark, layout.processed, max_files, max_bytes))
+
+
 def start_keyed_load(
     spark: SparkSession,
     layout: Layout,
@@ -325,8 +330,7 @@ def start_keyed_load(
     micro-batch changes nothing that it has changed before, and its part of the feed stays.
     """
     layout.create(prepare(spark))
-    streams = [processed_stream(spark, root, max_files, max_bytes) for root in (layout.enriched, layout.processed)]
-    loadable = load_frame(streams[0].unionByName(streams[1]), F.current_timestamp())
+    loadable = load_frame(_processed(spark, layout, max_files, max_bytes), F.current_timestamp())
 
     def write(batch: DataFrame, batch_id: int) -> None:
         run = f"{_query_id(batch)}-{batch_id:010d}"

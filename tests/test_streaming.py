@@ -351,3 +351,23 @@ def test_ingest_keeps_extra_fields_and_offsets(spark, layout, folder):
     assert read_raw(spark, layout.ingested).count() == 20 and len(aside(spark, layout)) == 1
     found = findings(read_offsets(spark, layout), ["topic", "partition"]).collect()
     assert sorted((r.partition, r.kind, r["first"], r["last"]) for r in found) == [(0, "skipped", 5, 9), (1, "skipped", 5, 9)]
+
+
+def age(layout, days):
+    """Let time pass for all files of the job's own trees."""
+    for path in glob.glob(f"{layout.ingested}/**/*.csv", recursive=True):
+        os.utime(path, (os.stat(path).st_mtime - days * 86_400,) * 2)
+
+
+def test_own_trees_are_read_once_over_many_days(spark, layout, folder):
+    """Names are remembered for a week; days pass between runs, and once the reader pauses for months."""
+    source = f"{folder}/messages"
+    for run in range(5):
+        put_messages(spark, source, [r.value for r in encode_events(rows(spark, 6, run * 6)).collect()])
+        drain(start_ingest(messages(spark, source), layout, None, rows_per_file=2))
+        if run not in (2, 3):
+            drain(start_enrich(spark, layout, None, max_files=1))
+        age(layout, 30)
+    drain(start_enrich(spark, layout, None, max_files=1))
+    got = [r.vehicle_id for r in read_processed(spark, layout.enriched).collect()]
+    assert sorted(got) == sorted(f"V{1000 + i}" for i in range(30))

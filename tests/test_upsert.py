@@ -174,6 +174,18 @@ def test_slices_read_touched_days_only(spark, folder, monkeypatch):
         assert all(day in filters for day in touch.days)
 
 
+def test_a_source_in_slices_is_read_twice(spark, folder):
+    """Once for its keys and once to be written by day, however many slices there are."""
+    reads = spark.sparkContext.accumulator(0)
+    rows = [event("V1", START + d * DAY) for d in range(9)]
+    upsert(load(spark, rows), folder)
+    noted = F.udf(lambda v: reads.add(1) or v)
+    source = load(spark, rows).withColumn("vehicle_name", noted(F.lit("new").substr(F.lit(1), F.length("vehicle_name"))))
+    assert upsert(source, folder, slice_days=2)[0] == 9
+    assert {r.vehicle_name for r in table(spark, folder)[0].values()} == {"new"}
+    assert reads.value <= 2 * len(rows)
+
+
 def test_keys_without_event_time_are_refused(spark, folder):
     with pytest.raises(ValueError, match="event_time"):
         upsert(load(spark, [event()]), folder, keys=["vehicle_id"])
