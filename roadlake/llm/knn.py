@@ -79,8 +79,8 @@ def reachable(pivots: np.ndarray, farthest: dict[int, float], nearest: dict[int,
     return scores
 
 
-def _targets(batches, plan):
-    """Rows with each group of queries that they may matter to."""
+def _wanted(batches, plan):
+    """Per batch and group of queries: the rows that may matter to one of them."""
     for pdf in batches:
         for dim, part in pdf.groupby("dim"):
             if dim not in plan:
@@ -94,7 +94,19 @@ def _targets(batches, plan):
                 member = np.array([group in own for own in groups])
                 hit = wanted[:, member].any(axis=1)
                 if hit.any():
-                    yield part.loc[hit, ["dim", "id", "vec"]].assign(grp=np.int32(group))
+                    yield group, part.loc[hit, ["dim", "id", "vec"]]
+
+
+def _targets(batches, plan):
+    """Rows with each group of queries that they may matter to."""
+    for group, part in _wanted(batches, plan):
+        yield part.assign(grp=np.int32(group))
+
+
+def _target_counts(batches, plan):
+    """How many rows each group of queries needs."""
+    for group, part in _wanted(batches, plan):
+        yield pd.DataFrame({"grp": [np.int32(group)], "n": [len(part)]})
 
 
 def _best(queries: pd.DataFrame, data: pd.DataFrame, k: int) -> pd.DataFrame:
@@ -177,15 +189,15 @@ def top_k(
     if not plan:
         return spark.range(0).selectExpr("id query_id", "cast(id as int) rank", "id vec_id", "id score")
 
-    total = placed.count()
-    blocks = -(-total // block)
+    # A group's own rows say into how many blocks they are dealt, so a query meets the blocks that hold some of them and no others.
+    counted = placed.mapInPandas(partial(_target_counts, plan=plan), "grp int, n long").groupBy("grp").agg(F.sum("n").alias("n"))
+    blocks = cut(counted.select("grp", F.ceil(F.col("n") / F.lit(block)).cast("int").alias("blocks")))
     needed = placed.mapInPandas(partial(_targets, plan=plan), "dim int, id long, vec array<double>, grp int")
-    needed = needed.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
+    needed = needed.join(blocks, "grp").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).drop("blocks")
     dealt = spark.createDataFrame(chunks, "dim int, cell int, first int, parts int")  # a row per pivot at most
     asking = placed.where("query").join(F.broadcast(dealt), ["dim", "cell"]).select(
         "dim", "id", "vec", (F.col("first") + F.pmod(F.xxhash64("id"), "parts")).cast("int").alias("grp"),
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
-    )
+    ).join(blocks, "grp").select("dim", "id", "vec", "grp", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
     best = asking.groupBy("dim", "grp", "block").cogroup(needed.groupBy("dim", "grp", "block")).applyInPandas(
         lambda q, x: _best(q, x, k), "query_id long, vec_id long, score long"
     )

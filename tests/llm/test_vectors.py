@@ -144,3 +144,28 @@ def test_top_k_of_a_row_repeated_more_than_k_times(spark, options):
     rows += [rows[1]] * 40 + [rows[0]] * 3
     got = {tuple(r) for r in top_k(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") == 0, **options).collect()}
     assert len(got) == 5 and got == {t for t in plain_top(rows, 5, 10) if t[0] == 0}
+
+
+def test_queries_meet_only_blocks_of_rows_they_need(spark, monkeypatch):
+    """Far apart bundles: a group of queries needs its own bundle, however many rows the others have."""
+    from roadlake.llm import knn
+
+    seen, keep = [], knn.cut
+    monkeypatch.setattr(knn, "cut", lambda df: (frame := keep(df), "blocks" in frame.columns and seen.append(frame.toPandas()))[0])
+    draw = np.random.default_rng(4)
+    rows = []
+    for bundle in range(4):
+        centre = np.zeros(4)
+        centre[bundle] = 100.0
+        rows += [(bundle * 200 + i, (centre + draw.normal(0, 0.1, 4)).tolist(), "x", 1) for i in range(200)]
+    frame = spark.createDataFrame([(i, v, "x", 1) for i, v, *_ in rows], "vec_id long, embedding array<double>, label string, id int")
+    got = {tuple(r) for r in top_k(frame, F.col("vec_id") % 20 == 0, block=50, group=1).collect()}
+    (blocks,) = seen
+    assert blocks["blocks"].sum() < len(blocks) * len(rows) / 50 / 2  # half of all blocks at most
+    want = set()
+    x = {i: np.floor(256 * np.array(v)) for i, v, *_ in rows}
+    for q in x:
+        if q % 20 == 0:
+            best = sorted(((-int(x[q] @ x[i]), i) for i in x if i != q))[:5]
+            want |= {(q, n, i, -s) for n, (s, i) in enumerate(best, 1)}
+    assert got == want
