@@ -3,14 +3,15 @@
 The table has two partition levels: the day of an event and, below it, a bucket that follows from the key, so a load of few keys
 opens few folders. Every row carries a digest of its values. A load reads keys and digests of the folders it
 touches, says of each of its rows whether it is inserted, updated or changes nothing, keeps the first two as a change feed, and
-rewrites only the folders that have some. Rows of those folders that stay are carried over from the scan by a broadcast of the
-changed keys; they are not shuffled.
+rewrites only the folders that have some. The exchange that finds the latest row of a key serves the comparison with the table too, so
+rows that change nothing are moved once and never written. Rows of rewritten folders that stay are carried over from the scan by a
+broadcast of the changed keys. Folders that the table does not have yet are taken from the feed as they lie there.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
@@ -18,7 +19,7 @@ from pyspark.sql.types import StructType
 
 from roadlake.functions.event_time import add_date_parts
 from roadlake.operators.columns import conform
-from roadlake.operators.dedupe import dedupe_latest, fixed_width_first, recency, split_on_null
+from roadlake.operators.dedupe import dedupe_keyed, fixed_width_first, recency, split_on_null
 from roadlake.operators.upsert import BROADCAST_BYTES, EVENT_TIME
 from roadlake.schema import KEY_COLS, PARTITION_COLS, TARGET_SCHEMA
 from roadlake.session import no_rows
@@ -30,7 +31,7 @@ KINDS = (INSERTED, UPDATED, UNCHANGED, STALE)
 FOLDER_COLS = [*PARTITION_COLS, BUCKET]
 #: Buckets of a day. A table keeps the number it was made with.
 BUCKETS = 16
-#: Folders that one step of a load reads and writes at most.
+#: Folders that one step of a load rewrites at most.
 LISTED_FOLDERS = 1000
 #: Columns that say when a row was written and not what it holds.
 AUDIT_COLS = ("last_updated",)
@@ -85,7 +86,8 @@ def apply_changes(
 
     Rows with a null in the key are handed to ``on_unkeyed``; without it they are refused. One writer per table; a
     driver lost while Spark moves finished files can leave a folder half replaced, as with any plain overwrite. A value that does not fit
-    its column fails the load.
+    its column fails the load. The source is read more than once, first for the folders it touches; a load fails before it rewrites
+    anything when the source has other folders the next time.
     """
     if EVENT_TIME not in keys:
         raise ValueError(f"{EVENT_TIME} must be part of the key: it gives the partition")
@@ -97,26 +99,26 @@ def apply_changes(
         if on_unkeyed is None:
             raise ValueError(f"rows with a null in {', '.join(keys)}")
         on_unkeyed(unkeyed)
-    # Written by folder once, so that a step opens the folders it needs and nothing is fetched or deduped again.
     # Each attempt notes its rows apart, so that rows which a lost one has noted are not taken for its own.
-    staged_at, run_feed = f"{feed}/_staged", f"{feed}/run={run}/attempt={uuid.uuid4().hex}"
-    fresh = dedupe_latest(_with_folder(incoming, keys, buckets), keys, [*latest_by, DIGEST])
-    _by_folder(fresh.select(*whole.names), "overwrite", "static").parquet(staged_at)
+    run_feed = f"{feed}/run={run}/attempt={uuid.uuid4().hex}"
+    rows = _with_folder(incoming, keys, buckets).select(*whole.names)
+    touched = {r.folder for r in rows.select(_folder().alias("folder")).distinct().collect()}
+    current = _of(_table(spark, path, whole), touched)
+    held = {r.folder for r in current.select(_folder().alias("folder")).distinct().collect()}
+    fresh = dedupe_keyed(rows, keys, [*latest_by, DIGEST])
     _by_folder(no_rows(spark, whole).withColumn(CHANGE, F.lit("")), "overwrite", "static").parquet(run_feed)
-    staged = spark.read.schema(whole).parquet(staged_at)
-    done = Changed(0, 0, 0, 0, 0)
-    for folders in _folder_lists(staged, listed or LISTED_FOLDERS):
-        outcomes = _outcomes(_of(staged, folders), _of(_table(spark, path, whole), folders), keys, latest_by, keep_newer)
-        observed = _note(outcomes, run_feed)
-        noted = spark.read.schema(StructType([*whole.fields]).add(CHANGE, "string")).parquet(run_feed)
-        changed = [r.folder for r in _of(noted, folders).select(_folder().alias("folder")).distinct().collect()]
-        # A write of no rows is cut short and reports nothing.
-        found = observed.get if changed else dict(outcomes.groupBy(CHANGE).count().collect())
-        counts = [found.get(k, 0) for k in KINDS]
-        if changed:
-            _rewrite(_of(noted, changed), _of(_table(spark, path, whole), changed), keys, path)
-        done = Changed(*(a + b for a, b in zip(done, (*counts, len(changed)))))
-    return done
+    observed = _note(_outcomes(fresh, current, keys, latest_by, keep_newer), run_feed)
+    noted = spark.read.schema(StructType([*whole.fields]).add(CHANGE, "string")).parquet(run_feed)
+    sizes = _changed_folders(noted, keys)
+    if not touched.issuperset(sizes):
+        raise RuntimeError("the source has other rows than when its folders were listed")
+    for folders in _steps({f: n for f, n in sizes.items() if f in held}, listed or LISTED_FOLDERS):
+        _rewrite(_of(noted, folders), _of(_table(spark, path, whole), folders), keys, path)
+    for folders in _steps({f: 0 for f in sizes if f not in held}, listed or LISTED_FOLDERS):
+        _add(_of(noted, folders), path)
+    # A write of no rows is cut short and reports nothing.
+    found = observed.get if sizes else _recount(rows, current, keys, latest_by, keep_newer)
+    return Changed(*[found.get(k, 0) for k in KINDS], len(sizes))
 
 
 def _with_folder(rows: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
@@ -141,22 +143,42 @@ def _folder() -> Column:
     return F.concat_ws("/", *FOLDER_COLS)
 
 
-def _of(rows: DataFrame, folders: Sequence[str]) -> DataFrame:
+def _of(rows: DataFrame, folders: Iterable[str]) -> DataFrame:
     """Rows of the listed folders; literal names, so others are not opened."""
     return rows.where(_folder().isin(list(folders)))
 
 
-def _folder_lists(staged: DataFrame, limit: int) -> Iterator[list[str]]:
-    """Touched folders, a bounded number at a time."""
-    names, last = staged.select(_folder().alias("folder")).distinct(), None
-    while True:
-        rest = names if last is None else names.where(F.col("folder") > last)
-        listed = [r.folder for r in rest.orderBy("folder").limit(limit).collect()]
-        if listed:
-            yield listed
-            last = listed[-1]
-        if len(listed) < limit:
-            return
+def _changed_folders(noted: DataFrame, keys: Sequence[str]) -> dict[str, int]:
+    """Folders that have changes, and the bytes of the keys updated in each."""
+    size = F.lit(32)
+    for k in keys:
+        size = size + F.octet_length(F.col(k).cast("string"))
+    updated = F.coalesce(F.sum(F.when(F.col(CHANGE) == UPDATED, size)), F.lit(0))
+    return {r.folder: r.size for r in noted.groupBy(_folder().alias("folder")).agg(updated.alias("size")).collect()}
+
+
+def _steps(sizes: Mapping[str, int], limit: int) -> Iterator[list[str]]:
+    """Folders in order, a bounded number at a time, and so few that the updated keys of a step can be broadcast.
+
+    A folder with more updated keys than that is a step of its own.
+    """
+    step: list[str] = []
+    held = 0
+    for folder in sorted(sizes):
+        if step and (len(step) == limit or held + sizes[folder] > BROADCAST_BYTES):
+            yield step
+            step, held = [], 0
+        step.append(folder)
+        held += sizes[folder]
+    if step:
+        yield step
+
+
+def _recount(rows: DataFrame, current: DataFrame, keys: Sequence[str], latest_by: Sequence[str], keep_newer: bool) -> dict[str, int]:
+    """Outcomes by kind from keys, times and digests alone: rows of a key with the same digest have the same outcome."""
+    narrow = rows.select(*dict.fromkeys([*keys, *latest_by, DIGEST]))
+    fresh = dedupe_keyed(narrow, keys, [*latest_by, DIGEST])
+    return dict(_outcomes(fresh, current, keys, latest_by, keep_newer).groupBy(CHANGE).count().collect())
 
 
 def _outcomes(fresh: DataFrame, current: DataFrame, keys: Sequence[str], latest_by: Sequence[str], keep_newer: bool) -> DataFrame:
@@ -194,3 +216,9 @@ def _rewrite(noted: DataFrame, current: DataFrame, keys: Sequence[str], path: st
     small = measured is None or measured <= BROADCAST_BYTES
     kept = current.join(F.broadcast(updated) if small else updated, list(updated.columns), "left_anti").select(*current.columns)
     _by_folder(kept.unionByName(noted.drop(CHANGE)), "overwrite", "dynamic").parquet(path)
+
+
+def _add(noted: DataFrame, path: str) -> None:
+    """Write folders that the table does not have; the feed's files are by folder already."""
+    writer = noted.drop(CHANGE).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*FOLDER_COLS).parquet(path)

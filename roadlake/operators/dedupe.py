@@ -19,13 +19,25 @@ def dedupe_latest(df: DataFrame, keys: Sequence[str], latest_by: Sequence[str])
     The greatest row is an aggregate, so each map task sends one row per key whatever share of
     the data a key holds, and only the key is sorted.
     """
+    # A row without a complete key gets a number of its own, so it stays alone in its group.
+    numbered = df.withColumn("_alone", F.when(~complete(keys), F.monotonically_increasing_id()))
+    return _latest(df, numbered, keys, latest_by, ["_alone"])
+
+
+def dedupe_keyed(df: DataFrame, keys: Sequence[str], latest_by: Sequence[str]) -> DataFrame:
+    """:func:`dedupe_latest` for rows that all have a key.
+
+    Grouped by the keys alone, so that a join on them goes on in the same tasks without a further exchange.
+    """
+    return _latest(df, df, keys, latest_by, [])
+
+
+def _latest(df: DataFrame, rows: DataFrame, keys: Sequence[str], latest_by: Sequence[str], apart: Sequence[str]) -> DataFrame:
     keys = fixed_width_first(df, keys)
     rest = [c for c in df.columns if c not in keys and c not in latest_by]
     order = [c for c in latest_by if c not in keys] + rest
-    # A row without a complete key gets a number of its own, so it stays alone in its group.
-    numbered = df.withColumn("_alone", F.when(~complete(keys), F.monotonically_increasing_id()))
     ranked = [recency(df, c).alias(f"_by_{i}") for i, c in enumerate(latest_by) if c not in keys]
-    latest = numbered.groupBy(*keys, "_alone").agg(F.max(F.struct(*ranked, *order)).alias("_row"))
+    latest = rows.groupBy(*keys, *apart).agg(F.max(F.struct(*ranked, *order)).alias("_row"))
     return latest.select(*keys, *[F.col("_row")[c].alias(c) for c in order]).select(*df.columns)
 
 

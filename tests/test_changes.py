@@ -140,6 +140,43 @@ def test_a_load_cut_off_before_it_rewrites_is_finished_by_its_repetition(spark,
     assert len(noted) == 6 and len(speeds(spark, f"{folder}/table")) == 21
 
 
+def test_rows_are_brought_together_by_folder_once(spark, folder, monkeypatch):
+    by_folder, moved = module._by_folder, []
+    monkeypatch.setattr(module, "_by_folder", lambda rows, *how: (moved.append(rows.count()), by_folder(rows, *how))[1])
+    rows = [event(f"V{i}", START + i % 3 * DAY) for i in range(60)]
+    assert put(spark, folder, rows, "1", buckets=2)[:4] == (60, 0, 0, 0) and sum(moved) == 60
+    moved.clear()
+    assert put(spark, folder, rows, "2", buckets=2)[:4] == (0, 0, 60, 0) and sum(moved) == 0
+    assert len(speeds(spark, f"{folder}/table")) == 60
+
+
+def test_the_exchange_that_dedupes_serves_the_comparison(spark, folder):
+    rows = [event(f"V{i}", START) for i in range(20)]
+    put(spark, folder, rows, "1")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        incoming = module.split_on_null(load(spark, rows), KEY_COLS)[0]
+        fresh = module.dedupe_keyed(module._with_folder(incoming, KEY_COLS, 16), KEY_COLS, ["timestamp", module.DIGEST])
+        plan = explain(module._outcomes(fresh, module._table(spark, f"{folder}/table", module.table_schema()), KEY_COLS, ["timestamp"], False))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_steps_hold_as_many_updated_keys_as_a_broadcast_takes(monkeypatch):
+    monkeypatch.setattr(module, "BROADCAST_BYTES", 10)
+    assert list(module._steps({"d": 0, "a": 4, "c": 30, "b": 6}, 100)) == [["a", "b"], ["c"], ["d"]]
+    assert list(module._steps({"a": 0, "b": 0, "c": 0}, 2)) == [["a", "b"], ["c"]] and not list(module._steps({}, 2))
+
+
+def test_a_source_that_changes_its_folders_is_refused(spark, folder, monkeypatch):
+    put(spark, folder, [event(f"V{i}", START) for i in range(5)], "1")
+    monkeypatch.setattr(module, "_changed_folders", lambda *_: {"2099/1/1/0": 0})
+    with pytest.raises(RuntimeError, match="other rows"):
+        put(spark, folder, [event("V1", START, speed=1.0)], "2")
+    assert set(speeds(spark, f"{folder}/table").values()) == {80.0}
+
+
 @settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     rows=st.lists(
