@@ -177,6 +177,15 @@ def test_a_source_that_changes_its_folders_is_refused(spark, folder, monkeypatch
     assert set(speeds(spark, f"{folder}/table").values()) == {80.0}
 
 
+def test_counts_of_a_load_without_changes_come_from_keys_and_digests(spark, folder, monkeypatch):
+    put(spark, folder, [event("V1", START + 0.5), event("V2", START + 0.5), event("V3", START + DAY)], "1")
+    outcomes, compared = module._outcomes, []
+    monkeypatch.setattr(module, "_outcomes", lambda fresh, *rest: (compared.append(fresh.columns), outcomes(fresh, *rest))[1])
+    older = [event("V1", START + 0.1, speed=9.0), event("V2", START + 0.5), event("V2", START + 0.5), event("V3", START + DAY)]
+    assert put(spark, folder, older, "2", keep_newer=True) == Changed(0, 0, 2, 1, 0)
+    assert "number_plate" in compared[0] and sorted(compared[-1]) == sorted([*KEY_COLS, "timestamp", module.DIGEST])
+
+
 @settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     rows=st.lists(
