@@ -25,7 +25,7 @@ from roadlake.schema import KEY_COLS, PARTITION_COLS, TARGET_SCHEMA
 from roadlake.session import no_rows
 from roadlake.sources.processed import read_parquet_or_empty
 
-BUCKET, DIGEST, CHANGE = "bucket", "row_digest", "change"
+BUCKET, DIGEST, CHANGE, ATTEMPT = "bucket", "row_digest", "change", "attempt"
 INSERTED, UPDATED, UNCHANGED, STALE = "inserted", "updated", "unchanged", "stale"
 KINDS = (INSERTED, UPDATED, UNCHANGED, STALE)
 FOLDER_COLS = [*PARTITION_COLS, BUCKET]
@@ -59,8 +59,13 @@ def read_keyed(spark: SparkSession, path: str, schema: StructType = TARGET_SCHEM
 
 def read_feed(spark: SparkSession, feed: str, keys: Sequence[str] = KEY_COLS, schema: StructType = TARGET_SCHEMA) -> DataFrame:
     """What loads have inserted and updated: ``run``, ``change`` and the new row, one per run and key."""
-    noted = read_parquet_or_empty(spark, feed, StructType([*schema.fields]).add(CHANGE, "string").add("run", "string"))
-    return noted.dropDuplicates(["run", *keys])  # a load that was cut off and repeated may have noted a row twice
+    columns = [*schema.names, CHANGE, "run"]
+    noted = read_parquet_or_empty(spark, feed, StructType([*schema.fields]).add(CHANGE, "string").add("run", "string").add(ATTEMPT, "string"))
+    # An attempt has a key once; a load that was cut off and repeated may have noted a row twice. Other rows are not shuffled.
+    repeated = noted.groupBy("run").agg((F.count_if(F.col(ATTEMPT).isNull()) > 0).alias("old"), F.min(ATTEMPT).alias("low"), F.max(ATTEMPT).alias("high"))
+    repeated = F.broadcast(repeated.where("old OR low < high").select("run"))
+    again = noted.join(repeated, "run", "left_semi").select(*columns).dropDuplicates(["run", *keys])
+    return noted.join(repeated, "run", "left_anti").select(*columns).unionByName(again)
 
 
 def apply_changes(
@@ -100,7 +105,7 @@ def apply_changes(
             raise ValueError(f"rows with a null in {', '.join(keys)}")
         on_unkeyed(unkeyed)
     # Each attempt notes its rows apart, so that rows which a lost one has noted are not taken for its own.
-    run_feed = f"{feed}/run={run}/attempt={uuid.uuid4().hex}"
+    run_feed = f"{feed}/run={run}/{ATTEMPT}={uuid.uuid4().hex}"
     rows = _with_folder(incoming, keys, buckets).select(*whole.names)
     touched = {r.folder for r in rows.select(_folder().alias("folder")).distinct().collect()}
     current = _of(_table(spark, path, whole), touched)

@@ -186,6 +186,27 @@ def test_counts_of_a_load_without_changes_come_from_keys_and_digests(spark, fold
     assert "number_plate" in compared[0] and sorted(compared[-1]) == sorted([*KEY_COLS, "timestamp", module.DIGEST])
 
 
+def test_a_feed_is_shuffled_only_for_runs_that_were_repeated(spark, folder):
+    put(spark, folder, [event(f"V{i}", START) for i in range(9)], "1")
+
+    def final_plan():
+        feed = read_feed(spark, f"{folder}/feed").where("run = '1'")
+        assert len(feed.collect()) == 9
+        return feed._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+    assert "vehicle_id" not in "".join(l for l in final_plan().splitlines() if "hashpartitioning" in l)
+    noted = spark.read.parquet(glob.glob(f"{folder}/feed/run=1/attempt=*")[0])
+    noted.write.partitionBy(*module.FOLDER_COLS).parquet(f"{folder}/feed/run=1/attempt=lost")
+    assert "vehicle_id" in "".join(l for l in final_plan().splitlines() if "hashpartitioning" in l)
+
+
+def test_a_feed_without_attempts_is_read(spark, folder):
+    put(spark, folder, [event(f"V{i}", START) for i in range(9)], "1")
+    noted = spark.read.parquet(glob.glob(f"{folder}/feed/run=1/attempt=*")[0])
+    noted.unionByName(noted).write.parquet(f"{folder}/old/run=1")
+    assert read_feed(spark, f"{folder}/old").count() == 9
+
+
 @settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     rows=st.lists(
