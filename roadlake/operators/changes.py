@@ -3,14 +3,16 @@
 The table has two partition levels: the day of an event and, below it, a bucket that follows from the key, so a load of few keys
 opens few folders. Every row carries a digest of its values. A load reads keys and digests of the folders it
 touches, says of each of its rows whether it is inserted, updated or changes nothing, keeps the first two as a change feed, and
-rewrites only the folders that have some. The exchange that finds the latest row of a key serves the comparison with the table too, so
-rows that change nothing are moved once and never written. Rows of rewritten folders that stay are carried over from the scan by a
-broadcast of the changed keys. Folders that the table does not have yet are taken from the feed as they lie there.
+rewrites only the folders that have some. Folders that the table has are first compared by keys, times and digests alone; whole rows
+are read of those with a change and of new ones. They cross one exchange, by folder: it finds the latest row of a key,
+compares it with the table and leaves rows where they are written. Rows of rewritten folders that stay are carried over from the scan
+by a broadcast of the changed keys. Folders that the table does not have yet are taken from the feed as they lie there.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections import Counter
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from typing import NamedTuple
 
@@ -26,6 +28,7 @@ from roadlake.session import no_rows
 from roadlake.sources.processed import read_parquet_or_empty
 
 BUCKET, DIGEST, CHANGE, ATTEMPT = "bucket", "row_digest", "change", "attempt"
+_CUT = "_cut"
 INSERTED, UPDATED, UNCHANGED, STALE = "inserted", "updated", "unchanged", "stale"
 KINDS = (INSERTED, UPDATED, UNCHANGED, STALE)
 FOLDER_COLS = [*PARTITION_COLS, BUCKET]
@@ -33,6 +36,10 @@ FOLDER_COLS = [*PARTITION_COLS, BUCKET]
 BUCKETS = 16
 #: Folders that one step of a load rewrites at most.
 LISTED_FOLDERS = 1000
+#: Source rows of a folder beyond which several tasks take it, each some of its keys.
+CUT_ROWS = 200_000
+#: Source rows of a folder beyond one per key from which on rows are reduced to one per key before they are sent.
+REPEATED_ROWS = 1_000_000
 #: Columns that say when a row was written and not what it holds.
 AUDIT_COLS = ("last_updated",)
 
@@ -91,8 +98,8 @@ def apply_changes(
 
     Rows with a null in the key are handed to ``on_unkeyed``; without it they are refused. One writer per table; a
     driver lost while Spark moves finished files can leave a folder half replaced, as with any plain overwrite. A value that does not fit
-    its column fails the load. The source is read more than once, first for the folders it touches; a load fails before it rewrites
-    anything when the source has other folders the next time.
+    its column fails the load. The source is read more than once, first for the folders it touches, then for those that change; a load
+    fails before it rewrites anything when the source has other folders the next time, or rows with other outcomes.
     """
     if EVENT_TIME not in keys:
         raise ValueError(f"{EVENT_TIME} must be part of the key: it gives the partition")
@@ -107,36 +114,82 @@ def apply_changes(
     # Each attempt notes its rows apart, so that rows which a lost one has noted are not taken for its own.
     run_feed = f"{feed}/run={run}/{ATTEMPT}={uuid.uuid4().hex}"
     rows = _with_folder(incoming, keys, buckets).select(*whole.names)
-    touched = {r.folder for r in rows.select(_folder().alias("folder")).distinct().collect()}
+    touched = _measure(rows, keys)
     current = _of(_table(spark, path, whole), touched)
     held = {r.folder for r in current.select(_folder().alias("folder")).distinct().collect()}
-    fresh = dedupe_keyed(rows, keys, [*latest_by, DIGEST])
+    if _repeats(touched):
+        rows = dedupe_keyed(rows, keys, [*latest_by, DIGEST])
+    cut = _cut(touched, keys).alias(_CUT)
+    outcomes = _outcomes(rows.select("*", cut), current.select("*", cut), keys, latest_by, keep_newer, [*FOLDER_COLS, _CUT]).drop(_CUT)
     _by_folder(no_rows(spark, whole).withColumn(CHANGE, F.lit("")), "overwrite", "static").parquet(run_feed)
-    observed = _note(_outcomes(fresh, current, keys, latest_by, keep_newer), run_feed)
+    kinds = _recount(_of(rows, held), current, keys, latest_by, keep_newer, buckets) if held else {}
+    idle = {f for f, found in kinds.items() if not found[INSERTED] + found[UPDATED]}
+    done = Counter(_sum(kinds[f] for f in idle))
+    if idle.issuperset(touched):
+        return Changed(*[done[k] for k in KINDS], 0)
+    observed = _note(outcomes.where(~_folder().isin(list(idle))) if idle else outcomes, run_feed)
     noted = spark.read.schema(StructType([*whole.fields]).add(CHANGE, "string")).parquet(run_feed)
     sizes = _changed_folders(noted, keys)
-    if not touched.issuperset(sizes):
+    # A write of no rows is cut short and reports nothing. Rows of new folders are all inserted.
+    found, expected = Counter(observed.get if sizes else {}), _sum(kinds[f] for f in kinds.keys() - idle)
+    if not touched.keys() >= sizes.keys() or any(found[k] != expected[k] for k in KINDS if k != INSERTED):
         raise RuntimeError("the source has other rows than when its folders were listed")
     for folders in _steps({f: n for f, n in sizes.items() if f in held}, listed or LISTED_FOLDERS):
         _rewrite(_of(noted, folders), _of(_table(spark, path, whole), folders), keys, path)
     for folders in _steps({f: 0 for f in sizes if f not in held}, listed or LISTED_FOLDERS):
         _add(_of(noted, folders), path)
-    # A write of no rows is cut short and reports nothing.
-    found = observed.get if sizes else _recount(rows, current, keys, latest_by, keep_newer)
-    return Changed(*[found.get(k, 0) for k in KINDS], len(sizes))
+    return Changed(*[done[k] + found[k] for k in KINDS], len(sizes))
 
 
 def _with_folder(rows: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
     values = [c for c in rows.columns if c not in AUDIT_COLS]
     text = F.to_json(F.struct(*values), {"ignoreNullFields": "false"})
     return rows.withColumns({
-        DIGEST: F.unhex(F.md5(text)), BUCKET: F.pmod(F.xxhash64(*sorted(keys)), F.lit(buckets)).cast("int"),
+        DIGEST: F.unhex(F.md5(text)), BUCKET: _bucket(keys, buckets),
     })
 
 
-def _by_folder(rows: DataFrame, mode: str, overwrite: str):
-    """Rows brought together by folder; a large folder is cut into several tasks."""
-    writer = rows.hint("rebalance", *FOLDER_COLS).write.mode(mode)
+def _bucket(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*sorted(keys)), F.lit(buckets)).cast("int")
+
+
+class _Size(NamedTuple):
+    """Source rows of a folder, and about how many keys they have."""
+
+    rows: int
+    keys: int
+
+
+def _measure(rows: DataFrame, keys: Sequence[str]) -> dict[str, _Size]:
+    """Folders that the source touches."""
+    found = rows.groupBy(_folder().alias("folder")).agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(F.xxhash64(*keys)).alias("n_keys"))
+    return {r.folder: _Size(r.n, r.n_keys) for r in found.collect()}
+
+
+def _repeats(touched: Mapping[str, _Size]) -> bool:
+    """Whether keys come so often that one could be too much for a task; a quarter more rows than keys may be the estimate's error."""
+    return any(size.rows - size.keys > max(REPEATED_ROWS, size.rows // 4) for size in touched.values())
+
+
+def _cut(touched: Mapping[str, _Size], keys: Sequence[str]) -> Column:
+    """Which part of a large folder a key belongs to; folders have a power of two of parts, most of them one."""
+    parts: dict[int, list[str]] = {}
+    for folder, size in touched.items():
+        if size.rows > CUT_ROWS:
+            parts.setdefault(1 << ((size.rows - 1) // CUT_ROWS).bit_length(), []).append(folder)
+    number = F.lit(1)
+    for n, folders in parts.items():
+        number = F.when(_folder().isin(folders), n).otherwise(number)
+    return F.pmod(F.hash(*sorted(keys)), number)
+
+
+def _sum(counts: Iterable[Mapping[str, int]]) -> Counter[str]:
+    return sum((Counter(c) for c in counts), Counter())
+
+
+def _by_folder(rows: DataFrame, mode: str, overwrite: str, together: bool = False):
+    """Rows brought together by folder, if they are not yet; a large folder is cut into several tasks."""
+    writer = (rows if together else rows.hint("rebalance", *FOLDER_COLS)).write.mode(mode)
     return writer.option("partitionOverwriteMode", overwrite).partitionBy(*FOLDER_COLS)
 
 
@@ -179,35 +232,54 @@ def _steps(sizes: Mapping[str, int], limit: int) -> Iterator[list[str]]:
         yield step
 
 
-def _recount(rows: DataFrame, current: DataFrame, keys: Sequence[str], latest_by: Sequence[str], keep_newer: bool) -> dict[str, int]:
-    """Outcomes by kind from keys, times and digests alone: rows of a key with the same digest have the same outcome."""
+def _recount(
+    rows: DataFrame, current: DataFrame, keys: Sequence[str], latest_by: Sequence[str], keep_newer: bool, buckets: int
+) -> dict[str, Counter[str]]:
+    """Outcomes by folder and kind from keys, times and digests alone: rows of a key with the same digest have the same outcome."""
     narrow = rows.select(*dict.fromkeys([*keys, *latest_by, DIGEST]))
-    fresh = dedupe_keyed(narrow, keys, [*latest_by, DIGEST])
-    return dict(_outcomes(fresh, current, keys, latest_by, keep_newer).groupBy(CHANGE).count().collect())
+    found = _outcomes(narrow, current, keys, latest_by, keep_newer)
+    found = add_date_parts(found).withColumn(BUCKET, _bucket(keys, buckets))
+    kinds: dict[str, Counter[str]] = {}
+    for r in found.groupBy(_folder().alias("folder"), CHANGE).agg(F.count(F.lit(1)).alias("n")).collect():
+        kinds.setdefault(r.folder, Counter())[r[CHANGE]] = r.n
+    return kinds
+
 
+def _outcomes(
+    rows: DataFrame, current: DataFrame, keys: Sequence[str], latest_by: Sequence[str], keep_newer: bool, by: Sequence[str] = ()
+) -> DataFrame:
+    """The latest row of each key with ``change``, from keys and digests of the table alone.
 
-def _outcomes(fresh: DataFrame, current: DataFrame, keys: Sequence[str], latest_by: Sequence[str], keep_newer: bool) -> DataFrame:
-    """Fresh rows with ``change``, from keys and digests of the table alone."""
+    ``by`` are columns of both that follow from the key; rows are exchanged by those, or else by the key. Source and table
+    meet in one aggregate, so that columns other than the key can decide where.
+    """
+    placed = [*by, *fixed_width_first(rows, keys)]
     order = [c for c in latest_by if c not in keys]
-    narrow = current.select(
-        *[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], F.col(DIGEST).alias("_digest"),
-        F.struct(*[recency(current, c).alias(f"_by{i}") for i, c in enumerate(order)]).alias("_held"),
-    )
-    same = F.lit(True)
-    for i, k in sorted(enumerate(keys), key=lambda x: fixed_width_first(fresh, keys).index(x[1])):
-        same = same & (F.col(k) == F.col(f"_key{i}"))
-    offered = F.struct(*[recency(fresh, c).alias(f"_by{i}") for i, c in enumerate(order)])
-    change = F.when(F.col("_digest").isNull(), INSERTED).when(F.col("_digest") == F.col(DIGEST), UNCHANGED)
+    rest = [c for c in rows.columns if c not in (*placed, DIGEST)]
+
+    def ranked(df: DataFrame) -> list[Column]:
+        return [*[recency(df, c).alias(f"_by{i}") for i, c in enumerate(order)], F.col(DIGEST).alias("_digest")]
+
+    offered = rows.select(*placed, F.struct(*ranked(rows), *rest).alias("_row"))
+    held = current.select(*placed, F.struct(*ranked(current)).alias("_held"))
+    # Exchanged before they are aggregated, so that no task sorts its whole share of the source.
+    both = offered.unionByName(held, allowMissingColumns=True).repartition(*(by or placed))
+    met = both.groupBy(*placed).agg(F.max("_row").alias("_row"), F.max("_held").alias("_held")).where("_row IS NOT NULL")
+
+    row, there = F.col("_row"), F.col("_held")
+    change = F.when(there.isNull(), INSERTED).when(there["_digest"] == row["_digest"], UNCHANGED)
     if keep_newer:
-        change = change.when(offered < F.col("_held"), STALE)
-    return fresh.join(narrow, same, "left").withColumn(CHANGE, change.otherwise(UPDATED)).select(*fresh.columns, CHANGE)
+        times = [F.struct(*[of[f"_by{i}"].alias(f"_by{i}") for i in range(len(order))]) for of in (row, there)]
+        change = change.when(times[0] < times[1], STALE)
+    columns = [row["_digest"].alias(c) if c == DIGEST else F.col(c) if c in placed else row[c].alias(c) for c in rows.columns]
+    return met.select(*columns, change.otherwise(UPDATED).alias(CHANGE))
 
 
 def _note(outcomes: DataFrame, run_feed: str) -> Observation:
-    """Append inserted and updated rows to the run's feed; counts of all kinds come from the same pass."""
+    """Append inserted and updated rows, which lie by folder, to the run's feed; counts of all kinds come from the same pass."""
     counts = Observation()
     counted = outcomes.observe(counts, *[F.count_if(F.col(CHANGE) == k).alias(k) for k in KINDS])
-    _by_folder(counted.where(F.col(CHANGE).isin(INSERTED, UPDATED)), "append", "static").parquet(run_feed)
+    _by_folder(counted.where(F.col(CHANGE).isin(INSERTED, UPDATED)), "append", "static", True).parquet(run_feed)
     return counts
 
 

@@ -163,6 +163,62 @@ def test_the_exchange_that_dedupes_serves_the_comparison(spark, folder):
     assert plan.count("Exchange hashpartitioning") == 2
 
 
+def test_whole_rows_cross_one_exchange_and_are_not_sorted_before(spark, folder):
+    rows = [event(f"V{i}", START) for i in range(20)]
+    put(spark, folder, rows, "1")
+    current = module._table(spark, f"{folder}/table", module.table_schema())
+    incoming = module._with_folder(module.split_on_null(load(spark, rows), KEY_COLS)[0], KEY_COLS, 16)
+    plan = explain(module._outcomes(incoming, current, KEY_COLS, ["timestamp"], False, module.FOLDER_COLS)).splitlines()
+    plan = plan[: next((n for n, line in enumerate(plan) if not line.strip()), len(plan))]
+    exchanges = [n for n, line in enumerate(plan) if "Exchange" in line]
+    assert len(exchanges) == 1 and any("Aggregate" in line for line in plan[: exchanges[0]])
+    assert not any("Aggregate" in line or "Sort" in line for line in plan[exchanges[0]:])
+
+
+def test_a_load_without_changes_moves_keys_and_digests_only(spark, folder, monkeypatch):
+    rows = [event(f"V{i}", START + i % 3 * DAY) for i in range(30)]
+    put(spark, folder, rows, "1")
+    monkeypatch.setattr(module, "_note", lambda *_: pytest.fail("whole rows were read"))
+    assert put(spark, folder, rows, "2") == Changed(0, 0, 30, 0, 0)
+
+
+def test_whole_rows_are_read_of_folders_with_a_change(spark, folder, monkeypatch):
+    put(spark, folder, [event(f"V{i}", START + i % 3 * DAY) for i in range(30)], "1", buckets=1)
+    note, noted = module._note, []
+    monkeypatch.setattr(module, "_note", lambda found, *how: (noted.append(found.count()), note(found, *how))[1])
+    second = [event(f"V{i}", START + i % 3 * DAY, speed=1.0 if i == 4 else 80.0) for i in range(30)] + [event("V1", START + 5 * DAY)]
+    assert put(spark, folder, second, "2", buckets=1) == Changed(1, 1, 29, 0, 2)
+    assert noted == [11] and len(speeds(spark, f"{folder}/table")) == 31
+
+
+def test_a_large_folder_is_cut_by_key(spark, folder, monkeypatch):
+    monkeypatch.setattr(module, "CUT_ROWS", 10)
+    rows = [event(f"V{i}", START) for i in range(35)] + [event(f"V{i}", START + DAY) for i in range(10)]
+    assert put(spark, folder, [*rows, *rows], "1", buckets=1) == Changed(45, 0, 0, 0, 2)
+    assert put(spark, folder, [*rows, *rows], "2", buckets=1)[:4] == (0, 0, 45, 0)
+    assert put(spark, folder, [event(f"V{i}", START, speed=1.0) for i in range(40)], "3", buckets=1)[:4] == (5, 35, 0, 0)
+    assert sorted(speeds(spark, f"{folder}/table").values()) == [1.0] * 40 + [80.0] * 10
+
+
+def test_keys_that_come_often_are_reduced_before_they_are_sent(spark, folder, monkeypatch):
+    monkeypatch.setattr(module, "REPEATED_ROWS", 20)
+    dedupe, reduced = module.dedupe_keyed, []
+    monkeypatch.setattr(module, "dedupe_keyed", lambda *how: (reduced.append(1), dedupe(*how))[1])
+    assert put(spark, folder, [event(f"V{i}", START) for i in range(30)], "1", buckets=1)[0] == 30 and not reduced
+    often = [event("V1", START + n / 100, speed=float(n)) for n in range(60)] + [event("V2", START)]
+    assert put(spark, folder, often, "2", buckets=1)[:4] == (0, 1, 1, 0) and reduced
+    assert {k[0]: s for k, s in speeds(spark, f"{folder}/table").items()}["V1"] == 59.0
+
+
+def test_a_source_that_changes_its_outcomes_is_refused(spark, folder, monkeypatch):
+    put(spark, folder, [event("V1", START)], "1", buckets=1)
+    recount = module._recount
+    monkeypatch.setattr(module, "_recount", lambda *how: {f: c + module.Counter({"updated": 1}) for f, c in recount(*how).items()})
+    with pytest.raises(RuntimeError, match="other rows"):
+        put(spark, folder, [event("V1", START, speed=1.0)], "2", buckets=1)
+    assert set(speeds(spark, f"{folder}/table").values()) == {80.0}
+
+
 def test_steps_hold_as_many_updated_keys_as_a_broadcast_takes(monkeypatch):
     monkeypatch.setattr(module, "BROADCAST_BYTES", 10)
     assert list(module._steps({"d": 0, "a": 4, "c": 30, "b": 6}, 100)) == [["a", "b"], ["c"], ["d"]]
